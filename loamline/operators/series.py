@@ -46,12 +46,13 @@ def _halo_lags(base: DataFrame, keys: list[str], order: list[str], srcs: list[st
     """For each (key, bucket): the ``depth`` rows (non-null ones if
     ``skip_nulls``) that precede the bucket, labelled with that bucket."""
     src = srcs[0]
+    fields = order + [c for c in srcs if c not in order]
     qual = [F.col(src).isNotNull().desc()] if skip_nulls else []
     w_top = Window.partitionBy(*keys, _BKT).orderBy(*qual, *[F.col(o).desc() for o in order])
-    top = (base.select(*keys, _BKT, *order, *srcs)
+    top = (base.select(*keys, _BKT, *fields)
            .withColumn(_RANK, F.row_number().over(w_top))
            .filter(F.col(_RANK) <= depth))
-    payload = F.struct(*[F.col(c) for c in order + srcs])
+    payload = F.struct(*[F.col(c) for c in fields])
     if skip_nulls:
         payload = F.when(F.col(src).isNotNull(), payload)
     w_key = Window.partitionBy(*keys).orderBy(_BKT, *order)
@@ -66,26 +67,27 @@ def _halo_lags(base: DataFrame, keys: list[str], order: list[str], srcs: list[st
                     F.array(*back).alias("_sx_back"))
             .filter(F.col(_EDGE))
             .select(*keys, _BKT, F.explode(F.filter("_sx_back", lambda p: p.isNotNull())).alias(_PAY)))
-    return halo.select(*keys, _BKT, *[F.col(f"{_PAY}.{c}").alias(c) for c in order + srcs])
+    return halo.select(*keys, _BKT, *[F.col(f"{_PAY}.{c}").alias(c) for c in fields])
 
 
 def _halo_leads(base: DataFrame, keys: list[str], order: list[str], srcs: list[str],
                 depth: int) -> DataFrame:
     """For each (key, bucket): the ``depth`` rows that follow the bucket."""
+    fields = order + [c for c in srcs if c not in order]
     w_top = Window.partitionBy(*keys, _BKT).orderBy(*order)
-    top = (base.select(*keys, _BKT, *order, *srcs)
+    top = (base.select(*keys, _BKT, *fields)
            .withColumn(_RANK, F.row_number().over(w_top))
            .filter(F.col(_RANK) <= depth))
     w_key = Window.partitionBy(*keys).orderBy(_BKT, *order)
     next_bucket = F.lead(_BKT).over(w_key)
     ahead = [F.lead(_PAY, j).over(w_key) for j in range(1, depth + 1)]
-    halo = (top.withColumn(_PAY, F.struct(*[F.col(c) for c in order + srcs]))
+    halo = (top.withColumn(_PAY, F.struct(*[F.col(c) for c in fields]))
             .select(*keys, _BKT,
                     (next_bucket.isNull() | (next_bucket != F.col(_BKT))).alias(_EDGE),
                     F.array(*ahead).alias("_sx_ahead"))
             .filter(F.col(_EDGE))
             .select(*keys, _BKT, F.explode(F.filter("_sx_ahead", lambda p: p.isNotNull())).alias(_PAY)))
-    return halo.select(*keys, _BKT, *[F.col(f"{_PAY}.{c}").alias(c) for c in order + srcs])
+    return halo.select(*keys, _BKT, *[F.col(f"{_PAY}.{c}").alias(c) for c in fields])
 
 
 def shift(df: DataFrame, keys: Sequence[str], order: Sequence[str],

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 # Settings every job relies on; a cluster's own spark-defaults win where set.
 _DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
