@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from loamline.functions.scalar import absolute_error
+from loamline.operators.joins import join_side
 from loamline.operators.quality import in_range
 from loamline.operators.series import DEFAULT_BUCKET_SECONDS, latest, shift
 from loamline.schemas import KEYS, MOISTURE_FEATURES, MOISTURE_TARGET, ORDER
@@ -81,8 +82,9 @@ def consumed_mark(queue: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[
 
 def after_mark(queue: DataFrame, mark: DataFrame, keys: Sequence[str] = KEYS,
                order: Sequence[str] = ORDER) -> DataFrame:
-    """Rows not yet consumed: newer than the key's mark, or keys without one."""
+    """Rows not yet consumed: newer than the key's mark, or keys without one.
+    The mark has one row per key and is broadcast behind a size check."""
     keys, order = list(keys), list(order)
-    joined = queue.join(mark, on=keys, how="left")
+    joined = join_side(queue, mark, keys, how="left")
     newer = F.col("_mark").isNull() | (F.struct(*[F.col(o) for o in order]) > F.col("_mark"))
     return joined.filter(newer).drop("_mark")

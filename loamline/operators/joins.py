@@ -1,0 +1,30 @@
+"""Joins against per-key side tables (one row per key)."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
+
+# Rows a side table may have to be broadcast on the explicit path (a few tens
+# of MB for the narrow per-key tables joined here).
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def join_side(big: DataFrame, side: DataFrame, on: Sequence[str], how: str = "left",
+              count_first: bool = False, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join a per-key side table onto a large frame without letting a hot
+    key pin one reducer.
+
+    Default: the side table is an aggregate, so adaptive execution measures
+    its real size when that stage finishes and broadcasts it when it is under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise the join
+    stays a sort-merge join whose skewed partitions of the large side are
+    split (``spark.sql.adaptive.skewJoin.enabled``).
+
+    ``count_first``: for a side table that is already written (cheap to
+    count), count it and broadcast explicitly within ``max_rows``.
+    """
+    if count_first and side.count() <= max_rows:
+        return big.join(F.broadcast(side), on=list(on), how=how)
+    return big.join(side, on=list(on), how=how)

@@ -30,18 +30,17 @@ def ordered_split(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str
     """Unshuffled split per series: the first rows train, the rest test.
 
     ``test_fraction=f`` -> test = ceil(f*n); ``train_fraction=f`` -> train =
-    floor(f*n). Positions come from the bucketed ``row_ids`` (no single task
-    per key); the per-key counts are a partial aggregation.
+    floor(f*n). Positions and series lengths come from the bucketed
+    ``row_ids`` (no single task per key, no join on the key alone).
     """
     keys, order = list(keys), list(order)
-    pos = row_ids(df, keys, order, "_ms_pos", bucket_seconds=bucket_seconds)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ms_n"))
+    pos = row_ids(df, keys, order, "_ms_pos", total="_ms_n", bucket_seconds=bucket_seconds)
     n = F.col("_ms_n")
     if train_fraction is not None:
         n_train = F.floor(F.lit(float(train_fraction)) * n)
     else:
         n_train = n - F.ceil(F.lit(float(test_fraction)) * n)
-    return (pos.join(counts, on=keys, how="inner")
+    return (pos
             .withColumn("split", F.when(F.col("_ms_pos") <= n_train, F.lit("train")).otherwise(F.lit("test")))
             .drop("_ms_pos", "_ms_n"))
 

@@ -3,15 +3,18 @@
 A window partitioned by the series key alone puts a whole series into one
 task; a station that holds a third of all rows would then sit in a single
 task. ``shift`` instead partitions by (key, bucket), where the bucket is a
-monotone function of the order column (by default one day of ``ts``). The few
-rows a bucket needs from its neighbours -- the last ``k`` rows before it for
-``lag``, the first ``k`` rows after it for ``lead`` -- are found with a
-map-side top-k per bucket and a small window over those top-k rows, then
-copied into the bucket as halo rows. The result is exact: the same values as
-one window over the whole series.
-
-Shuffles: one of the full input (the final window), plus two top-k side
-inputs of at most ``k`` rows per (key, bucket) after partial limits.
+monotone function of the order column (by default one day of ``ts``), and
+repairs the few rows whose offsets cross a bucket border:
+
+* plain lags/leads: in-bucket values first, then a second window over only
+  the ``k`` rows at each end of every bucket (``_shift_edges``);
+* ``IGNORE NULLS`` lags, whose look-back is unbounded: the last ``k``
+  non-null rows before each bucket are found by a map-side top-k and copied
+  into the bucket as halo rows (``_shift_halo``).
+
+Both are exact -- the same values as one window over the whole series -- and
+no task ever holds more than one bucket plus ``O(k)`` rows per bucket of the
+key on the repair side.
 """
 
 from __future__ import annotations
@@ -104,9 +107,53 @@ def shift(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     keys, order = list(keys), list(order)
     lags, leads = dict(lags or {}), dict(leads or {})
+    if skip_nulls:
+        if leads or len({s for s, _ in lags.values()}) != 1:
+            raise ValueError("skip_nulls supports lags of a single source column")
+        return _shift_halo(df, keys, order, lags, {}, True, bucket, bucket_seconds)
+    return _shift_edges(df, keys, order, lags, leads, bucket, bucket_seconds)
+
+
+def _shift_edges(df, keys, order, lags, leads, bucket, bucket_seconds) -> DataFrame:
+    """Plain lags/leads in one pass over (key, bucket), then a fix-up of the
+    rows near bucket edges.
+
+    Pass A computes every offset inside the row's bucket plus the row's rank
+    from both ends. Rows farther than ``m = max offset`` from both ends are
+    final. The remaining edge rows (at most ``2m`` per bucket) are windowed
+    again per key over edge rows only: the ``k`` rows before a start-edge row
+    and after an end-edge row are themselves edge rows, so that window gives
+    the exact cross-bucket values. One input scan; the full data is shuffled
+    once, the edge rows once more.
+    """
+    max_lag = max((k for _, k in lags.values()), default=0)
+    max_lead = max((k for _, k in leads.values()), default=0)
+    m = max(max_lag, max_lead)
+    base = df.withColumn(_BKT, bucket if bucket is not None else bucket_of(df, order[0], bucket_seconds))
+    w = Window.partitionBy(*keys, _BKT).orderBy(*order)
+    w_all = Window.partitionBy(*keys, _BKT)
+    inner = {n: F.lag(s, k).over(w) for n, (s, k) in lags.items()}
+    inner.update({n: F.lead(s, k).over(w) for n, (s, k) in leads.items()})
+    a = (base.withColumns(inner)
+         .withColumn(_RANK, F.row_number().over(w))
+         .withColumn("_sx_rdesc", F.count(F.lit(1)).over(w_all) - F.col(_RANK) + F.lit(1)))
+    is_edge = (F.col(_RANK) <= m) | (F.col("_sx_rdesc") <= m)
+    interior = a.filter(~is_edge)
+    w_edge = Window.partitionBy(*keys).orderBy(_BKT, *order)
+    fixed = {}
+    for n, (s, k) in lags.items():
+        fixed[n] = F.when(F.col(_RANK) <= max_lag, F.lag(s, k).over(w_edge)).otherwise(F.col(n))
+    for n, (s, k) in leads.items():
+        fixed[n] = F.when(F.col("_sx_rdesc") <= max_lead, F.lead(s, k).over(w_edge)).otherwise(F.col(n))
+    edges = a.filter(is_edge).withColumns(fixed)
+    return interior.unionByName(edges).drop(_BKT, _RANK, "_sx_rdesc")
+
+
+def _shift_halo(df, keys, order, lags, leads, skip_nulls, bucket, bucket_seconds) -> DataFrame:
+    """Lags (optionally IGNORE NULLS) via halo rows: the rows a bucket needs
+    from earlier buckets are found by a map-side top-k per bucket and a small
+    window over those top-k rows, then copied into the bucket."""
     srcs = sorted({s for s, _ in lags.values()} | {s for s, _ in leads.values()})
-    if skip_nulls and (leads or len({s for s, _ in lags.values()}) != 1):
-        raise ValueError("skip_nulls supports lags of a single source column")
     base = df.withColumn(_BKT, bucket if bucket is not None else bucket_of(df, order[0], bucket_seconds))
     max_lag = max((k for _, k in lags.values()), default=0)
     max_lead = max((k for _, k in leads.values()), default=0)
@@ -130,19 +177,25 @@ def shift(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def row_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_id",
-            *, bucket: Column | None = None,
+            *, total: str | None = None, bucket: Column | None = None,
             bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """1-based position of each row in its series, without one task per key.
-
-    Rows are counted per (key, bucket) (partial aggregation), the counts are
-    turned into bucket offsets by a window over the small count table, and
-    each row adds its position inside its bucket.
+    """1-based position of each row in its series (and, with ``total``, the
+    series length), without one task per key.
+
+    Rows are counted per (key, bucket) (partial aggregation); a window over
+    that small count table turns the counts into bucket offsets and series
+    totals; the table is joined back on (key, bucket) -- never on the key
+    alone, so a hot key is spread over its buckets -- and each row adds its
+    position inside its bucket.
     """
     keys, order = list(keys), list(order)
     base = df.withColumn(_BKT, bucket if bucket is not None else bucket_of(df, order[0], bucket_seconds))
     counts = base.groupBy(*keys, _BKT).agg(F.count(F.lit(1)).alias("_sx_n"))
     w_off = Window.partitionBy(*keys).orderBy(_BKT).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, _BKT, F.coalesce(F.sum("_sx_n").over(w_off), F.lit(0)).alias("_sx_off"))
+    cols = [*keys, _BKT, F.coalesce(F.sum("_sx_n").over(w_off), F.lit(0)).alias("_sx_off")]
+    if total:
+        cols.append(F.sum("_sx_n").over(Window.partitionBy(*keys)).alias(total))
+    offsets = counts.select(*cols)
     w_in = Window.partitionBy(*keys, _BKT).orderBy(*order)
     pos = base.join(offsets, on=keys + [_BKT], how="inner")
     return (pos.withColumn(name, F.col("_sx_off") + F.row_number().over(w_in))
