@@ -70,7 +70,8 @@ def live_features(df: DataFrame) -> DataFrame:
 
 def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
                   order: Sequence[str] = ORDER, *, seed: int = HISTORY,
-                  bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: float = DEFAULT_BUCKET_SECONDS,
+                  context: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Every reading as one cycle of the live loop.
 
     Columns added: ``is_seed`` (one of the first ``seed`` readings),
@@ -79,10 +80,19 @@ def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
     cycle was accepted), ``prev_5..prev_1`` (the last five chain values
     before the cycle), the float32 features, and ``future_permanent`` (next
     cycle's reading, the permanent store's label).
+
+    ``context``: name of a boolean column marking rows carried over from an
+    earlier run (a streaming tail). Their ``is_seed``, ``chain``,
+    ``accepted`` and features are taken from ``ctx_<name>`` columns instead
+    of being recomputed; new rows see them as history. ``carry`` lists
+    further input columns to keep.
     """
     keys, order = list(keys), list(order)
+    extra = list(carry)
+    if context:
+        extra += [context, "ctx_seed", "ctx_chain", "ctx_accepted"] + [f"ctx_{c}" for c in MOISTURE_FEATURES]
     r = normalise(readings).select(*keys, *order, "hour", "hour_sin", "hour_cos",
-                                   "soil_temp", "rain_fall", "soil_moisture")
+                                   "soil_temp", "rain_fall", "soil_moisture", *extra)
     complete = ~(is_missing("hour_sin") | is_missing("hour_cos")
                  | is_missing("soil_temp") | is_missing("rain_fall"))
     r = r.withColumn("_cx_complete", complete)
@@ -93,8 +103,11 @@ def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
                bucket_seconds=bucket_seconds)
     is_seed = F.col("_cx_l5").isNull()
     prev_live_ok = F.col("_cx_l6").isNotNull() & F.coalesce(F.col("_cx_prev_ok"), F.lit(False))
-    p1 = (p1.withColumn("is_seed", is_seed)
-            .withColumn("chain", F.when(is_seed | prev_live_ok, F.col("soil_moisture")))
+    chain = F.when(is_seed | prev_live_ok, F.col("soil_moisture"))
+    if context:
+        is_seed = F.when(F.col(context), F.col("ctx_seed")).otherwise(is_seed)
+        chain = F.when(F.col(context), F.col("ctx_chain")).otherwise(chain)
+    p1 = (p1.withColumn("is_seed", is_seed).withColumn("chain", chain)
             .drop("_cx_prev_ok", "_cx_l5", "_cx_l6"))
     p2 = shift(p1, keys, order, lags={f"prev_{k}": ("chain", k) for k in range(1, HISTORY + 1)},
                skip_nulls=True, bucket_seconds=bucket_seconds)
@@ -102,6 +115,10 @@ def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
     accepted = ~F.col("is_seed")
     for c in MOISTURE_FEATURES:
         accepted = accepted & ~is_missing(c)
+    if context:
+        accepted = F.when(F.col(context), F.col("ctx_accepted")).otherwise(accepted)
+        feats = feats.withColumns({c: F.when(F.col(context), F.col(f"ctx_{c}")).otherwise(F.col(c))
+                                   for c in MOISTURE_FEATURES})
     return feats.withColumn("accepted", accepted).drop("_cx_complete")
 
 
