@@ -87,3 +87,33 @@ def test_last_n_plans_group_limit(spark):
     plan = series.last_n(df, ["k"], ["o"], 5)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert series.last_n(df, ["k"], ["o"], 5).count() == 15
+
+
+def test_hot_station_from_events(spark):
+    """A third of all readings re-keyed to one station: the flagship stays
+    exact, and that station's rows are spread over many window tasks."""
+    from conftest import SF_MID
+    from loamline.operators import features
+    from loamline.sources import adapters
+    from loamline.sources.tables import table
+    ev = table(spark, SF_MID, "events").withColumn(
+        "user_id", F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit(0)).otherwise(F.col("user_id")))
+    readings = adapters.readings(ev)
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = features.moisture_features(readings)
+        per_task = (got.filter(F.col("station_id") == 0)
+                    .groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+    hot = sum(r["count"] for r in per_task)
+    assert len(per_task) >= 4
+    assert max(r["count"] for r in per_task) < 0.5 * hot
+    r = features.normalise(readings)
+    w = Window.partitionBy("station_id").orderBy("ts", "event_id")
+    want = (r.select("station_id", "event_id", *[F.lag("soil_moisture", k).over(w).alias(f"prev_{k}") for k in range(1, 6)],
+                     F.lead("soil_moisture").over(w).alias("future_moisture"))
+            .filter("prev_5 IS NOT NULL AND future_moisture IS NOT NULL"))
+    cols = ["station_id", "event_id", "prev_1", "prev_5", "future_moisture"]
+    assert _collect(got, cols) == _collect(want, cols)
