@@ -30,11 +30,19 @@ _PAY = "_sx_payload"
 _EDGE = "_sx_edge"
 
 DEFAULT_BUCKET_SECONDS = 86_400
+# Session setting that overrides the default bucket width (seconds) for every
+# series operator, so a cluster can size buckets to its data rate.
+BUCKET_CONF = "loamline.series.bucketSeconds"
 
 
 def bucket_of(df: DataFrame, order_col: str, width: float = DEFAULT_BUCKET_SECONDS) -> Column:
     """Monotone bucket id of an order column: ``width`` seconds of a timestamp,
-    or ``width`` units of a number."""
+    or ``width`` units of a number. When ``width`` is the default and the
+    session sets ``loamline.series.bucketSeconds``, that value is used."""
+    if width == DEFAULT_BUCKET_SECONDS:
+        conf = df.sparkSession.conf.get(BUCKET_CONF, None)
+        if conf:
+            width = float(conf)
     dtype = df.schema[order_col].dataType
     c = F.col(order_col)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):

@@ -150,3 +150,14 @@ def test_decision_tree_classifier_weighted(spark):
     report = metrics.classification_report(m.transform(nut), "Output", "prediction")
     labels = {r.label for r in report.collect()}
     assert {"accuracy", "macro avg", "weighted avg"} <= labels
+
+
+def test_random_split_is_stable_and_proportional(spark):
+    df = spark.range(20000).withColumnRenamed("id", "sample_id")
+    a = models.random_split(df, "sample_id")
+    b = models.random_split(df.repartition(7), "sample_id")
+    ja = {r.sample_id: r.split for r in a.collect()}
+    jb = {r.sample_id: r.split for r in b.collect()}
+    assert ja == jb
+    share = sum(v == "train" for v in ja.values()) / len(ja)
+    assert 0.78 < share < 0.82

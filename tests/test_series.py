@@ -117,3 +117,16 @@ def test_hot_station_from_events(spark):
             .filter("prev_5 IS NOT NULL AND future_moisture IS NOT NULL"))
     cols = ["station_id", "event_id", "prev_1", "prev_5", "future_moisture"]
     assert _collect(got, cols) == _collect(want, cols)
+
+
+def test_bucket_width_from_session(spark):
+    df = spark.range(10).select(F.lit(1).cast("long").alias("k"),
+                                (F.lit(BASE) + F.make_dt_interval(secs=F.col("id") * 60)).cast("timestamp_ntz").alias("ts"),
+                                F.col("id"), F.col("id").cast("double").alias("v"))
+    spark.conf.set(series.BUCKET_CONF, "120")
+    try:
+        buckets = df.select(series.bucket_of(df, "ts").alias("b")).distinct().count()
+    finally:
+        spark.conf.unset(series.BUCKET_CONF)
+    assert buckets == 5
+    assert df.select(series.bucket_of(df, "ts").alias("b")).distinct().count() == 1
