@@ -303,6 +303,100 @@ def q_model_comparison(spark, sf):
     return out.select("model", r6("r2").alias("r2"), r6("rmse").alias("rmse"))
 
 
+def q_cycle_outputs(spark, sf):
+    """The prediction cycle over the whole readings table as one micro-batch
+    (empty tail): permanent, training, prediction and rejected rows."""
+    from loamline.streaming import windowed
+    tail = spark.createDataFrame([], windowed.TAIL_SCHEMA)
+    emitted, _ = windowed.cycle_batch(_readings(spark, sf, guard=True), tail, _fixed_model())
+    return emitted.drop("ts")
+
+
+# ------------------------------------------- model queries (rows-only checks)
+
+def _split_features(spark, sf, **kw):
+    split = models.ordered_split(_features(spark, sf), **kw)
+    return split.filter(F.col("split") == "train"), split.filter(F.col("split") == "test")
+
+
+def q_least_squares_fit(spark, sf):
+    train, _ = _split_features(spark, sf)
+    m = models.fit_least_squares(train)
+    rows = [(f, w, mu, sd) for f, w, mu, sd in zip(m.scaler.features, m.weights, m.scaler.mean, m.scaler.std)]
+    rows.append(("intercept", m.intercept, None, None))
+    return spark.createDataFrame(rows, "feature string, weight double, mean double, std double")
+
+
+def q_online_epoch(spark, sf):
+    train, _ = _split_features(spark, sf)
+    base = models.fit_least_squares(train)
+    queue = backfill.completed(_queue(spark, sf))
+    m = models.sgd_epoch(queue, base, eta=0.01)
+    rows = [(f, w) for f, w in zip(m.scaler.features, m.weights)] + [("intercept", m.intercept)]
+    return spark.createDataFrame(rows, "feature string, weight double")
+
+
+def q_learning_rate_sweep(spark, sf):
+    train, test = _split_features(spark, sf)
+    return models.learning_rate_sweep(train, test, [0.1, 0.05, 0.01, 0.005, 0.001, 0.0005])
+
+
+def _fitted_comparison(spark, sf, fitted: dict, test):
+    scored = None
+    for name, m in fitted.items():
+        part = m.transform(test).select(F.lit(name).alias("model"), "prediction", MOISTURE_TARGET)
+        scored = part if scored is None else scored.unionByName(part)
+    return models.model_comparison(scored)
+
+
+def q_fitted_model_comparison(spark, sf):
+    train, test = _split_features(spark, sf)
+    fitted = {"linear": models.linear_regression().fit(train),
+              "forest": models.forest_regressor().fit(train)}
+    sgd = models.fit_least_squares(train)
+    sgd_rows = sgd.score(test).select(F.lit("sgd").alias("model"), "prediction", MOISTURE_TARGET)
+    out = _fitted_comparison(spark, sf, fitted, test)
+    return out.unionByName(models.model_comparison(sgd_rows))
+
+
+def q_boosted_regression(spark, sf):
+    train, test = _split_features(spark, sf, test_fraction=None, train_fraction=0.3)
+    return _fitted_comparison(spark, sf, {"boosted": models.boosted_regressor().fit(train)}, test)
+
+
+def _nutrient_split(spark, sf):
+    data = quality.binary_labels(_nutrients(spark, sf))
+    split = models.random_split(data, "sample_id")
+    train = metrics.with_class_weights(split.filter(F.col("split") == "train"), "Output")
+    return train, split.filter(F.col("split") == "test")
+
+
+def q_random_split(spark, sf):
+    return models.random_split(quality.binary_labels(_nutrients(spark, sf)), "sample_id").select(
+        "sample_id", "Output", "split")
+
+
+def q_classifier_reports(spark, sf):
+    train, test = _nutrient_split(spark, sf)
+    fitted = {"tree": models.tree_classifier(NUTRIENTS, max_depth=5).fit(train),
+              "forest": models.forest_classifier(NUTRIENTS, num_trees=100, max_depth=5).fit(train)}
+    out = None
+    for name, m in fitted.items():
+        scored = m.transform(test).withColumn("prediction", F.col("prediction").cast("int"))
+        rep = metrics.classification_report(scored, "Output", "prediction")
+        rep = rep.select(F.lit(name).alias("model"), "*")
+        out = rep if out is None else out.unionByName(rep)
+    return out
+
+
+def q_fertility_scoring(spark, sf):
+    from loamline.streaming import fertility
+    nut = _nutrients(spark, sf)
+    model, _ = fertility.train_fertility(nut)
+    scored, rejected = fertility.score_fertility(nut, model)
+    return scored.select("sample_id", "Output", "predicted_fertility", "valid")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -228,7 +228,35 @@ def _model_comparison() -> str:
            {r6('rmse')} AS rmse FROM agg"""
 
 
+def _cycle_outputs() -> str:
+    feats = ", ".join(FEATS)
+    nulls = ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in FEATS)
+    none = "CAST(NULL AS DOUBLE)"
+    missing = "concat_ws(',', " + ", ".join(f"CASE WHEN {_missing(c)} THEN '{c}' END" for c in FEATS) + ")"
+    w = f"(PARTITION BY station_id ORDER BY ts, event_id)"
+    return f"""WITH {cycles_cte()},
+    s1 AS (SELECT *, CASE WHEN accepted THEN {FIXED} END AS predicted FROM cyc),
+    s2 AS (SELECT *, coalesce(accepted AND predicted BETWEEN 0 AND 100 AND NOT isnan(predicted), false) AS logged
+           FROM s1)
+    SELECT 'permanent' AS store, station_id, event_id, {feats}, future_permanent AS label,
+           {none} AS predicted, {none} AS absolute_error, CAST(NULL AS VARCHAR) AS reason
+    FROM s2 WHERE accepted AND future_permanent IS NOT NULL
+    UNION ALL
+    SELECT 'training', station_id, event_id, {feats}, label, {none}, {none}, NULL FROM (
+        SELECT *, lead(soil_moisture) OVER {w} AS label FROM s2 WHERE accepted) WHERE label IS NOT NULL
+    UNION ALL
+    SELECT 'prediction', station_id, event_id, {nulls}, actual, predicted, abs(predicted - actual), NULL FROM (
+        SELECT *, lead(soil_moisture) OVER {w} AS actual FROM s2 WHERE logged) WHERE actual IS NOT NULL
+    UNION ALL
+    SELECT 'rejected', station_id, event_id, {feats}, {none}, {none}, {none}, 'incomplete: ' || {missing}
+    FROM s2 WHERE NOT is_seed AND NOT accepted
+    UNION ALL
+    SELECT 'rejected', station_id, event_id, {feats}, {none}, predicted, {none}, 'prediction out of range'
+    FROM s2 WHERE accepted AND NOT logged"""
+
+
 ORACLE: dict[str, str] = {
+    "cycle_outputs": _cycle_outputs(),
     "moisture_features": f"WITH {FEATURES_CTE} SELECT * EXCLUDE (ts) FROM feat",
     "normalise_readings": """SELECT user_id AS station_id, event_id,
         sin(2 * pi() * hour(ts) / 24) AS hour_sin, cos(2 * pi() * hour(ts) / 24) AS hour_cos,
