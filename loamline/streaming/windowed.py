@@ -23,6 +23,7 @@ replayed batch reproduces the same files.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from loamline.operators import features, series
@@ -62,9 +63,12 @@ def _out(df: DataFrame, store: str, label=None, predicted=None, err=None, reason
 
 
 def cycle_batch(new: DataFrame, tail: DataFrame, model: LinearModel,
-                lo: float = 0.0, hi: float = 100.0) -> tuple[DataFrame, DataFrame]:
+                lo: float = 0.0, hi: float = 100.0, cache: list | None = None
+                ) -> tuple[DataFrame, DataFrame]:
     """(emitted rows, next tail) for one batch of readings (moisture as a
-    fraction) and the previous tail."""
+    fraction) and the previous tail. With ``cache`` (a list), the cycle frame
+    every output derives from is persisted and appended to it, so the caller
+    can release it after writing."""
     keys, order = KEYS, ORDER
     # rows not newer than the station's last processed reading are late
     last = tail.groupBy(*keys).agg(F.max(F.struct("ts", "event_id")).alias("_last"))
@@ -81,6 +85,9 @@ def cycle_batch(new: DataFrame, tail: DataFrame, model: LinearModel,
     predicted = F.when(F.col(_CTX), F.col("ctx_pred")).otherwise(model.predict())
     cyc = cyc.withColumn("predicted", F.when(F.col("accepted"), predicted))
     cyc = cyc.withColumn("logged", F.col("accepted") & in_range("predicted", lo, hi))
+    if cache is not None:
+        cyc = cyc.persist(StorageLevel.MEMORY_AND_DISK)
+        cache.append(cyc)
     fresh = ~F.col(_CTX)
 
     perm = cyc.filter(F.col("accepted") & F.col("future_permanent").isNotNull()
@@ -139,7 +146,12 @@ def windowed_sink(spark: SparkSession, model: LinearModel, out_path: str, state_
             tail = spark.createDataFrame([], TAIL_SCHEMA)
         else:
             tail = spark.read.schema(TAIL_SCHEMA).parquet(f"{state_path}/batch_id={batch_id - 1}")
-        emitted, nxt = cycle_batch(batch, tail, model)
-        emitted.write.mode("overwrite").partitionBy("store").parquet(f"{out_path}/batch_id={batch_id}")
-        nxt.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+        cached: list = []
+        emitted, nxt = cycle_batch(batch, tail, model, cache=cached)
+        try:
+            emitted.write.mode("overwrite").partitionBy("store").parquet(f"{out_path}/batch_id={batch_id}")
+            nxt.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+        finally:
+            for df in cached:
+                df.unpersist()
     return run
