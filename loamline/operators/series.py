@@ -184,30 +184,42 @@ def _shift_halo(df, keys, order, lags, leads, skip_nulls, bucket, bucket_seconds
     return rows.withColumns(new_cols).filter(F.col(_HOME)).drop(_BKT, _HOME)
 
 
-def row_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_id",
-            *, total: str | None = None, bucket: Column | None = None,
-            bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """1-based position of each row in its series (and, with ``total``, the
-    series length), without one task per key.
-
-    Rows are counted per (key, bucket) (partial aggregation); a window over
-    that small count table turns the counts into bucket offsets and series
-    totals; the table is joined back on (key, bucket) -- never on the key
-    alone, so a hot key is spread over its buckets -- and each row adds its
-    position inside its bucket.
+def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column | str,
+               name: str, *, inclusive: bool = True, total: str | None = None,
+               bucket: Column | None = None,
+               bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """Running sum of ``value`` along each series (and, with ``total``, the
+    series sum), without one task per key.
+
+    ``value`` is summed per (key, bucket) (partial aggregation); a window over
+    that small table turns the sums into bucket offsets and series totals; the
+    table is joined back on (key, bucket) -- never on the key alone -- and
+    each row adds its running sum inside the bucket.
     """
     keys, order = list(keys), list(order)
-    base = df.withColumn(_BKT, bucket if bucket is not None else bucket_of(df, order[0], bucket_seconds))
-    counts = base.groupBy(*keys, _BKT).agg(F.count(F.lit(1)).alias("_sx_n"))
+    val = F.col(value) if isinstance(value, str) else value
+    base = (df.withColumn("_sx_v", val)
+            .withColumn(_BKT, bucket if bucket is not None else bucket_of(df, order[0], bucket_seconds)))
+    sums = base.groupBy(*keys, _BKT).agg(F.sum("_sx_v").alias("_sx_s"))
     w_off = Window.partitionBy(*keys).orderBy(_BKT).rowsBetween(Window.unboundedPreceding, -1)
-    cols = [*keys, _BKT, F.coalesce(F.sum("_sx_n").over(w_off), F.lit(0)).alias("_sx_off")]
+    cols = [*keys, _BKT, F.coalesce(F.sum("_sx_s").over(w_off), F.lit(0)).alias("_sx_off")]
     if total:
-        cols.append(F.sum("_sx_n").over(Window.partitionBy(*keys)).alias(total))
-    offsets = counts.select(*cols)
-    w_in = Window.partitionBy(*keys, _BKT).orderBy(*order)
+        cols.append(F.sum("_sx_s").over(Window.partitionBy(*keys)).alias(total))
+    offsets = sums.select(*cols)
+    frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    w_in = Window.partitionBy(*keys, _BKT).orderBy(*order).rowsBetween(*frame)
     pos = base.join(offsets, on=keys + [_BKT], how="inner")
-    return (pos.withColumn(name, F.col("_sx_off") + F.row_number().over(w_in))
-            .drop(_BKT, "_sx_off"))
+    running = F.col("_sx_off") + F.coalesce(F.sum("_sx_v").over(w_in), F.lit(0))
+    return pos.withColumn(name, running).drop(_BKT, "_sx_off", "_sx_v")
+
+
+def row_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_id",
+            *, total: str | None = None, bucket: Column | None = None,
+            bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """1-based position of each row in its series (and, with ``total``, the
+    series length): a bucketed ``prefix_sum`` of 1."""
+    return prefix_sum(df, keys, order, F.lit(1).cast("long"), name, total=total,
+                      bucket=bucket, bucket_seconds=bucket_seconds)
 
 
 def last_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int,

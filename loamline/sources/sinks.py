@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from loamline.operators.series import row_ids
+from loamline.operators.series import prefix_sum, row_ids
 
 
 def create_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -38,19 +38,20 @@ def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 
 
 def with_row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                   name: str = "id") -> DataFrame:
+                   name: str = "id", key_bucket: float = 1024) -> DataFrame:
     """A stable 0-based row index in (keys, order) order: per-series
-    positions from the bucketed ``row_ids`` plus the sizes of the preceding
-    series (a window over the small per-key count table)."""
+    positions from the bucketed ``row_ids`` plus the sizes of all preceding
+    series. Those start offsets are themselves a bucketed ``prefix_sum`` over
+    the per-key size table (buckets of ``key_bucket`` consecutive numeric
+    keys), so no window ever orders all keys in one task."""
     keys, order = list(keys), list(order)
     if not keys:
-        return row_ids(df, [], order, "_si_pos").withColumn(name, F.col("_si_pos") - 1).drop("_si_pos")
+        return (row_ids(df, [], order, "_si_pos")
+                .withColumn(name, F.col("_si_pos") - 1).drop("_si_pos"))
     pos = row_ids(df, keys, order, "_si_pos")
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_si_n"))
-    from pyspark.sql import Window
-    w = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per key: the ordered window over keys stays small
-    starts = sizes.select(*keys, F.coalesce(F.sum("_si_n").over(w), F.lit(0)).alias("_si_start"))
+    starts = prefix_sum(sizes, [], keys, "_si_n", "_si_start", inclusive=False,
+                        bucket=F.floor(F.col(keys[0]) / F.lit(key_bucket))).drop("_si_n")
     return (pos.join(starts, on=keys, how="inner")
             .withColumn(name, F.col("_si_start") + F.col("_si_pos") - 1)
             .drop("_si_pos", "_si_start"))

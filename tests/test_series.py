@@ -4,6 +4,7 @@ any spread of rows over buckets (dense, sparse, empty gaps)."""
 import datetime as dt
 
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
@@ -130,3 +131,20 @@ def test_bucket_width_from_session(spark):
         spark.conf.unset(series.BUCKET_CONF)
     assert buckets == 5
     assert df.select(series.bucket_of(df, "ts").alias("b")).distinct().count() == 1
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows_strategy, st.sampled_from([7, 600]), st.booleans())
+def test_prefix_sum(spark, draw, width, inclusive):
+    df = _frame(spark, _rows(draw)).withColumn("v", F.coalesce("v", F.lit(0.0)))
+    got = series.prefix_sum(df, ["k"], ["ts", "id"], "v", "s", inclusive=inclusive, total="t",
+                            bucket_seconds=width)
+    frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    w = Window.partitionBy("k").orderBy("ts", "id").rowsBetween(*frame)
+    want = (df.withColumn("s", F.coalesce(F.sum("v").over(w), F.lit(0.0)))
+              .withColumn("t", F.sum("v").over(Window.partitionBy("k"))))
+    a = {r.id: (r.s, r.t) for r in got.collect()}
+    b = {r.id: (r.s, r.t) for r in want.collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k] == pytest.approx(b[k])
