@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from loamline.functions.scalar import float32, hour_cos, hour_sin, is_missing, round_half_even
 from loamline.operators.series import DEFAULT_BUCKET_SECONDS, shift
 from loamline.schemas import HISTORY, KEYS, MOISTURE_FEATURES, MOISTURE_TARGET, ORDER
+from loamline.session import materialize as _materialize
 
 LAG_NAMES = [f"prev_{k}" for k in range(HISTORY, 0, -1)]  # prev_5 .. prev_1
 
@@ -71,7 +72,8 @@ def live_features(df: DataFrame) -> DataFrame:
 def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
                   order: Sequence[str] = ORDER, *, seed: int = HISTORY,
                   bucket_seconds: float = DEFAULT_BUCKET_SECONDS,
-                  context: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
+                  context: str | None = None, carry: Sequence[str] = (),
+                  materialize: str | None = None) -> DataFrame:
     """Every reading as one cycle of the live loop.
 
     Columns added: ``is_seed`` (one of the first ``seed`` readings),
@@ -109,6 +111,8 @@ def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
         chain = F.when(F.col(context), F.col("ctx_chain")).otherwise(chain)
     p1 = (p1.withColumn("is_seed", is_seed).withColumn("chain", chain)
             .drop("_cx_prev_ok", "_cx_l5", "_cx_l6"))
+    if materialize in ("pass1", "both"):
+        p1 = _materialize(p1, "cycles-pass1")
     p2 = shift(p1, keys, order, lags={f"prev_{k}": ("chain", k) for k in range(1, HISTORY + 1)},
                skip_nulls=True, bucket_seconds=bucket_seconds)
     feats = live_features(p2)
@@ -119,7 +123,10 @@ def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
         accepted = F.when(F.col(context), F.col("ctx_accepted")).otherwise(accepted)
         feats = feats.withColumns({c: F.when(F.col(context), F.col(f"ctx_{c}")).otherwise(F.col(c))
                                    for c in MOISTURE_FEATURES})
-    return feats.withColumn("accepted", accepted).drop("_cx_complete")
+    out = feats.withColumn("accepted", accepted).drop("_cx_complete")
+    if materialize in ("cycles", "both"):
+        out = _materialize(out, "cycles")
+    return out
 
 
 def feature_rows_compat(readings: DataFrame, keys: Sequence[str] = KEYS,

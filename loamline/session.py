@@ -59,3 +59,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    return a DataFrame reading it back. Used for intermediates that several
+    branches consume: the plan below is computed once, lineage is cut (a lost
+    executor re-reads files instead of recomputing shuffles), and readers get
+    Parquet column pruning."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
