@@ -311,7 +311,8 @@ def q_cycle_outputs(spark, sf):
     (empty tail): permanent, training, prediction and rejected rows."""
     from loamline.streaming import windowed
     tail = spark.createDataFrame([], windowed.TAIL_SCHEMA)
-    emitted, _ = windowed.cycle_batch(_readings(spark, sf, guard=True), tail, _fixed_model())
+    emitted, _ = windowed.cycle_batch(_readings(spark, sf, guard=True), tail, _fixed_model(),
+                                      materialize=True)
     return emitted.drop("ts")
 
 

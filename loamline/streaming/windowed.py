@@ -31,6 +31,7 @@ from loamline.operators.joins import join_side
 from loamline.operators.models import LinearModel
 from loamline.operators.quality import in_range
 from loamline.schemas import HISTORY, KEYS, MOISTURE_FEATURES, ORDER
+from loamline.session import materialize as _materialize
 
 _RAW = ["hour", "soil_temp", "rain_fall", "soil_moisture"]
 _CTX = "_ctx"
@@ -63,12 +64,13 @@ def _out(df: DataFrame, store: str, label=None, predicted=None, err=None, reason
 
 
 def cycle_batch(new: DataFrame, tail: DataFrame, model: LinearModel,
-                lo: float = 0.0, hi: float = 100.0, cache: list | None = None
-                ) -> tuple[DataFrame, DataFrame]:
+                lo: float = 0.0, hi: float = 100.0, cache: list | None = None,
+                materialize: bool = False) -> tuple[DataFrame, DataFrame]:
     """(emitted rows, next tail) for one batch of readings (moisture as a
-    fraction) and the previous tail. With ``cache`` (a list), the cycle frame
-    every output derives from is persisted and appended to it, so the caller
-    can release it after writing."""
+    fraction) and the previous tail. The cycle frame feeds six outputs; with
+    ``cache`` (a list) it is persisted and appended to the list, so the caller
+    can release it after writing; with ``materialize`` it is written to the
+    shared checkpoint folder instead (for callers that return lazy frames)."""
     keys, order = KEYS, ORDER
     # rows not newer than the station's last processed reading are late
     last = tail.groupBy(*keys).agg(F.max(F.struct("ts", "event_id")).alias("_last"))
@@ -88,6 +90,8 @@ def cycle_batch(new: DataFrame, tail: DataFrame, model: LinearModel,
     if cache is not None:
         cyc = cyc.persist(StorageLevel.MEMORY_AND_DISK)
         cache.append(cyc)
+    elif materialize:
+        cyc = _materialize(cyc, "cycle-batch")
     fresh = ~F.col(_CTX)
 
     perm = cyc.filter(F.col("accepted") & F.col("future_permanent").isNotNull()
