@@ -40,6 +40,8 @@ HEADLINE = [
     "model_comparison",       # three predictors, r2/rmse
     "daily_mae",              # MAE per day over the prediction log
     "classification_report",  # confusion-based report
+    "lineitem_correlation",   # metric scan over 600k lineitem rows at sf0.1
+    "cycle_outputs",          # the prediction cycle over the whole readings table
 ]
 
 

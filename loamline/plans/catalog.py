@@ -316,6 +316,31 @@ def q_cycle_outputs(spark, sf):
     return emitted.drop("ts")
 
 
+# ------------------------------------- metric scans at volume (lineitem)
+
+# lineitem's numeric measure columns and the target they are
+# profiled against.
+LINEITEM_MEASURES = ["l_quantity", "l_discount", "l_tax"]
+LINEITEM_TARGET = "l_extendedprice"
+
+
+def q_lineitem_profile(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return quality.null_profile(li, LINEITEM_MEASURES + [LINEITEM_TARGET])
+
+
+def q_lineitem_correlation(spark, sf):
+    li = table(spark, sf, "lineitem")
+    out = metrics.target_correlation(li, LINEITEM_MEASURES, LINEITEM_TARGET)
+    return out.withColumn("correlation", r6("correlation"))
+
+
+def q_lineitem_scaler_stats(spark, sf):
+    li = table(spark, sf, "lineitem")
+    out = metrics.scaler_stats(li, LINEITEM_MEASURES + [LINEITEM_TARGET])
+    return out.select("feature", r6("mean").alias("mean"), r6("std").alias("std"))
+
+
 # ------------------------------------------- model queries (rows-only checks)
 
 def _split_features(spark, sf, **kw):

@@ -255,7 +255,39 @@ def _cycle_outputs() -> str:
     FROM s2 WHERE accepted AND NOT logged"""
 
 
+LI_MEASURES = ["l_quantity", "l_discount", "l_tax"]
+LI_TARGET = "l_extendedprice"
+
+
+def _li_profile() -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count_if(CAST({c} AS DOUBLE) IS NULL) AS n_null,
+            count_if(isnan(CAST({c} AS DOUBLE))) AS n_nan, count_if(isinf(CAST({c} AS DOUBLE))) AS n_inf
+            FROM lineitem""" for c in LI_MEASURES + [LI_TARGET])
+
+
+def _li_corr() -> str:
+    parts = []
+    for c in LI_MEASURES:
+        both = f"({c} IS NOT NULL AND {LI_TARGET} IS NOT NULL AND NOT isnan({c}) AND NOT isnan({LI_TARGET}))"
+        x, y = f"CASE WHEN {both} THEN {c} END", f"CASE WHEN {both} THEN {LI_TARGET} END"
+        corr = (f"CASE WHEN stddev_pop({x}) * stddev_pop({y}) = 0 THEN NULL "
+                f"ELSE covar_pop({x}, {y}) / (stddev_pop({x}) * stddev_pop({y})) END")
+        parts.append(f"SELECT '{c}' AS feature, {r6(corr)} AS correlation FROM lineitem")
+    return " UNION ALL ".join(parts)
+
+
+def _li_scaler() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {r6(f'avg({c})')} AS mean, "
+        f"{r6(f'CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END')} AS std FROM lineitem"
+        for c in LI_MEASURES + [LI_TARGET])
+
+
 ORACLE: dict[str, str] = {
+    "lineitem_profile": _li_profile(),
+    "lineitem_correlation": _li_corr(),
+    "lineitem_scaler_stats": _li_scaler(),
     "cycle_outputs": _cycle_outputs(),
     "moisture_features": f"WITH {FEATURES_CTE} SELECT * EXCLUDE (ts) FROM feat",
     "normalise_readings": """SELECT user_id AS station_id, event_id,
