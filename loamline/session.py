@@ -46,12 +46,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        master = spark.sparkContext.master or ""
+        master = spark.conf.get("spark.master", "") or ""
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is unset; a cluster must name a shared folder")
         path = tempfile.mkdtemp(prefix="loamline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:  # classic sessions: DataFrame.checkpoint() uses the same folder
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # no SparkContext behind a Connect session
+        pass
     return path
 
 
