@@ -45,8 +45,12 @@ def bucket_of(df: DataFrame, order_col: str, width: float = DEFAULT_BUCKET_SECON
             width = float(conf)
     dtype = df.schema[order_col].dataType
     c = F.col(order_col)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(int(width * 1_000_000)))
+    if isinstance(dtype, T.TimestampNTZType):
+        # offset from the wall-clock epoch: independent of the session time zone
+        micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{order_col}`)")
+        return F.floor(micros / F.lit(int(width * 1_000_000)))
+    if isinstance(dtype, T.TimestampType):
+        return F.floor(F.unix_micros(c) / F.lit(int(width * 1_000_000)))
     if isinstance(dtype, T.DateType):
         return F.floor(F.unix_date(c) / F.lit(max(1, int(width // 86_400))))
     return F.floor(c / F.lit(width))

@@ -24,6 +24,17 @@ def train_fertility(nutrients: DataFrame, *, num_trees: int = 100, max_depth: in
     return pipe.fit(train), test
 
 
+def load_or_train_fertility(nutrients: DataFrame, path: str, **kw):
+    """Reuse a saved classifier; fit and save one only when none exists."""
+    from pyspark.ml import PipelineModel
+    try:
+        return PipelineModel.load(path)
+    except Exception:  # nothing saved yet
+        model, _ = train_fertility(nutrients, **kw)
+        model.write().overwrite().save(path)
+        return model
+
+
 def score_fertility(nutrients: DataFrame, model) -> tuple[DataFrame, DataFrame]:
     """(scored, rejected). Incomplete rows are rejected before scoring;
     predictions outside {0, 1} are flagged ``valid = false``."""

@@ -39,6 +39,9 @@ STATE_SCHEMA = ("n_seen long, chain array<double>, prev_ok boolean, last_ts long
                 "pred_id long, pred_ts long, pred_value double")
 
 _TWO_PI = 2 * math.pi
+# Wall-clock epoch: microsecond offsets from it do not depend on the session
+# time zone (no DST gaps or overlaps).
+_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def _f32(x: float | None) -> float | None:
@@ -151,11 +154,13 @@ def make_cycle_fn(model: LinearModel, seed: int = HISTORY,
 
 def moisture_cycles(readings: DataFrame, model: LinearModel, *, seed: int = HISTORY,
                     keys: Sequence[str] = ("station_id",)) -> DataFrame:
-    """Stateful cycle over a (streaming or batch) readings DataFrame with
+    """Stateful cycle over a streaming readings DataFrame with
     ``station_id, event_id, ts, hour, soil_temp, rain_fall, soil_moisture``
-    (moisture as a fraction, as the adapters produce it)."""
+    (moisture as a fraction, as the adapters produce it). Spark runs
+    ``applyInPandasWithState`` only in streaming queries; the batch form of
+    the same cycle is ``streaming.windowed.cycle_batch``."""
     prepared = readings.select(
-        *keys, "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"),
+        *keys, "event_id", F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, ts)").alias("ts_us"),
         "hour", "soil_temp", "rain_fall", (F.col("soil_moisture") * F.lit(100)).alias("soil_moisture"))
     out = prepared.groupBy(*keys).applyInPandasWithState(
         make_cycle_fn(model, seed), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
@@ -167,6 +172,7 @@ def idempotent_sink(path: str):
     """``foreachBatch`` writer: each micro-batch goes to its own folder,
     overwritten on a retry, so a replayed batch never duplicates rows."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("ts", F.timestamp_micros("ts_us").cast("timestamp_ntz"))
+        (batch.withColumn("ts", F.expr(f"timestampadd(MICROSECOND, ts_us, {_EPOCH})"))
+         .withColumn("logged_at", F.current_timestamp())
          .write.mode("overwrite").partitionBy("store").parquet(f"{path}/batch_id={batch_id}"))
     return write

@@ -10,8 +10,6 @@ checkpoint does not advance, and the rows stay queued.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loamline.operators import models, quality
@@ -80,5 +78,10 @@ def seed_model(spark: SparkSession, seed_rows: DataFrame, model_path: str) -> mo
     return model
 
 
-def model_exists(model_path: str) -> bool:
-    return os.path.exists(model_path) or "://" in model_path
+def load_or_seed(spark: SparkSession, seed_rows: DataFrame, model_path: str) -> models.LinearModel:
+    """Reuse the newest saved regressor; fit and save version 0 only when
+    none exists."""
+    try:
+        return latest_version(spark, model_path)
+    except Exception:  # nothing saved yet
+        return seed_model(spark, seed_rows, model_path)

@@ -152,6 +152,7 @@ def windowed_sink(spark: SparkSession, model: LinearModel, out_path: str, state_
             tail = spark.read.schema(TAIL_SCHEMA).parquet(f"{state_path}/batch_id={batch_id - 1}")
         cached: list = []
         emitted, nxt = cycle_batch(batch, tail, model, cache=cached)
+        emitted = emitted.withColumn("logged_at", F.current_timestamp())
         try:
             emitted.write.mode("overwrite").partitionBy("store").parquet(f"{out_path}/batch_id={batch_id}")
             nxt.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")

@@ -161,3 +161,17 @@ def test_random_split_is_stable_and_proportional(spark):
     assert ja == jb
     share = sum(v == "train" for v in ja.values()) / len(ja)
     assert 0.78 < share < 0.82
+
+
+def test_load_or_fit_reuses_saved_models(spark, regression, scratch):
+    from loamline.streaming import retrain
+    m0 = retrain.load_or_seed(spark, regression, f"{scratch}/moist")
+    shifted = regression.withColumn(MOISTURE_TARGET, F.col(MOISTURE_TARGET) + 100.0)
+    again = retrain.load_or_seed(spark, shifted, f"{scratch}/moist")
+    assert again == m0  # loaded, not refitted on the new rows
+    nut = adapters.nutrients(table(spark, SF_MID, "embeddings"))
+    f1 = fertility.load_or_train_fertility(nut, f"{scratch}/ferti", num_trees=10)
+    f2 = fertility.load_or_train_fertility(nut.limit(0), f"{scratch}/ferti", num_trees=10)
+    a = [r.predicted_fertility for r in fertility.score_fertility(nut, f1)[0].orderBy("sample_id").collect()]
+    b = [r.predicted_fertility for r in fertility.score_fertility(nut, f2)[0].orderBy("sample_id").collect()]
+    assert a == b
