@@ -74,7 +74,8 @@ def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
                   bucket_seconds: float = DEFAULT_BUCKET_SECONDS,
                   context: str | None = None, carry: Sequence[str] = (),
                   materialize: str | None = None) -> DataFrame:
-    """Every reading as one cycle of the live loop.
+    """Every reading as one cycle of the live loop (readings that are NULL or
+    NaN are not cycles: they are rejected on ingest).
 
     Columns added: ``is_seed`` (one of the first ``seed`` readings),
     ``accepted`` (a live cycle whose nine features are all present),
@@ -93,8 +94,10 @@ def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
     extra = list(carry)
     if context:
         extra += [context, "ctx_seed", "ctx_chain", "ctx_accepted"] + [f"ctx_{c}" for c in MOISTURE_FEATURES]
-    r = normalise(readings).select(*keys, *order, "hour", "hour_sin", "hour_cos",
-                                   "soil_temp", "rain_fall", "soil_moisture", *extra)
+    # a cycle needs a reading: NULL/NaN readings are rejected on ingest
+    r = (normalise(readings).filter(~is_missing("soil_moisture"))
+         .select(*keys, *order, "hour", "hour_sin", "hour_cos",
+                 "soil_temp", "rain_fall", "soil_moisture", *extra))
     complete = ~(is_missing("hour_sin") | is_missing("hour_cos")
                  | is_missing("soil_temp") | is_missing("rain_fall"))
     r = r.withColumn("_cx_complete", complete)

@@ -53,7 +53,9 @@ def _f32(x: str) -> str:
 
 def cycles_cte(name: str = "cyc", before: str | None = None) -> str:
     """The live loop replayed as windows (see ``features.compat_cycles``)."""
-    where = f"WHERE ts < TIMESTAMP '{before}'" if before else ""
+    where = "WHERE soil_moisture IS NOT NULL AND NOT isnan(soil_moisture)"
+    if before:
+        where += f" AND ts < TIMESTAMP '{before}'"
     complete = " OR ".join(_missing(c) for c in ["hour_sin", "hour_cos", "soil_temp", "rain_fall"])
     lags = ",\n            ".join(f"lag(chain, {k} IGNORE NULLS) OVER w AS prev_{k}" for k in range(1, 6))
     f32 = ", ".join([_f32("hour_sin") + " AS hour_sin", _f32("hour_cos") + " AS hour_cos",

@@ -101,8 +101,11 @@ def make_cycle_fn(model: LinearModel, seed: int = HISTORY,
             if last_ts is not None and (ts, eid) <= (last_ts, last_id):
                 emit("rejected", eid, ts, None, reason="late")
                 continue
+            if _missing(r.soil_moisture):
+                emit("rejected", eid, ts, None, reason="null reading")
+                continue
             last_ts, last_id = ts, eid
-            reading = None if _missing(r.soil_moisture) else float(r.soil_moisture)
+            reading = float(r.soil_moisture)
             # the previous cycle, if accepted, gets this reading as its label
             if perm_id is not None:
                 emit("permanent", perm_id, perm_ts, perm_feats, label=reading)

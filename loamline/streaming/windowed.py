@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from loamline.operators import features, series
 from loamline.operators.joins import join_side
 from loamline.operators.models import LinearModel
+from loamline.functions.scalar import is_missing
 from loamline.operators.quality import in_range
 from loamline.schemas import HISTORY, KEYS, MOISTURE_FEATURES, ORDER
 from loamline.session import materialize as _materialize
@@ -77,7 +78,8 @@ def cycle_batch(new: DataFrame, tail: DataFrame, model: LinearModel,
     marked = join_side(new, last, keys, how="left").withColumn(
         "_late", F.coalesce(F.struct("ts", "event_id") <= F.col("_last"), F.lit(False)))
     late = marked.filter("_late")
-    new = marked.filter(~F.col("_late")).drop("_late", "_last")
+    null_reading = marked.filter(~F.col("_late") & is_missing("soil_moisture"))
+    new = marked.filter(~F.col("_late") & ~is_missing("soil_moisture")).drop("_late", "_last")
     raw = [F.col(c).alias(f"raw_{c}") for c in _RAW]
     new_rows = new.select(*keys, "event_id", "ts", *_RAW, *raw).withColumn(_CTX, F.lit(False))
     ctx_rows = tail.select("*", *raw).withColumn(_CTX, F.lit(True))
@@ -113,7 +115,8 @@ def cycle_batch(new: DataFrame, tail: DataFrame, model: LinearModel,
                .unionByName(_out(incomplete, "rejected", reason=F.concat(F.lit("incomplete: "), missing)))
                .unionByName(_out(out_of_range, "rejected", predicted=F.col("predicted"),
                                  reason=F.lit("prediction out of range")))
-               .unionByName(_out(late, "rejected", reason=F.lit("late"), feats=False)))
+               .unionByName(_out(late, "rejected", reason=F.lit("late"), feats=False))
+               .unionByName(_out(null_reading, "rejected", reason=F.lit("null reading"), feats=False)))
 
     # next tail: bounded selections per station, each a partial top-k
     base = cyc.select(

@@ -116,3 +116,18 @@ def test_windows_equal_loop(spark, seed, cycles):
             assert (row.future_moisture is None) == (fut is None)
             if fut is not None:
                 assert row.future_moisture == pytest.approx(fut)
+
+
+def test_null_reading_is_rejected_on_ingest(spark):
+    """A missing reading is not a cycle: the rows around it are labelled as
+    if it never arrived."""
+    seed = [30.0, 31.0, 32.0, 33.0, 34.0]
+    live = [(8, 21.0, 0.0, 35.0), (9, 21.0, 0.0, float("nan")), (10, 21.0, 0.0, 36.0), (11, 21.0, 0.0, 37.0)]
+    with_gap = _readings(spark, seed, live)
+    without = _readings(spark, seed, [live[0], live[2], live[3]])
+    q1 = backfill.training_rows(features.compat_cycles(with_gap))
+    q2 = backfill.training_rows(features.compat_cycles(without))
+    cols = ["soil_temp", "prev_1", "prev_2", "future_moisture"]
+    a = [tuple(r[c] for c in cols) for r in q1.orderBy("ts").collect()]
+    b = [tuple(r[c] for c in cols) for r in q2.orderBy("ts").collect()]
+    assert a == b and len(a) == 3
