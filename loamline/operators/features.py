@@ -21,9 +21,6 @@ from loamline.operators.series import DEFAULT_BUCKET_SECONDS, shift
 from loamline.schemas import HISTORY, KEYS, MOISTURE_FEATURES, MOISTURE_TARGET, ORDER
 from loamline.session import materialize as _materialize
 
-LAG_NAMES = [f"prev_{k}" for k in range(HISTORY, 0, -1)]  # prev_5 .. prev_1
-
-
 def normalise(readings: DataFrame) -> DataFrame:
     """Reading in percent (the source holds a fraction) plus the hour encoding."""
     return (readings

@@ -48,10 +48,6 @@ TAIL_SCHEMA = T.StructType(
     + [T.StructField("pend_perm", T.BooleanType()), T.StructField("pend_train", T.BooleanType()),
        T.StructField("pend_pred", T.BooleanType())])
 
-OUT_COLS = (["store", "station_id", "event_id", "ts"] + MOISTURE_FEATURES
-            + ["label", "predicted", "absolute_error", "reason"])
-
-
 def _out(df: DataFrame, store: str, label=None, predicted=None, err=None, reason=None,
          feats: bool = True) -> DataFrame:
     none = F.lit(None).cast("double")

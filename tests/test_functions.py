@@ -76,3 +76,9 @@ def test_balanced_weights(spark):
     df = spark.createDataFrame([(0,), (0,), (0,), (1,)], "y int")
     got = {r.y: r.weight for r in metrics.class_weights(df, "y").collect()}
     assert got == {0: 4 / 6, 1: 2.0}
+
+
+def test_nan_to_null_and_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
+    got = [(r.y, r.m) for r in df.select(scalar.nan_to_null("x").alias("y"), scalar.is_missing("x").alias("m")).collect()]
+    assert got == [(1.0, False), (None, True), (None, True)]

@@ -148,3 +148,12 @@ def test_prefix_sum(spark, draw, width, inclusive):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k] == pytest.approx(b[k])
+
+
+def test_first_n_and_latest(spark):
+    df = spark.range(30).select((F.col("id") % 3).alias("k"), F.col("id").alias("o"), (F.col("id") * 10).alias("v"))
+    first = series.first_n(df, ["k"], ["o"], 2, name="rank")
+    assert sorted((r.k, r.o, r.rank) for r in first.collect()) == [
+        (0, 0, 1), (0, 3, 2), (1, 1, 1), (1, 4, 2), (2, 2, 1), (2, 5, 2)]
+    last = {r.k: (r.o, r.v) for r in series.latest(df, ["k"], ["o"], ["v"]).collect()}
+    assert last == {0: (27, 270), 1: (28, 280), 2: (29, 290)}

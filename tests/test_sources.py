@@ -53,3 +53,11 @@ def test_row_index_is_dense_and_ordered(spark):
     df = spark.range(50).select((F.col("id") % 4).alias("k"), F.col("id").alias("o"))
     out = sinks.with_row_index(df, ["k"], ["o"]).orderBy("k", "o").collect()
     assert [r.id for r in out] == list(range(50))
+
+
+def test_typed_tables_for_every_store(spark, scratch):
+    from loamline.schemas import NUTRIENT_ROWS, PREDICTIONS, READINGS
+    for name, schema in [("readings", READINGS), ("nutrients", NUTRIENT_ROWS), ("predictions", PREDICTIONS)]:
+        t = sinks.create_table(spark, f"{scratch}/{name}", schema)
+        assert t.count() == 0
+        assert [f.name for f in t.schema] == [f.name for f in schema]

@@ -13,8 +13,7 @@ from loamline.streaming import moisture, retrain
 
 from conftest import SF_SMALL
 
-READ_SCHEMA = ("station_id long, event_id long, ts timestamp_ntz, hour int, soil_temp double, "
-               "rain_fall double, soil_moisture double")
+from loamline.schemas import READINGS as READ_SCHEMA  # noqa: E402
 
 
 @pytest.fixture(scope="module")
