@@ -37,6 +37,26 @@ def get_spark(app: str = "loamline", master: str | None = None,
     return spark
 
 
+def cluster_conf(input_bytes: int, target_partition_mb: int = 128,
+                 max_partitions: int = 200_000) -> dict[str, str]:
+    """Partition sizing for a given input size.
+
+    Shuffles start with about one partition per ``target_partition_mb`` of
+    input (AQE coalesces them when the shuffled data is smaller, and splits
+    skewed partitions of sort-merge joins); scans read splits of the same
+    size. For 100 TB at 128 MB that is ~800k, capped at ``max_partitions``
+    (each then ~500 MB before coalescing; spill handles the rest).
+    """
+    target = target_partition_mb * 1024 * 1024
+    parts = max(200, min(max_partitions, -(-input_bytes // target)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * target_partition_mb}m",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -29,3 +29,13 @@ def test_materialized_replay_equals_lazy(spark):
     lazy = sorted(tuple(x) for x in features.compat_cycles(r).select(*cols).collect())
     mat = sorted(tuple(x) for x in features.compat_cycles(r, materialize="both").select(*cols).collect())
     assert lazy == mat
+
+
+def test_cluster_conf_scales_partitions():
+    from loamline.session import cluster_conf
+    small = cluster_conf(10 * 1024**2)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    big = cluster_conf(100 * 1024**4)
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    mid = cluster_conf(1024**4)
+    assert int(mid["spark.sql.shuffle.partitions"]) == 8192
