@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loamline.functions.scalar import float32, hour_cos, hour_sin, round_half_even, to_number, truncate_int
+from loamline.functions.scalar import float32, hour_cos, hour_sin, round_half_even, to_number
 from loamline.operators import backfill, features, metrics, models, quality, series
 from loamline.schemas import KEYS, MOISTURE_FEATURES, MOISTURE_TARGET, NUTRIENTS, ORDER
 from loamline.sources import adapters

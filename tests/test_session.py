@@ -1,4 +1,3 @@
-import os
 
 from pyspark.sql import functions as F
 
