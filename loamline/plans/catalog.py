@@ -201,6 +201,12 @@ def q_prediction_log(spark, sf):
     return backfill.prediction_log(_scored_cycles(spark, sf), "predicted").drop("ts")
 
 
+def q_pending_predictions(spark, sf):
+    """Logged predictions still waiting for the next logged reading."""
+    log = backfill.prediction_log(_scored_cycles(spark, sf), "predicted")
+    return backfill.pending(log, "actual_moisture").drop("ts")
+
+
 def q_flush_remaining(spark, sf):
     mark = backfill.consumed_mark(_queue(spark, sf, before=RETRAIN_CUTOFF))
     return backfill.after_mark(_queue(spark, sf), mark).select("station_id", "event_id", MOISTURE_TARGET)

@@ -359,6 +359,8 @@ ORACLE: dict[str, str] = {
             lead(soil_moisture) OVER ({W}) AS future_training
         FROM cyc WHERE accepted""",
     "prediction_log": f"WITH {cycles_cte()}, {PRED_LOG_CTE} SELECT * EXCLUDE (ts) FROM plog",
+    "pending_predictions": f"WITH {cycles_cte()}, {PRED_LOG_CTE} "
+                           "SELECT * EXCLUDE (ts) FROM plog WHERE actual_moisture IS NULL",
     "flush_remaining": f"""WITH {cycles_cte()}, {queue_cte()},
         {cycles_cte('old', '2024-01-20 00:00:00')}, {queue_cte('old_queue', 'old')},
         mark AS (SELECT station_id, max((ts, event_id)) AS m FROM old_queue
