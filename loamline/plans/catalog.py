@@ -73,6 +73,11 @@ def q_moisture_features(spark, sf):
     return _features(spark, sf).drop("ts")
 
 
+def q_moisture_features_sql(spark, sf):
+    from loamline.plans.sql import moisture_features_sql
+    return moisture_features_sql(spark, _readings(spark, sf)).drop("ts")
+
+
 def q_normalise_readings(spark, sf):
     ev = table(spark, sf, "events")
     raw = ev.select(F.col("user_id").alias("station_id"), "event_id",

@@ -292,6 +292,7 @@ ORACLE: dict[str, str] = {
     "lineitem_scaler_stats": _li_scaler(),
     "cycle_outputs": _cycle_outputs(),
     "moisture_features": f"WITH {FEATURES_CTE} SELECT * EXCLUDE (ts) FROM feat",
+    "moisture_features_sql": f"WITH {FEATURES_CTE} SELECT * EXCLUDE (ts) FROM feat",
     "normalise_readings": """SELECT user_id AS station_id, event_id,
         sin(2 * pi() * hour(ts) / 24) AS hour_sin, cos(2 * pi() * hour(ts) / 24) AS hour_cos,
         TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS soil_temp, value AS rain_fall,
