@@ -61,3 +61,29 @@ def test_typed_tables_for_every_store(spark, scratch):
         t = sinks.create_table(spark, f"{scratch}/{name}", schema)
         assert t.count() == 0
         assert [f.name for f in t.schema] == [f.name for f in schema]
+
+
+def test_single_series_from_csv_with_row_order(spark, scratch):
+    """The reference's own input: one series in file order, columns in the
+    raw casing. With no key the buckets are ranges of the row index."""
+    from pyspark.sql import Window
+    ev = tables.table(spark, SF_SMALL, "events")
+    raw = ev.select(
+        F.col("event_id").alias("row_id"),
+        F.sin(F.lit(6.283185307179586) * F.hour("ts") / F.lit(24)).alias("Hour_sin"),
+        F.cos(F.lit(6.283185307179586) * F.hour("ts") / F.lit(24)).alias("Hour_cos"),
+        F.get_json_object("props", "$.k").try_cast("double").alias("Soil_Temp"),
+        F.col("value").alias("Rainfall"), (F.col("value") / F.lit(500.0)).alias("Soil_Moisture"))
+    raw.write.option("header", True).csv(f"{scratch}/raw")
+    schema = T.StructType([T.StructField("row_id", T.LongType())] + [
+        T.StructField(c, T.DoubleType()) for c in ["Hour_sin", "Hour_cos", "Soil_Temp", "Rainfall", "Soil_Moisture"]])
+    back = features.normalise_columns(tables.read_csv(spark, f"{scratch}/raw", schema))
+    got = features.moisture_features(back, keys=[], order=["row_id"], bucket_seconds=37, normalised=True)
+    w = Window.orderBy("row_id")
+    want = (back.select("row_id", *[F.lag("soil_moisture", k).over(w).alias(f"prev_{k}") for k in range(1, 6)],
+                        F.lead("soil_moisture").over(w).alias("future_moisture"))
+            .filter("prev_5 IS NOT NULL AND future_moisture IS NOT NULL"))
+    cols = ["row_id", "prev_1", "prev_3", "prev_5", "future_moisture"]
+    a = sorted(tuple(r[c] for c in cols) for r in got.collect())
+    b = sorted(tuple(r[c] for c in cols) for r in want.collect())
+    assert a == b and len(a) == ev.count() - 6
