@@ -139,3 +139,18 @@ def test_windowed_tail_is_bounded(spark, windowed):
     tail = spark.read.parquet(f"{windowed}/state")
     per = tail.groupBy("batch_id", "station_id").count().agg(F.max("count")).first()[0]
     assert per <= 14
+
+
+def test_fertility_stream_appends_scored_rows(spark, tmp_path):
+    from loamline.schemas import NUTRIENT_ROWS
+    from loamline.streaming import fertility
+    nut = adapters.nutrients(table(spark, SF_SMALL, "embeddings"))
+    model, _ = fertility.train_fertility(nut, num_trees=10)
+    nut.write.parquet(str(tmp_path / "in"))
+    src = spark.readStream.schema(NUTRIENT_ROWS).parquet(str(tmp_path / "in"))
+    q = fertility.fertility_stream(src, model, str(tmp_path / "audit"), str(tmp_path / "ck"))
+    q.processAllAvailable()
+    q.stop()
+    got = {r.sample_id: r.predicted_fertility for r in spark.read.parquet(str(tmp_path / "audit")).collect()}
+    want = {r.sample_id: r.predicted_fertility for r in fertility.score_fertility(nut, model)[0].collect()}
+    assert got == want and len(got) == nut.count()
