@@ -23,10 +23,8 @@ from loamline.session import materialize as _materialize
 
 def normalise(readings: DataFrame) -> DataFrame:
     """Reading in percent (the source holds a fraction) plus the hour encoding."""
-    return (readings
-            .withColumn("hour_sin", hour_sin("hour"))
-            .withColumn("hour_cos", hour_cos("hour"))
-            .withColumn("soil_moisture", F.col("soil_moisture") * F.lit(100)))
+    return readings.withColumns({"hour_sin": hour_sin("hour"), "hour_cos": hour_cos("hour"),
+                                 "soil_moisture": F.col("soil_moisture") * F.lit(100)})
 
 
 def normalise_columns(raw: DataFrame) -> DataFrame:
@@ -61,9 +59,8 @@ def moisture_features(readings: DataFrame, keys: Sequence[str] = KEYS,
 def live_features(df: DataFrame) -> DataFrame:
     """Serving-side narrowing: temperature and rain rounded half-even to two
     digits, every feature narrowed to float32 and widened back."""
-    df = (df.withColumn("soil_temp", round_half_even("soil_temp"))
-            .withColumn("rain_fall", round_half_even("rain_fall")))
-    return df.withColumns({c: float32(c) for c in MOISTURE_FEATURES})
+    rounded = {"soil_temp": round_half_even("soil_temp"), "rain_fall": round_half_even("rain_fall")}
+    return df.withColumns({c: float32(rounded.get(c, F.col(c))) for c in MOISTURE_FEATURES})
 
 
 def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
@@ -97,7 +94,7 @@ def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
                  "soil_temp", "rain_fall", "soil_moisture", *extra))
     complete = ~(is_missing("hour_sin") | is_missing("hour_cos")
                  | is_missing("soil_temp") | is_missing("rain_fall"))
-    r = r.withColumn("_cx_complete", complete)
+    r = r.withColumns({"_cx_complete": complete})
     p1 = shift(r, keys, order,
                lags={"_cx_prev_ok": ("_cx_complete", 1),
                      "_cx_l5": (order[-1], seed), "_cx_l6": (order[-1], seed + 1)},
@@ -109,21 +106,21 @@ def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
     if context:
         is_seed = F.when(F.col(context), F.col("ctx_seed")).otherwise(is_seed)
         chain = F.when(F.col(context), F.col("ctx_chain")).otherwise(chain)
-    p1 = (p1.withColumn("is_seed", is_seed).withColumn("chain", chain)
-            .drop("_cx_prev_ok", "_cx_l5", "_cx_l6"))
+    p1 = p1.withColumns({"is_seed": is_seed, "chain": chain}).drop("_cx_prev_ok", "_cx_l5", "_cx_l6")
     if materialize in ("pass1", "both"):
         p1 = _materialize(p1, "cycles-pass1")
     p2 = shift(p1, keys, order, lags={f"prev_{k}": ("chain", k) for k in range(1, HISTORY + 1)},
                skip_nulls=True, bucket_seconds=bucket_seconds)
-    feats = live_features(p2)
+    # narrowed features and the acceptance flag in one projection
+    rounded = {"soil_temp": round_half_even("soil_temp"), "rain_fall": round_half_even("rain_fall")}
+    narrowed = {c: float32(rounded.get(c, F.col(c))) for c in MOISTURE_FEATURES}
     accepted = ~F.col("is_seed")
     for c in MOISTURE_FEATURES:
-        accepted = accepted & ~is_missing(c)
+        accepted = accepted & ~is_missing(narrowed[c])
     if context:
         accepted = F.when(F.col(context), F.col("ctx_accepted")).otherwise(accepted)
-        feats = feats.withColumns({c: F.when(F.col(context), F.col(f"ctx_{c}")).otherwise(F.col(c))
-                                   for c in MOISTURE_FEATURES})
-    out = feats.withColumn("accepted", accepted).drop("_cx_complete")
+        narrowed = {c: F.when(F.col(context), F.col(f"ctx_{c}")).otherwise(e) for c, e in narrowed.items()}
+    out = p2.withColumns({**narrowed, "accepted": accepted}).drop("_cx_complete")
     if materialize in ("cycles", "both"):
         out = _materialize(out, "cycles")
     return out

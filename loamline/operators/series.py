@@ -146,9 +146,9 @@ def _shift_edges(df, keys, order, lags, leads, bucket, bucket_seconds) -> DataFr
     w_all = Window.partitionBy(*keys, _BKT)
     inner = {n: F.lag(s, k).over(w) for n, (s, k) in lags.items()}
     inner.update({n: F.lead(s, k).over(w) for n, (s, k) in leads.items()})
-    a = (base.withColumns(inner)
-         .withColumn(_RANK, F.row_number().over(w))
-         .withColumn("_sx_rdesc", F.count(F.lit(1)).over(w_all) - F.col(_RANK) + F.lit(1)))
+    inner[_RANK] = F.row_number().over(w)
+    inner["_sx_rdesc"] = F.count(F.lit(1)).over(w_all) - F.row_number().over(w) + F.lit(1)
+    a = base.withColumns(inner)
     is_edge = (F.col(_RANK) <= m) | (F.col("_sx_rdesc") <= m)
     interior = a.filter(~is_edge)
     w_edge = Window.partitionBy(*keys).orderBy(_BKT, *order)
