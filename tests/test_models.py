@@ -119,9 +119,9 @@ def test_fertility_forest(spark, scratch):
     assert {r.predicted_fertility for r in scored.select("predicted_fertility").distinct().collect()} <= {0, 1}
     acc = metrics.accuracy(scored, "Output", "predicted_fertility").first().accuracy
     assert acc > 0.75  # full filtered data, training rows included
-    model.write().overwrite().save(f"{scratch}/ferti")
+    model.write().overwrite().save(f"{scratch}/fertility_model")
     from pyspark.ml import PipelineModel
-    again = PipelineModel.load(f"{scratch}/ferti")
+    again = PipelineModel.load(f"{scratch}/fertility_model")
     a = [r.predicted_fertility for r in fertility.score_fertility(nut, model)[0].orderBy("sample_id").collect()]
     b = [r.predicted_fertility for r in fertility.score_fertility(nut, again)[0].orderBy("sample_id").collect()]
     assert a == b
@@ -170,8 +170,8 @@ def test_load_or_fit_reuses_saved_models(spark, regression, scratch):
     again = retrain.load_or_seed(spark, shifted, f"{scratch}/moist")
     assert again == m0  # loaded, not refitted on the new rows
     nut = adapters.nutrients(table(spark, SF_MID, "embeddings"))
-    f1 = fertility.load_or_train_fertility(nut, f"{scratch}/ferti", num_trees=10)
-    f2 = fertility.load_or_train_fertility(nut.limit(0), f"{scratch}/ferti", num_trees=10)
+    f1 = fertility.load_or_train_fertility(nut, f"{scratch}/fertility_model", num_trees=10)
+    f2 = fertility.load_or_train_fertility(nut.limit(0), f"{scratch}/fertility_model", num_trees=10)
     a = [r.predicted_fertility for r in fertility.score_fertility(nut, f1)[0].orderBy("sample_id").collect()]
     b = [r.predicted_fertility for r in fertility.score_fertility(nut, f2)[0].orderBy("sample_id").collect()]
     assert a == b
