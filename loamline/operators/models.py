@@ -19,13 +19,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loamline.operators.metrics import scaler_stats
 from loamline.operators.series import DEFAULT_BUCKET_SECONDS, row_ids
-from loamline.schemas import KEYS, MOISTURE_FEATURES, MOISTURE_TARGET, ORDER
+from loamline.schemas import (BOOSTED_ITERATIONS, BOOSTED_STEP, FOREST_MAX_DEPTH,
+                              FOREST_REGRESSOR_DEPTH, FOREST_TREES, KEYS, MOISTURE_FEATURES,
+                              MOISTURE_TARGET, ORDER, RANDOM_TRAIN_PERCENT, SEED, SGD_LEARNING_RATE,
+                              SGD_MAX_ITER, SGD_TOL, TEST_FRACTION, TREE_CLASSIFIER_DEPTH)
 
 
 # --------------------------------------------------------------------- splits
 
 def ordered_split(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER, *,
-                  test_fraction: float | None = 0.2, train_fraction: float | None = None,
+                  test_fraction: float | None = TEST_FRACTION, train_fraction: float | None = None,
                   bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Unshuffled split per series: the first rows train, the rest test.
 
@@ -45,7 +48,8 @@ def ordered_split(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str
             .drop("_ms_pos", "_ms_n"))
 
 
-def random_split(df: DataFrame, id_col: str, train_percent: int = 80, seed: int = 42) -> DataFrame:
+def random_split(df: DataFrame, id_col: str, train_percent: int = RANDOM_TRAIN_PERCENT,
+                 seed: int = SEED) -> DataFrame:
     """Seeded split that is stable under task retries: a hash of the row id
     decides, so a recomputed partition lands on the same side."""
     bucket = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(100))
@@ -167,7 +171,7 @@ def fit_least_squares(df: DataFrame, features: Sequence[str] = MOISTURE_FEATURES
 
 
 def gradient_step(df: DataFrame, model: LinearModel, target: str = MOISTURE_TARGET,
-                  eta: float = 0.01) -> DataFrame:
+                  eta: float = SGD_LEARNING_RATE) -> DataFrame:
     """One full-batch gradient step of the squared loss (1/2 mean residual^2)
     from ``model``: one row with the new intercept and weights."""
     resid = model.predict() - F.col(target)
@@ -179,7 +183,7 @@ def gradient_step(df: DataFrame, model: LinearModel, target: str = MOISTURE_TARG
 
 
 def sgd_epoch(df: DataFrame, model: LinearModel, target: str = MOISTURE_TARGET,
-              eta: float = 0.01, order: Sequence[str] = ORDER) -> LinearModel:
+              eta: float = SGD_LEARNING_RATE, order: Sequence[str] = ORDER) -> LinearModel:
     """One online epoch (``partial_fit``): every partition runs sequential SGD
     over its rows in ``order`` starting from the current weights, and the
     partition results are averaged weighted by row count (parallelised SGD,
@@ -217,7 +221,7 @@ def sgd_epoch(df: DataFrame, model: LinearModel, target: str = MOISTURE_TARGET,
 
 def learning_rate_sweep(train: DataFrame, test: DataFrame, etas: Sequence[float],
                         features: Sequence[str] = MOISTURE_FEATURES, target: str = MOISTURE_TARGET,
-                        max_iter: int = 50_000, tol: float = 1e-8) -> DataFrame:
+                        max_iter: int = SGD_MAX_ITER, tol: float = SGD_TOL) -> DataFrame:
     """For each learning rate: full-batch gradient descent on the Gram matrix
     (one distributed pass; iterations are d x d algebra) until the loss
     improves by less than ``tol``, then R^2 of every rate on the test rows
@@ -267,8 +271,8 @@ def linear_regression(features=MOISTURE_FEATURES, target=MOISTURE_TARGET):
                                              solver="normal", regParam=0.0)])
 
 
-def forest_regressor(features=MOISTURE_FEATURES, target=MOISTURE_TARGET, max_depth=6,
-                     num_trees=100, seed=42):
+def forest_regressor(features=MOISTURE_FEATURES, target=MOISTURE_TARGET,
+                     max_depth=FOREST_REGRESSOR_DEPTH, num_trees=FOREST_TREES, seed=SEED):
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import RandomForestRegressor
     return Pipeline(stages=[_assembled(features),
@@ -276,8 +280,8 @@ def forest_regressor(features=MOISTURE_FEATURES, target=MOISTURE_TARGET, max_dep
                                                   maxDepth=max_depth, numTrees=num_trees, seed=seed)])
 
 
-def boosted_regressor(features=MOISTURE_FEATURES, target=MOISTURE_TARGET, max_iter=100,
-                      step_size=0.1, seed=42):
+def boosted_regressor(features=MOISTURE_FEATURES, target=MOISTURE_TARGET,
+                      max_iter=BOOSTED_ITERATIONS, step_size=BOOSTED_STEP, seed=SEED):
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import GBTRegressor
     return Pipeline(stages=[_assembled(features),
@@ -285,7 +289,8 @@ def boosted_regressor(features=MOISTURE_FEATURES, target=MOISTURE_TARGET, max_it
                                          stepSize=step_size, seed=seed)])
 
 
-def tree_classifier(features, label="Output", max_depth=5, weight_col="weight", seed=42):
+def tree_classifier(features, label="Output", max_depth=TREE_CLASSIFIER_DEPTH, weight_col="weight",
+                    seed=SEED):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import DecisionTreeClassifier
     return Pipeline(stages=[_assembled(features),
@@ -293,8 +298,8 @@ def tree_classifier(features, label="Output", max_depth=5, weight_col="weight",
                                                    maxDepth=max_depth, weightCol=weight_col, seed=seed)])
 
 
-def forest_classifier(features, label="Output", num_trees=100, max_depth=30,
-                      weight_col="weight", seed=42):
+def forest_classifier(features, label="Output", num_trees=FOREST_TREES, max_depth=FOREST_MAX_DEPTH,
+                      weight_col="weight", seed=SEED):
     """Random forest with sqrt feature sampling and balanced class weights.
     Spark caps depth at 30 (the reference grows trees without a limit)."""
     from pyspark.ml import Pipeline

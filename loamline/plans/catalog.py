@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loamline.functions.scalar import float32, hour_cos, hour_sin, round_half_even, to_number
 from loamline.operators import backfill, features, metrics, models, quality, series
-from loamline.schemas import KEYS, MOISTURE_FEATURES, MOISTURE_TARGET, NUTRIENTS, ORDER
+from loamline.schemas import (BOOSTED_TRAIN_FRACTION, FOREST_CLASSIFIER_DEPTH, KEYS, MOISTURE_FEATURES,
+                              MOISTURE_TARGET, NUTRIENTS, ORDER, SWEEP_LEARNING_RATES)
 from loamline.sources import adapters
 from loamline.sources.tables import table
 
@@ -292,7 +293,7 @@ def q_gram_moments(spark, sf):
 def q_sgd_step(spark, sf):
     feats = _features(spark, sf)
     zero = models.LinearModel(models.Scaler(MOISTURE_FEATURES, [0.0] * 9, [1.0] * 9), [0.0] * 9, 0.0)
-    g = models.gradient_step(feats, zero, eta=0.01)
+    g = models.gradient_step(feats, zero)
     return g.select(*[r6(c).alias(c) for c in g.columns])
 
 
@@ -371,14 +372,14 @@ def q_online_epoch(spark, sf):
     train, _ = _split_features(spark, sf)
     base = models.fit_least_squares(train)
     queue = backfill.completed(_queue(spark, sf))
-    m = models.sgd_epoch(queue, base, eta=0.01)
+    m = models.sgd_epoch(queue, base)
     rows = [(f, w) for f, w in zip(m.scaler.features, m.weights)] + [("intercept", m.intercept)]
     return spark.createDataFrame(rows, "feature string, weight double")
 
 
 def q_learning_rate_sweep(spark, sf):
     train, test = _split_features(spark, sf)
-    return models.learning_rate_sweep(train, test, [0.1, 0.05, 0.01, 0.005, 0.001, 0.0005])
+    return models.learning_rate_sweep(train, test, SWEEP_LEARNING_RATES)
 
 
 def _fitted_comparison(spark, sf, fitted: dict, test):
@@ -400,7 +401,7 @@ def q_fitted_model_comparison(spark, sf):
 
 
 def q_boosted_regression(spark, sf):
-    train, test = _split_features(spark, sf, test_fraction=None, train_fraction=0.3)
+    train, test = _split_features(spark, sf, test_fraction=None, train_fraction=BOOSTED_TRAIN_FRACTION)
     return _fitted_comparison(spark, sf, {"boosted": models.boosted_regressor().fit(train)}, test)
 
 
@@ -418,8 +419,8 @@ def q_random_split(spark, sf):
 
 def q_classifier_reports(spark, sf):
     train, test = _nutrient_split(spark, sf)
-    fitted = {"tree": models.tree_classifier(NUTRIENTS, max_depth=5).fit(train),
-              "forest": models.forest_classifier(NUTRIENTS, num_trees=100, max_depth=5).fit(train)}
+    fitted = {"tree": models.tree_classifier(NUTRIENTS).fit(train),
+              "forest": models.forest_classifier(NUTRIENTS, max_depth=FOREST_CLASSIFIER_DEPTH).fit(train)}
     out = None
     for name, m in fitted.items():
         scored = m.transform(test).withColumn("prediction", F.col("prediction").cast("int"))

@@ -16,6 +16,23 @@ MOISTURE_RANGE = (0.0, 100.0)
 LABEL_DOMAIN = (0, 1)
 HISTORY = 5  # lags per feature row
 
+# Model settings the results depend on, in one place.
+SEED = 42                          # every seeded split and model
+TEST_FRACTION = 0.2                # ordered split: last ceil(0.2 n) rows test
+BOOSTED_TRAIN_FRACTION = 0.3       # boosted regressor: first floor(0.3 n) rows train
+RANDOM_TRAIN_PERCENT = 80          # seeded random split of nutrient rows
+SGD_LEARNING_RATE = 0.01           # constant step of the online linear update
+SGD_MAX_ITER = 50_000
+SGD_TOL = 1e-8
+SWEEP_LEARNING_RATES = [0.1, 0.05, 0.01, 0.005, 0.001, 0.0005]
+FOREST_TREES = 100
+FOREST_REGRESSOR_DEPTH = 6
+BOOSTED_ITERATIONS = 100
+BOOSTED_STEP = 0.1
+TREE_CLASSIFIER_DEPTH = 5
+FOREST_CLASSIFIER_DEPTH = 5        # the comparison forest; production forests grow to Spark's cap
+FOREST_MAX_DEPTH = 30              # Spark's depth limit
+
 # Default series layout: one series per station, ordered by time then id.
 KEYS = ["station_id"]
 ORDER = ["ts", "event_id"]

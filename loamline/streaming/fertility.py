@@ -7,11 +7,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from loamline.operators import metrics, models, quality
-from loamline.schemas import NUTRIENT_LABEL, NUTRIENTS
+from loamline.schemas import (FOREST_MAX_DEPTH, FOREST_TREES, NUTRIENT_LABEL, NUTRIENTS,
+                              RANDOM_TRAIN_PERCENT, SEED)
 
 
-def train_fertility(nutrients: DataFrame, *, num_trees: int = 100, max_depth: int = 30,
-                    seed: int = 42, train_percent: int = 80):
+def train_fertility(nutrients: DataFrame, *, num_trees: int = FOREST_TREES,
+                    max_depth: int = FOREST_MAX_DEPTH, seed: int = SEED,
+                    train_percent: int = RANDOM_TRAIN_PERCENT):
     """Refit the classifier: keep labels 0/1, hash split 80/20, balanced class
     weights, random forest. Returns (model, test rows)."""
     data = quality.binary_labels(nutrients, NUTRIENT_LABEL)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loamline.operators import models, quality
-from loamline.schemas import MOISTURE_FEATURES, MOISTURE_TARGET
+from loamline.schemas import MOISTURE_FEATURES, MOISTURE_TARGET, SGD_LEARNING_RATE
 
 
 def completed_training_rows(rows: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def latest_version(spark: SparkSession, model_path: str, at_most: int | None = N
 
 
 def train_batch(spark: SparkSession, batch: DataFrame, batch_id: int, model_path: str,
-                eta: float = 0.01) -> bool:
+                eta: float = SGD_LEARNING_RATE) -> bool:
     """Validate, run one online epoch, save version ``batch_id + 1``. Loading
     the newest version <= ``batch_id`` makes a replayed batch recompute the
     same version instead of stacking a second update."""
