@@ -85,26 +85,6 @@ def _halo_lags(base: DataFrame, keys: list[str], order: list[str], srcs: list[st
     return halo.select(*keys, _BKT, *[F.col(f"{_PAY}.{c}").alias(c) for c in fields])
 
 
-def _halo_leads(base: DataFrame, keys: list[str], order: list[str], srcs: list[str],
-                depth: int) -> DataFrame:
-    """For each (key, bucket): the ``depth`` rows that follow the bucket."""
-    fields = order + [c for c in srcs if c not in order]
-    w_top = Window.partitionBy(*keys, _BKT).orderBy(*order)
-    top = (base.select(*keys, _BKT, *fields)
-           .withColumn(_RANK, F.row_number().over(w_top))
-           .filter(F.col(_RANK) <= depth))
-    w_key = Window.partitionBy(*keys).orderBy(_BKT, *order)
-    next_bucket = F.lead(_BKT).over(w_key)
-    ahead = [F.lead(_PAY, j).over(w_key) for j in range(1, depth + 1)]
-    halo = (top.withColumn(_PAY, F.struct(*[F.col(c) for c in fields]))
-            .select(*keys, _BKT,
-                    (next_bucket.isNull() | (next_bucket != F.col(_BKT))).alias(_EDGE),
-                    F.array(*ahead).alias("_sx_ahead"))
-            .filter(F.col(_EDGE))
-            .select(*keys, _BKT, F.explode(F.filter("_sx_ahead", lambda p: p.isNotNull())).alias(_PAY)))
-    return halo.select(*keys, _BKT, *[F.col(f"{_PAY}.{c}").alias(c) for c in fields])
-
-
 def shift(df: DataFrame, keys: Sequence[str], order: Sequence[str],
           lags: Mapping[str, tuple[str, int]] | None = None,
           leads: Mapping[str, tuple[str, int]] | None = None,
@@ -122,7 +102,7 @@ def shift(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if skip_nulls:
         if leads or len({s for s, _ in lags.values()}) != 1:
             raise ValueError("skip_nulls supports lags of a single source column")
-        return _shift_halo(df, keys, order, lags, {}, True, bucket, bucket_seconds)
+        return _shift_halo(df, keys, order, lags, bucket, bucket_seconds)
     return _shift_edges(df, keys, order, lags, leads, bucket, bucket_seconds)
 
 
@@ -161,30 +141,17 @@ def _shift_edges(df, keys, order, lags, leads, bucket, bucket_seconds) -> DataFr
     return interior.unionByName(edges).drop(_BKT, _RANK, "_sx_rdesc")
 
 
-def _shift_halo(df, keys, order, lags, leads, skip_nulls, bucket, bucket_seconds) -> DataFrame:
-    """Lags (optionally IGNORE NULLS) via halo rows: the rows a bucket needs
-    from earlier buckets are found by a map-side top-k per bucket and a small
-    window over those top-k rows, then copied into the bucket."""
-    srcs = sorted({s for s, _ in lags.values()} | {s for s, _ in leads.values()})
+def _shift_halo(df, keys, order, lags, bucket, bucket_seconds) -> DataFrame:
+    """``lag(src, k) IGNORE NULLS`` via halo rows: the last ``k`` non-null
+    rows before each bucket are found by a map-side top-k per bucket and a
+    small window over those top-k rows, then copied into the bucket."""
+    srcs = sorted({s for s, _ in lags.values()})
     base = df.withColumn(_BKT, bucket if bucket is not None else bucket_of(df, order[0], bucket_seconds))
-    max_lag = max((k for _, k in lags.values()), default=0)
-    max_lead = max((k for _, k in leads.values()), default=0)
-    rows = base.withColumn(_HOME, F.lit(True))
-    if max_lag:
-        rows = rows.unionByName(
-            _halo_lags(base, keys, order, srcs, max_lag, skip_nulls).withColumn(_HOME, F.lit(False)),
-            allowMissingColumns=True)
-    if max_lead:
-        rows = rows.unionByName(
-            _halo_leads(base, keys, order, srcs, max_lead).withColumn(_HOME, F.lit(False)),
-            allowMissingColumns=True)
+    max_lag = max(k for _, k in lags.values())
+    halo = _halo_lags(base, keys, order, srcs, max_lag, True).withColumn(_HOME, F.lit(False))
+    rows = base.withColumn(_HOME, F.lit(True)).unionByName(halo, allowMissingColumns=True)
     w = Window.partitionBy(*keys, _BKT).orderBy(*order)
-    new_cols = {}
-    for name, (src, k) in lags.items():
-        fn = F.expr(f"lag(`{src}`, {k}) IGNORE NULLS") if skip_nulls else F.lag(src, k)
-        new_cols[name] = fn.over(w)
-    for name, (src, k) in leads.items():
-        new_cols[name] = F.lead(src, k).over(w)
+    new_cols = {name: F.expr(f"lag(`{src}`, {k}) IGNORE NULLS").over(w) for name, (src, k) in lags.items()}
     return rows.withColumns(new_cols).filter(F.col(_HOME)).drop(_BKT, _HOME)
 
 
