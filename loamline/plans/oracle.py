@@ -176,8 +176,8 @@ def _null_profile() -> str:
     parts = []
     for c in ["hour", "soil_temp", "rain_fall", "soil_moisture"]:
         x = f"CAST({c} AS DOUBLE)"
-        parts.append(f"""SELECT '{c}' AS column_name, count_if({x} IS NULL) AS n_null,
-            count_if(isnan({x})) AS n_nan, count_if(isinf({x})) AS n_inf FROM r""")
+        parts.append(f"""SELECT '{c}' AS column_name, CAST(count_if({x} IS NULL) AS BIGINT) AS n_null,
+            CAST(count_if(isnan({x})) AS BIGINT) AS n_nan, CAST(count_if(isinf({x})) AS BIGINT) AS n_inf FROM r""")
     return f"WITH r AS ({readings(True)}) " + " UNION ALL ".join(parts)
 
 
@@ -263,8 +263,8 @@ LI_TARGET = "l_extendedprice"
 
 def _li_profile() -> str:
     return " UNION ALL ".join(
-        f"""SELECT '{c}' AS column_name, count_if(CAST({c} AS DOUBLE) IS NULL) AS n_null,
-            count_if(isnan(CAST({c} AS DOUBLE))) AS n_nan, count_if(isinf(CAST({c} AS DOUBLE))) AS n_inf
+        f"""SELECT '{c}' AS column_name, CAST(count_if(CAST({c} AS DOUBLE) IS NULL) AS BIGINT) AS n_null,
+            CAST(count_if(isnan(CAST({c} AS DOUBLE))) AS BIGINT) AS n_nan, CAST(count_if(isinf(CAST({c} AS DOUBLE))) AS BIGINT) AS n_inf
             FROM lineitem""" for c in LI_MEASURES + [LI_TARGET])
 
 
@@ -388,8 +388,8 @@ ORACLE: dict[str, str] = {
             WHERE "Output" IN (0, 1) GROUP BY 1)
         SELECT "Output", n_c, {r6('sum(n_c) OVER () / (count(*) OVER () * n_c)')} AS weight FROM c""",
     "queue_counts": f"""WITH {cycles_cte()}, {queue_cte()}
-        SELECT count(*) AS total, count_if(future_moisture IS NOT NULL) AS completed,
-               count_if(future_moisture IS NULL) AS pending FROM queue""",
+        SELECT count(*) AS total, CAST(count_if(future_moisture IS NOT NULL) AS BIGINT) AS completed,
+               CAST(count_if(future_moisture IS NULL) AS BIGINT) AS pending FROM queue""",
     "distinct_labels": f'WITH {NUT_CTE} SELECT "Output" AS value, count(*) AS n FROM nut GROUP BY 1',
     "fertility_correct": f"""WITH {NUT_CTE},
         preds AS (SELECT sample_id, CASE WHEN "N" >= 0 THEN 1 ELSE 0 END AS predicted_fertility FROM nut),
