@@ -80,6 +80,24 @@ def consumed_mark(queue: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[
             .agg(F.max(F.struct(*[F.col(o) for o in order])).alias("_mark")))
 
 
+def consumed_mark_at(cycles: DataFrame, cutoff, keys: Sequence[str] = KEYS,
+                     order: Sequence[str] = ORDER,
+                     bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """The mark a retraining run at ``cutoff`` recorded, from today's cycles.
+
+    The replay is causal (a cycle depends on earlier readings only), so the
+    accepted cycles before ``cutoff`` are the same as in a replay of the
+    readings before ``cutoff``; a training label was known then iff the next
+    accepted reading came before ``cutoff``. One replay instead of two.
+    """
+    keys, order = list(keys), list(order)
+    ts = order[0]
+    acc = cycles.filter("accepted").select(*keys, *order)
+    nxt = shift(acc, keys, order, leads={"_next_ts": (ts, 1)}, bucket_seconds=bucket_seconds)
+    known = nxt.filter((F.col(ts) < cutoff) & (F.col("_next_ts") < cutoff))
+    return known.groupBy(*keys).agg(F.max(F.struct(*[F.col(o) for o in order])).alias("_mark"))
+
+
 def after_mark(queue: DataFrame, mark: DataFrame, keys: Sequence[str] = KEYS,
                order: Sequence[str] = ORDER) -> DataFrame:
     """Rows not yet consumed: newer than the key's mark, or keys without one.

@@ -214,8 +214,10 @@ def q_pending_predictions(spark, sf):
 
 
 def q_flush_remaining(spark, sf):
-    mark = backfill.consumed_mark(_queue(spark, sf, before=RETRAIN_CUTOFF))
-    return backfill.after_mark(_queue(spark, sf), mark).select("station_id", "event_id", MOISTURE_TARGET)
+    cycles = _cycles(spark, sf)
+    mark = backfill.consumed_mark_at(cycles, F.lit(RETRAIN_CUTOFF).cast("timestamp_ntz"))
+    queue = backfill.training_rows(cycles)
+    return backfill.after_mark(queue, mark).select("station_id", "event_id", MOISTURE_TARGET)
 
 
 def q_target_correlation(spark, sf):
