@@ -68,6 +68,9 @@ class Scaler:
     def fit(cls, df: DataFrame, features: Sequence[str]) -> "Scaler":
         """Population statistics; one aggregation, |features| rows collected."""
         rows = {r["feature"]: r for r in scaler_stats(df, features).collect()}
+        if any(rows[f]["mean"] is None for f in features):
+            from loamline.operators.quality import FrameContractError
+            raise FrameContractError("cannot fit a scaler on an empty frame")
         return cls(list(features), [float(rows[f]["mean"]) for f in features],
                    [float(rows[f]["std"]) for f in features])
 

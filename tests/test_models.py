@@ -175,3 +175,9 @@ def test_load_or_fit_reuses_saved_models(spark, regression, scratch):
     a = [r.predicted_fertility for r in fertility.score_fertility(nut, f1)[0].orderBy("sample_id").collect()]
     b = [r.predicted_fertility for r in fertility.score_fertility(nut, f2)[0].orderBy("sample_id").collect()]
     assert a == b
+
+
+def test_scaler_on_empty_frame_raises(spark, regression):
+    from loamline.operators.quality import FrameContractError
+    with pytest.raises(FrameContractError, match="empty"):
+        models.Scaler.fit(regression.limit(0), MOISTURE_FEATURES)
