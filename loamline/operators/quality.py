@@ -113,15 +113,17 @@ def check_frame(df: DataFrame, features: Sequence[str], target: str | None = Non
 
 def check_values(df: DataFrame, cols: Sequence[str]) -> None:
     """Value contract: non-empty, no NULL/NaN, no infinity -- one aggregation
-    job over the frame, returning a single row to the driver."""
-    prof = null_profile(df, cols)
-    row = prof.agg(F.sum("n_null").alias("n"), F.sum("n_nan").alias("nan"),
-                   F.sum("n_inf").alias("inf"),
-                   F.collect_list(F.when((F.col("n_null") + F.col("n_nan")) > 0,
-                                         F.col("column_name"))).alias("bad")).first()
-    if df.isEmpty():
+    pass over the frame, one row back to the driver."""
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.count_if(x.isNull() | F.isnan(x)).alias(f"{c}__missing"),
+                 F.count_if(F.abs(x) == float("inf")).alias(f"{c}__inf")]
+    row = df.agg(*aggs).first()
+    if not row["_n"]:
         raise FrameContractError("empty frame")
-    if (row["n"] or 0) + (row["nan"] or 0) > 0:
-        raise FrameContractError(f"missing values in columns: {row['bad']}")
-    if row["inf"]:
+    bad = [c for c in cols if row[f"{c}__missing"]]
+    if bad:
+        raise FrameContractError(f"missing values in columns: {bad}")
+    if any(row[f"{c}__inf"] for c in cols):
         raise FrameContractError("infinite values")
