@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB twin (row count, columns and
+"""Every registered query against its DuckDB twin (row count, columns, types and
 values), at sf0.001 here; the driver repeats this at sf0.01."""
 
 import os
