@@ -1,0 +1 @@
+"""Column expressions (built-in functions only; no UDFs)."""

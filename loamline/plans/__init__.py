@@ -1,0 +1 @@
+"""Registered queries, their DuckDB twins, and the feature query as SQL."""

@@ -1,0 +1 @@
+"""Table scans, adapters from the driver tables, and writes."""

@@ -1,0 +1,2 @@
+"""Structured Streaming: the prediction cycle (state machine and windowed),
+nutrient scoring, and retraining from completed rows."""
