@@ -38,3 +38,8 @@ def test_no_cross_or_nested_loop_joins(spark, name):
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan  # no row-at-a-time Python UDFs
+
+
+def test_sql_flagship_shuffles_by_station_bucket(spark):
+    plan = _plan(spark, "moisture_features_sql")
+    assert re.search(r"hashpartitioning\(station_id#\d+L, bkt#\d+L", plan)
