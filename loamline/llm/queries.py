@@ -5,17 +5,20 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, packing, token_counts
+from . import bpe, packing, substring, suffix, token_counts
 from .tables import documents
 
 
+def op1_substring_dedup(spark, sf_dir):
+    return substring.dedup_digests(documents(spark, sf_dir))
+
+
 def op5_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op6_packing(spark, sf_dir):
-    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
-                        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op7_bpe_round_trip(spark, sf_dir):
@@ -23,5 +26,9 @@ def op7_bpe_round_trip(spark, sf_dir):
                           public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op5_token_counts, op6_packing, op7_bpe_round_trip)}
+def op10_suffix_dedup(spark, sf_dir):
+    return suffix.dedup_digests(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op10_suffix_dedup, op5_token_counts, op6_packing, op7_bpe_round_trip)}
 ORACLE: dict[str, str] = {}
