@@ -5,14 +5,18 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, packing, substring, suffix, token_counts
-from .tables import documents
+from . import bpe, minhash, packing, substring, suffix, token_counts, toxicity
+from .tables import documents, table
 
 
 def op1_substring_dedup(spark, sf_dir):
     return substring.dedup_digests(documents(spark, sf_dir))
 
 
+def op3_minhash_near_dedup(spark, sf_dir):
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op5_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -26,9 +30,16 @@ def op7_bpe_round_trip(spark, sf_dir):
                           public_tokenizers.PATTERN)
 
 
+def op8_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_suffix_dedup(spark, sf_dir):
     return suffix.dedup_digests(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op10_suffix_dedup, op5_token_counts, op6_packing, op7_bpe_round_trip)}
+QUERIES = {f.__name__: f for f in (
+    op1_substring_dedup, op3_minhash_near_dedup, op5_token_counts, op6_packing, op7_bpe_round_trip,
+    op8_toxicity, op10_suffix_dedup)}
 ORACLE: dict[str, str] = {}

@@ -72,10 +72,10 @@ def window_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x, shifted(x, width - size)) if width > size else x
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, document offsets): words between the six ASCII blanks, of all
-    texts in order; a word never crosses a text's end."""
-    word = ~_BLANK[data]
+def words(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _BLANK):
+    """(start, end, document offsets): words between the bytes in ``blank`` (the
+    six ASCII blanks), of all texts in order; a word never crosses a text's end."""
+    word = ~blank[data]
     cut = np.zeros(len(data) + 1, dtype=bool)
     cut[offsets] = True
     before = np.concatenate([[False], word[:-1]]) & ~cut[:-1]
@@ -85,14 +85,13 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, end, np.searchsorted(start, offsets)
 
 
-def word_values(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
-    """A 64-bit hash of each word (``lower``: of its form with A-Z lower-cased)."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
+def letter_values(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False):
+    """(hash of each byte of each word and its place in it, first byte of each
+    word, word sizes); ``lower``: with A-Z lower-cased."""
     if lower:
         data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
     size = end - start
-    first = np.concatenate([[0], np.cumsum(size)[:-1]])
+    first = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)
     place = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(first, size)
     at = place + np.repeat(start, size)
     letters = BYTE_VALUE[data[at]] + place.astype(np.uint64) * U(0xA0761D6478BD642F)
@@ -100,6 +99,14 @@ def word_values(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: boo
     letters *= U(0xE7037ED1A0B428DB)
     letters ^= letters >> U(29)
     letters *= U(0x8EBC6AF09C88C6E3)
+    return letters, first, size
+
+
+def word_values(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """A 64-bit hash of each word."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    letters, first, size = letter_values(data, start, end, lower)
     return mix(np.add.reduceat(letters, first) + size.astype(np.uint64))
 
 
