@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, minhash, packing, substring, suffix, token_counts, toxicity
+from . import ann, bpe, minhash, packing, substring, suffix, token_counts, toxicity
 from .tables import documents, table
 
 
@@ -17,6 +17,10 @@ def op3_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op4_nearest_neighbours(spark, sf_dir):
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op5_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -40,6 +44,6 @@ def op10_suffix_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_substring_dedup, op3_minhash_near_dedup, op5_token_counts, op6_packing, op7_bpe_round_trip,
+    op1_substring_dedup, op3_minhash_near_dedup, op4_nearest_neighbours, op5_token_counts, op6_packing, op7_bpe_round_trip,
     op8_toxicity, op10_suffix_dedup)}
 ORACLE: dict[str, str] = {}
