@@ -4,8 +4,8 @@ Centroids are fitted on a bounded sample by balanced bisection: a two-means
 split at the median, again and again, so that lists are of equal weight. The
 centroids' neighbourhood graph is searched in memory, best first, by every
 task. A vector goes to its nearest lists: besides the first, those within
-``REPLICA_RATIO`` of its distance that no kept centroid is nearer to (so
-boundary vectors are in several). A query reads the lists within
+``REPLICA_RATIO`` of its distance (so boundary vectors are in several, up to
+REPLICAS). A query reads the lists within
 ``SEARCH_RATIO`` of its nearest centroid's distance.
 
 Lists are joined with queries by (list, block): a list is cut into blocks of
@@ -38,9 +38,9 @@ SAMPLE = 20_000
 MAX_LISTS = 2048
 LIST_ROWS = 64
 LINKS = 24
-BEAM = 192
-REPLICAS, REPLICA_RATIO = 6, 1.15
-LEAST_SEARCHED, MOST_SEARCHED, SEARCH_RATIO = 48, 192, 1.5
+BEAM = 96
+REPLICAS, REPLICA_RATIO = 8, 1.08
+LEAST_SEARCHED, MOST_SEARCHED, SEARCH_RATIO = 48, 96, 1.15
 BLOCK = 4096
 ROUTED = "id long, vector array<float>, list int"
 FOUND = "q long, vec_id long, score double"
@@ -119,8 +119,7 @@ class Graph:
         for c, x in zip(ids[1:].tolist(), d[1:].tolist()):
             if x > REPLICA_RATIO * d[0] or len(kept) == REPLICAS:
                 break
-            if ((self.centroids[kept] - self.centroids[c]) ** 2).sum(axis=1).min() >= x * x:
-                kept.append(c)
+            kept.append(c)
         return kept
 
     def searched(self, v: np.ndarray) -> list[int]:
