@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .sequences import BYTE_VALUE, U, chunks, mix, power_grams, utf8, window_min, word_values, words
 from .tables import bounded_batches, texts, written
 
-BUCKETS_A_PARTITION = 4
+BUCKETS_A_PARTITION = 2
 SPLIT = 2048
 PIECE = 1 << 20
 NO_ID = np.iinfo(np.int64).max  # a null doc_id: after all others
