@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import ann, bpe, minhash, packing, substring, suffix, token_counts, toxicity
+from . import ann, bpe, minhash, outliers, packing, substring, suffix, token_counts, toxicity
 from .tables import documents, table
 
 
@@ -39,11 +39,15 @@ def op8_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_quality_outliers(spark, sf_dir):
+    return outliers.quality(table(spark, sf_dir, "documents")).drop("distance")
+
+
 def op10_suffix_dedup(spark, sf_dir):
     return suffix.dedup_digests(documents(spark, sf_dir))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op3_minhash_near_dedup, op4_nearest_neighbours, op5_token_counts, op6_packing, op7_bpe_round_trip,
-    op8_toxicity, op10_suffix_dedup)}
+    op8_toxicity, op9_quality_outliers, op10_suffix_dedup)}
 ORACLE: dict[str, str] = {}
