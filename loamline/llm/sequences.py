@@ -10,6 +10,7 @@ U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240229))
 BYTE_VALUE = _rng.integers(1, 1 << 63, size=256, dtype=np.uint64) | U(1)
 _ODD = _rng.integers(1, 1 << 63, size=64, dtype=np.uint64) | U(1)
+WORD_BLOCK = 1 << 16
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
 
@@ -88,13 +89,13 @@ def words(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _BLANK):
 def letter_values(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False):
     """(hash of each byte of each word and its place in it, first byte of each
     word, word sizes); ``lower``: with A-Z lower-cased."""
-    if lower:
-        data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
     size = end - start
     first = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)
     place = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(first, size)
-    at = place + np.repeat(start, size)
-    letters = BYTE_VALUE[data[at]] + place.astype(np.uint64) * U(0xA0761D6478BD642F)
+    byte = data[place + np.repeat(start, size)]
+    if lower:
+        byte = np.where((byte >= 65) & (byte <= 90), byte + np.uint8(32), byte)
+    letters = BYTE_VALUE[byte] + place.astype(np.uint64) * U(0xA0761D6478BD642F)
     letters ^= letters >> U(32)
     letters *= U(0xE7037ED1A0B428DB)
     letters ^= letters >> U(29)
@@ -103,11 +104,12 @@ def letter_values(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: b
 
 
 def word_values(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
-    """A 64-bit hash of each word."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    letters, first, size = letter_values(data, start, end, lower)
-    return mix(np.add.reduceat(letters, first) + size.astype(np.uint64))
+    """A 64-bit hash of each word, block by block so that little is held per letter."""
+    out = np.zeros(len(start), np.uint64)
+    for i in range(0, len(start), WORD_BLOCK):
+        letters, first, size = letter_values(data, start[i:i + WORD_BLOCK], end[i:i + WORD_BLOCK], lower)
+        out[i:i + WORD_BLOCK] = mix(np.add.reduceat(letters, first) + size.astype(np.uint64))
+    return out
 
 
 def chunks(offsets: np.ndarray, limit: int = 1 << 20):
