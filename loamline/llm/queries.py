@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import ann, bpe, minhash, outliers, packing, substring, suffix, token_counts, toxicity
+from . import ann, bpe, minhash, outliers, packing, pii, substring, suffix, token_counts, toxicity
 from .tables import documents, table
 
 
@@ -13,6 +13,10 @@ def op1_substring_dedup(spark, sf_dir):
     return substring.dedup_digests(documents(spark, sf_dir))
 
 
+def op2_personal_data(spark, sf_dir):
+    return pii.personal_data(documents(spark, sf_dir))
+
+
 def op3_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(documents(spark, sf_dir))
 
@@ -48,6 +52,6 @@ def op10_suffix_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_substring_dedup, op3_minhash_near_dedup, op4_nearest_neighbours, op5_token_counts, op6_packing, op7_bpe_round_trip,
+    op1_substring_dedup, op2_personal_data, op3_minhash_near_dedup, op4_nearest_neighbours, op5_token_counts, op6_packing, op7_bpe_round_trip,
     op8_toxicity, op9_quality_outliers, op10_suffix_dedup)}
 ORACLE: dict[str, str] = {}
