@@ -281,7 +281,7 @@ def _resolved(table, spec: Windows, buckets: int, resolve: Callable):
     return pa.Table.from_batches([packed(SPANS, spans, doc_bucket(spans["doc"], buckets))], ROWS)
 
 
-def removed_spans(docs: DataFrame, spec: Windows, resolve: Callable, buckets: int, name: str) -> DataFrame:
+def removed_spans(docs: DataFrame, whole: DataFrame, spec: Windows, resolve: Callable, buckets: int, name: str) -> DataFrame:
     """Spans that repeat an earlier window, packed per bucket of documents. The
     documents are dealt by bucket here and once more by the caller, in the same
     way, so Spark shuffles their texts once."""
@@ -290,21 +290,21 @@ def removed_spans(docs: DataFrame, spec: Windows, resolve: Callable, buckets: in
         .groupBy("bucket").applyInArrow(lambda key, table: _sifted(table, spec, buckets), ROWS_SQL), name)
     open_runs, spans = sifted.where(F.col("kind") == OPENS), sifted.where(F.col("kind") == SPANS)
     resolved = (
-        dealt(docs, buckets).groupBy("bucket").cogroup(open_runs.groupBy("bucket"))
+        dealt(whole, buckets).groupBy("bucket").cogroup(open_runs.groupBy("bucket"))
         .applyInArrow(lambda key, docs, table: _gathered(docs, table, spec, buckets), ROWS_SQL)
         .groupBy("bucket").applyInArrow(lambda key, table: _resolved(table, spec, buckets, resolve), ROWS_SQL))
     return spans.unionByName(resolved)
 
 
 def without_repeats(docs: DataFrame, spec: Windows, resolve: Callable, finish: Callable, schema: str,
-                    buckets: int | None = None) -> DataFrame:
-    """``finish(documents, token mask, token offsets)`` on each bucket of documents,
-    where the mask tells the tokens that are covered by a repeated window."""
-    docs = texts(docs)
+                    keep: tuple[str, ...] = (), buckets: int | None = None) -> DataFrame:
+    """``finish(documents, spans)`` on each bucket of documents (doc_id, text and
+    the columns ``keep``), where a span's tokens are covered by repeated windows."""
+    whole, docs = texts(docs, *keep), texts(docs)
     bounded_batches(docs.sparkSession)
     buckets = buckets or BUCKETS_A_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) + 1
-    spans = removed_spans(docs, spec, resolve, buckets, "repeats")
-    return (dealt(docs, buckets).groupBy("bucket").cogroup(spans.groupBy("bucket"))
+    spans = removed_spans(docs, whole, spec, resolve, buckets, "repeats")
+    return (dealt(whole, buckets).groupBy("bucket").cogroup(spans.groupBy("bucket"))
             .applyInArrow(lambda key, docs, table: finish(docs, unpacked(table, SPANS, SPAN)), schema))
 
 

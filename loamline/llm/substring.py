@@ -24,6 +24,7 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .repeats import SPAN, Windows, covered, ids_of, merged, without_repeats
 from .sequences import gram, utf8, words
@@ -97,8 +98,9 @@ def _digests(docs: pa.Table, spans: np.ndarray) -> pa.Table:
 def _kept(docs: pa.Table, spans: np.ndarray) -> pa.Table:
     out = [(text if mask is None else b"".join(compress(_WORD_AND_BLANKS.findall(text), mask)), n)
            for text, mask, n in _masks(docs, spans)]
-    return pa.table({"doc_id": docs.column("doc_id"), "text": pa.array([t.decode() for t, _ in out], pa.string()),
-                     "n_removed": pa.array([n for _, n in out], pa.int64())})
+    return (docs.drop_columns(["text", "bucket"])
+            .append_column("text", pa.array([t.decode() for t, _ in out], pa.string()))
+            .append_column("n_removed", pa.array([n for _, n in out], pa.int64())))
 
 
 def windows(length: int = LENGTH, anchor: int = ANCHOR) -> Windows:
@@ -110,6 +112,9 @@ def dedup_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return without_repeats(docs, windows(length), resolve, _digests, SCHEMA)
 
 
-def dedup_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, text without the removed words (and the blanks after each), n_removed."""
-    return without_repeats(docs, windows(length), resolve, _kept, "doc_id long, text string, n_removed long")
+def dedup_texts(docs: DataFrame, *keep: str, length: int = LENGTH) -> DataFrame:
+    """doc_id, the columns ``keep``, text without the removed words (and the blanks after each), n_removed."""
+    fields = [docs.schema[c] for c in keep]
+    schema = StructType([StructField("doc_id", LongType()), *fields,
+                         StructField("text", StringType()), StructField("n_removed", LongType())])
+    return without_repeats(docs, windows(length), resolve, _kept, schema, keep)

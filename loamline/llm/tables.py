@@ -21,11 +21,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts(table(spark, sf_dir, "documents"))
 
 
-def texts(docs: DataFrame) -> DataFrame:
-    """The two columns every text operator works on; others are dropped here,
-    so clashing names of extra columns cannot reach an operator."""
+def texts(docs: DataFrame, *keep: str) -> DataFrame:
+    """The two columns every text operator works on, and the columns ``keep``;
+    others are dropped here, so clashing names cannot reach an operator."""
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"),
-                       F.coalesce(docs["text"], F.lit("")).alias("text"))
+                       F.coalesce(docs["text"], F.lit("")).alias("text"), *(docs[c] for c in keep))
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -202,30 +202,48 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, n_features:
     return fit_chain(names, x, targets, weight, (mix(ids) % U(FOLDS)).astype(int))
 
 
-def _scored(batches, chain: Chain, threshold: float):
+def probabilities(column, chain: Chain) -> np.ndarray:
+    """(texts, categories) of a string column without nulls."""
     taken = np.bincount((chain.names & U(0xFFFF)).astype(np.int64), minlength=1 << 16) > 0
+    data, offsets = utf8(column)
+    parts = []
+    for text, feature, n, _ in features(data, offsets):
+        maybe = taken[(feature & U(0xFFFF)).astype(np.int64)]
+        text, feature = text[maybe], feature[maybe]
+        if len(chain.names):
+            at = np.minimum(np.searchsorted(chain.names, feature), len(chain.names) - 1)
+            real = chain.names[at] == feature
+            text, feature = text[real], feature[real]
+        text, feature, value = counted(text, feature, n)
+        x = np.zeros((len(n), len(chain.names)))
+        x[text, np.searchsorted(chain.names, feature)] = value
+        parts.append(chain.scores(x))
+    return np.concatenate(parts) if parts else np.zeros((0, len(CATEGORIES)))
+
+
+def _scored(batches, chain: Chain, threshold: float):
     for batch in batches:
-        data, offsets = utf8(batch.column(1))
-        parts = []
-        for text, feature, n, _ in features(data, offsets):
-            maybe = taken[(feature & U(0xFFFF)).astype(np.int64)]
-            text, feature = text[maybe], feature[maybe]
-            if len(chain.names):
-                at = np.minimum(np.searchsorted(chain.names, feature), len(chain.names) - 1)
-                real = chain.names[at] == feature
-                text, feature = text[real], feature[real]
-            text, feature, value = counted(text, feature, n)
-            x = np.zeros((len(n), len(chain.names)))
-            x[text, np.searchsorted(chain.names, feature)] = value
-            parts.append(chain.scores(x))
-        p = np.concatenate(parts) if parts else np.zeros((0, len(CATEGORIES)))
+        p = probabilities(batch.column(1), chain)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), *(pa.array(p[:, c], pa.float64()) for c in range(len(CATEGORIES))),
              pa.array(p[:, -1] >= threshold, pa.bool_())],
             names=["doc_id", "p_explicit", "p_coded", "p_toxic", "toxic"])
 
 
+def _accepted(batches, chain: Chain, threshold: float, text: int):
+    for batch in batches:
+        p = probabilities(batch.column(text).fill_null(""), chain)
+        yield batch.filter(pa.array(p[:, -1] < threshold, pa.bool_()))
+
+
 def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, the categories' probabilities, and whether the text is toxic."""
     bounded_batches(docs.sparkSession)
     return texts(docs).mapInArrow(partial(_scored, chain=chain, threshold=threshold), SCHEMA)
+
+
+def accepted(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, with all their columns, whose text is not toxic."""
+    bounded_batches(docs.sparkSession)
+    return docs.mapInArrow(partial(_accepted, chain=chain, threshold=threshold, text=docs.columns.index("text")),
+                           docs.schema)
