@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from .tables import bounded_batches, texts
-from .vocab import PartCache
+from .vocab import CACHE_CHARS, CACHE_PARTS, PartCache
 
 MAX_STATES = 200_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -231,6 +231,7 @@ class Codec:
         self.fst = Transducer(ranks)
         self.find = regex.compile(pattern).findall
         self.parts = PartCache(self.pieces, tuple)
+        self.known: dict[str, list[int]] = {}  # ids of short pieces, bounded as the parts are
         top = max(ranks.values()) + 1
         self.table = [self.fst.bytes_of.get(i, b"") for i in range(top)]
         self.digits = [str(i) for i in range(top)]
@@ -238,7 +239,14 @@ class Codec:
     def pieces(self, text: str) -> list[int]:
         out: list[int] = []
         for piece in self.find(text):
-            out += self.fst.encode(piece.encode())
+            ids = self.known.get(piece)
+            if ids is None:
+                ids = self.fst.encode(piece.encode())
+                if len(piece) <= CACHE_CHARS:
+                    if len(self.known) >= CACHE_PARTS:
+                        self.known.clear()
+                    self.known[piece] = ids
+            out += ids
         return out
 
     def encode(self, text: str) -> list[int]:
