@@ -11,6 +11,9 @@ Open windows are all a task holds (their ids are needed for the last step).
 When more than ``max_open`` are open they are drained early, so memory is
 bounded whatever the lengths are; nothing is dropped.
 
+Ids are those of the tokenizer file; the same vocabulary as ranks gives them
+faster (``vocab.fast_ids``).
+
 A null or empty text is a document of the end id alone. Repeated doc_ids are
 packed as separate documents; extra columns are dropped. No rows, no pieces.
 """
@@ -26,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .tables import bounded_batches, texts
-from .vocab import little_endian, part_cache
+from .vocab import fast_ids, little_endian
 
 WINDOW = 1024
 MAX_OPEN = 4096
@@ -127,20 +130,22 @@ class Packer:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=_ARROW)
 
 
-def _pack(batches, path: str, window: int, max_open: int):
-    cache = part_cache(path, little_endian)
+def _pack(batches, files: tuple[str, str, str], window: int, max_open: int):
+    encode = fast_ids(*files)
     packer = Packer(TaskContext.get().partitionId() << 40, window, max_open)
     for batch in batches:
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            packer.place(doc, b"".join([*cache.parts(text), END]))
+            packer.place(doc, encode(text).astype("<u4", copy=False).tobytes() + END)
             if len(packer.rows) >= 20_000:
                 yield packer.take()
     packer.drain()
     yield packer.take()
 
 
-def pack(docs: DataFrame, path: str, window: int = WINDOW, max_open: int = MAX_OPEN) -> DataFrame:
+def pack(docs: DataFrame, path: str, ranks_path: str, pattern: str,
+         window: int = WINDOW, max_open: int = MAX_OPEN) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id (unique over all tasks), offset. A map over the scan, no shuffle."""
     bounded_batches(docs.sparkSession)
-    return texts(docs).mapInArrow(partial(_pack, path=path, window=window, max_open=max_open), SCHEMA)
+    return texts(docs).mapInArrow(partial(
+        _pack, files=(path, ranks_path, pattern), window=window, max_open=max_open), SCHEMA)

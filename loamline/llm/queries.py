@@ -9,6 +9,12 @@ from . import ann, bpe, minhash, outliers, packing, pii, substring, suffix, toke
 from .tables import documents, table
 
 
+def packing_files():
+    """Tokenizer file, the same vocabulary as ranks, and the ranks' pattern."""
+    return (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+            public_tokenizers.PATTERN)
+
+
 def op1_substring_dedup(spark, sf_dir):
     return substring.dedup_digests(documents(spark, sf_dir))
 
@@ -30,7 +36,7 @@ def op5_token_counts(spark, sf_dir):
 
 
 def op6_packing(spark, sf_dir):
-    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(documents(spark, sf_dir), *packing_files())
 
 
 def op7_bpe_round_trip(spark, sf_dir):

@@ -7,6 +7,7 @@ parts. Parts repeat, and a bounded cache keeps their encodings per worker.
 
 from __future__ import annotations
 
+import base64
 import os
 import re
 import sys
@@ -100,3 +101,31 @@ def part_cache(path: str, pack) -> PartCache:
         tok = tokenizer(path)
         _loaded[key] = PartCache(lambda text: tok.encode(text, add_special_tokens=False).ids, pack)
     return _loaded[key]
+
+
+# up to here both libraries agree on which characters are letters, digits and white space
+_FAR = re.compile("[^\x00-\u024f]")
+
+
+def fast_ids(path: str, ranks_path: str, pattern: str):
+    """A function text -> ids of the tokenizer file as a numpy array. The same
+    vocabulary as ranks is encoded several times faster; texts with characters
+    beyond Latin letters go to the tokenizer file itself."""
+    key = (path, ranks_path, pattern)
+    if key not in _loaded:
+        import numpy as np
+        import tiktoken
+
+        tok = tokenizer(path)
+        with open(ranks_path, "rb") as f:
+            ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
+        special = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
+        same = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+
+        def ids(text: str):
+            if text.isascii() or not _FAR.search(text):
+                return same.encode_to_numpy(text, allowed_special="all")
+            return np.asarray(tok.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+        _loaded[key] = ids
+    return _loaded[key]

@@ -13,6 +13,7 @@ import tiktoken
 from loamline.llm import bpe, packing, token_counts, vocab
 
 JSON, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken")
+FILES = (JSON, RANKS, P.PATTERN)
 PARTS = [" ", " ", "\n", "\t", "  ", "a", "the", "'s", "é", "漢", "🎉", "12", ".", "<|endoftext|>", "\x1c", " ", "x" * 40]
 
 
@@ -36,6 +37,13 @@ def test_parts_encode_as_the_whole(tok):
         assert np.frombuffer(b"".join(cache.parts(text)), "<u4").tolist() == ids_of(tok, text)
 
 
+def test_ranks_give_the_same_ids(tok):
+    ids = vocab.fast_ids(*FILES)
+    texts = odd_texts(seed=7) + [s.format(chr(i)) for i in range(0x250) for s in ("{0}", "a{0}b", " {0} 1", "{0}{0}{0}x", "\n{0} {0}")]
+    for text in texts:
+        assert ids(text).tolist() == ids_of(tok, text)
+
+
 def test_chunks_are_spliced_exactly(tok):
     for text in odd_texts(seed=2):
         assert token_counts.spliced(tok, text * 4, 90, 40) == ids_of(tok, text * 4)
@@ -83,14 +91,14 @@ def test_packing_covers_every_id_once_without_padding(frame, tok):
     rnd = random.Random(4)
     texts = ["w " * rnd.randint(0, 1500) for _ in range(80)] + [None, "", "long " * 6000, "a<|endoftext|>b"]
     ids = {i: ids_of(tok, t or "") + [0] for i, t in enumerate(texts)}
-    assert check_packing(packing.pack(frame(list(enumerate(texts))), JSON).collect(), ids) == 0
-    small = packing.pack(frame(list(enumerate(texts))), JSON, max_open=3).collect()  # early drains
+    assert check_packing(packing.pack(frame(list(enumerate(texts))), *FILES).collect(), ids) == 0
+    small = packing.pack(frame(list(enumerate(texts))), *FILES, max_open=3).collect()  # early drains
     assert check_packing(small, ids) == 0
-    assert packing.pack(frame([]), JSON).collect() == []
+    assert packing.pack(frame([]), *FILES).collect() == []
 
 
 def test_packing_keeps_repeated_rows(frame):
-    rows = packing.pack(frame([(7, "same text"), (7, "same text"), (None, "x")]), JSON).collect()
+    rows = packing.pack(frame([(7, "same text"), (7, "same text"), (None, "x")]), *FILES).collect()
     one = {r.doc_id: r.doc_tokens for r in rows}
     assert sum(r.length for r in rows if r.doc_id == 7) == 2 * one[7]
     assert sum(r.length for r in rows if r.doc_id is None) == one[None]
