@@ -9,10 +9,10 @@ columns end with the third stage at the latest.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import functions as F
 
 from loamline.llm import minhash, packing, pii, substring, toxicity
+from loamline.llm.queries import packing_files
 from loamline.llm.tables import table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -46,7 +46,7 @@ def pii_stage(spark, docs, sf_dir):
 
 def packing_stage(spark, docs, sf_dir):
     """All documents are packed into sequences."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, *packing_files())
 
 
 STAGES = [
