@@ -4,18 +4,20 @@ A document's set holds its distinct 5-word shingles (lower-cased A-Z). Two
 permutations make the whole signature: the first scrambles the shingles, the
 second, shifted circularly by k, gives coordinate k. ``ROWS`` coordinates
 form a band; two sets at the similarity threshold miss all bands with
-probability (1 - 0.75 ** ROWS) ** BANDS, about 2e-8.
+probability (1 - 0.75 ** ROWS) ** BANDS, about 3e-7.
 
 Documents with equal sets form a class, represented by the smallest doc_id
 from then on. Links are confirmed on whole sets, never on signatures:
 
 1. each representative with the smallest id it shares a band with,
 2. other such pairs that are still in different components,
-3. in bands that still hold several components, every pair across them.
+3. in bands that still hold several components, those outside the band's
+   largest with one member of it, another in each of HUB_ROUNDS rounds,
+4. in bands that hold several components even then, every pair across them.
 
 Pairs inside a component need no check, so no group of copies is expanded
 into all pairs. A pair whose full signatures agree in less than ``SKETCH``
-of the coordinates is not checked: at the threshold that is 4.5 standard
+of the coordinates is not checked: at the threshold that is 5 standard
 deviations below the mean.
 
 A null or empty text has an empty set, linked with nothing; a text of fewer
@@ -35,8 +37,9 @@ from .sequences import U, gram, mix, utf8, word_values, words
 from .tables import bounded_batches, texts, written
 
 SHINGLE = 5
-BANDS, ROWS = 32, 3
-SKETCH = 0.55
+BANDS, ROWS = 56, 5
+SKETCH = 0.62
+HUB_ROUNDS = 4
 PERCENT = 75
 NO_ID = np.iinfo(np.int64).max
 SIGNED = "doc long, n long, f1 long, f2 long, bands array<long>, sketch binary"
@@ -168,6 +171,17 @@ class Search:
         return (pairs.join(x, "a", "left").join(y, "b", "left")
                 .where("coalesce(la, a) != coalesce(lb, b)").select("a", "b"))
 
+    def labelled(self, labels: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+        """Members of shared bands with their labels; and for each band that holds
+        several labels its most frequent one with a member (by ``turn``)."""
+        found = (self.shared.join(labels, "id", "left")
+                 .select("band", "id", "n", F.coalesce("label", "id").alias("label")))
+        each = found.groupBy("band", "label").agg(
+            F.count("*").alias("size"), F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id")).alias("hub"))
+        main = (each.groupBy("band").agg(F.max(F.struct("size", "label", "hub")).alias("top"), F.count("*").alias("labels"))
+                .where("labels > 1").select("band", F.col("top.label").alias("main"), F.col("top.hub.id").alias("hub")))
+        return found, main
+
     def run(self) -> DataFrame:
         """(id, label) of every representative that is linked with another."""
         star = written(self.alike(self.shared.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))), "pairs")
@@ -175,11 +189,17 @@ class Search:
         labels = components(links)
         links = written(links.union(self.confirmed(self.across(star, labels))), "links")
         labels = components(links)
-        found = (self.shared.join(labels, "id", "left")
-                 .select("band", "id", "n", F.coalesce("label", "id").alias("label")))
-        mixed = (found.groupBy("band").agg(F.min("label").alias("main"), F.max("label").alias("top"))
-                 .where("main != top").select("band", "main"))
-        members = written(found.join(mixed, "band"), "members")
+        for turn in range(HUB_ROUNDS):
+            found, main = self.labelled(labels, turn)
+            pairs = found.drop("hub").join(main, "band").where("label != main").select(
+                F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+            more = written(self.confirmed(self.alike(pairs)), "links")
+            if not more.limit(1).count():
+                break
+            links = written(links.union(more), "links")
+            labels = components(links)
+        found, main = self.labelled(labels, HUB_ROUNDS)
+        members = written(found.join(main.select("band", "main"), "band"), "members")
         x = members.where("label != main").select("band", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"))
         y = members.select("band", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("label").alias("ly"))
         rest = (x.join(y, "band").where("lx != ly")
