@@ -17,6 +17,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -52,7 +53,8 @@ def main() -> None:
     sf = float(m.group(1)) if m else None
     spark = get_spark(app="loamline-bench", master=f"local[{cpus}]",
                       shuffle_partitions=int(cpus),
-                      extra={"spark.driver.memory": "16g"})
+                      extra={"spark.driver.memory": "16g",
+                             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="loamline-bench-")})
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm_dir):
         for name in HEADLINE:

@@ -60,8 +60,9 @@ def absolute_error(predicted: ColumnOrName, actual: ColumnOrName) -> Column:
 
 
 def truncate_int(x: ColumnOrName) -> Column:
-    """Python ``int()`` of a number: truncate toward zero."""
-    return _c(x).cast("int")
+    """Python ``int()`` of a number: truncate toward zero; NULL for NaN and for
+    numbers that do not fit."""
+    return _c(x).try_cast("int")
 
 
 def json_number(text: ColumnOrName, field: str) -> Column:

@@ -4,8 +4,8 @@ immutable logs.
 * permanent label  = next cycle's reading           (``lead`` over all cycles)
 * training label   = next accepted cycle's reading   (``lead`` over accepted)
 * prediction actual = next logged cycle's reading    (``lead`` over logged)
-* flush            = a consumed high-water mark per station; the queue is
-                     what lies beyond it.
+* flush            = rows whose label was known at the run are consumed; the
+                     queue is the rest.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from loamline.functions.scalar import absolute_error
-from loamline.operators.joins import join_side
 from loamline.operators.quality import in_range
-from loamline.operators.series import DEFAULT_BUCKET_SECONDS, latest, shift
+from loamline.operators.series import PART, latest, per_size, shift
+from loamline.operators.features import compat_cycles
 from loamline.schemas import KEYS, MOISTURE_FEATURES, MOISTURE_TARGET, ORDER
 
 
@@ -37,13 +37,13 @@ def latest_pending(rows: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[
 
 
 def backfill_future(cycles: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER,
-                    bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                    **how) -> DataFrame:
     """Accepted cycles with both labels: ``future_permanent`` (next cycle) and
     ``future_training`` (next accepted cycle)."""
     keys, order = list(keys), list(order)
     acc = cycles.filter("accepted")
-    return shift(acc, keys, order, leads={"future_training": ("soil_moisture", 1)},
-                 bucket_seconds=bucket_seconds)
+    return shift(acc, keys, order, leads={"future_training": ("soil_moisture", 1),
+                                          "next_accepted": (order[0], 1)}, **how)
 
 
 def training_rows(cycles: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER,
@@ -58,51 +58,40 @@ def training_rows(cycles: DataFrame, keys: Sequence[str] = KEYS, order: Sequence
 
 def prediction_log(cycles: DataFrame, predicted: str, keys: Sequence[str] = KEYS,
                    order: Sequence[str] = ORDER, *, lo: float = 0.0, hi: float = 100.0,
-                   bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                   **how) -> DataFrame:
     """Logged predictions: accepted cycles whose prediction passed the range
     check, with the actual value of the next logged cycle and its error."""
     keys, order = list(keys), list(order)
     logged = cycles.filter(F.col("accepted") & in_range(predicted, lo, hi))
-    out = shift(logged.select(*keys, *order, F.col(predicted).alias("predicted_moisture"),
+    part = [PART] if PART in cycles.columns else []
+    out = shift(logged.select(*keys, *order, *part, F.col(predicted).alias("predicted_moisture"),
                               "soil_moisture"),
-                keys, order, leads={"actual_moisture": ("soil_moisture", 1)},
-                bucket_seconds=bucket_seconds)
+                keys, order, leads={"actual_moisture": ("soil_moisture", 1)}, **how)
     return (out.withColumn("absolute_error", absolute_error("predicted_moisture", "actual_moisture"))
-            .drop("soil_moisture"))
+            .drop("soil_moisture", *part))
 
 
-def consumed_mark(queue: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER,
-                  target: str = MOISTURE_TARGET) -> DataFrame:
-    """High-water mark of a retraining run: the newest completed row per key.
-    Saved with the model version; rows at or before it are consumed."""
+def replayed(readings: DataFrame, each, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER) -> DataFrame:
+    """``each(cycles, **how)`` over the live loop's cycles, where ``how`` tells the
+    label operators above how these keys are treated. Keys are sized once, so
+    the replay and its labels share one plan per size."""
     keys, order = list(keys), list(order)
-    return (completed(queue, target).groupBy(*keys)
-            .agg(F.max(F.struct(*[F.col(o) for o in order])).alias("_mark")))
 
+    def one(rows, part):
+        how = {"whole": True} if part is None else {"bucket": F.col(PART)}
+        out = each(compat_cycles(rows, keys, order, **how), **how)
+        return out.drop(PART)
 
-def consumed_mark_at(cycles: DataFrame, cutoff, keys: Sequence[str] = KEYS,
-                     order: Sequence[str] = ORDER,
-                     bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """The mark a retraining run at ``cutoff`` recorded, from today's cycles.
-
-    The replay is causal (a cycle depends on earlier readings only), so the
-    accepted cycles before ``cutoff`` are the same as in a replay of the
-    readings before ``cutoff``; a training label was known then iff the next
-    accepted reading came before ``cutoff``. One replay instead of two.
-    """
-    keys, order = list(keys), list(order)
-    ts = order[0]
-    acc = cycles.filter("accepted").select(*keys, *order)
-    nxt = shift(acc, keys, order, leads={"_next_ts": (ts, 1)}, bucket_seconds=bucket_seconds)
-    known = nxt.filter((F.col(ts) < cutoff) & (F.col("_next_ts") < cutoff))
-    return known.groupBy(*keys).agg(F.max(F.struct(*[F.col(o) for o in order])).alias("_mark"))
+    return per_size(readings, keys, order, one)
 
 
-def after_mark(queue: DataFrame, mark: DataFrame, keys: Sequence[str] = KEYS,
-               order: Sequence[str] = ORDER) -> DataFrame:
-    """Rows not yet consumed: newer than the key's mark, or keys without one.
-    The mark has one row per key and is broadcast behind a size check."""
+def flush_remaining(cycles: DataFrame, cutoff, keys: Sequence[str] = KEYS,
+                    order: Sequence[str] = ORDER, **how) -> DataFrame:
+    """The training queue after a retraining run at ``cutoff`` consumed the rows
+    it could see completed. The replay is causal and the next accepted reading
+    moves forward along a series, so a row was consumed exactly if its own
+    label was known then: one pass, no join."""
     keys, order = list(keys), list(order)
-    joined = join_side(queue, mark, keys, how="left")
-    newer = F.col("_mark").isNull() | (F.struct(*[F.col(o) for o in order]) > F.col("_mark"))
-    return joined.filter(newer).drop("_mark")
+    rows = backfill_future(cycles, keys, order, **how)
+    return (rows.filter(~F.coalesce(F.col("next_accepted") < cutoff, F.lit(False)))
+            .select(*keys, *order, *MOISTURE_FEATURES, F.col("future_training").alias(MOISTURE_TARGET)))

@@ -14,12 +14,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from loamline.functions.scalar import float32, hour_cos, hour_sin, is_missing, round_half_even
-from loamline.operators.series import DEFAULT_BUCKET_SECONDS, shift
+from loamline.operators.series import PART, per_size, shift
 from loamline.schemas import HISTORY, KEYS, MOISTURE_FEATURES, MOISTURE_TARGET, ORDER
-from loamline.session import materialize as _materialize
 
 def normalise(readings: DataFrame) -> DataFrame:
     """Reading in percent (the source holds a fraction) plus the hour encoding."""
@@ -42,7 +41,7 @@ def normalise_columns(raw: DataFrame) -> DataFrame:
 
 def moisture_features(readings: DataFrame, keys: Sequence[str] = KEYS,
                       order: Sequence[str] = ORDER, *,
-                      bucket_seconds: float = DEFAULT_BUCKET_SECONDS,
+                      bucket_seconds: float | None = None,
                       normalised: bool = False) -> DataFrame:
     """Training rows: hour encoding, temperature, rain, five earlier readings
     and the next reading; rows without a fifth lag or a next reading dropped."""
@@ -56,18 +55,10 @@ def moisture_features(readings: DataFrame, keys: Sequence[str] = KEYS,
             .select(*keys, *order, *MOISTURE_FEATURES, MOISTURE_TARGET))
 
 
-def live_features(df: DataFrame) -> DataFrame:
-    """Serving-side narrowing: temperature and rain rounded half-even to two
-    digits, every feature narrowed to float32 and widened back."""
-    rounded = {"soil_temp": round_half_even("soil_temp"), "rain_fall": round_half_even("rain_fall")}
-    return df.withColumns({c: float32(rounded.get(c, F.col(c))) for c in MOISTURE_FEATURES})
-
-
 def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
                   order: Sequence[str] = ORDER, *, seed: int = HISTORY,
-                  bucket_seconds: float = DEFAULT_BUCKET_SECONDS,
                   context: str | None = None, carry: Sequence[str] = (),
-                  materialize: str | None = None) -> DataFrame:
+                  bucket: Column | None = None, whole: bool = False) -> DataFrame:
     """Every reading as one cycle of the live loop (readings that are NULL or
     NaN are not cycles: they are rejected on ingest).
 
@@ -82,10 +73,19 @@ def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
     earlier run (a streaming tail). Their ``is_seed``, ``chain``,
     ``accepted`` and features are taken from ``ctx_<name>`` columns instead
     of being recomputed; new rows see them as history. ``carry`` lists
-    further input columns to keep.
+    further input columns to keep. Keys are treated by their size
+    (``series.per_size``) unless ``whole`` or ``bucket`` says how.
     """
     keys, order = list(keys), list(order)
+    if bucket is None and not whole:
+        return per_size(readings, keys, order, lambda rows, part: compat_cycles(
+            rows, keys, order, seed=seed, context=context, carry=carry, bucket=part,
+            whole=part is None).drop(PART))
     extra = list(carry)
+    if bucket is not None:
+        readings = readings.withColumn(PART, bucket)
+        extra.append(PART)
+    how = {"whole": whole, "bucket": None if whole else F.col(PART)}
     if context:
         extra += [context, "ctx_seed", "ctx_chain", "ctx_accepted"] + [f"ctx_{c}" for c in MOISTURE_FEATURES]
     # a cycle needs a reading: NULL/NaN readings are rejected on ingest
@@ -98,8 +98,7 @@ def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
     p1 = shift(r, keys, order,
                lags={"_cx_prev_ok": ("_cx_complete", 1),
                      "_cx_l5": (order[-1], seed), "_cx_l6": (order[-1], seed + 1)},
-               leads={"future_permanent": ("soil_moisture", 1)},
-               bucket_seconds=bucket_seconds)
+               leads={"future_permanent": ("soil_moisture", 1)}, **how)
     is_seed = F.col("_cx_l5").isNull()
     prev_live_ok = F.col("_cx_l6").isNotNull() & F.coalesce(F.col("_cx_prev_ok"), F.lit(False))
     chain = F.when(is_seed | prev_live_ok, F.col("soil_moisture"))
@@ -107,10 +106,8 @@ def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
         is_seed = F.when(F.col(context), F.col("ctx_seed")).otherwise(is_seed)
         chain = F.when(F.col(context), F.col("ctx_chain")).otherwise(chain)
     p1 = p1.withColumns({"is_seed": is_seed, "chain": chain}).drop("_cx_prev_ok", "_cx_l5", "_cx_l6")
-    if materialize in ("pass1", "both"):
-        p1 = _materialize(p1, "cycles-pass1")
     p2 = shift(p1, keys, order, lags={f"prev_{k}": ("chain", k) for k in range(1, HISTORY + 1)},
-               skip_nulls=True, bucket_seconds=bucket_seconds)
+               skip_nulls=True, **how)
     # narrowed features and the acceptance flag in one projection
     rounded = {"soil_temp": round_half_even("soil_temp"), "rain_fall": round_half_even("rain_fall")}
     narrowed = {c: float32(rounded.get(c, F.col(c))) for c in MOISTURE_FEATURES}
@@ -120,10 +117,7 @@ def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,
     if context:
         accepted = F.when(F.col(context), F.col("ctx_accepted")).otherwise(accepted)
         narrowed = {c: F.when(F.col(context), F.col(f"ctx_{c}")).otherwise(e) for c, e in narrowed.items()}
-    out = p2.withColumns({**narrowed, "accepted": accepted}).drop("_cx_complete")
-    if materialize in ("cycles", "both"):
-        out = _materialize(out, "cycles")
-    return out
+    return p2.withColumns({**narrowed, "accepted": accepted}).drop("_cx_complete")
 
 
 def feature_rows_compat(readings: DataFrame, keys: Sequence[str] = KEYS,

@@ -40,13 +40,19 @@ def scaler_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def regression_metrics(df: DataFrame, y: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
     """R^2 (1 - SS_res/SS_tot; 1 for a perfect fit of a constant target, 0
-    otherwise) and RMSE per group."""
-    e2 = F.pow(F.col(pred) - F.col(y), 2)
+    otherwise) and RMSE per group, over the rows that have both a target and a
+    prediction (no NULL, NaN or infinity); ``n`` counts them."""
+    finite = F.lit(True)
+    for c in (y, pred):
+        x = F.col(c).cast("double")
+        finite = finite & x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
+    df = df.withColumns({"_rm_y": F.when(finite, F.col(y)), "_rm_p": F.when(finite, F.col(pred))})
+    e2 = F.pow(F.col("_rm_p") - F.col("_rm_y"), 2)
     ss_res = F.sum(e2)
-    ss_tot = F.var_pop(y) * F.count(y)
+    ss_tot = F.var_pop("_rm_y") * F.count("_rm_y")
     r2 = (F.when(ss_tot == 0, F.when(ss_res == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
           .otherwise(F.lit(1.0) - ss_res / ss_tot))
-    aggs = [r2.alias("r2"), F.sqrt(F.avg(e2)).alias("rmse"), F.count(F.lit(1)).alias("n")]
+    aggs = [r2.alias("r2"), F.sqrt(F.avg(e2)).alias("rmse"), F.count("_rm_y").alias("n")]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
@@ -67,16 +73,15 @@ def confusion(df: DataFrame, y: str, pred: str) -> DataFrame:
 def classification_report(df: DataFrame, y: str, pred: str) -> DataFrame:
     """Per-class precision, recall, F1 and support, then accuracy, macro and
     weighted averages; a zero denominator gives 0."""
-    cm = confusion(df, y, pred)
-    true_n = cm.groupBy(F.col("actual").alias("cls")).agg(F.sum("n").alias("support"))
-    pred_n = cm.groupBy(F.col("predicted").alias("cls")).agg(F.sum("n").alias("predicted_n"))
-    tp = cm.filter(F.col("actual") == F.col("predicted")).select(
-        F.col("actual").alias("cls"), F.col("n").alias("tp"))
-    per = (true_n.join(pred_n, "cls", "full").join(tp, "cls", "left")
-           .select("cls",
-                   F.coalesce("support", F.lit(0)).alias("support"),
-                   F.coalesce("predicted_n", F.lit(0)).alias("predicted_n"),
-                   F.coalesce("tp", F.lit(0)).alias("tp")))
+    # each (actual, predicted) count feeds the actual and the predicted class: one scan
+    n, hit = F.col("n"), F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
+    sides = F.array(
+        F.struct(F.col("actual").alias("cls"), n.alias("support"), F.lit(0).cast("long").alias("predicted_n"),
+                 hit.cast("long").alias("tp")),
+        F.struct(F.col("predicted").alias("cls"), F.lit(0).cast("long").alias("support"), n.alias("predicted_n"),
+                 F.lit(0).cast("long").alias("tp")))
+    per = (confusion(df, y, pred).select(F.explode(sides).alias("s")).select("s.*")
+           .groupBy("cls").agg(*(F.sum(c).alias(c) for c in ("support", "predicted_n", "tp"))))
     prec = F.coalesce(F.try_divide(F.col("tp"), F.col("predicted_n")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0))
     per = per.withColumn("precision", prec.cast("double")).withColumn("recall", rec.cast("double"))
@@ -114,13 +119,10 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
-    """Attach balanced weights. The weight table has one row per class, so it
-    is broadcast behind a size check on the class count."""
+    """Attach balanced weights. The weight table has one row per class; adaptive
+    execution picks the join from its measured size."""
     weights = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
-    k = weights.count()
-    if k > 10_000:
-        raise ValueError(f"{k} classes; balanced weighting expects a small label domain")
-    return df.join(F.broadcast(weights), on=label, how="left")
+    return df.join(weights, on=label, how="left")
 
 
 def queue_counts(rows: DataFrame, target: str) -> DataFrame:

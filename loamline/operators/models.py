@@ -18,18 +18,22 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loamline.operators.metrics import scaler_stats
-from loamline.operators.series import DEFAULT_BUCKET_SECONDS, row_ids
+from loamline.operators.series import row_ids
 from loamline.schemas import (BOOSTED_ITERATIONS, BOOSTED_STEP, FOREST_MAX_DEPTH,
                               FOREST_REGRESSOR_DEPTH, FOREST_TREES, KEYS, MOISTURE_FEATURES,
                               MOISTURE_TARGET, ORDER, RANDOM_TRAIN_PERCENT, SEED, SGD_LEARNING_RATE,
                               SGD_MAX_ITER, SGD_TOL, TEST_FRACTION, TREE_CLASSIFIER_DEPTH)
 
 
+# Shards of an online epoch; raise it with the data (the weights depend on it).
+SGD_SHARDS = 64
+
+
 # --------------------------------------------------------------------- splits
 
 def ordered_split(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER, *,
                   test_fraction: float | None = TEST_FRACTION, train_fraction: float | None = None,
-                  bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: float | None = None) -> DataFrame:
     """Unshuffled split per series: the first rows train, the rest test.
 
     ``test_fraction=f`` -> test = ceil(f*n); ``train_fraction=f`` -> train =
@@ -51,8 +55,10 @@ def ordered_split(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str
 def random_split(df: DataFrame, id_col: str, train_percent: int = RANDOM_TRAIN_PERCENT,
                  seed: int = SEED) -> DataFrame:
     """Seeded split that is stable under task retries: a hash of the row id
-    decides, so a recomputed partition lands on the same side."""
-    bucket = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(100))
+    decides, so a recomputed partition lands on the same side. MD5, because
+    other engines have it, too."""
+    digest = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(str(seed))).cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 7), 16, 10).cast("long") % 100
     return df.withColumn("split", F.when(bucket < train_percent, F.lit("train")).otherwise(F.lit("test")))
 
 
@@ -186,11 +192,17 @@ def gradient_step(df: DataFrame, model: LinearModel, target: str = MOISTURE_TARG
 
 
 def sgd_epoch(df: DataFrame, model: LinearModel, target: str = MOISTURE_TARGET,
-              eta: float = SGD_LEARNING_RATE, order: Sequence[str] = ORDER) -> LinearModel:
-    """One online epoch (``partial_fit``): every partition runs sequential SGD
-    over its rows in ``order`` starting from the current weights, and the
-    partition results are averaged weighted by row count (parallelised SGD,
-    Zinkevich et al. 2010). One row per partition reaches the driver."""
+              eta: float = SGD_LEARNING_RATE, order: Sequence[str] = ORDER,
+              keys: Sequence[str] = KEYS, shards: int = SGD_SHARDS) -> LinearModel:
+    """One online epoch (``partial_fit``): the rows are dealt to ``shards`` by a
+    hash of their key and order columns, every shard runs sequential SGD over
+    its rows in ``order`` from the current weights, and the shards' results are
+    averaged weighted by row count (parallelised SGD, Zinkevich et al. 2010).
+
+    ``shards`` is part of the algorithm: the weights depend on it, and on
+    nothing else -- not on partitions, input splits or adaptive execution. Rows
+    stream through a task in sorted order; ``shards`` rows reach the driver.
+    """
     feats = model.scaler.features
     w0 = np.array(model.weights, dtype=float)
     b0 = float(model.intercept)
@@ -198,22 +210,27 @@ def sgd_epoch(df: DataFrame, model: LinearModel, target: str = MOISTURE_TARGET,
     std = np.array(model.scaler.std)
 
     def run(batches):
-        w, b, n = w0.copy(), b0, 0
+        shard, w, b, n = None, None, 0.0, 0
         for pdf in batches:
-            if pdf.empty:
-                continue
             z = (pdf[feats].to_numpy(dtype=float) - mean) / std
             y = pdf[target].to_numpy(dtype=float)
-            for i in range(len(y)):
+            for i, s in enumerate(pdf["_sgd_shard"].tolist()):
+                if s != shard:
+                    if n:
+                        yield pd.DataFrame({"shard": [shard], "n": [n], "w": [w.tolist()], "b": [b]})
+                    shard, w, b, n = s, w0.copy(), b0, 0
                 g = (b + z[i] @ w) - y[i]
                 w -= eta * g * z[i]
                 b -= eta * g
-            n += len(y)
-        yield pd.DataFrame({"n": [n], "w": [w.tolist()], "b": [b]})
-
-    cols = [c for c in order if c in df.columns] + list(feats) + [target]
-    ordered = df.select(*cols).sortWithinPartitions(*[c for c in order if c in df.columns])
-    parts = ordered.mapInPandas(run, "n long, w array<double>, b double").collect()
+                n += 1
+        if n:
+            yield pd.DataFrame({"shard": [shard], "n": [n], "w": [w.tolist()], "b": [b]})
+
+    by = [c for c in [*keys, *order] if c in df.columns]
+    order_by = [c for c in order if c in by] + [c for c in by if c not in order]
+    rows = df.select(*by, *feats, target).withColumn("_sgd_shard", F.pmod(F.xxhash64(*by), F.lit(shards)))
+    ordered = rows.repartition("_sgd_shard").sortWithinPartitions("_sgd_shard", *order_by, *feats, target)
+    parts = ordered.mapInPandas(run, "shard long, n long, w array<double>, b double").orderBy("shard").collect()
     total = sum(p["n"] for p in parts)
     if total == 0:
         return model

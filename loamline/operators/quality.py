@@ -68,15 +68,17 @@ def valid_labels(df: DataFrame, col: str) -> DataFrame:
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """One row per column: NULL, NaN and infinite counts, in one scan."""
-    cols = [c for c in (cols or df.columns)
-            if isinstance(df.schema[c].dataType, _NUMERIC)]
+    """One row per column: NULL, NaN and infinite counts, in one scan. Columns
+    that are not numbers have no NaN or infinity."""
+    cols = list(cols or df.columns)
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = F.col(c)
+        number = isinstance(df.schema[c].dataType, _NUMERIC)
         aggs += [F.count_if(x.isNull()).alias(f"{c}__null"),
-                 F.count_if(F.isnan(x)).alias(f"{c}__nan"),
-                 F.count_if(F.abs(x) == float("inf")).alias(f"{c}__inf")]
+                 (F.count_if(F.isnan(x.cast("double"))) if number else F.lit(0).cast("long")).alias(f"{c}__nan"),
+                 (F.count_if(F.abs(x.cast("double")) == float("inf")) if number
+                  else F.lit(0).cast("long")).alias(f"{c}__inf")]
     wide = df.agg(*aggs)
     stack = ", ".join(f"'{c}', `{c}__null`, `{c}__nan`, `{c}__inf`" for c in cols)
     return wide.selectExpr(f"stack({len(cols)}, {stack}) as (column_name, n_null, n_nan, n_inf)")

@@ -1,10 +1,11 @@
-"""Ordered-series operators: lags and leads per key, split into buckets.
+"""Ordered-series operators: lags and leads per key, split where keys are hot.
 
 A window partitioned by the series key alone puts a whole series into one
 task; a station that holds a third of all rows would then sit in a single
-task. ``shift`` instead partitions by (key, bucket), where the bucket is a
-monotone function of the order column (by default one day of ``ts``), and
-repairs the few rows whose offsets cross a bucket border:
+task. ``per_size`` counts the rows of each key first. Keys of up to
+``BUCKET_ROWS`` rows take one plain window per key. The others are cut into
+buckets of equal width along the order column, as many as their rows ask for,
+and the offsets that cross a bucket border are repaired:
 
 * plain lags/leads: in-bucket values first, then a second window over only
   the ``k`` rows at each end of every bucket (``_shift_edges``);
@@ -12,14 +13,13 @@ repairs the few rows whose offsets cross a bucket border:
   non-null rows before each bucket are found by a map-side top-k and copied
   into the bucket as halo rows (``_shift_halo``).
 
-Both are exact -- the same values as one window over the whole series -- and
-no task ever holds more than one bucket plus ``O(k)`` rows per bucket of the
-key on the repair side.
+Both are exact -- the same values as one window over the whole series. Rows
+with a NULL key or order value are rows like others (NULLs first).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -30,6 +30,10 @@ _PAY = "_sx_payload"
 _EDGE = "_sx_edge"
 
 DEFAULT_BUCKET_SECONDS = 86_400
+# A key of more rows than this is cut into buckets of about as many.
+BUCKET_ROWS = 1_000_000
+# Column with the bucket of a hot key's row, for operators that work on such rows.
+PART = "_sx_part"
 # Session setting that overrides the default bucket width (seconds) for every
 # series operator, so a cluster can size buckets to its data rate.
 BUCKET_CONF = "loamline.series.bucketSeconds"
@@ -56,6 +60,53 @@ def bucket_of(df: DataFrame, order_col: str, width: float = DEFAULT_BUCKET_SECON
     return F.floor(c / F.lit(width))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` in which NULL equals NULL; the columns appear once."""
+    names = {c: f"_ns_{c}" for c in on}
+    right = right.withColumnsRenamed(names)
+    cond = F.lit(True)
+    for c, n in names.items():
+        cond = cond & left[c].eqNullSafe(right[n])
+    out = left.join(right, cond, how)
+    return out if how in ("left_anti", "left_semi") else out.drop(*names.values())
+
+
+def _position(df: DataFrame, order_col: str) -> Column:
+    """The order column as a number (seconds of a timestamp, days of a date)."""
+    dtype = df.schema[order_col].dataType
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{order_col}`)") / 1e6
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(order_col) / 1e6
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(order_col).cast("double")
+    return F.col(order_col).cast("double")
+
+
+def per_size(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+             each: Callable[[DataFrame, Column | None], DataFrame], *,
+             bucket_rows: int | None = None) -> DataFrame:
+    """``each(rows, None)`` on the rows of ordinary keys, united with
+    ``each(rows, bucket)`` on those of keys with more than ``bucket_rows`` rows
+    (default BUCKET_ROWS), where ``bucket`` is the column ``PART``.
+
+    The counts are one partial aggregation; only the hot keys, at most
+    rows / ``bucket_rows`` of them, are joined back. Nothing runs here: without
+    hot keys adaptive execution drops the second branch at run time."""
+    rows = bucket_rows or BUCKET_ROWS
+    keys, x = list(keys), _position(df, order[0])
+    n = F.ceil(F.count(F.lit(1)) / F.lit(rows))
+    sizes = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sx_n"), F.min(x).alias("_sx_lo"),
+                                   ((F.max(x) - F.min(x)) / n).alias("_sx_w"))
+             .filter(F.col("_sx_n") > rows))
+    small = join_null_safe(df, sizes.select(*keys), keys, "left_anti")
+    wide = F.when(F.col("_sx_w") > 0, F.floor((x - F.col("_sx_lo")) / F.col("_sx_w")))
+    # a key whose order values are all equal has no width: its rows are one bucket
+    part = F.when(x.isNotNull(), F.coalesce(wide, F.lit(0).cast("long")))
+    hot = join_null_safe(df, sizes, keys).withColumn(PART, part).drop("_sx_n", "_sx_lo", "_sx_w")
+    return each(small, None).unionByName(each(hot, F.col(PART)))
+
+
 def _halo_lags(base: DataFrame, keys: list[str], order: list[str], srcs: list[str],
                depth: int, skip_nulls: bool) -> DataFrame:
     """For each (key, bucket): the ``depth`` rows (non-null ones if
@@ -89,21 +140,40 @@ def shift(df: DataFrame, keys: Sequence[str], order: Sequence[str],
           lags: Mapping[str, tuple[str, int]] | None = None,
           leads: Mapping[str, tuple[str, int]] | None = None,
           *, skip_nulls: bool = False, bucket: Column | None = None,
-          bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+          bucket_seconds: float | None = None, whole: bool = False,
+          bucket_rows: int | None = None) -> DataFrame:
     """Add ``lag(src, k)`` / ``lead(src, k)`` columns per series.
 
     ``lags`` and ``leads`` map an output name to ``(source column, offset)``.
     ``order`` must be a total order within a key (add a tie-breaking id).
     ``skip_nulls`` gives ``lag(src, k) IGNORE NULLS`` (one source column, lags
-    only). ``bucket`` overrides the default bucket of ``order[0]``.
+    only). By default keys are treated by their size (``per_size``); ``whole``
+    takes one window per key, ``bucket`` or ``bucket_seconds`` fixed buckets.
     """
     keys, order = list(keys), list(order)
     lags, leads = dict(lags or {}), dict(leads or {})
+    if skip_nulls and (leads or len({s for s, _ in lags.values()}) != 1):
+        raise ValueError("skip_nulls supports lags of a single source column")
+    fixed = bucket_seconds is not None or df.sparkSession.conf.get(BUCKET_CONF, None)
+    if whole:
+        return _shift_whole(df, keys, order, lags, leads, skip_nulls)
+    if bucket is None and not fixed and keys:
+        out = per_size(df, keys, order, lambda rows, part: shift(
+            rows, keys, order, lags, leads, skip_nulls=skip_nulls, whole=part is None, bucket=part)
+            .drop(PART), bucket_rows=bucket_rows)
+        return out
+    seconds = bucket_seconds or DEFAULT_BUCKET_SECONDS
     if skip_nulls:
-        if leads or len({s for s, _ in lags.values()}) != 1:
-            raise ValueError("skip_nulls supports lags of a single source column")
-        return _shift_halo(df, keys, order, lags, bucket, bucket_seconds)
-    return _shift_edges(df, keys, order, lags, leads, bucket, bucket_seconds)
+        return _shift_halo(df, keys, order, lags, bucket, seconds)
+    return _shift_edges(df, keys, order, lags, leads, bucket, seconds)
+
+
+def _shift_whole(df, keys, order, lags, leads, skip_nulls) -> DataFrame:
+    """One window per key."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    back = {n: F.lag(s, k).over(w) if not skip_nulls else F.expr(f"lag(`{s}`, {k}) IGNORE NULLS").over(w)
+            for n, (s, k) in lags.items()}
+    return df.withColumns({**back, **{n: F.lead(s, k).over(w) for n, (s, k) in leads.items()}})
 
 
 def _shift_edges(df, keys, order, lags, leads, bucket, bucket_seconds) -> DataFrame:
@@ -157,40 +227,56 @@ def _shift_halo(df, keys, order, lags, bucket, bucket_seconds) -> DataFrame:
 
 def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column | str,
                name: str, *, inclusive: bool = True, total: str | None = None,
-               bucket: Column | None = None,
-               bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+               bucket: Column | None = None, bucket_seconds: float | None = None,
+               bucket_rows: int | None = None) -> DataFrame:
     """Running sum of ``value`` along each series (and, with ``total``, the
-    series sum), without one task per key.
+    series sum), without one task per hot key.
 
-    ``value`` is summed per (key, bucket) (partial aggregation); a window over
-    that small table turns the sums into bucket offsets and series totals; the
-    table is joined back on (key, bucket) -- never on the key alone -- and
-    each row adds its running sum inside the bucket.
+    Ordinary keys take one window. For hot keys ``value`` is summed per (key,
+    bucket) (partial aggregation); a window over that small table turns the
+    sums into bucket offsets and series totals; the table is joined back on
+    (key, bucket) -- never on the key alone, NULLs equal to NULLs -- and each
+    row adds its running sum inside the bucket.
     """
     keys, order = list(keys), list(order)
     val = F.col(value) if isinstance(value, str) else value
-    base = (df.withColumn("_sx_v", val)
-            .withColumn(_BKT, bucket if bucket is not None else bucket_of(df, order[0], bucket_seconds)))
-    sums = base.groupBy(*keys, _BKT).agg(F.sum("_sx_v").alias("_sx_s"))
-    w_off = Window.partitionBy(*keys).orderBy(_BKT).rowsBetween(Window.unboundedPreceding, -1)
-    cols = [*keys, _BKT, F.coalesce(F.sum("_sx_s").over(w_off), F.lit(0)).alias("_sx_off")]
-    if total:
-        cols.append(F.sum("_sx_s").over(Window.partitionBy(*keys)).alias(total))
-    offsets = sums.select(*cols)
     frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
-    w_in = Window.partitionBy(*keys, _BKT).orderBy(*order).rowsBetween(*frame)
-    pos = base.join(offsets, on=keys + [_BKT], how="inner")
-    running = F.col("_sx_off") + F.coalesce(F.sum("_sx_v").over(w_in), F.lit(0))
-    return pos.withColumn(name, running).drop(_BKT, "_sx_off", "_sx_v")
+    fixed = bucket_seconds is not None or df.sparkSession.conf.get(BUCKET_CONF, None)
+
+    def plain(rows):
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
+        cols = {name: F.coalesce(F.sum(val).over(w), F.lit(0))}
+        if total:
+            cols[total] = F.sum(val).over(Window.partitionBy(*keys))
+        return rows.withColumns(cols)
+
+    def bucketed(rows, by):
+        base = rows.withColumn("_sx_v", val).withColumn(_BKT, by)
+        sums = base.groupBy(*keys, _BKT).agg(F.sum("_sx_v").alias("_sx_s"))
+        w_off = Window.partitionBy(*keys).orderBy(_BKT).rowsBetween(Window.unboundedPreceding, -1)
+        cols = [*keys, _BKT, F.coalesce(F.sum("_sx_s").over(w_off), F.lit(0)).alias("_sx_off")]
+        if total:
+            cols.append(F.sum("_sx_s").over(Window.partitionBy(*keys)).alias(total))
+        pos = join_null_safe(base, sums.select(*cols), [*keys, _BKT])
+        w_in = Window.partitionBy(*keys, _BKT).orderBy(*order).rowsBetween(*frame)
+        running = F.col("_sx_off") + F.coalesce(F.sum("_sx_v").over(w_in), F.lit(0))
+        return pos.withColumn(name, running).drop(_BKT, "_sx_off", "_sx_v")
+
+    if bucket is None and not fixed and keys:
+        return per_size(df, keys, order, lambda rows, part: plain(rows) if part is None
+                        else bucketed(rows, part).drop(PART), bucket_rows=bucket_rows)
+    if bucket is None:
+        bucket = bucket_of(df, order[0], bucket_seconds or DEFAULT_BUCKET_SECONDS)
+    return bucketed(df, bucket)
 
 
 def row_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_id",
             *, total: str | None = None, bucket: Column | None = None,
-            bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+            bucket_seconds: float | None = None, bucket_rows: int | None = None) -> DataFrame:
     """1-based position of each row in its series (and, with ``total``, the
-    series length): a bucketed ``prefix_sum`` of 1."""
-    return prefix_sum(df, keys, order, F.lit(1).cast("long"), name, total=total,
-                      bucket=bucket, bucket_seconds=bucket_seconds)
+    series length): a ``prefix_sum`` of 1."""
+    return prefix_sum(df, keys, order, F.lit(1).cast("long"), name, total=total, bucket=bucket,
+                      bucket_seconds=bucket_seconds, bucket_rows=bucket_rows)
 
 
 def last_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int,

@@ -20,12 +20,9 @@ from loamline.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The stand-in linear model used where a query needs fixed
-# weights (the generating rule of the reference's synthetic regression data).
-FIXED_WEIGHTS = {"prev_1": 0.5, "prev_2": 0.3, "rain_fall": 0.1}
-# The live-loop replay's first pass feeds several branches; it is written
-# once to the shared checkpoint folder instead of being recomputed per branch.
-MATERIALIZE = "pass1"
+# The stand-in linear model used where a query needs weights
+# that DuckDB can apply, too.
+FIXED_WEIGHTS = {"prev_1": 0.65, "prev_4": 0.25, "soil_temp": 0.04}
 # Fixed value: snapshot time of the retraining run in ``flush_remaining``.
 RETRAIN_CUTOFF = "2024-01-20 00:00:00"
 
@@ -43,19 +40,17 @@ def _features(spark, sf):
     return features.moisture_features(_readings(spark, sf))
 
 
-def _cycles(spark, sf, before: str | None = None):
-    r = _readings(spark, sf, guard=True)
-    if before is not None:
-        r = r.filter(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
-    return features.compat_cycles(r, materialize=MATERIALIZE)
+def _replayed(spark, sf, each):
+    """``each(cycles, **how)`` over the replayed live loop."""
+    return backfill.replayed(_readings(spark, sf, guard=True), each)
 
 
 def _compat(spark, sf):
-    return features.feature_rows_compat(_readings(spark, sf, guard=True), materialize=MATERIALIZE)
+    return features.feature_rows_compat(_readings(spark, sf, guard=True))
 
 
-def _queue(spark, sf, before=None):
-    return backfill.training_rows(_cycles(spark, sf, before))
+def _queue(spark, sf):
+    return _replayed(spark, sf, backfill.training_rows)
 
 
 def _nutrients(spark, sf):
@@ -117,7 +112,8 @@ def q_coerce_numeric(spark, sf):
 
 
 def q_valid_labels(spark, sf):
-    ev = table(spark, sf, "events").select("event_id", (F.col("value") / F.lit(100.0)).alias("score"))
+    ev = adapters.gappy_scores(table(spark, sf, "events").select(
+        "event_id", (F.col("value") / F.lit(100.0)).alias("score")), "score")
     return quality.valid_labels(ev, "score").drop("score")
 
 
@@ -159,6 +155,12 @@ def q_null_profile(spark, sf):
                                 ["hour", "soil_temp", "rain_fall", "soil_moisture"])
 
 
+def q_row_ids_gaps(spark, sf):
+    """Every row is numbered, also where the station or the time is NULL."""
+    r = adapters.gappy_keys(_readings(spark, sf))
+    return series.row_ids(r, KEYS, ORDER).select("station_id", "event_id", "row_id")
+
+
 def q_row_ids(spark, sf):
     return series.row_ids(_readings(spark, sf), KEYS, ORDER).select("station_id", "event_id", "row_id")
 
@@ -195,29 +197,30 @@ def q_feature_rows_compat(spark, sf):
 
 
 def q_backfill_future(spark, sf):
-    return backfill.backfill_future(_cycles(spark, sf)).select(
+    return _replayed(spark, sf, backfill.backfill_future).select(
         "station_id", "event_id", "soil_moisture", "future_permanent", "future_training")
 
 
-def _scored_cycles(spark, sf):
-    return _fixed_model().score(_cycles(spark, sf), "predicted")
+def _prediction_log(spark, sf):
+    model = _fixed_model()
+    return _replayed(spark, sf, lambda cycles, **how: backfill.prediction_log(
+        model.score(cycles, "predicted"), "predicted", **how))
 
 
 def q_prediction_log(spark, sf):
-    return backfill.prediction_log(_scored_cycles(spark, sf), "predicted").drop("ts")
+    return _prediction_log(spark, sf).drop("ts")
 
 
 def q_pending_predictions(spark, sf):
     """Logged predictions still waiting for the next logged reading."""
-    log = backfill.prediction_log(_scored_cycles(spark, sf), "predicted")
+    log = _prediction_log(spark, sf)
     return backfill.pending(log, "actual_moisture").drop("ts")
 
 
-def q_flush_remaining(spark, sf):
-    cycles = _cycles(spark, sf)
-    mark = backfill.consumed_mark_at(cycles, F.lit(RETRAIN_CUTOFF).cast("timestamp_ntz"))
-    queue = backfill.training_rows(cycles)
-    return backfill.after_mark(queue, mark).select("station_id", "event_id", MOISTURE_TARGET)
+def q_flush_remaining(spark, sf, cutoff: str = RETRAIN_CUTOFF):
+    at = F.lit(cutoff).cast("timestamp_ntz")
+    return _replayed(spark, sf, lambda cycles, **how: backfill.flush_remaining(cycles, at, **how)).select(
+        "station_id", "event_id", MOISTURE_TARGET)
 
 
 def q_target_correlation(spark, sf):
@@ -235,8 +238,33 @@ def q_regression_metrics(spark, sf):
     return out.select(r6("r2").alias("r2"), r6("rmse").alias("rmse"), "n")
 
 
+def q_regression_metrics_gaps(spark, sf):
+    """Rows without a usable prediction (NULL, NaN, infinite) do not count."""
+    scored = adapters.gappy_scores(_features(spark, sf), "prev_1", huge=float("inf"))
+    out = metrics.regression_metrics(scored, MOISTURE_TARGET, "prev_1")
+    return out.select(r6("r2").alias("r2"), r6("rmse").alias("rmse"), "n")
+
+
+def q_nutrient_correlation(spark, sf):
+    """Correlation with the raw label, before labels other than 0 and 1 are dropped."""
+    out = metrics.target_correlation(_nutrients(spark, sf), NUTRIENTS, "Output")
+    return out.withColumn("correlation", r6("correlation"))
+
+
+def q_fertility_rejects(spark, sf):
+    from loamline.streaming import fertility
+    _, rejected = fertility.split_rows(adapters.gappy_nutrients(_nutrients(spark, sf)))
+    return rejected.select("sample_id", "reason")
+
+
+def q_null_profile_all(spark, sf):
+    """The profile of every column, text and time columns included."""
+    return quality.null_profile(adapters.gappy_keys(table(spark, sf, "events").select(
+        F.col("user_id").alias("station_id"), "event_id", "ts", "event_type", "value")))
+
+
 def q_daily_mae(spark, sf):
-    log = backfill.prediction_log(_scored_cycles(spark, sf), "predicted")
+    log = _prediction_log(spark, sf)
     return metrics.daily_mae(log).select("day", r6("mae").alias("mae"), "n")
 
 
@@ -274,6 +302,17 @@ def q_fertility_correct(spark, sf):
     return joined.withColumn("correct", (F.col("predicted_fertility") == F.col("actual_fertility")).cast("int"))
 
 
+def q_ordered_split_gaps(spark, sf):
+    r = adapters.gappy_keys(_readings(spark, sf))
+    return models.ordered_split(r).select("station_id", "event_id", "split")
+
+
+def q_ordered_split_30(spark, sf):
+    """The first 30 % of each series train."""
+    split = models.ordered_split(_readings(spark, sf), test_fraction=None, train_fraction=BOOSTED_TRAIN_FRACTION)
+    return split.select("station_id", "event_id", "split")
+
+
 def q_ordered_split(spark, sf):
     return models.ordered_split(_features(spark, sf)).select("station_id", "event_id", "split")
 
@@ -312,10 +351,9 @@ def q_model_comparison(spark, sf):
         "mean5": (F.col("prev_1") + F.col("prev_2") + F.col("prev_3") + F.col("prev_4") + F.col("prev_5")) / F.lit(5.0),
         "fixed_linear": _fixed_model().predict(),
     }
-    scored = None
-    for name, expr in preds.items():
-        part = test.select(F.lit(name).alias("model"), expr.alias("prediction"), MOISTURE_TARGET)
-        scored = part if scored is None else scored.unionByName(part)
+    # every prediction in one projection, one row each, one aggregation
+    each = F.array(*(F.struct(F.lit(name).alias("model"), e.alias("prediction")) for name, e in preds.items()))
+    scored = test.select(MOISTURE_TARGET, F.explode(each).alias("p")).select(MOISTURE_TARGET, "p.*")
     out = models.model_comparison(scored)
     return out.select("model", r6("r2").alias("r2"), r6("rmse").alias("rmse"))
 
@@ -324,9 +362,10 @@ def q_cycle_outputs(spark, sf):
     """The prediction cycle over the whole readings table as one micro-batch
     (empty tail): permanent, training, prediction and rejected rows."""
     from loamline.streaming import windowed
-    tail = spark.createDataFrame([], windowed.TAIL_SCHEMA)
-    emitted, _ = windowed.cycle_batch(_readings(spark, sf, guard=True), tail, _fixed_model(),
-                                      materialize=True)
+    tail, model = spark.createDataFrame([], windowed.TAIL_SCHEMA), _fixed_model()
+    emitted = series.per_size(
+        _readings(spark, sf, guard=True), KEYS, ORDER, lambda rows, part: windowed.cycle_batch(
+            rows, tail, model, **({"whole": True} if part is None else {"bucket": part}))[0])
     return emitted.drop("ts")
 
 

@@ -96,7 +96,7 @@ COMPAT_CTE = f"""compat AS (
         SELECT station_id, event_id, ts, {", ".join(FEATS)}, future_permanent AS future_moisture
         FROM cyc WHERE accepted)"""
 
-FIXED = "(0.0 + 0.5 * ((prev_1 - 0.0) / 1.0) + 0.3 * ((prev_2 - 0.0) / 1.0) + 0.1 * ((rain_fall - 0.0) / 1.0))"
+FIXED = "(0.0 + 0.65 * ((prev_1 - 0.0) / 1.0) + 0.25 * ((prev_4 - 0.0) / 1.0) + 0.04 * ((soil_temp - 0.0) / 1.0))"
 
 PRED_LOG_CTE = f"""logged AS (
         SELECT station_id, event_id, ts, soil_moisture, {FIXED} AS predicted_moisture
@@ -286,6 +286,19 @@ def _li_scaler() -> str:
         for c in LI_MEASURES + [LI_TARGET])
 
 
+W_GAPS = "PARTITION BY station_id ORDER BY ts NULLS FIRST, event_id"
+
+
+def _gappy_keys() -> str:
+    return f"""SELECT CASE WHEN event_id % 97 <> 0 THEN station_id END AS station_id, event_id,
+        CASE WHEN event_id % 89 <> 0 THEN ts END AS ts FROM ({readings()})"""
+
+
+def _gappy(x: str, huge: str) -> str:
+    return (f"CASE WHEN event_id % 101 = 0 THEN 'NaN'::DOUBLE WHEN event_id % 103 = 0 THEN {huge} "
+            f"WHEN event_id % 107 <> 0 THEN {x} END")
+
+
 ORACLE: dict[str, str] = {
     "lineitem_profile": _li_profile(),
     "lineitem_correlation": _li_corr(),
@@ -307,8 +320,38 @@ ORACLE: dict[str, str] = {
     "coerce_numeric": """SELECT event_id, raw_text, TRY_CAST(raw_text AS DOUBLE) AS number FROM (
         SELECT event_id, CASE WHEN event_type = 'error' THEN 'n/a'
                               ELSE json_extract_string(props, '$.k') END AS raw_text FROM events)""",
-    "valid_labels": """SELECT event_id, CAST(trunc(value / 100.0::DOUBLE) AS INTEGER) AS label_int,
-        coalesce(CAST(trunc(value / 100.0::DOUBLE) AS INTEGER) IN (0, 1), false) AS valid FROM events""",
+    "valid_labels": f"""SELECT event_id, TRY_CAST(trunc(x) AS INTEGER) AS label_int,
+        coalesce(TRY_CAST(trunc(x) AS INTEGER) IN (0, 1), false) AS valid
+        FROM (SELECT event_id, {_gappy("value / 100.0::DOUBLE", "1e300")} AS x FROM events)""",
+    "row_ids_gaps": f"SELECT station_id, event_id, row_number() OVER ({W_GAPS}) AS row_id FROM ({_gappy_keys()})",
+    "ordered_split_gaps": f"""SELECT station_id, event_id,
+        CASE WHEN row_number() OVER ({W_GAPS}) <= n - ceil(0.2::DOUBLE * n) THEN 'train' ELSE 'test' END AS split
+        FROM (SELECT *, count(*) OVER (PARTITION BY station_id) AS n FROM ({_gappy_keys()}))""",
+    "ordered_split_30": f"""SELECT station_id, event_id,
+        CASE WHEN row_number() OVER ({W}) <= floor(0.3::DOUBLE * n) THEN 'train' ELSE 'test' END AS split
+        FROM (SELECT *, count(*) OVER (PARTITION BY station_id) AS n FROM ({readings()}))""",
+    "regression_metrics_gaps": f"""WITH {FEATURES_CTE},
+        g AS (SELECT future_moisture AS y, {_gappy("prev_1", "'Infinity'::DOUBLE")} AS p FROM feat),
+        a AS (SELECT sum(pow(p - y, 2)) AS ss_res, var_pop(y) * count(y) AS ss_tot,
+                     sqrt(avg(pow(p - y, 2))) AS rmse, count(*) AS n FROM g
+              WHERE p IS NOT NULL AND NOT isnan(p) AND NOT isinf(p))
+        SELECT {r6("1.0 - ss_res / ss_tot")} AS r2, {r6('rmse')} AS rmse, n FROM a""",
+    "nutrient_correlation": f"WITH {NUT_CTE} " + " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, {r6(f'covar_pop("{c}", "Output") / (stddev_pop("{c}") * stddev_pop("Output"))')} AS correlation FROM nut"""
+        for c in NUTRIENTS),
+    "fertility_rejects": """SELECT vec_id AS sample_id, 'incomplete: ' || concat_ws(',',
+            CASE WHEN vec_id % 50 = 0 THEN 'N' END, CASE WHEN vec_id % 75 = 0 THEN 'Fe' END) AS reason
+        FROM embeddings WHERE vec_id % 50 = 0 OR vec_id % 75 = 0""",
+    "null_profile_all": " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, CAST(count(*) - count({e}) AS BIGINT) AS n_null,
+            CAST({f'count_if(isnan({e}))' if c == 'value' else 0} AS BIGINT) AS n_nan,
+            CAST({f'count_if(isinf({e}))' if c == 'value' else 0} AS BIGINT) AS n_inf FROM events"""
+        for c, e in (("station_id", "CASE WHEN event_id % 97 <> 0 THEN user_id END"), ("event_id", "event_id"),
+                     ("ts", "CASE WHEN event_id % 89 <> 0 THEN ts END"), ("event_type", "event_type"),
+                     ("value", "value"))),
+    "random_split": f"""WITH {NUT_CTE} SELECT sample_id, "Output",
+        CASE WHEN CAST('0x' || substr(md5(sample_id || ':42'), 1, 7) AS BIGINT) % 100 < 80
+             THEN 'train' ELSE 'test' END AS split FROM nut WHERE "Output" IN (0, 1)""",
     "binary_labels": f'WITH {NUT_CTE} SELECT * FROM nut WHERE "Output" IN (0, 1)',
     "completed_rows": f"WITH {cycles_cte()}, {COMPAT_CTE} "
                       "SELECT * EXCLUDE (ts) FROM compat WHERE future_moisture IS NOT NULL",

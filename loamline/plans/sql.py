@@ -9,10 +9,11 @@ DataFrame version (one full shuffle, reused by the edge branch).
 from __future__ import annotations
 
 import math
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loamline.operators.series import DEFAULT_BUCKET_SECONDS
+from loamline.operators.series import BUCKET_CONF, DEFAULT_BUCKET_SECONDS
 
 
 def features_sql(view: str = "readings", bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> str:
@@ -54,8 +55,11 @@ all_rows AS (
 SELECT * FROM all_rows WHERE prev_5 IS NOT NULL AND future_moisture IS NOT NULL"""
 
 
-def moisture_features_sql(spark: SparkSession, readings: DataFrame, view: str = "readings",
-                          bucket_seconds: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Register ``readings`` as a temporary view and run the feature SQL."""
+def moisture_features_sql(spark: SparkSession, readings: DataFrame,
+                          bucket_seconds: float | None = None) -> DataFrame:
+    """Run the feature SQL over ``readings``, registered under a name of its own;
+    the bucket width is the session's unless given."""
+    seconds = bucket_seconds or float(spark.conf.get(BUCKET_CONF, str(DEFAULT_BUCKET_SECONDS)))
+    view = f"readings_{uuid4().hex}"
     readings.createOrReplaceTempView(view)
-    return spark.sql(features_sql(view, bucket_seconds))
+    return spark.sql(features_sql(view, seconds))

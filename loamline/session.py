@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on; a cluster's own spark-defaults win where set.
@@ -37,18 +34,16 @@ def get_spark(app: str = "loamline", master: str | None = None,
     return spark
 
 
-def cluster_conf(input_bytes: int, target_partition_mb: int = 128,
-                 max_partitions: int = 200_000) -> dict[str, str]:
+def cluster_conf(input_bytes: int, target_partition_mb: int = 128) -> dict[str, str]:
     """Partition sizing for a given input size.
 
     Shuffles start with about one partition per ``target_partition_mb`` of
     input (AQE coalesces them when the shuffled data is smaller, and splits
     skewed partitions of sort-merge joins); scans read splits of the same
-    size. For 100 TB at 128 MB that is ~800k, capped at ``max_partitions``
-    (each then ~500 MB before coalescing; spill handles the rest).
+    size. For 100 TB at 128 MB that is ~800k.
     """
     target = target_partition_mb * 1024 * 1024
-    parts = max(200, min(max_partitions, -(-input_bytes // target)))
+    parts = max(200, -(-input_bytes // target))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
@@ -58,39 +53,9 @@ def cluster_conf(input_bytes: int, target_partition_mb: int = 128,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the folder must be set by the cluster (shared storage). Only a
-    local-mode session without the setting gets a fresh scratch folder, which
-    is what tests use.
-    """
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``; whoever
+    builds the session names it (tests and the bench name a scratch folder)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        master = spark.conf.get("spark.master", "") or ""
-        if not master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is unset; a cluster must name a shared folder")
-        path = tempfile.mkdtemp(prefix="loamline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    try:  # classic sessions: DataFrame.checkpoint() uses the same folder
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # no SparkContext behind a Connect session
-        pass
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return path
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
-
-
-def materialize(df, name: str):
-    """Write ``df`` as a Parquet table under the shared checkpoint folder and
-    return a DataFrame reading it back. Used for intermediates that several
-    branches consume: the plan below is computed once, lineage is cut (a lost
-    executor re-reads files instead of recomputing shuffles), and readers get
-    Parquet column pruning."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)

@@ -48,3 +48,24 @@ def label_pairs(labels: DataFrame) -> DataFrame:
     """(actual, predicted) 0/1 pairs keyed by ``doc_id``."""
     return labels.select("doc_id", F.col("quality").alias("actual"),
                          (F.lit(1) - F.col("toxic")).alias("predicted"))
+
+
+# Which rows of the driver tables the variants below spoil.
+def gappy_keys(rows: DataFrame) -> DataFrame:
+    """Some rows without a station, some without a time."""
+    return rows.withColumns({
+        "station_id": F.when(F.col("event_id") % 97 != 0, F.col("station_id")),
+        "ts": F.when(F.col("event_id") % 89 != 0, F.col("ts"))})
+
+
+def gappy_scores(rows: DataFrame, col: str, huge: float = 1e300) -> DataFrame:
+    """Some scores NULL, some NaN, some huge."""
+    i = F.col("event_id")
+    return rows.withColumn(col, F.when(i % 101 == 0, F.lit(float("nan"))).when(i % 103 == 0, F.lit(huge))
+                           .when(i % 107 != 0, F.col(col)))
+
+
+def gappy_nutrients(rows: DataFrame) -> DataFrame:
+    """Some samples without nitrogen, some without iron."""
+    return rows.withColumns({"N": F.when(F.col("sample_id") % 50 != 0, F.col("N")),
+                             "Fe": F.when(F.col("sample_id") % 75 != 0, F.col("Fe"))})

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from loamline.operators.series import prefix_sum, row_ids
+from loamline.operators.series import join_null_safe, prefix_sum, row_ids
 
 
 def create_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -52,7 +52,7 @@ def with_row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_si_n"))
     starts = prefix_sum(sizes, [], keys, "_si_n", "_si_start", inclusive=False,
                         bucket=F.floor(F.col(keys[0]) / F.lit(key_bucket))).drop("_si_n")
-    return (pos.join(starts, on=keys, how="inner")
+    return (join_null_safe(pos, starts, keys)
             .withColumn(name, F.col("_si_start") + F.col("_si_pos") - 1)
             .drop("_si_pos", "_si_start"))
 

@@ -43,3 +43,16 @@ def read_table(spark: SparkSession, path: str, predicate=None, columns=None) ->
     if columns:
         df = df.select(*columns)
     return df
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Is there anything at ``path``? Only "no such path" counts as no; any
+    other failure (storage, permission) is raised."""
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.text(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True

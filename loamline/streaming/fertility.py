@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from loamline.operators import metrics, models, quality
+from loamline.sources.tables import exists
 from loamline.schemas import (FOREST_MAX_DEPTH, FOREST_TREES, NUTRIENT_LABEL, NUTRIENTS,
                               RANDOM_TRAIN_PERCENT, SEED)
 
@@ -29,21 +30,34 @@ def train_fertility(nutrients: DataFrame, *, num_trees: int = FOREST_TREES,
 def load_or_train_fertility(nutrients: DataFrame, path: str, **kw):
     """Reuse a saved classifier; fit and save one only when none exists."""
     from pyspark.ml import PipelineModel
-    try:
+    if exists(nutrients.sparkSession, f"{path}/metadata"):
         return PipelineModel.load(path)
-    except Exception:  # nothing saved yet
-        model, _ = train_fertility(nutrients, **kw)
-        model.write().overwrite().save(path)
-        return model
+    model, _ = train_fertility(nutrients, **kw)
+    model.write().overwrite().save(path)
+    return model
+
+
+def refit_fertility(nutrients: DataFrame, path: str, **kw) -> tuple[object, DataFrame]:
+    """Refit the classifier, score its held-out rows and save it over the old
+    one. Returns (model, classification report)."""
+    model, test = train_fertility(nutrients, **kw)
+    scored, _ = score_fertility(test, model)
+    report = metrics.classification_report(scored, NUTRIENT_LABEL, "predicted_fertility")
+    model.write().overwrite().save(path)
+    return model, report
+
+
+def split_rows(nutrients: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(complete rows, rejected rows with a reason), after the frame contract:
+    a missing or non-numeric nutrient column raises ``FrameContractError``."""
+    quality.check_frame(nutrients.select(*[c for c in nutrients.columns if c in NUTRIENTS]), NUTRIENTS)
+    return quality.split_complete(nutrients, NUTRIENTS)
 
 
 def score_fertility(nutrients: DataFrame, model) -> tuple[DataFrame, DataFrame]:
     """(scored, rejected). Incomplete rows are rejected before scoring;
     predictions outside {0, 1} are flagged ``valid = false``."""
-    flagged = nutrients.withColumn("_complete", quality.complete_rows(NUTRIENTS))
-    rejected = (flagged.filter(~F.col("_complete")).drop("_complete")
-                .withColumn("reason", F.lit("incomplete")))
-    ok = flagged.filter(F.col("_complete")).drop("_complete")
+    ok, rejected = split_rows(nutrients)
     ok = ok.withColumns({c: F.col(c).cast("float").cast("double") for c in NUTRIENTS})
     scored = model.transform(ok).select(
         *nutrients.columns, F.col("prediction").cast("int").alias("predicted_fertility"))
@@ -51,8 +65,15 @@ def score_fertility(nutrients: DataFrame, model) -> tuple[DataFrame, DataFrame]:
     return scored, rejected
 
 
+def audit_rows(nutrients: DataFrame, model) -> DataFrame:
+    """Every row: scored, or rejected with a reason and no prediction."""
+    scored, rejected = score_fertility(nutrients, model)
+    return scored.withColumn("reason", F.lit(None).cast("string")).unionByName(
+        rejected.withColumns({"predicted_fertility": F.lit(None).cast("int"), "valid": F.lit(False)}))
+
+
 def fertility_stream(nutrient_stream: DataFrame, model, sink_path: str, checkpoint: str):
-    """Stream nutrient rows through the classifier into an append-only table."""
-    scored, _ = score_fertility(nutrient_stream, model)
-    return (scored.writeStream.format("parquet").option("path", sink_path)
+    """Stream nutrient rows through the classifier into an append-only audit
+    table that holds the rejected rows, too."""
+    return (audit_rows(nutrient_stream, model).writeStream.format("parquet").option("path", sink_path)
             .option("checkpointLocation", checkpoint).outputMode("append").start())

@@ -24,15 +24,13 @@ replayed batch reproduces the same files.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from loamline.operators import features, series
-from loamline.operators.joins import join_side
 from loamline.operators.models import LinearModel
 from loamline.functions.scalar import is_missing
 from loamline.operators.quality import in_range
 from loamline.schemas import HISTORY, KEYS, MOISTURE_FEATURES, ORDER
-from loamline.session import materialize as _materialize
 
 _RAW = ["hour", "soil_temp", "rain_fall", "soil_moisture"]
 _CTX = "_ctx"
@@ -62,59 +60,94 @@ def _out(df: DataFrame, store: str, label=None, predicted=None, err=None, reason
 
 def cycle_batch(new: DataFrame, tail: DataFrame, model: LinearModel,
                 lo: float = 0.0, hi: float = 100.0, cache: list | None = None,
-                materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+                **how) -> tuple[DataFrame, DataFrame]:
     """(emitted rows, next tail) for one batch of readings (moisture as a
     fraction) and the previous tail. The cycle frame feeds six outputs; with
     ``cache`` (a list) it is persisted and appended to the list, so the caller
-    can release it after writing; with ``materialize`` it is written to the
-    shared checkpoint folder instead (for callers that return lazy frames)."""
+    can release it after writing. ``how`` is passed to ``series.shift``: with
+    ``whole=True`` all rows come out of one pass."""
     keys, order = KEYS, ORDER
     # rows not newer than the station's last processed reading are late
     last = tail.groupBy(*keys).agg(F.max(F.struct("ts", "event_id")).alias("_last"))
-    marked = join_side(new, last, keys, how="left").withColumn(
+    marked = series.join_null_safe(new, last, keys, "left").withColumn(
         "_late", F.coalesce(F.struct("ts", "event_id") <= F.col("_last"), F.lit(False)))
     late = marked.filter("_late")
     null_reading = marked.filter(~F.col("_late") & is_missing("soil_moisture"))
     new = marked.filter(~F.col("_late") & ~is_missing("soil_moisture")).drop("_late", "_last")
     raw = [F.col(c).alias(f"raw_{c}") for c in _RAW]
-    new_rows = new.select(*keys, "event_id", "ts", *_RAW, *raw).withColumn(_CTX, F.lit(False))
+    # tail rows have no bucket, and NULL sorts before all buckets: they are older than all new rows
+    part = [series.PART] if series.PART in new.columns else []
+    new_rows = new.select(*keys, "event_id", "ts", *_RAW, *raw, *part).withColumn(_CTX, F.lit(False))
     ctx_rows = tail.select("*", *raw).withColumn(_CTX, F.lit(True))
     u = new_rows.unionByName(ctx_rows, allowMissingColumns=True)
     carry = [f"raw_{c}" for c in _RAW] + ["ctx_pred", "pend_perm", "pend_train", "pend_pred"]
-    cyc = features.compat_cycles(u, keys, order, context=_CTX, carry=carry)
+    cyc = features.compat_cycles(u, keys, order, context=_CTX, carry=carry, **how)
     predicted = F.when(F.col(_CTX), F.col("ctx_pred")).otherwise(model.predict())
     cyc = cyc.withColumn("predicted", F.when(F.col("accepted"), predicted))
     cyc = cyc.withColumn("logged", F.col("accepted") & in_range("predicted", lo, hi))
     if cache is not None:
         cyc = cyc.persist(StorageLevel.MEMORY_AND_DISK)
         cache.append(cyc)
-    elif materialize:
-        cyc = _materialize(cyc, "cycle-batch")
     fresh = ~F.col(_CTX)
-
+    missing = F.concat_ws(",", *[F.when(F.col(c).isNull() | F.isnan(c), F.lit(c)) for c in MOISTURE_FEATURES])
+    ingest = (_out(late, "rejected", reason=F.lit("late"), feats=False)
+              .unionByName(_out(null_reading, "rejected", reason=F.lit("null reading"), feats=False)))
+    emitted = (_one_pass if how.get("whole") else _by_store)(cyc, fresh, missing, keys, order, how)
+    return emitted.unionByName(ingest), next_tail(cyc, keys, order)
+
+
+def _one_pass(cyc: DataFrame, fresh, missing, keys, order, how) -> DataFrame:
+    """All stores' rows of every cycle: the three "next" readings are leads of
+    one window, and each cycle explodes into the rows it emits."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    cyc = cyc.withColumns({
+        "_a": F.when(F.col("accepted"), F.col("soil_moisture")), "_g": F.when(F.col("logged"), F.col("soil_moisture"))})
+    cyc = cyc.withColumns({"_label": F.expr("lead(_a, 1) IGNORE NULLS").over(w),
+                           "_actual": F.expr("lead(_g, 1) IGNORE NULLS").over(w)})
+    due = lambda flag: fresh | F.coalesce(F.col(flag), F.lit(False))
+    none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+
+    def row(when, store, label=none, predicted=none, err=none, reason=text, feats=True):
+        return F.when(when, F.struct(
+            F.lit(store).alias("store"), *[(F.col(c) if feats else none).alias(c) for c in MOISTURE_FEATURES],
+            label.alias("label"), predicted.alias("predicted"), err.alias("absolute_error"), reason.alias("reason")))
+
+    accepted, p = F.col("accepted"), F.col("predicted")
+    rows = F.array(
+        row(accepted & F.col("future_permanent").isNotNull() & due("pend_perm"), "permanent", F.col("future_permanent")),
+        row(accepted & F.col("_label").isNotNull() & due("pend_train"), "training", F.col("_label")),
+        row(F.col("logged") & F.col("_actual").isNotNull() & due("pend_pred"), "prediction", F.col("_actual"), p,
+            F.abs(p - F.col("_actual")), feats=False),
+        row(fresh & ~F.col("is_seed") & ~accepted, "rejected", reason=F.concat(F.lit("incomplete: "), missing)),
+        row(fresh & accepted & ~F.col("logged"), "rejected", predicted=p, reason=F.lit("prediction out of range")))
+    out = cyc.select("station_id", "event_id", "ts", F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r"))
+    return out.select("r.store", "station_id", "event_id", "ts", *[f"r.{c}" for c in MOISTURE_FEATURES],
+                      "r.label", "r.predicted", "r.absolute_error", "r.reason")
+
+
+def _by_store(cyc: DataFrame, fresh, missing, keys, order, how) -> DataFrame:
+    """The same rows store by store, each with its own bucketed shift."""
     perm = cyc.filter(F.col("accepted") & F.col("future_permanent").isNotNull()
                       & (fresh | F.coalesce(F.col("pend_perm"), F.lit(False))))
-    train = series.shift(cyc.filter("accepted"), keys, order, leads={"_label": ("soil_moisture", 1)})
+    train = series.shift(cyc.filter("accepted"), keys, order, leads={"_label": ("soil_moisture", 1)}, **how)
     train = train.filter(F.col("_label").isNotNull()
                          & (fresh | F.coalesce(F.col("pend_train"), F.lit(False))))
-    pred = series.shift(cyc.filter("logged"), keys, order, leads={"_actual": ("soil_moisture", 1)})
+    pred = series.shift(cyc.filter("logged"), keys, order, leads={"_actual": ("soil_moisture", 1)}, **how)
     pred = pred.filter(F.col("_actual").isNotNull()
                        & (fresh | F.coalesce(F.col("pend_pred"), F.lit(False))))
     incomplete = cyc.filter(fresh & ~F.col("is_seed") & ~F.col("accepted"))
-    missing = F.concat_ws(",", *[F.when(F.col(c).isNull() | F.isnan(c), F.lit(c))
-                                 for c in MOISTURE_FEATURES])
     out_of_range = cyc.filter(fresh & F.col("accepted") & ~F.col("logged"))
-    emitted = (_out(perm, "permanent", label=F.col("future_permanent"))
-               .unionByName(_out(train, "training", label=F.col("_label")))
-               .unionByName(_out(pred, "prediction", label=F.col("_actual"), predicted=F.col("predicted"),
-                                 err=F.abs(F.col("predicted") - F.col("_actual")), feats=False))
-               .unionByName(_out(incomplete, "rejected", reason=F.concat(F.lit("incomplete: "), missing)))
-               .unionByName(_out(out_of_range, "rejected", predicted=F.col("predicted"),
-                                 reason=F.lit("prediction out of range")))
-               .unionByName(_out(late, "rejected", reason=F.lit("late"), feats=False))
-               .unionByName(_out(null_reading, "rejected", reason=F.lit("null reading"), feats=False)))
-
-    # next tail: bounded selections per station, each a partial top-k
+    return (_out(perm, "permanent", label=F.col("future_permanent"))
+            .unionByName(_out(train, "training", label=F.col("_label")))
+            .unionByName(_out(pred, "prediction", label=F.col("_actual"), predicted=F.col("predicted"),
+                              err=F.abs(F.col("predicted") - F.col("_actual")), feats=False))
+            .unionByName(_out(incomplete, "rejected", reason=F.concat(F.lit("incomplete: "), missing)))
+            .unionByName(_out(out_of_range, "rejected", predicted=F.col("predicted"),
+                              reason=F.lit("prediction out of range"))))
+
+
+def next_tail(cyc: DataFrame, keys, order) -> DataFrame:
+    """The rows the next batch needs: bounded selections per station, each a partial top-k."""
     base = cyc.select(
         *keys, "event_id", "ts", *[F.col(f"raw_{c}").alias(c) for c in _RAW],
         F.col("is_seed").alias("ctx_seed"), F.col("chain").alias("ctx_chain"),
@@ -138,8 +171,8 @@ def cycle_batch(new: DataFrame, tail: DataFrame, model: LinearModel,
         F.coalesce(F.max("_f_perm"), F.lit(False)).alias("pend_perm"),
         F.coalesce(F.max("_f_train"), F.lit(False)).alias("pend_train"),
         F.coalesce(F.max("_f_pred"), F.lit(False)).alias("pend_pred"))
-    nxt = base.join(flags, on=[*keys, "event_id"], how="inner").drop("logged")
-    return emitted, nxt.select(*[f.name for f in TAIL_SCHEMA.fields])
+    nxt = series.join_null_safe(base, flags, [*keys, "event_id"]).drop("logged")
+    return nxt.select(*[f.name for f in TAIL_SCHEMA.fields])
 
 
 def windowed_sink(spark: SparkSession, model: LinearModel, out_path: str, state_path: str):

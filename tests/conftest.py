@@ -1,12 +1,13 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from loamline.session import checkpoint_dir, get_spark  # noqa: E402
+from loamline.session import get_spark  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"
@@ -14,9 +15,9 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark(app="loamline-tests", master="local[*]", shuffle_partitions=8)
-    checkpoint_dir(s)  # a local scratch folder, only because tests leave it unset
-    yield s
+    shared = tempfile.mkdtemp(prefix="loamline-tests-")
+    yield get_spark(app="loamline-tests", master="local[*]", shuffle_partitions=8,
+                    extra={"spark.checkpoint.dir": shared})
 
 
 @pytest.fixture

@@ -32,7 +32,7 @@ def _constant_model(value):
 def _run(spark, cycles, prediction):
     tail = spark.createDataFrame([], windowed.TAIL_SCHEMA)
     out, nxt = windowed.cycle_batch(_readings(spark, cycles), tail, _constant_model(prediction),
-                                    materialize=True)
+                                    whole=True)
     rows = sorted(out.collect(), key=lambda r: r.event_id)  # one action for all stores
     return {s: [r for r in rows if r.store == s]
             for s in ("permanent", "training", "prediction", "rejected")}, nxt

@@ -12,39 +12,41 @@ from loamline.streaming import fertility
 from conftest import SF_MID
 
 
+WEIGHTS = {"prev_2": 0.8, "soil_temp": -0.4, "hour_cos": 1.5}
+
+
 @pytest.fixture(scope="module")
 def regression(spark):
-    """Seeded synthetic frame of the reference's model tests: 60 rows,
-    y = 0.5*prev_1 + 0.3*prev_2 + 0.1*rain + noise."""
-    rng = np.random.default_rng(42)
-    n = 60
-    pdf = pd.DataFrame({
-        "station_id": 1, "event_id": np.arange(n),
-        "ts": pd.date_range("2024-01-01", periods=n, freq="h"),
-        "hour_sin": np.sin(2 * np.pi * (np.arange(n) % 24) / 24),
-        "hour_cos": np.cos(2 * np.pi * (np.arange(n) % 24) / 24),
-        "soil_temp": rng.normal(20, 3, n), "rain_fall": rng.uniform(0, 5, n),
-        **{f"prev_{k}": rng.uniform(10, 40, n) for k in range(1, 6)},
-    })
-    pdf[MOISTURE_TARGET] = 0.5 * pdf.prev_1 + 0.3 * pdf.prev_2 + 0.1 * pdf.rain_fall + rng.normal(0, 0.5, n)
+    """A noisy linear target over drifting readings of one station (80 rows)."""
+    n, rng = 80, np.random.default_rng(7)
+    hours = np.arange(n) * 5 % 24
+    frame = {"station_id": np.ones(n, dtype=int), "event_id": np.arange(n),
+             "ts": pd.Timestamp("2023-06-01") + pd.to_timedelta(np.arange(n) * 5, unit="h"),
+             "hour_sin": np.sin(hours / 24 * 2 * np.pi), "hour_cos": np.cos(hours / 24 * 2 * np.pi),
+             "soil_temp": 12 + 6 * rng.random(n), "rain_fall": rng.exponential(1.5, n)}
+    series = 50 + rng.normal(0, 6, n + 5)
+    for lag in range(5, 0, -1):
+        frame[f"prev_{lag}"] = series[5 - lag:5 - lag + n]
+    pdf = pd.DataFrame(frame)
+    pdf[MOISTURE_TARGET] = sum(w * pdf[c] for c, w in WEIGHTS.items()) + 3 + rng.normal(0, 0.2, n)
     return spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 def test_ordered_split_sizes(spark, regression):
     split = models.ordered_split(regression)
     counts = {r.split: r["count"] for r in split.groupBy("split").count().collect()}
-    assert counts == {"train": 48, "test": 12}
+    assert counts == {"train": 64, "test": 16}
     last_train = split.filter("split = 'train'").agg(F.max("event_id")).first()[0]
-    assert last_train == 47
+    assert last_train == 63
     s30 = models.ordered_split(regression, test_fraction=None, train_fraction=0.3)
-    assert s30.filter("split = 'train'").count() == 18
+    assert s30.filter("split = 'train'").count() == 24
 
 
 def test_least_squares_recovers_weights(spark, regression):
     m = models.fit_least_squares(regression)
     raw = {f: w / s for f, w, s in zip(m.scaler.features, m.weights, m.scaler.std)}
-    assert raw["prev_1"] == pytest.approx(0.5, abs=0.05)
-    assert raw["prev_2"] == pytest.approx(0.3, abs=0.05)
+    for c, w in WEIGHTS.items():
+        assert raw[c] == pytest.approx(w, abs=0.15)
     r = metrics.regression_metrics(m.score(regression), MOISTURE_TARGET, "prediction").first()
     assert r.r2 > 0.95
 
@@ -67,9 +69,9 @@ def test_online_epoch_changes_weights_and_round_trips(spark, regression, scratch
     assert back == upd
 
 
-def test_online_epoch_single_partition_is_sequential_sgd(spark, regression):
+def test_online_epoch_of_one_shard_is_sequential_sgd(spark, regression):
     base = models.fit_least_squares(regression)
-    upd = models.sgd_epoch(regression.coalesce(1), base, eta=0.01)
+    upd = models.sgd_epoch(regression.repartition(3), base, eta=0.01, shards=1)
     pdf = regression.orderBy("ts", "event_id").toPandas()
     z = (pdf[MOISTURE_FEATURES].to_numpy() - np.array(base.scaler.mean)) / np.array(base.scaler.std)
     w, b = np.array(base.weights), base.intercept
@@ -79,6 +81,30 @@ def test_online_epoch_single_partition_is_sequential_sgd(spark, regression):
     assert upd.weights == pytest.approx(list(w)) and upd.intercept == pytest.approx(b)
 
 
+def test_online_epoch_does_not_depend_on_partitions(spark, regression):
+    base = models.fit_least_squares(regression)
+    results = [models.sgd_epoch(regression.repartition(n), base, eta=0.01, shards=8) for n in (1, 4, 16)]
+    assert results[0].weights == results[1].weights == results[2].weights
+    assert results[0].intercept == results[1].intercept == results[2].intercept
+
+
+def test_metrics_use_complete_pairs_only(spark):
+    rows = [(1.0, 1.1), (2.0, 1.8), (3.0, None), (9.0, float("nan")), (None, 1.0), (4.0, float("inf")), (5.0, 5.2)]
+    r = metrics.regression_metrics(spark.createDataFrame(rows, "y double, p double"), "y", "p").first()
+    y, p = np.array([1.0, 2.0, 5.0]), np.array([1.1, 1.8, 5.2])
+    assert r.n == 3 and r.r2 == pytest.approx(1 - ((y - p) ** 2).sum() / ((y - y.mean()) ** 2).sum())
+
+
+def test_refit_replaces_the_saved_classifier(spark, scratch):
+    nut = adapters.nutrients(table(spark, SF_MID, "embeddings"))
+    path = f"{scratch}/refit"
+    first = fertility.load_or_train_fertility(nut, path, num_trees=3)
+    model, report = fertility.refit_fertility(nut, path, num_trees=5)
+    again = fertility.load_or_train_fertility(nut, path)
+    assert first.stages[-1].getNumTrees == 3 and again.stages[-1].getNumTrees == 5
+    assert {"accuracy", "macro avg"} <= {r.label for r in report.collect()}
+
+
 def test_learning_rate_sweep(spark, regression):
     split = models.ordered_split(regression)
     out = models.learning_rate_sweep(split.filter("split = 'train'"), split.filter("split = 'test'"),

@@ -90,13 +90,14 @@ def test_last_n_plans_group_limit(spark):
     assert series.last_n(df, ["k"], ["o"], 5).count() == 15
 
 
-def test_hot_station_from_events(spark):
+def test_hot_station_from_events(spark, monkeypatch):
     """A third of all readings re-keyed to one station: the flagship stays
     exact, and that station's rows are spread over many window tasks."""
     from conftest import SF_MID
     from loamline.operators import features
     from loamline.sources import adapters
     from loamline.sources.tables import table
+    monkeypatch.setattr(series, "BUCKET_ROWS", 300)
     ev = table(spark, SF_MID, "events").withColumn(
         "user_id", F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit(0)).otherwise(F.col("user_id")))
     readings = adapters.readings(ev)
@@ -157,3 +158,39 @@ def test_first_n_and_latest(spark):
         (0, 0, 1), (0, 3, 2), (1, 1, 1), (1, 4, 2), (2, 2, 1), (2, 5, 2)]
     last = {r.k: (r.o, r.v) for r in series.latest(df, ["k"], ["o"], ["v"]).collect()}
     assert last == {0: (27, 270), 1: (28, 280), 2: (29, 290)}
+
+
+def test_rows_without_key_or_time_are_kept(spark):
+    df = spark.createDataFrame([(1, 5, 1), (None, 7, 2), (1, None, 3)], "k long, ts long, id long")
+    for rows in (None, 1):  # plain windows; every key of two rows is hot
+        out = series.row_ids(df, ["k"], ["ts", "id"], total="n", bucket_rows=rows)
+        assert {(r.k, r.ts): (r.row_id, r.n) for r in out.collect()} == {
+            (1, None): (1, 2), (1, 5): (2, 2), (None, 7): (1, 1)}
+    from loamline.operators.models import ordered_split
+    from loamline.sources.sinks import with_row_index
+    assert ordered_split(df, ["k"], ["ts", "id"]).count() == 3
+    assert sorted(r.id for r in with_row_index(df.withColumnRenamed("id", "i"), ["k"], ["ts", "i"]).collect()) == [0, 1, 2]
+
+
+def test_hot_station_within_one_day_is_split(spark):
+    """A third of all rows in one station and one day: same values, many buckets."""
+    rows = [(0, i * 40, i) for i in range(2000)] + [(1 + i % 50, i * 977, 10_000 + i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k long, ts long, id long").withColumn("v", F.col("id") * 2.0)
+    args = (["k"], ["ts", "id"], {"p": ("v", 3)}, {"n": ("v", 1)})
+    parts = []
+
+    def each(part, bucket):
+        if bucket is not None:
+            parts.append(part.select(series.PART).distinct().count())
+        return part.drop(series.PART)
+
+    assert series.per_size(df, ["k"], ["ts", "id"], each, bucket_rows=200).count() == 6000
+    assert parts == [11]  # ten widths, and the last value
+    want = sorted(map(tuple, series.shift(df, *args, whole=True).collect()))
+    assert sorted(map(tuple, series.shift(df, *args, bucket_rows=200).collect())) == want
+    halo = dict(skip_nulls=True)
+    lags = {"p": ("v", 2)}
+    want = sorted(map(tuple, series.shift(df, ["k"], ["ts", "id"], lags, whole=True, **halo).collect()))
+    assert sorted(map(tuple, series.shift(df, ["k"], ["ts", "id"], lags, bucket_rows=200, **halo).collect())) == want
+    ids = series.row_ids(df, ["k"], ["ts", "id"], bucket_rows=200)
+    assert sorted(map(tuple, ids.collect())) == sorted(map(tuple, series.row_ids(df, ["k"], ["ts", "id"]).collect()))

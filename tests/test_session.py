@@ -1,9 +1,9 @@
+from types import SimpleNamespace
 
-from pyspark.sql import functions as F
+import pytest
 
-from loamline.operators import features
-from loamline.session import checkpoint_dir, materialize
-from loamline.sources import adapters
+from loamline.plans import catalog
+from loamline.session import checkpoint_dir
 from loamline.sources.tables import table
 
 from conftest import SF_SMALL
@@ -14,20 +14,25 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     assert path == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_materialize_writes_under_checkpoint_dir(spark):
-    df = spark.range(10).withColumn("x", F.col("id") * 2)
-    m = materialize(df, "probe")
-    assert sorted(r.x for r in m.collect()) == [2 * i for i in range(10)]
-    files = m.inputFiles()
-    assert files and all(checkpoint_dir(spark) in f for f in files)
+def test_checkpoint_dir_must_be_named():
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(unset)
 
 
-def test_materialized_replay_equals_lazy(spark):
-    r = adapters.readings(table(spark, SF_SMALL, "events"), guard_errors=True)
-    cols = ["event_id", "accepted", "chain", "prev_1", "prev_5", "future_permanent"]
-    lazy = sorted(tuple(x) for x in features.compat_cycles(r).select(*cols).collect())
-    mat = sorted(tuple(x) for x in features.compat_cycles(r, materialize="both").select(*cols).collect())
-    assert lazy == mat
+@pytest.mark.parametrize("name", ["completed_rows", "latest_pending", "prediction_log", "flush_remaining",
+                                  "daily_mae", "queue_counts", "cycle_outputs", "history_union"])
+def test_building_a_query_starts_no_job(spark, name, monkeypatch):
+    """The replay queries are lazy: once the table's footer is read, nothing runs before an action."""
+    events = table(spark, SF_SMALL, "events")
+    monkeypatch.setattr(catalog, "table", lambda spark, sf, name: events)
+    group = f"build-{name}"
+    spark.sparkContext.setJobGroup(group, name)
+    try:
+        catalog.QUERIES[name](spark, SF_SMALL)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_cluster_conf_scales_partitions():
@@ -35,6 +40,6 @@ def test_cluster_conf_scales_partitions():
     small = cluster_conf(10 * 1024**2)
     assert small["spark.sql.shuffle.partitions"] == "200"
     big = cluster_conf(100 * 1024**4)
-    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(big["spark.sql.shuffle.partitions"]) == 819_200
     mid = cluster_conf(1024**4)
     assert int(mid["spark.sql.shuffle.partitions"]) == 8192

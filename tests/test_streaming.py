@@ -9,6 +9,7 @@ from loamline.plans.catalog import _fixed_model
 from loamline.schemas import MOISTURE_FEATURES
 from loamline.sources import adapters
 from loamline.sources.tables import table
+from loamline.operators import quality
 from loamline.streaming import moisture, retrain
 
 from conftest import SF_SMALL
@@ -93,6 +94,22 @@ def test_retraining_consumes_once(spark, streamed, tmp_path):
     assert retrain.latest_version(spark, model_path).version == v1.version
 
 
+def test_replayed_rows_and_a_lost_checkpoint_train_nothing(spark, streamed, tmp_path):
+    base, readings, _ = streamed
+    model_path = str(tmp_path / "model")
+    retrain.seed_model(spark, features.moisture_features(readings), model_path)
+    rows = spark.read.parquet(f"{base}/out")
+    path = str(tmp_path / "rows")
+    rows.write.parquet(path)
+    run = lambda ckpt: retrain.retrain(spark, path, rows.schema, model_path, str(tmp_path / ckpt))
+    assert run("a") is True
+    v1 = retrain.latest_version(spark, model_path)
+    rows.write.mode("append").parquet(path)  # the sink writes the same rows again
+    assert run("a") is False
+    assert run("b") is False  # a new checkpoint reads everything again
+    assert retrain.latest_version(spark, model_path) == v1
+
+
 def test_retraining_rejects_bad_rows_and_keeps_them(spark, tmp_path):
     rows = spark.createDataFrame(
         [("training", 1, 1, None) + (1.0,) * 9 + (float("nan"),)],
@@ -146,11 +163,16 @@ def test_fertility_stream_appends_scored_rows(spark, tmp_path):
     from loamline.streaming import fertility
     nut = adapters.nutrients(table(spark, SF_SMALL, "embeddings"))
     model, _ = fertility.train_fertility(nut, num_trees=10)
+    nut = adapters.gappy_nutrients(nut)
     nut.write.parquet(str(tmp_path / "in"))
     src = spark.readStream.schema(NUTRIENT_ROWS).parquet(str(tmp_path / "in"))
     q = fertility.fertility_stream(src, model, str(tmp_path / "audit"), str(tmp_path / "ck"))
     q.processAllAvailable()
     q.stop()
     got = {r.sample_id: r.predicted_fertility for r in spark.read.parquet(str(tmp_path / "audit")).collect()}
-    want = {r.sample_id: r.predicted_fertility for r in fertility.score_fertility(nut, model)[0].collect()}
+    want = {r.sample_id: r.predicted_fertility for r in fertility.audit_rows(nut, model).collect()}
     assert got == want and len(got) == nut.count()
+    reasons = {r.sample_id: r.reason for r in spark.read.parquet(str(tmp_path / "audit")).collect()}
+    assert reasons[50] == "incomplete: N" and reasons[75] == "incomplete: Fe" and reasons[1] is None
+    with pytest.raises(quality.FrameContractError):
+        fertility.score_fertility(nut.drop("K"), model)
