@@ -108,29 +108,31 @@ def per_size(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def _halo_lags(base: DataFrame, keys: list[str], order: list[str], srcs: list[str],
-               depth: int, skip_nulls: bool) -> DataFrame:
+               depth: int, skip_nulls: bool, reverse: bool = False) -> DataFrame:
     """For each (key, bucket): the ``depth`` rows (non-null ones if
-    ``skip_nulls``) that precede the bucket, labelled with that bucket."""
+    ``skip_nulls``) that precede the bucket, labelled with that bucket
+    (``reverse``: in descending order, so those that follow it)."""
+    ahead, back = (F.desc, F.asc) if reverse else (F.asc, F.desc)
     src = srcs[0]
     fields = order + [c for c in srcs if c not in order]
     qual = [F.col(src).isNotNull().desc()] if skip_nulls else []
-    w_top = Window.partitionBy(*keys, _BKT).orderBy(*qual, *[F.col(o).desc() for o in order])
+    w_top = Window.partitionBy(*keys, _BKT).orderBy(*qual, *[back(o) for o in order])
     top = (base.select(*keys, _BKT, *fields)
            .withColumn(_RANK, F.row_number().over(w_top))
            .filter(F.col(_RANK) <= depth))
     payload = F.struct(*[F.col(c) for c in fields])
     if skip_nulls:
         payload = F.when(F.col(src).isNotNull(), payload)
-    w_key = Window.partitionBy(*keys).orderBy(_BKT, *order)
+    w_key = Window.partitionBy(*keys).orderBy(*[ahead(o) for o in (_BKT, *order)])
     prev_bucket = F.lag(_BKT).over(w_key)
     if skip_nulls:
-        back = [F.expr(f"lag({_PAY}, {j}) IGNORE NULLS").over(w_key) for j in range(1, depth + 1)]
+        earlier = [F.expr(f"lag({_PAY}, {j}) IGNORE NULLS").over(w_key) for j in range(1, depth + 1)]
     else:
-        back = [F.lag(_PAY, j).over(w_key) for j in range(1, depth + 1)]
+        earlier = [F.lag(_PAY, j).over(w_key) for j in range(1, depth + 1)]
     halo = (top.withColumn(_PAY, payload)
             .select(*keys, _BKT,
                     (prev_bucket.isNull() | (prev_bucket != F.col(_BKT))).alias(_EDGE),
-                    F.array(*back).alias("_sx_back"))
+                    F.array(*earlier).alias("_sx_back"))
             .filter(F.col(_EDGE))
             .select(*keys, _BKT, F.explode(F.filter("_sx_back", lambda p: p.isNotNull())).alias(_PAY)))
     return halo.select(*keys, _BKT, *[F.col(f"{_PAY}.{c}").alias(c) for c in fields])
@@ -152,8 +154,8 @@ def shift(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     keys, order = list(keys), list(order)
     lags, leads = dict(lags or {}), dict(leads or {})
-    if skip_nulls and (leads or len({s for s, _ in lags.values()}) != 1):
-        raise ValueError("skip_nulls supports lags of a single source column")
+    if skip_nulls and ((lags and leads) or len({s for s, _ in (lags or leads).values()}) != 1):
+        raise ValueError("skip_nulls supports lags or leads of a single source column")
     fixed = bucket_seconds is not None or df.sparkSession.conf.get(BUCKET_CONF, None)
     if whole:
         return _shift_whole(df, keys, order, lags, leads, skip_nulls)
@@ -164,16 +166,16 @@ def shift(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return out
     seconds = bucket_seconds or DEFAULT_BUCKET_SECONDS
     if skip_nulls:
-        return _shift_halo(df, keys, order, lags, bucket, seconds)
+        return _shift_halo(df, keys, order, lags or leads, bucket, seconds, reverse=not lags)
     return _shift_edges(df, keys, order, lags, leads, bucket, seconds)
 
 
 def _shift_whole(df, keys, order, lags, leads, skip_nulls) -> DataFrame:
     """One window per key."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    back = {n: F.lag(s, k).over(w) if not skip_nulls else F.expr(f"lag(`{s}`, {k}) IGNORE NULLS").over(w)
-            for n, (s, k) in lags.items()}
-    return df.withColumns({**back, **{n: F.lead(s, k).over(w) for n, (s, k) in leads.items()}})
+    nulls = " IGNORE NULLS" if skip_nulls else ""
+    both = [("lag", lags), ("lead", leads)]
+    return df.withColumns({n: F.expr(f"{f}(`{s}`, {k}){nulls}").over(w) for f, c in both for n, (s, k) in c.items()})
 
 
 def _shift_edges(df, keys, order, lags, leads, bucket, bucket_seconds) -> DataFrame:
@@ -211,16 +213,16 @@ def _shift_edges(df, keys, order, lags, leads, bucket, bucket_seconds) -> DataFr
     return interior.unionByName(edges).drop(_BKT, _RANK, "_sx_rdesc")
 
 
-def _shift_halo(df, keys, order, lags, bucket, bucket_seconds) -> DataFrame:
-    """``lag(src, k) IGNORE NULLS`` via halo rows: the last ``k`` non-null
+def _shift_halo(df, keys, order, lags, bucket, bucket_seconds, reverse=False) -> DataFrame:
+    """``lag(src, k) IGNORE NULLS`` (``reverse``: ``lead``) via halo rows: the last ``k`` non-null
     rows before each bucket are found by a map-side top-k per bucket and a
     small window over those top-k rows, then copied into the bucket."""
     srcs = sorted({s for s, _ in lags.values()})
     base = df.withColumn(_BKT, bucket if bucket is not None else bucket_of(df, order[0], bucket_seconds))
     max_lag = max(k for _, k in lags.values())
-    halo = _halo_lags(base, keys, order, srcs, max_lag, True).withColumn(_HOME, F.lit(False))
+    halo = _halo_lags(base, keys, order, srcs, max_lag, True, reverse).withColumn(_HOME, F.lit(False))
     rows = base.withColumn(_HOME, F.lit(True)).unionByName(halo, allowMissingColumns=True)
-    w = Window.partitionBy(*keys, _BKT).orderBy(*order)
+    w = Window.partitionBy(*keys, _BKT).orderBy(*[F.desc(o) if reverse else F.asc(o) for o in order])
     new_cols = {name: F.expr(f"lag(`{src}`, {k}) IGNORE NULLS").over(w) for name, (src, k) in lags.items()}
     return rows.withColumns(new_cols).filter(F.col(_HOME)).drop(_BKT, _HOME)
 

@@ -24,7 +24,7 @@ replayed batch reproduces the same files.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from loamline.operators import features, series
 from loamline.operators.models import LinearModel
@@ -64,8 +64,7 @@ def cycle_batch(new: DataFrame, tail: DataFrame, model: LinearModel,
     """(emitted rows, next tail) for one batch of readings (moisture as a
     fraction) and the previous tail. The cycle frame feeds six outputs; with
     ``cache`` (a list) it is persisted and appended to the list, so the caller
-    can release it after writing. ``how`` is passed to ``series.shift``: with
-    ``whole=True`` all rows come out of one pass."""
+    can release it after writing. ``how`` is passed to ``series.shift``."""
     keys, order = KEYS, ORDER
     # rows not newer than the station's last processed reading are late
     last = tail.groupBy(*keys).agg(F.max(F.struct("ts", "event_id")).alias("_last"))
@@ -92,18 +91,18 @@ def cycle_batch(new: DataFrame, tail: DataFrame, model: LinearModel,
     missing = F.concat_ws(",", *[F.when(F.col(c).isNull() | F.isnan(c), F.lit(c)) for c in MOISTURE_FEATURES])
     ingest = (_out(late, "rejected", reason=F.lit("late"), feats=False)
               .unionByName(_out(null_reading, "rejected", reason=F.lit("null reading"), feats=False)))
-    emitted = (_one_pass if how.get("whole") else _by_store)(cyc, fresh, missing, keys, order, how)
+    emitted = emitted_rows(cyc, fresh, missing, keys, order, how)
     return emitted.unionByName(ingest), next_tail(cyc, keys, order)
 
 
-def _one_pass(cyc: DataFrame, fresh, missing, keys, order, how) -> DataFrame:
-    """All stores' rows of every cycle: the three "next" readings are leads of
-    one window, and each cycle explodes into the rows it emits."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+def emitted_rows(cyc: DataFrame, fresh, missing, keys, order, how) -> DataFrame:
+    """All stores' rows of every cycle in one pass: the next accepted and the
+    next logged reading are leads that skip NULLs, and each cycle explodes into
+    the rows it emits."""
     cyc = cyc.withColumns({
         "_a": F.when(F.col("accepted"), F.col("soil_moisture")), "_g": F.when(F.col("logged"), F.col("soil_moisture"))})
-    cyc = cyc.withColumns({"_label": F.expr("lead(_a, 1) IGNORE NULLS").over(w),
-                           "_actual": F.expr("lead(_g, 1) IGNORE NULLS").over(w)})
+    cyc = series.shift(cyc, keys, order, leads={"_label": ("_a", 1)}, skip_nulls=True, **how)
+    cyc = series.shift(cyc, keys, order, leads={"_actual": ("_g", 1)}, skip_nulls=True, **how)
     due = lambda flag: fresh | F.coalesce(F.col(flag), F.lit(False))
     none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
 
@@ -125,27 +124,6 @@ def _one_pass(cyc: DataFrame, fresh, missing, keys, order, how) -> DataFrame:
                       "r.label", "r.predicted", "r.absolute_error", "r.reason")
 
 
-def _by_store(cyc: DataFrame, fresh, missing, keys, order, how) -> DataFrame:
-    """The same rows store by store, each with its own bucketed shift."""
-    perm = cyc.filter(F.col("accepted") & F.col("future_permanent").isNotNull()
-                      & (fresh | F.coalesce(F.col("pend_perm"), F.lit(False))))
-    train = series.shift(cyc.filter("accepted"), keys, order, leads={"_label": ("soil_moisture", 1)}, **how)
-    train = train.filter(F.col("_label").isNotNull()
-                         & (fresh | F.coalesce(F.col("pend_train"), F.lit(False))))
-    pred = series.shift(cyc.filter("logged"), keys, order, leads={"_actual": ("soil_moisture", 1)}, **how)
-    pred = pred.filter(F.col("_actual").isNotNull()
-                       & (fresh | F.coalesce(F.col("pend_pred"), F.lit(False))))
-    incomplete = cyc.filter(fresh & ~F.col("is_seed") & ~F.col("accepted"))
-    out_of_range = cyc.filter(fresh & F.col("accepted") & ~F.col("logged"))
-    return (_out(perm, "permanent", label=F.col("future_permanent"))
-            .unionByName(_out(train, "training", label=F.col("_label")))
-            .unionByName(_out(pred, "prediction", label=F.col("_actual"), predicted=F.col("predicted"),
-                              err=F.abs(F.col("predicted") - F.col("_actual")), feats=False))
-            .unionByName(_out(incomplete, "rejected", reason=F.concat(F.lit("incomplete: "), missing)))
-            .unionByName(_out(out_of_range, "rejected", predicted=F.col("predicted"),
-                              reason=F.lit("prediction out of range"))))
-
-
 def next_tail(cyc: DataFrame, keys, order) -> DataFrame:
     """The rows the next batch needs: bounded selections per station, each a partial top-k."""
     base = cyc.select(

@@ -192,5 +192,9 @@ def test_hot_station_within_one_day_is_split(spark):
     lags = {"p": ("v", 2)}
     want = sorted(map(tuple, series.shift(df, ["k"], ["ts", "id"], lags, whole=True, **halo).collect()))
     assert sorted(map(tuple, series.shift(df, ["k"], ["ts", "id"], lags, bucket_rows=200, **halo).collect())) == want
+    thin = df.withColumn("v", F.when(F.col("id") % 7 == 0, F.col("v")))
+    want = sorted(map(tuple, series.shift(thin, ["k"], ["ts", "id"], None, lags, whole=True, **halo).fillna(-1.0).collect()))
+    got = series.shift(thin, ["k"], ["ts", "id"], None, lags, bucket_rows=200, **halo)
+    assert sorted(map(tuple, got.fillna(-1.0).collect())) == want
     ids = series.row_ids(df, ["k"], ["ts", "id"], bucket_rows=200)
     assert sorted(map(tuple, ids.collect())) == sorted(map(tuple, series.row_ids(df, ["k"], ["ts", "id"]).collect()))
