@@ -13,7 +13,9 @@ from then on. Links are confirmed on whole sets, never on signatures:
 2. other such pairs that are still in different components,
 3. in bands that still hold several components, those outside the band's
    largest with one member of it, another in each of HUB_ROUNDS rounds,
-4. in bands that hold several components even then, every pair across them.
+4. in bands that hold several components even then, every pair across them:
+   a band is cut into cells of CELL_ROWS by CELL_ROWS rows, whose sketches are
+   compared in place; only pairs that may be links are emitted.
 
 Pairs inside a component need no check, so no group of copies is expanded
 into all pairs. A pair whose full signatures agree in less than ``SKETCH``
@@ -40,6 +42,7 @@ SHINGLE = 5
 BANDS, ROWS = 56, 5
 SKETCH = 0.62
 HUB_ROUNDS = 4
+CELL_ROWS = 1024
 PERCENT = 75
 NO_ID = np.iinfo(np.int64).max
 SIGNED = "doc long, n long, f1 long, f2 long, bands array<long>, sketch binary"
@@ -99,7 +102,7 @@ def _signed(batches):
             for r in range(ROWS):
                 key = mix(key * U(0x9E3779B97F4A7C15) + found[r::ROWS])
             bands.append(key.astype(np.int64))
-            sketch.append(found.astype(np.uint16).tobytes())
+            sketch.append(found.astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
              pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
@@ -115,11 +118,37 @@ def _sets(batches):
 def _alike(batches):
     """Pairs whose sketches agree often enough to be checked."""
     for batch in batches:
-        keep = [np.mean(np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)) >= SKETCH
+        keep = [np.mean(np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)) >= SKETCH
                 for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
         yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _near(table: pa.Table) -> pa.Table:
+    """Of each cell, the pairs of an x and a y row with different labels, similar
+    sizes and sketches that agree often enough; pairs that fail are not emitted."""
+    n_rows = table.num_rows
+    cell, side, ids, n, label = (table.column(c).to_numpy() for c in ("cell", "side", "id", "n", "label"))
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(n_rows, -1)
+    order = np.lexsort((side, cell))
+    edge = np.flatnonzero(np.concatenate([[True], cell[order][1:] != cell[order][:-1], [True]]))
+    a, b = [], []
+    for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        rows = order[lo:hi]
+        x, y = rows[side[rows] == 0], rows[side[rows] == 1]
+        if not len(y):
+            continue
+        other = sketch[y]
+        for i in x.tolist():
+            maybe = ((label[y] != label[i]) & (100 * np.minimum(n[y], n[i]) >= PERCENT * np.maximum(n[y], n[i])))
+            if maybe.any():
+                z = y[maybe][(other[maybe] == sketch[i]).mean(axis=1) >= SKETCH]
+                a.append(np.minimum(ids[z], ids[i]))
+                b.append(np.maximum(ids[z], ids[i]))
+    none = np.zeros(0, np.int64)
+    pairs = np.unique(np.stack([np.concatenate([none, *a]), np.concatenate([none, *b])]), axis=1)
+    return pa.table({"a": pairs[0], "b": pairs[1]})
+
+
 def _confirmed(batches):
     """Pairs whose whole sets are similar enough."""
     for batch in batches:
@@ -199,13 +228,19 @@ class Search:
             links = written(links.union(more), "links")
             labels = components(links)
         found, main = self.labelled(labels, HUB_ROUNDS)
-        members = written(found.join(main.select("band", "main"), "band"), "members")
-        x = members.where("label != main").select("band", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"))
-        y = members.select("band", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("label").alias("ly"))
-        rest = (x.join(y, "band").where("lx != ly")
-                .where(f"100 * least(nx, ny) >= {PERCENT} * greatest(nx, ny)")
-                .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
-        more = written(self.confirmed(self.alike(rest)), "links")
+        sizes = found.groupBy("band").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("blocks"))
+        members = (found.join(main.select("band", "main"), "band").join(sizes, "band")
+                   .withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+                   .withColumn("across", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+        members = members.join(self.sketches.select("id", "sketch"), "id")
+        row = lambda side, x, y: members.select(
+            F.xxhash64("band", x, y).alias("cell"), F.lit(side).alias("side"), "id", "n", "label", "main", "sketch")
+        cells = (row(0, F.col("block").cast("long"), F.col("across").cast("long")).where("label != main")
+                 .unionByName(row(1, F.col("across").cast("long"), F.col("block").cast("long"))).drop("main"))
+        parts = 4 * int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rest = (cells.groupBy(F.pmod("cell", F.lit(parts)).alias("bucket"))
+                .applyInArrow(lambda key, table: _near(table), "a long, b long").distinct())
+        more = written(self.confirmed(rest), "links")
         if not more.limit(1).count():
             return labels
         return components(links.union(more))
