@@ -7,7 +7,8 @@ anchor need comparing. Consecutive windows with one anchor form a *run*
 
 1. ``anchored``: each task finds the runs of the texts it reads and keeps, of
    runs with the same content, the first (the rest repeat it: their span is
-   removed). This keeps groups of copies, however large, to one row a task.
+   removed). All runs of an anchor share its hash, so contents are equal when
+   two independent 64-bit hashes of the whole run are. This keeps groups of copies, however large, to one row a task.
 2. ``sifted``: runs meet by anchor. Of equal runs all but the first are
    removed. An anchor with one content only is done; the runs of other anchors
    are *open*: they may agree in some windows.
@@ -42,9 +43,11 @@ SPLIT = 2048
 PIECE = 1 << 20
 NO_ID = np.iinfo(np.int64).max  # a null doc_id: after all others
 LAST = U(0xFFFFFFFF)
-RUN = np.dtype([("h", "<u8"), ("r", "<u4"), ("doc", "<i8"), ("lo", "<u4"), ("a", "u1"), ("n", "u1")])
+RUN = np.dtype([("h", "<u8"), ("r", "<u8"), ("s", "<u8"), ("doc", "<i8"), ("lo", "<u4"), ("a", "u1"), ("n", "u1")])
 SPAN = np.dtype([("doc", "<i8"), ("lo", "<u4"), ("hi", "<u4")])
 OPEN = np.dtype([("doc", "<i8"), ("lo", "<u4"), ("n", "u1"), ("hot", "u1"), ("h", "<u8")])
+SAME = ("h", "r", "s")  # equal runs: the anchor's hash and both hashes of the content
+SECOND = U(0xA24BAED4963EE407)
 ROWS = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("rows", pa.binary()), ("body", pa.binary())])
 ROWS_SQL = "bucket int, kind int, rows binary, body binary"
 RUNS, SPANS, OPENS = 0, 1, 2
@@ -111,6 +114,13 @@ def unpacked(table, kind: int, dtype: np.dtype) -> np.ndarray:
     return np.frombuffer(b"".join(blobs), dtype)
 
 
+def content_of_runs(spec: Windows, wide: np.ndarray, half: int, lo: np.ndarray, hi: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run from its ``half``-grams, four of which cover it."""
+    out = mix(wide[lo]) + wide[lo + spec.size - half] * U(3)
+    out = mix(out) + wide[hi] * U(5) + mix(wide[hi + spec.size - half] * U(7))
+    return mix(out + place)
+
+
 def runs_of(spec: Windows, values: np.ndarray, offsets: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """The runs of documents whose token hashes lie end to end in ``values``."""
     start = np.arange(len(values), dtype=np.int64)
@@ -126,12 +136,11 @@ def runs_of(spec: Windows, values: np.ndarray, offsets: np.ndarray, docs: np.nda
     first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
     last = np.append(first[1:], len(anchor)) - 1
     lo, hi, anchor = start[first], start[last], anchor[first]
-    wide = grams[half]
-    content = mix(wide[lo]) + wide[lo + spec.size - half] * U(3)
-    content = mix(content) + wide[hi] * U(5) + mix(wide[hi + spec.size - half] * U(7))
-    content = mix(content + ((hi - lo) * 256 + anchor - lo).astype(np.uint64))
+    place = ((hi - lo) * 256 + anchor - lo).astype(np.uint64)
     rows = np.zeros(len(lo), RUN)
-    rows["h"], rows["r"] = h[anchor], (content >> U(32)).astype(np.uint32)
+    rows["h"], rows["r"] = h[anchor], content_of_runs(spec, grams[half], half, lo, hi, place)
+    del grams, h
+    rows["s"] = content_of_runs(spec, power_grams(mix(values ^ SECOND), half)[half], half, lo, hi, place)
     rows["doc"], rows["lo"] = docs[doc[lo]], lo - offsets[doc[lo]]
     rows["a"], rows["n"] = anchor - lo, hi - lo
     return rows
@@ -185,7 +194,7 @@ def _anchored(batches, spec: Windows, buckets: int):
                 rows = runs_of(spec, part, at, docs[a:b])
                 rows["lo"] += np.uint32(p - lo)
                 found.append(rows)
-        rows, repeats = settled(spec, np.concatenate(found or [np.zeros(0, RUN)]), ("h", "r"))
+        rows, repeats = settled(spec, np.concatenate(found or [np.zeros(0, RUN)]), SAME)
         kept = rows[~repeats]
         yield packed(RUNS, kept, (kept["h"] % U(buckets)).astype(np.int64))
         spans = spans_of(spec, rows[repeats])
@@ -194,7 +203,7 @@ def _anchored(batches, spec: Windows, buckets: int):
 
 def _sifted(table, spec: Windows, buckets: int):
     """Of one bucket: removed spans and open runs, dealt by document."""
-    rows, repeats = settled(spec, unpacked(table, RUNS, RUN), ("h", "r"))
+    rows, repeats = settled(spec, unpacked(table, RUNS, RUN), SAME)
     spans = np.concatenate([unpacked(table, SPANS, SPAN), spans_of(spec, rows[repeats])])
     out = [packed(SPANS, spans, doc_bucket(spans["doc"], buckets))]
     rows = rows[~repeats]
@@ -202,7 +211,8 @@ def _sifted(table, spec: Windows, buckets: int):
         new = np.concatenate([[True], rows["h"][1:] != rows["h"][:-1]])
         group = np.cumsum(new) - 1
         size = np.bincount(group)
-        varied = np.bincount(group[1:], weights=(~new[1:]) & (rows["r"][1:] != rows["r"][:-1]), minlength=len(size)) > 0
+        other = (rows["r"][1:] != rows["r"][:-1]) | (rows["s"][1:] != rows["s"][:-1])
+        varied = np.bincount(group[1:], weights=(~new[1:]) & other, minlength=len(size)) > 0
         keep = varied[group]
         open_runs = np.zeros(int(keep.sum()), OPEN)
         for f in ("doc", "lo", "n", "h"):

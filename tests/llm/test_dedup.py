@@ -41,6 +41,41 @@ def test_common_anchor_is_split(frame, monkeypatch):
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got} == want
 
 
+def test_runs_of_one_anchor_are_equal_by_content_only():
+    """300,000 different contexts of one phrase: 32 bits of content join about ten pairs."""
+    import pyarrow as pa
+    phrase = " ".join(f"w{i}" for i in range(12))
+    n = 300_000
+    batch = pa.record_batch([pa.array(range(n)), pa.array([f"x{i} {phrase}" for i in range(n)])], ["doc_id", "text"])
+    out = pa.Table.from_batches(list(repeats._anchored([batch], substring.windows(), 1)))
+    runs = repeats.unpacked(out, repeats.RUNS, repeats.RUN)
+    assert len(runs) == n and not len(repeats.unpacked(out, repeats.SPANS, repeats.SPAN))
+    assert np.unique(runs["h"], return_counts=True)[1].max() > n // 2
+
+
+@pytest.mark.parametrize("narrow", ["r", "s"])
+def test_either_content_hash_tells_runs_apart(monkeypatch, narrow):
+    import pyarrow as pa
+    made = repeats.runs_of
+
+    def narrowed(*args):
+        rows = made(*args)
+        rows[narrow] &= np.uint64(3)
+        return rows
+
+    monkeypatch.setattr(repeats, "runs_of", narrowed)
+    docs = [(i, t or "") for i, t in brute.corpus(seed=6) if i is not None]
+    for spec, operator, want in ((substring.windows(), substring, brute.substring_dedup(docs)),
+                                 (suffix.windows(), suffix, brute.suffix_dedup(docs))):
+        whole = pa.table({"doc_id": pa.array([i for i, _ in docs], pa.int64()), "text": [t for _, t in docs]})
+        found = pa.Table.from_batches(list(repeats._anchored(whole.combine_chunks().to_batches(), spec, 1)))
+        sifted = repeats._sifted(found, spec, 1)
+        resolved = repeats._resolved(repeats._gathered(whole, sifted, spec, 1), spec, 1, operator.resolve)
+        spans = np.concatenate([repeats.unpacked(t, repeats.SPANS, repeats.SPAN) for t in (sifted, resolved)])
+        got = {r["doc_id"]: tuple(r.values())[1:] for r in operator._digests(whole, spans).to_pylist()}
+        assert got == want
+
+
 def test_pieces_of_a_long_text_change_nothing(frame, monkeypatch):
     docs = [(1, "".join(chr(97 + i * i % 23) for i in range(4000))), (2, "".join(chr(97 + i * i % 23) for i in range(1500, 2600)))]
     spec, want = suffix.windows(), brute.suffix_dedup(docs)
