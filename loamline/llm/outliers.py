@@ -14,6 +14,11 @@ on how rows are dealt, and a group of any size is aggregated before it is
 shuffled. Covariances are scaled to be consistent for normal data and get
 ``FLOOR`` squared added on the diagonal, because most texts have no symbols or
 repeats at all and a variance of zero would reject the first that has one.
+The statistics are scaled so that each alone can pass the cut-off: where most
+texts have none, half of four or more lines being duplicates, or a quarter of
+250 or more words in repeated windows, is enough; one repeated line of a short
+text is not (two lines and 40 words are added to the shares' divisors, so under
+about 100 words repeats alone are left to the base rule).
 Groups of fewer than ``LEAST_ROWS`` rows are pooled by language; where that
 pool is small, too, the base rule decides alone.
 
@@ -107,8 +112,8 @@ def transformed(rows: DataFrame) -> DataFrame:
         "base_failed": failed,
         "word_length": 4 * F.log1p(F.col("word_chars") / F.greatest("n_words", F.lit(1))),
         "symbols": 2 * share("n_symbols", "word_chars"),
-        "dup_lines": 0.6 * share("n_dup_lines", "n_lines"),
-        "repeats": 0.6 * share("n_repeat_words", "n_words")})
+        "dup_lines": 12 * F.col("n_dup_lines") / (F.col("n_lines") + 2),
+        "repeats": 18 * F.col("n_repeat_words") / (F.col("n_words") + 40)})
 
 
 def keyed(rows: DataFrame) -> DataFrame:

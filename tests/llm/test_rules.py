@@ -76,6 +76,26 @@ def test_outliers_go_and_ordinary_texts_stay(frame):
     assert all(got[i] for i, _ in docs) and not any(got[i] for i, _ in junk)
 
 
+@pytest.mark.parametrize("statistic", ["word_length", "symbols", "dup_lines", "repeats"])
+def test_each_statistic_alone_rejects(frame, statistic):
+    rnd = random.Random(9)
+    word = lambda n=0: "".join(rnd.choice("abcdefghij") for _ in range(n or rnd.randint(2, 8)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    lines = lambda n: "\n".join(text(10) for _ in range(n))
+    once = text(30)
+    planted = {
+        "word_length": lambda: " ".join(word(40) for _ in range(60)),
+        "symbols": lambda: " ".join(word(3) + "##" for _ in range(60)),
+        "dup_lines": lambda: "\n".join(f"{text(12)}\nread more" for _ in range(12)),  # 11 of 24 lines
+        "repeats": lambda: f"{text(75)} {once} {text(75)} {once}"}[statistic]  # 60 of 210 words
+    docs = [(2 * i + 1, lines(rnd.randint(4, 20))) for i in range(300)]
+    docs += [(2001 + 2 * i, (t := text(10)) + "\n" + lines(12) + "\n" + t) for i in range(10)]  # one line twice
+    bad = [(10_001 + 2 * i, planted()) for i in range(10)]
+    got = {r.doc_id: r for r in outliers.quality(frame(docs + bad)).collect()}
+    assert all(got[i].kept for i, _ in docs)
+    assert not any(got[i].base_failed or got[i].kept for i, _ in bad)
+
+
 def test_distance_is_mahalanobis(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, 4)) @ rng.normal(size=(4, 4))
