@@ -9,7 +9,7 @@ from loamline.sources import adapters
 from loamline.sources.tables import table
 from loamline.streaming import fertility
 
-from conftest import SF_MID
+from paths import SF_MID
 
 
 WEIGHTS = {"prev_2": 0.8, "soil_temp": -0.4, "hour_cos": 1.5}

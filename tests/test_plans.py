@@ -4,15 +4,16 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
-from conftest import SF_SMALL
+from loamline.plans.catalog import QUERIES
+
+from paths import SF_SMALL
 
 ROWS_ONLY_MODELS = {"least_squares_fit", "online_epoch", "learning_rate_sweep", "fitted_model_comparison",
                     "boosted_regression", "classifier_reports", "fertility_scoring"}
 
 
 def _plan(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -32,7 +33,7 @@ def plan_has(plan, word):
     return word in plan
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - ROWS_ONLY_MODELS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - ROWS_ONLY_MODELS))
 def test_no_cross_or_nested_loop_joins(spark, name):
     plan = _plan(spark, name)
     assert "CartesianProduct" not in plan

@@ -93,7 +93,7 @@ def test_last_n_plans_group_limit(spark):
 def test_hot_station_from_events(spark, monkeypatch):
     """A third of all readings re-keyed to one station: the flagship stays
     exact, and that station's rows are spread over many window tasks."""
-    from conftest import SF_MID
+    from paths import SF_MID
     from loamline.operators import features
     from loamline.sources import adapters
     from loamline.sources.tables import table

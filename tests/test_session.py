@@ -6,7 +6,7 @@ from loamline.plans import catalog
 from loamline.session import checkpoint_dir
 from loamline.sources.tables import table
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_checkpoint_dir_comes_from_the_session(spark):

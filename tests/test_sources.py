@@ -5,7 +5,7 @@ from loamline.operators import features
 from loamline.schemas import FEATURE_ROWS, MOISTURE_FEATURES, MOISTURE_TARGET
 from loamline.sources import adapters, sinks, tables
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_register_views_and_sql(spark):

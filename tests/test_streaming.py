@@ -12,7 +12,7 @@ from loamline.sources.tables import table
 from loamline.operators import quality
 from loamline.streaming import moisture, retrain
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 from loamline.schemas import READINGS as READ_SCHEMA  # noqa: E402
 
