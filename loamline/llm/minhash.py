@@ -6,25 +6,32 @@ second, shifted circularly by k, gives coordinate k. ``ROWS`` coordinates
 form a band; two sets at the similarity threshold miss all bands with
 probability (1 - 0.75 ** ROWS) ** BANDS, about 3e-7.
 
-Documents with equal sets form a class, represented by the smallest doc_id
-from then on. Links are confirmed on whole sets, never on signatures:
+Documents with equal sets form a class with a number of its own; doc_ids only
+name the rows and the reported components, so null or repeated ids join
+nothing. Links are confirmed on whole sets, never on signatures:
 
-1. each representative with the smallest id it shares a band with,
+1. each class with the smallest one it shares a band with,
 2. other such pairs that are still in different components,
 3. in bands that still hold several components, those outside the band's
    largest with one member of it, another in each of HUB_ROUNDS rounds,
-4. in bands that hold several components even then, every pair across them:
-   a band is cut into cells of CELL_ROWS by CELL_ROWS rows, whose sketches are
-   compared in place; only pairs that may be links are emitted.
+4. in bands that hold several components even then, every pair across them.
+   A band is cut into cells: a block of the rows outside its largest component
+   against a block of all its rows. First the sketches of a cell are compared
+   in place, and rows that may have a link there stay; then their whole sets
+   meet in the cell, and only links that join two components not joined in
+   this cell yet leave it. So a cell emits fewer rows than it reads, whatever
+   the number of pairs.
 
 Pairs inside a component need no check, so no group of copies is expanded
-into all pairs. A pair whose full signatures agree in less than ``SKETCH``
-of the coordinates is not checked: at the threshold that is 5 standard
-deviations below the mean.
+into all pairs. Two sets whose full signatures agree in less than ``SKETCH``
+of the coordinates are not checked in step 4: at the threshold that is 5
+standard deviations below the mean (``tests/llm`` measures it).
 
 A null or empty text has an empty set, linked with nothing; a text of fewer
-than five words has one shingle. Equal rows belong to one class. A null
-doc_id counts as larger than all others; extra columns are dropped.
+than five words has one shingle. Equal rows belong to one class; ties do not
+occur, as component ids are minima. A null doc_id counts as larger than all
+others, and a component of null ids only has a null id; ``kept`` is true where
+the row's doc_id is the component's, null included. Extra columns are dropped.
 """
 
 from __future__ import annotations
@@ -36,16 +43,20 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .sequences import U, gram, mix, utf8, word_values, words
-from .tables import bounded_batches, texts, written
+from .tables import bounded_batches, joined_by_size, texts, whole_groups, written
 
 SHINGLE = 5
 BANDS, ROWS = 56, 5
 SKETCH = 0.62
-HUB_ROUNDS = 4
-CELL_ROWS = 1024
+HUB_ROUNDS = 2
+CELL_ROWS = 512
+CELL_SHINGLES = 1 << 20
 PERCENT = 75
 NO_ID = np.iinfo(np.int64).max
-SIGNED = "doc long, n long, f1 long, f2 long, bands array<long>, sketch binary"
+SIGNED = "doc long, h long, n long, f1 long, f2 long, bands array<long>, sketch binary"
+CELL = "cell long, side int, id long, n long, label long"
+PAIRS = 1 << 16  # compared at once
+VOCABULARY = 4096
 
 
 def shingle_sets(column) -> list[np.ndarray]:
@@ -89,7 +100,7 @@ def signature(shingles: np.ndarray, size: int = BANDS * ROWS, step: int = 2048)
 def _signed(batches):
     for batch in batches:
         n, f1, f2, bands, sketch = [], [], [], [], []
-        for s in shingle_sets(batch.column(1)):
+        for s in shingle_sets(batch.column("text")):
             n.append(len(s))
             f1.append(int(mix(s + U(1)).sum(dtype=np.uint64).astype(np.int64)))
             f2.append(int(mix(s * U(0xA0761D6478BD642F)).sum(dtype=np.uint64).astype(np.int64)))
@@ -104,15 +115,15 @@ def _signed(batches):
             bands.append(key.astype(np.int64))
             sketch.append(found.astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
-             pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-            names=["doc", "n", "f1", "f2", "bands", "sketch"])
+            [batch.column("doc"), batch.column("h"), pa.array(n, pa.int64()), pa.array(f1, pa.int64()),
+             pa.array(f2, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+            names=["doc", "h", "n", "f1", "f2", "bands", "sketch"])
 
 
 def _sets(batches):
     for batch in batches:
-        sets = [s.tobytes() for s in shingle_sets(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc", "shingles"])
+        sets = [s.tobytes() for s in shingle_sets(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], names=["id", "shingles"])
 
 
 def _alike(batches):
@@ -123,30 +134,92 @@ def _alike(batches):
         yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _near(table: pa.Table) -> pa.Table:
-    """Of each cell, the pairs of an x and a y row with different labels, similar
-    sizes and sketches that agree often enough; pairs that fail are not emitted."""
-    n_rows = table.num_rows
-    cell, side, ids, n, label = (table.column(c).to_numpy() for c in ("cell", "side", "id", "n", "label"))
-    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(n_rows, -1)
-    order = np.lexsort((side, cell))
-    edge = np.flatnonzero(np.concatenate([[True], cell[order][1:] != cell[order][:-1], [True]]))
-    a, b = [], []
-    for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist()):
-        rows = order[lo:hi]
-        x, y = rows[side[rows] == 0], rows[side[rows] == 1]
-        if not len(y):
-            continue
-        other = sketch[y]
-        for i in x.tolist():
-            maybe = ((label[y] != label[i]) & (100 * np.minimum(n[y], n[i]) >= PERCENT * np.maximum(n[y], n[i])))
-            if maybe.any():
-                z = y[maybe][(other[maybe] == sketch[i]).mean(axis=1) >= SKETCH]
-                a.append(np.minimum(ids[z], ids[i]))
-                b.append(np.maximum(ids[z], ids[i]))
-    none = np.zeros(0, np.int64)
-    pairs = np.unique(np.stack([np.concatenate([none, *a]), np.concatenate([none, *b])]), axis=1)
-    return pa.table({"a": pairs[0], "b": pairs[1]})
+def _cells(table: pa.Table):
+    """(edges of the cells, place of each cell's first y row) of rows sorted by cell and side."""
+    cell, side = table.column("cell").to_numpy(), table.column("side").to_numpy()
+    edge = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1], [True]]))
+    return edge, edge[:-1] + np.add.reduceat((side == 0).astype(np.int64), edge[:-1])
+
+
+def _maybe(batches):
+    """Of each cell, the rows that another label's row may link with: similar
+    sizes and sketches that agree often enough."""
+    for table in whole_groups(batches, "cell"):
+        edge, middle = _cells(table)
+        n, label = table.column("n").to_numpy(), table.column("label").to_numpy()
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+        x = np.concatenate([np.arange(a, b) for a, b in zip(edge[:-1], middle)])  # the x rows
+        size, first = np.repeat(edge[1:] - middle, middle - edge[:-1]), np.repeat(middle, middle - edge[:-1])
+        hit = np.zeros(table.num_rows, bool)
+        total, done = np.cumsum(size), 0
+        while done < len(x):
+            last = max(done + 1, int(np.searchsorted(total, (total[done - 1] if done else 0) + PAIRS, "right")))
+            count = size[done:last]
+            i = np.repeat(x[done:last], count)
+            j = np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first[done:last], count)
+            near = (label[i] != label[j]) & (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
+            i, j = i[near], j[near]
+            near = (sketch[i] == sketch[j]).mean(axis=1) >= SKETCH
+            hit[i[near]] = hit[j[near]] = True
+            done = last
+        for batch in table.drop_columns("sketch").filter(pa.array(hit)).to_batches():
+            yield batch
+
+
+def similar(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Which sets of x and y (rows, columns) are similar enough; sets are sorted and distinct."""
+    both = np.zeros((len(x), len(y)), np.float32)
+    if len(x) * len(y) <= 16:
+        for i, a in enumerate(x):
+            both[i] = [len(np.intersect1d(a, b, assume_unique=True)) for b in y]
+    else:  # counts by matrix products over the shingles that both sides have, some at a time
+        vocabulary = np.intersect1d(np.concatenate(x), np.concatenate(y))
+        found = []
+        for sets in (x, y):
+            row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            flat = np.concatenate(sets)
+            at = np.searchsorted(vocabulary, flat)
+            known = np.zeros(len(flat), bool)
+            known[at < len(vocabulary)] = vocabulary[at[at < len(vocabulary)]] == flat[at < len(vocabulary)]
+            found.append((row[known], at[known], len(sets)))
+        for lo in range(0, len(vocabulary), VOCABULARY):
+            part = []
+            for row, at, size in found:
+                some = (at >= lo) & (at < lo + VOCABULARY)
+                has = np.zeros((size, VOCABULARY), np.float32)
+                has[row[some], at[some] - lo] = 1
+                part.append(has)
+            both += part[0] @ part[1].T
+    total = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])
+    return 100 * both >= PERCENT * (total - both)
+
+
+def _joining(batches):
+    """Of each cell, links of labels that join what the cell's earlier links did not."""
+    for table in whole_groups(batches, "cell"):
+        edge, middle = _cells(table)
+        label = table.column("label").to_numpy()
+        sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
+        a, b = [], []
+        for lo, mid, hi in zip(edge[:-1].tolist(), middle.tolist(), edge[1:].tolist()):
+            if lo == mid or mid == hi:
+                continue
+            i, j = np.nonzero(similar(sets[lo:mid], sets[mid:hi]) & (label[lo:mid, None] != label[mid:hi]))
+            root: dict[int, int] = {}
+
+            def top(k):
+                while root.setdefault(k, k) != k:
+                    root[k] = root[root[k]]
+                    k = root[k]
+                return k
+
+            for x, y in np.unique(np.stack([label[lo + i], label[mid + j]]), axis=1).T.tolist():
+                p, q = top(x), top(y)
+                if p != q:
+                    root[p] = q
+                    a.append(x)
+                    b.append(y)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def _confirmed(batches):
@@ -160,25 +233,34 @@ def _confirmed(batches):
         yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Rows with a hash of the text; a row is known by doc and h together."""
+    return texts(docs).select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("h"), "text")
+
+
 class Search:
-    """The tables of one search; ids are representatives' doc_ids."""
+    """The tables of one search; ``id`` is the number of a class of equal sets."""
 
     def __init__(self, docs: DataFrame):
-        spark = docs.sparkSession
-        bounded_batches(spark)
-        docs = texts(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
+        bounded_batches(docs.sparkSession)
+        docs = _keyed(docs)
         self.signed = written(docs.mapInArrow(_signed, SIGNED), "signed")
-        full = self.signed.where("n > 0")
-        self.classes = full.groupBy("f1", "f2", "n").agg(F.min("doc").alias("rep"))
-        one = full.groupBy("f1", "f2", "n").agg(F.min(F.struct("doc", "bands", "sketch")).alias("x"))
-        reps = one.select(F.col("x.doc").alias("id"), "n", "x.bands", "x.sketch")
-        self.banded = reps.select("id", "n", F.explode("bands").alias("band"))
-        shared = self.banded.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("size")).where("size > 1")
-        self.shared = written(self.banded.join(shared, "band").select("band", "id", "n", "hub"), "shared")
+        key = F.struct(F.coalesce("doc", F.lit(NO_ID)).alias("doc"), "h", "bands", "sketch")
+        one = self.signed.where("n > 0").groupBy("f1", "f2", "n").agg(
+            F.min("doc").alias("least"), F.count("*").alias("size"), F.min(key).alias("x"))
+        # numbered once and read back: a partition's numbers do not depend on its rows' order
+        self.classes = written(one.select(
+            F.monotonically_increasing_id().alias("id"), "f1", "f2", "n", "least", "size", "x.*"), "classes")
+        banded = self.classes.select("id", "n", F.explode("bands").alias("band"))
+        shared = banded.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("size")).where("size > 1")
+        self.shared = written(banded.join(shared, "band").select("band", "id", "n", "hub"), "shared")
         ids = self.shared.select("id").distinct()
-        self.sketches = written(reps.select("id", "n", "sketch").join(ids, "id", "left_semi"), "sketches")
-        self.sets = written(docs.join(ids, docs["doc"] == ids["id"], "left_semi").mapInArrow(
-            _sets, "doc long, shingles binary"), "sets")
+        self.sketches = written(self.classes.select("id", "n", "sketch").join(ids, "id", "left_semi"), "sketches")
+        of = self.classes.select("id", F.col("doc").alias("rep"), "h").join(ids, "id", "left_semi")
+        chosen = docs.join(of, (F.coalesce(docs["doc"], F.lit(NO_ID)) == of["rep"]) & (docs["h"] == of["h"]))
+        sets = chosen.select("id", "text").mapInArrow(_sets, "id long, shingles binary")
+        # rows that repeat both id and text give the set of their class several times
+        self.sets = written(sets.groupBy("id").agg(F.first("shingles").alias("shingles")), "sets")
 
     def alike(self, pairs: DataFrame) -> DataFrame:
         """Distinct pairs a < b of similar size whose sketches agree."""
@@ -189,8 +271,8 @@ class Search:
         return near.select("a", "b", "sa", "sb").mapInArrow(_alike, "a long, b long")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        x = self.sets.select(F.col("doc").alias("a"), F.col("shingles").alias("sa"))
-        y = self.sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb"))
+        x = self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+        y = self.sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
         return pairs.join(x, "a").join(y, "b").select("a", "b", "sa", "sb").mapInArrow(_confirmed, "a long, b long")
 
     def across(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -202,14 +284,43 @@ class Search:
 
     def labelled(self, labels: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
         """Members of shared bands with their labels; and for each band that holds
-        several labels its most frequent one with a member (by ``turn``)."""
+        several labels its most frequent one with a member (by ``turn``), and the
+        rows and shingles of the whole band and of the other labels."""
         found = (self.shared.join(labels, "id", "left")
                  .select("band", "id", "n", F.coalesce("label", "id").alias("label")))
         each = found.groupBy("band", "label").agg(
-            F.count("*").alias("size"), F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id")).alias("hub"))
-        main = (each.groupBy("band").agg(F.max(F.struct("size", "label", "hub")).alias("top"), F.count("*").alias("labels"))
-                .where("labels > 1").select("band", F.col("top.label").alias("main"), F.col("top.hub.id").alias("hub")))
-        return found, main
+            F.count("*").alias("size"), F.sum("n").alias("shingles"),
+            F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id")).alias("hub"))
+        main = each.groupBy("band").agg(
+            F.max(F.struct("size", "label", "hub", "shingles")).alias("top"), F.count("*").alias("labels"),
+            F.sum("size").alias("rows"), F.sum("shingles").alias("shingles")).where("labels > 1")
+        return found, main.select(
+            "band", F.col("top.label").alias("main"), F.col("top.hub.id").alias("hub"), "rows", "shingles",
+            (F.col("rows") - F.col("top.size")).alias("other_rows"),
+            (F.col("shingles") - F.col("top.shingles")).alias("other_shingles"))
+
+    def cells(self, labels: DataFrame) -> DataFrame:
+        """Rows of the cells of bands that hold several labels, with their sketches."""
+        found, main = self.labelled(labels, HUB_ROUNDS)
+        blocks = lambda rows, shingles: F.greatest(
+            F.ceil(F.col(rows) / CELL_ROWS), F.ceil(F.col(shingles) / CELL_SHINGLES)).cast("int")
+        main = main.select("band", "main", blocks("other_rows", "other_shingles").alias("xs"),
+                           blocks("rows", "shingles").alias("ys"))
+        members = found.join(main, "band").join(self.sketches.select("id", "sketch"), "id")
+        own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+        each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        columns = lambda side: (F.xxhash64("band", "i", "j").alias("cell"), F.lit(side).alias("side"),
+                                "id", "n", "label", "sketch")
+        x = members.where("label != main").withColumn("i", own("xs")).withColumn("j", each("ys")).select(*columns(0))
+        y = members.withColumn("j", own("ys")).withColumn("i", each("xs")).select(*columns(1))
+        return x.unionByName(y)
+
+    def joining(self, labels: DataFrame) -> DataFrame:
+        """Links (a, b) of labels that join all components some pair of a band links."""
+        near = written(self.cells(labels).repartition("cell").sortWithinPartitions("cell", "side")
+                       .mapInArrow(_maybe, CELL), "cells")
+        whole = near.join(self.sets, "id").repartition("cell").sortWithinPartitions("cell", "side")
+        return whole.select("cell", "side", "label", "shingles").mapInArrow(_joining, "a long, b long").distinct()
 
     def run(self) -> DataFrame:
         """(id, label) of every representative that is linked with another."""
@@ -227,33 +338,51 @@ class Search:
                 break
             links = written(links.union(more), "links")
             labels = components(links)
-        found, main = self.labelled(labels, HUB_ROUNDS)
-        sizes = found.groupBy("band").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("blocks"))
-        members = (found.join(main.select("band", "main"), "band").join(sizes, "band")
-                   .withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
-                   .withColumn("across", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-        members = members.join(self.sketches.select("id", "sketch"), "id")
-        row = lambda side, x, y: members.select(
-            F.xxhash64("band", x, y).alias("cell"), F.lit(side).alias("side"), "id", "n", "label", "main", "sketch")
-        cells = (row(0, F.col("block").cast("long"), F.col("across").cast("long")).where("label != main")
-                 .unionByName(row(1, F.col("across").cast("long"), F.col("block").cast("long"))).drop("main"))
-        parts = 4 * int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rest = (cells.groupBy(F.pmod("cell", F.lit(parts)).alias("bucket"))
-                .applyInArrow(lambda key, table: _near(table), "a long, b long").distinct())
-        more = written(self.confirmed(rest), "links")
+        more = written(self.joining(labels), "links")
         if not more.limit(1).count():
             return labels
         return components(links.union(more))
 
+    def rows(self) -> DataFrame:
+        """doc, h, n, label, component of each row; label and component are null without words."""
+        classes = self.classes.join(self.run(), "id", "left").select(
+            "id", "f1", "f2", "n", "least", "size", F.coalesce("label", "id").alias("label"))
+        groups = classes.groupBy("label").agg(F.min("least").alias("component"), F.count("*").alias("members"))
+        known = joined_by_size(classes, groups, ["label"], "members", self.classes.count())
+        known = known.select("f1", "f2", "n", "label", "component", "size")
+        signed = self.signed.select("doc", "h", "n", "f1", "f2")
+        some = joined_by_size(signed.where("n > 0"), known, ["f1", "f2", "n"], "size", self.signed.count())
+        none = signed.where("n = 0").withColumns({c: F.lit(None).cast("long") for c in ("label", "component")})
+        columns = ("doc", "h", "n", "label", "component")
+        return some.select(*columns).unionByName(none.select(*columns))
+
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row."""
-    search = Search(docs)
-    labels = search.run()
-    classes = search.classes.join(labels, F.col("rep") == F.col("id"), "left").select(
-        "f1", "f2", "n", F.coalesce("label", "rep").alias("component"))
-    rows = search.signed.select("doc", "n", "f1", "f2").join(classes, ["f1", "f2", "n"], "left")
-    component = F.coalesce("component", "doc")
-    return rows.select(
-        F.nullif("doc", F.lit(NO_ID)).alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.nullif(component, F.lit(NO_ID)).alias("component_id"), (F.col("doc") == component).alias("kept"))
+    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc"))
+    return Search(docs).rows().select(
+        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
+        F.col("doc").eqNullSafe(component).alias("kept"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text and others) with one row of each component: that of
+    the smallest doc_id (a null one only where all are), of rows that repeat this
+    id that of the smallest hash of the text, one of equal ones. Rows without
+    words all stay."""
+    rows = written(Search(docs).rows().where("n > 0").select("doc", "h", "label"), "components")
+    each = rows.groupBy("label", "doc", "h").agg(F.count("*").alias("copies"))
+    first = each.groupBy("label").agg(
+        F.min(F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "h", "copies")).alias("x"),
+        F.count("*").alias("members"))
+    first = first.select("label", F.struct("x.doc", "x.h").alias("first"), "members")
+    marked = joined_by_size(each, first, ["label"], "members", rows.count())
+    named = docs.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = lambda right: named["doc_id"].cast("long").eqNullSafe(right["doc"]) & (named["_h"] == right["h"])
+    marked = marked.withColumn("stays", F.struct("doc", "h").eqNullSafe(F.col("first")))
+    keys = written(marked.select("doc", "h", "copies", "stays"), "keys")
+    gone, again = keys.where("not stays"), keys.where("stays and copies > 1")
+    named = named.join(gone, same(gone), "left_anti")
+    once = named.join(again, same(again), "left_anti")
+    repeated = named.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "_h"])
+    return once.unionByName(repeated).drop("_h")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import posixpath
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +55,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def whole_groups(batches, column: str):
+    """Tables that hold whole runs of equal values of a column the batches are
+    sorted by; at most one run and one batch are held."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(column).to_numpy(zero_copy_only=False)
+        change = np.flatnonzero(key[1:] != key[:-1])
+        cut = int(change[-1]) + 1 if len(change) else 0
+        if cut:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = [batch.slice(cut)]
+        elif held and held[-1].column(column)[0].as_py() != key[0]:
+            yield pa.Table.from_batches(held)
+            held = [batch]
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def joined_by_size(rows: DataFrame, groups: DataFrame, on: list[str], size: str, total: int) -> DataFrame:
+    """``rows`` joined with the row of their group. Groups of more than a
+    thousandth of ``total`` rows, fewer than 1,000, are broadcast; the others
+    are shuffled, so no task gets a hot group."""
+    hot = F.broadcast(groups.where(F.col(size) * 1000 > total))
+    rest = groups.where(F.col(size) * 1000 <= total)
+    return rows.join(hot, on).unionByName(rows.join(hot.select(*on), on, "left_anti").join(rest, on))

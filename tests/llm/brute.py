@@ -71,6 +71,24 @@ def near_duplicates(docs):
     return {i: (len(sets[i]), top(i), top(i) == i) for i in sets}
 
 
+def near_rows(docs):
+    """(doc_id, n_shingles, component_id, kept) of each row; ids may be null or repeated."""
+    sets = [shingles(t) for _, t in docs]
+    group = list(range(len(docs)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            both = len(x & sets[j])
+            if both and 100 * both >= 75 * len(x | sets[j]) and group[i] != group[j]:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    least = {}
+    for (i, _), g in zip(docs, group):
+        if i is not None:
+            least[g] = min(i, least.get(g, i))
+    return [(i, len(x), least.get(g) if x else i, i == (least.get(g) if x else i))
+            for (i, _), x, g in zip(docs, sets, group)]
+
+
 def luhn(digits):
     total = 0
     for k, c in enumerate(reversed(digits)):

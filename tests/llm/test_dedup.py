@@ -123,6 +123,77 @@ def test_near_duplicates_equal_brute_force(frame):
     assert rows(minhash.near_duplicates(frame(docs))) == brute.near_duplicates(docs)
 
 
+def same_rows(got, want):
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+
+
+def test_null_and_repeated_ids_join_nothing(frame):
+    rnd = random.Random(9)
+    text = lambda: " ".join(rnd.choice("abcdefghijklmnop") + rnd.choice("xyz") for _ in range(40))
+    a, b, c, d = text(), text(), text(), text()
+    docs = [(5, a), (None, a + " extra"), (None, b), (None, c), (7, b + " z"), (9, c + " y"), (None, d), (None, d),
+            (5, d + " x"), (11, a), (12, None), (12, ""), (None, ""), (13, b + " z"), (13, b + " z"), (14, d + " w")]
+    same_rows(minhash.near_duplicates(frame(docs)).collect(), brute.near_rows(docs))
+    left = [(r.doc_id, r.text) for r in minhash.one_of_each(frame(docs)).collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    # of each component the smallest id's row; of rows without words each
+    want = [(5, a), (5, d + " x"), (7, b + " z"), (9, c + " y"), (12, None), (12, ""), (None, "")]
+    assert sorted(left, key=key) == sorted(want, key=key)
+    copies = [(None, d), (None, d), (None, d + " x"), (3, a), (3, a), (3, a + " extra")]
+    left = [(r.doc_id, r.text) for r in minhash.one_of_each(frame(copies)).collect()]
+    assert len(left) == 2 and (3, left[0][1] if left[0][0] else left[1][1]) in left
+    assert {t for i, t in left if i is None} <= {d, d + " x"}
+
+
+def near_group(n=500, words=120, seed=2):
+    """A group of near copies whose pairs lie around the threshold."""
+    rnd = random.Random(seed)
+    base = [f"w{rnd.randrange(5000)}" for _ in range(words)]
+    docs = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(rnd.choice([1, 2, 2, 3, 4, 5])):
+            w[rnd.randrange(words)] = f"x{rnd.randrange(40)}"
+        docs.append((i, " ".join(w)))
+    return docs
+
+
+def test_a_group_around_the_threshold(frame, monkeypatch):
+    """Cells smaller than the group; they emit no more links than labels."""
+    monkeypatch.setattr(minhash, "CELL_ROWS", 64)
+    monkeypatch.setattr(minhash, "PAIRS", 1000)
+    docs = near_group()
+    same_rows(minhash.near_duplicates(frame(docs)).collect(), brute.near_rows(docs))
+    search = minhash.Search(frame(docs))
+    apart = search.classes.selectExpr("id", "id as label")  # no class linked yet
+    cells = search.cells(apart).select("cell").distinct().count()
+    assert search.joining(apart).count() <= cells * 2 * 64
+    linked = minhash.components(search.joining(apart)).groupBy("label").count().collect()
+    parts = {}
+    for _, _, c, _ in brute.near_rows(docs):
+        parts[c] = parts.get(c, 0) + 1
+    classes = {frozenset(brute.shingles(t)) for _, t in docs}
+    assert sum(r["count"] for r in linked) <= len(classes) and len(linked) >= sum(k > 1 for k in parts.values()) - 1
+
+
+def test_similar_by_products_equals_sets():
+    rnd = np.random.default_rng(3)
+    sets = [np.unique(rnd.integers(0, 60, rnd.integers(1, 60)).astype(np.uint64)) for _ in range(60)]
+    want = [[100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b)) for b in sets[30:]] for a in sets[:30]]
+    assert (minhash.similar(sets[:30], sets[30:]) == np.array(want)).all()
+
+
+def test_sketches_and_bands_lose_no_pair_at_the_threshold():
+    rnd = np.random.default_rng(4)
+    for _ in range(400):
+        k = int(rnd.integers(1, 40))  # 6 k shared and k of each side's own: 6 / 8 = 0.75
+        both, a, b = np.split(rnd.integers(0, 1 << 63, 8 * k).astype(np.uint64), [6 * k, 7 * k])
+        x, y = (minhash.signature(np.concatenate([both, z])) for z in (a, b))
+        assert (x.astype(np.uint8) == y.astype(np.uint8)).mean() >= minhash.SKETCH
+        assert np.stack([x[r::minhash.ROWS] == y[r::minhash.ROWS] for r in range(minhash.ROWS)]).all(axis=0).any()
+
+
 def test_second_permutation_is_one():
     x = np.arange(1 << 16, dtype=np.uint32) * np.uint32(65521)
     assert len(np.unique(minhash.second_permutation(x.copy()))) == len(np.unique(x))
