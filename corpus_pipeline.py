@@ -29,9 +29,8 @@ def toxicity_stage(spark, docs, sf_dir):
 
 
 def near_dedup_stage(spark, docs, sf_dir):
-    """The smallest doc_id of each group of near-duplicates stays."""
-    gone = minhash.near_duplicates(docs).where("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each group of near-duplicates stays, that of the smallest doc_id."""
+    return minhash.one_of_each(docs.select(*COLUMNS))
 
 
 def substring_stage(spark, docs, sf_dir):
