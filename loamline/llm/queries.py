@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import ann, bpe, minhash, outliers, packing, pii, substring, suffix, token_counts, toxicity
+from . import (ann, bpe, licences, minhash, outliers, packing, pii, substring, suffix, token_counts, toxicity, variants,
+               whitening)
 from .tables import documents, table
 
 
@@ -57,7 +58,19 @@ def op10_suffix_dedup(spark, sf_dir):
     return suffix.dedup_digests(documents(spark, sf_dir))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return variants.variants(documents(spark, sf_dir))
+
+
+def op12_licences(spark, sf_dir):
+    return licences.licences(documents(spark, sf_dir))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_personal_data, op3_minhash_near_dedup, op4_nearest_neighbours, op5_token_counts, op6_packing, op7_bpe_round_trip,
-    op8_toxicity, op9_quality_outliers, op10_suffix_dedup)}
+    op8_toxicity, op9_quality_outliers, op10_suffix_dedup, op11_spelling_variants, op12_licences, op13_whitening)}
 ORACLE: dict[str, str] = {}
