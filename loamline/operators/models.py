@@ -3,18 +3,17 @@
 Linear work is reduced to one aggregation pass: the Gram matrix of the
 standardised features (d x d numbers, d = 9) is summed on the executors and
 only that bounded result reaches the driver, where a d x d system is solved.
+Sequential SGD (online epochs, fits with a stopping rule) is in ``online``.
 Scoring is a column expression (codegen, no UDF). Tree models are Spark ML.
 """
 
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loamline.operators.metrics import scaler_stats
@@ -22,11 +21,7 @@ from loamline.operators.series import row_ids
 from loamline.schemas import (BOOSTED_ITERATIONS, BOOSTED_STEP, FOREST_MAX_DEPTH,
                               FOREST_REGRESSOR_DEPTH, FOREST_TREES, KEYS, MOISTURE_FEATURES,
                               MOISTURE_TARGET, ORDER, RANDOM_TRAIN_PERCENT, SEED, SGD_LEARNING_RATE,
-                              SGD_MAX_ITER, SGD_TOL, TEST_FRACTION, TREE_CLASSIFIER_DEPTH)
-
-
-# Shards of an online epoch; raise it with the data (the weights depend on it).
-SGD_SHARDS = 64
+                              TEST_FRACTION, TREE_CLASSIFIER_DEPTH)
 
 
 # --------------------------------------------------------------------- splits
@@ -191,91 +186,6 @@ def gradient_step(df: DataFrame, model: LinearModel, target: str = MOISTURE_TARG
     return df.agg(*aggs)
 
 
-def sgd_epoch(df: DataFrame, model: LinearModel, target: str = MOISTURE_TARGET,
-              eta: float = SGD_LEARNING_RATE, order: Sequence[str] = ORDER,
-              keys: Sequence[str] = KEYS, shards: int = SGD_SHARDS) -> LinearModel:
-    """One online epoch (``partial_fit``): the rows are dealt to ``shards`` by a
-    hash of their key and order columns, every shard runs sequential SGD over
-    its rows in ``order`` from the current weights, and the shards' results are
-    averaged weighted by row count (parallelised SGD, Zinkevich et al. 2010).
-
-    ``shards`` is part of the algorithm: the weights depend on it, and on
-    nothing else -- not on partitions, input splits or adaptive execution. Rows
-    stream through a task in sorted order; ``shards`` rows reach the driver.
-    """
-    feats = model.scaler.features
-    w0 = np.array(model.weights, dtype=float)
-    b0 = float(model.intercept)
-    mean = np.array(model.scaler.mean)
-    std = np.array(model.scaler.std)
-
-    def run(batches):
-        shard, w, b, n = None, None, 0.0, 0
-        for pdf in batches:
-            z = (pdf[feats].to_numpy(dtype=float) - mean) / std
-            y = pdf[target].to_numpy(dtype=float)
-            for i, s in enumerate(pdf["_sgd_shard"].tolist()):
-                if s != shard:
-                    if n:
-                        yield pd.DataFrame({"shard": [shard], "n": [n], "w": [w.tolist()], "b": [b]})
-                    shard, w, b, n = s, w0.copy(), b0, 0
-                g = (b + z[i] @ w) - y[i]
-                w -= eta * g * z[i]
-                b -= eta * g
-                n += 1
-        if n:
-            yield pd.DataFrame({"shard": [shard], "n": [n], "w": [w.tolist()], "b": [b]})
-
-    by = [c for c in [*keys, *order] if c in df.columns]
-    order_by = [c for c in order if c in by] + [c for c in by if c not in order]
-    rows = df.select(*by, *feats, target).withColumn("_sgd_shard", F.pmod(F.xxhash64(*by), F.lit(shards)))
-    ordered = rows.repartition("_sgd_shard").sortWithinPartitions("_sgd_shard", *order_by, *feats, target)
-    parts = ordered.mapInPandas(run, "shard long, n long, w array<double>, b double").orderBy("shard").collect()
-    total = sum(p["n"] for p in parts)
-    if total == 0:
-        return model
-    w = sum(np.array(p["w"]) * p["n"] for p in parts) / total
-    b = sum(p["b"] * p["n"] for p in parts) / total
-    return LinearModel(model.scaler, [float(x) for x in w], float(b), model.version + 1, dict(model.mark))
-
-
-def learning_rate_sweep(train: DataFrame, test: DataFrame, etas: Sequence[float],
-                        features: Sequence[str] = MOISTURE_FEATURES, target: str = MOISTURE_TARGET,
-                        max_iter: int = SGD_MAX_ITER, tol: float = SGD_TOL) -> DataFrame:
-    """For each learning rate: full-batch gradient descent on the Gram matrix
-    (one distributed pass; iterations are d x d algebra) until the loss
-    improves by less than ``tol``, then R^2 of every rate on the test rows
-    in one aggregation."""
-    feats = list(features)
-    scaler = Scaler.fit(train, feats)
-    a, v, _, myy = _normal_equations(gram_moments(train, feats, target, scaler).first(), feats)
-    results = []
-    for eta in etas:
-        beta = np.zeros(len(feats) + 1)
-        loss_prev = math.inf
-        it = 0
-        for it in range(1, max_iter + 1):
-            grad = a @ beta - v
-            beta = beta - eta * grad
-            loss = (beta @ a @ beta - 2 * beta @ v + myy) / 2
-            if not np.isfinite(loss) or loss_prev - loss < tol:
-                break
-            loss_prev = loss
-        results.append((eta, it, LinearModel(scaler, beta[:-1].tolist(), float(beta[-1]))))
-    y = F.col(target)
-    aggs = [F.var_pop(y).alias("_var"), F.count(F.lit(1)).alias("_n")]
-    for i, (_, _, m) in enumerate(results):
-        aggs.append(F.sum(F.pow(m.predict() - y, 2)).alias(f"_sse{i}"))
-    row = test.agg(*aggs).first()
-    spark = test.sparkSession
-    out = []
-    for i, (eta, it, _) in enumerate(results):
-        ss_tot = (row["_var"] or 0.0) * row["_n"]
-        r2 = None if not ss_tot else 1.0 - row[f"_sse{i}"] / ss_tot
-        out.append((float(eta), int(it), r2))
-    return spark.createDataFrame(out, "eta double, n_iter int, r2 double")
-
-
 # ---------------------------------------------------------------- tree models
 
 def _assembled(features: Sequence[str]):

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loamline.functions.scalar import float32, hour_cos, hour_sin, round_half_even, to_number
-from loamline.operators import backfill, features, metrics, models, quality, series
+from loamline.operators import backfill, features, metrics, models, online, quality, series
 from loamline.schemas import (BOOSTED_TRAIN_FRACTION, FOREST_CLASSIFIER_DEPTH, KEYS, MOISTURE_FEATURES,
                               MOISTURE_TARGET, NUTRIENTS, ORDER, SWEEP_LEARNING_RATES)
 from loamline.sources import adapters
@@ -409,18 +409,42 @@ def q_least_squares_fit(spark, sf):
     return spark.createDataFrame(rows, "feature string, weight double, mean double, std double")
 
 
+def _zero_model(train):
+    """Zero weights over the training rows' scaler."""
+    scaler = models.Scaler.fit(train, MOISTURE_FEATURES)
+    return models.LinearModel(scaler, [0.0] * len(MOISTURE_FEATURES), 0.0)
+
+
+def _weights(spark, m):
+    rows = [*zip(m.scaler.features, m.weights), ("intercept", m.intercept)]
+    return spark.createDataFrame(rows, "feature string, weight double").withColumn("weight", r6("weight"))
+
+
 def q_online_epoch(spark, sf):
+    """One online epoch over the completed rows of all stations, in time order."""
+    train, _ = _split_features(spark, sf)
+    return _weights(spark, online.sgd_epoch(backfill.completed(_queue(spark, sf)), _zero_model(train)))
+
+
+def q_station_epochs(spark, sf):
+    """Every station's own online epoch over its completed rows."""
+    train, _ = _split_features(spark, sf)
+    out = online.series_epochs(backfill.completed(_queue(spark, sf)), _zero_model(train))
+    values = [c for c in out.columns if c not in ("station_id", "n")]
+    return out.select("station_id", "n", *(r6(c).alias(c) for c in values))
+
+
+def q_sgd_fit(spark, sf):
+    """The configured SGD fit with its stopping rule: weights and epochs."""
     train, _ = _split_features(spark, sf)
-    base = models.fit_least_squares(train)
-    queue = backfill.completed(_queue(spark, sf))
-    m = models.sgd_epoch(queue, base)
-    rows = [(f, w) for f, w in zip(m.scaler.features, m.weights)] + [("intercept", m.intercept)]
-    return spark.createDataFrame(rows, "feature string, weight double")
+    fit = online.fit_sgd(train)[0]
+    return _weights(spark, fit.model).withColumn("n_iter", F.lit(fit.n_iter).cast("long"))
 
 
 def q_learning_rate_sweep(spark, sf):
     train, test = _split_features(spark, sf)
-    return models.learning_rate_sweep(train, test, SWEEP_LEARNING_RATES)
+    out = online.learning_rate_sweep(train, test, SWEEP_LEARNING_RATES)
+    return out.select("eta", "n_iter", r6("r2").alias("r2"))
 
 
 def _fitted_comparison(spark, sf, fitted: dict, test):
@@ -435,7 +459,7 @@ def q_fitted_model_comparison(spark, sf):
     train, test = _split_features(spark, sf)
     fitted = {"linear": models.linear_regression().fit(train),
               "forest": models.forest_regressor().fit(train)}
-    sgd = models.fit_least_squares(train)
+    sgd = online.fit_sgd(train)[0].model
     sgd_rows = sgd.score(test).select(F.lit("sgd").alias("model"), "prediction", MOISTURE_TARGET)
     out = _fitted_comparison(spark, sf, fitted, test)
     return out.unionByName(models.model_comparison(sgd_rows))

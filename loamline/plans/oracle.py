@@ -147,6 +147,60 @@ def _sgd_cols() -> str:
     return ", ".join(cols)
 
 
+# ------------------------------------------------- sequential SGD, row by row
+
+def _sgd_rows(source: str, name: str, by: str = "") -> str:
+    """``name``: the standardised rows (z, 1), y of ``source`` as a list in time
+    order (per ``by``); the scaler is that of the training rows."""
+    stats = ", ".join(f"avg({f}) AS m_{f}, CASE WHEN stddev_pop({f}) = 0 THEN 1.0 ELSE stddev_pop({f}) END AS s_{f}"
+                      for f in FEATS)
+    z = ", ".join(f"({f} - m_{f}) / s_{f}" for f in FEATS)
+    row = f"{{'w': NULL::DOUBLE[], 'l': 0.0::DOUBLE, 'e': 0.0::DOUBLE, 'z': [{z}, 1.0::DOUBLE], 'y': future_moisture}}"
+    return f"""{name}_stats AS (SELECT {stats} FROM split WHERE split = 'train'),
+    {name} AS (SELECT {by + ',' if by else ''} list({row} ORDER BY ts, event_id, station_id) AS xs, count(*) AS n
+        FROM ({source}), {name}_stats {'GROUP BY ' + by if by else ''})"""
+
+
+def _epoch(w: str, eta: str) -> str:
+    """The row lists stepped through one after another from weights ``w``."""
+    resid = "(list_dot_product(a.w, x.z) - x.y)"
+    start = f"{{'w': {w}, 'l': 0.0::DOUBLE, 'e': {eta}, 'z': NULL::DOUBLE[], 'y': 0.0::DOUBLE}}"
+    return f"""list_reduce(xs, lambda a, x: {{'w': list_transform(a.w, lambda v, i: v - a.e * {resid} * x.z[i]),
+        'l': a.l + {resid} * {resid} / 2, 'e': a.e, 'z': x.z, 'y': x.y}}, {start})"""
+
+
+ZERO_WEIGHTS = "list_resize([]::DOUBLE[], 10, 0.0::DOUBLE)"
+WEIGHT_ROWS = f"unnest({[*FEATS, 'intercept']}) AS feature, {r6('unnest(w)')} AS weight"
+
+
+def _fit_cte(etas: list[float]) -> str:
+    """``fits``: eta, n_iter and weights of the fit of every learning rate."""
+    rates = ", ".join(f"({e}::DOUBLE)" for e in etas)
+    return f"""WITH RECURSIVE {_split_cte()},
+    {_sgd_rows("SELECT * FROM split WHERE split = 'train'", "train")},
+    epochs AS (
+        SELECT eta, 0::BIGINT AS n_iter, 'infinity'::DOUBLE AS best, 0 AS bad, {ZERO_WEIGHTS} AS w
+        FROM (VALUES {rates}) AS e(eta)
+        UNION ALL
+        SELECT eta, n_iter + 1, least(best, r.l), CASE WHEN r.l > best - 1e-8 * n THEN bad + 1 ELSE 0 END, r.w
+        FROM (SELECT epochs.*, n, {_epoch('w', 'eta')} AS r FROM epochs, train WHERE bad < 5 AND n_iter < 50000)),
+    fits AS (SELECT * FROM epochs QUALIFY row_number() OVER (PARTITION BY eta ORDER BY n_iter DESC) = 1)"""
+
+
+def _sweep_sql(etas: list[float]) -> str:
+    z = " + ".join(f"w[{i + 1}] * (({f} - m_{f}) / s_{f})" for i, f in enumerate(FEATS))
+    return f"""{_fit_cte(etas)}
+    SELECT eta, CAST(n_iter AS INTEGER) AS n_iter,
+        {r6('1.0 - sum((w[10] + ' + z + ' - future_moisture) ** 2) / (var_pop(future_moisture) * count(*))')} AS r2
+    FROM split, train_stats, fits WHERE split = 'test' GROUP BY eta, n_iter"""
+
+
+def _queue_epoch(by: str = "") -> str:
+    return f"""WITH {_split_cte()}, {cycles_cte()}, {queue_cte()},
+    {_sgd_rows("SELECT * FROM queue WHERE future_moisture IS NOT NULL", "done", by)},
+    after AS (SELECT *, r.w AS w, r.l AS l FROM (SELECT *, {_epoch(ZERO_WEIGHTS, '0.01::DOUBLE')} AS r FROM done))"""
+
+
 def _corr_union() -> str:
     parts = []
     for c in FEATS:
@@ -443,6 +497,12 @@ ORACLE: dict[str, str] = {
     "ordered_split": f"WITH {_split_cte()} SELECT station_id, event_id, split FROM split",
     "standardise": _standardise(),
     "gram_moments": f"WITH {FEATURES_CTE} SELECT {_gram_cols()} FROM feat",
+    "online_epoch": f"{_queue_epoch()} SELECT {WEIGHT_ROWS} FROM after",
+    "station_epochs": _queue_epoch("station_id") + " SELECT station_id, n, " + ", ".join(
+        [f"{r6('l / n')} AS loss", f"{r6('w[10]')} AS intercept"]
+        + [f"{r6(f'w[{i + 1}]')} AS w_{f}" for i, f in enumerate(FEATS)]) + " FROM after",
+    "sgd_fit": f"{_fit_cte([0.01])} SELECT {WEIGHT_ROWS}, n_iter FROM fits",
+    "learning_rate_sweep": _sweep_sql([0.1, 0.05, 0.01, 0.005, 0.001, 0.0005]),
     "sgd_step": f"WITH {FEATURES_CTE} SELECT {_sgd_cols()} FROM feat",
     "score_linear": f"WITH {FEATURES_CTE} SELECT station_id, event_id, {r6(FIXED)} AS prediction FROM feat",
     "model_comparison": _model_comparison(),

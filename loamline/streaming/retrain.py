@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loamline.operators import models, quality
+from loamline.operators import models, online, quality
 from loamline.operators.series import join_null_safe
 from loamline.schemas import MOISTURE_FEATURES, MOISTURE_TARGET, SGD_LEARNING_RATE
 from loamline.sources.tables import exists
@@ -47,25 +47,27 @@ def consumed_marks(spark: SparkSession, model_path: str, version: int) -> DataFr
 
 def train_batch(spark: SparkSession, batch: DataFrame, model_path: str, eta: float = SGD_LEARNING_RATE) -> bool:
     """Validate the rows beyond the newest version's marks, run one online epoch
-    over them and save the next version with its marks."""
+    over them in time order and save the next version with its marks."""
     model = latest_version(spark, model_path)
     marks = consumed_marks(spark, model_path, model.version)
     seen = marks.select("station_id", F.struct("ts", "event_id").alias("_mark"))
     rows = join_null_safe(completed_training_rows(batch), seen, ["station_id"], "left")
     rows = rows.filter(F.col("_mark").isNull() | (F.struct("ts", "event_id") > F.col("_mark"))).drop("_mark")
-    rows = rows.dropDuplicates(["station_id", "ts", "event_id"])
-    if rows.isEmpty():
-        return False
-    train = rows.drop("station_id", "event_id", "ts")
-    quality.check_frame(train, MOISTURE_FEATURES, MOISTURE_TARGET)
-    quality.check_values(train, MOISTURE_FEATURES + [MOISTURE_TARGET])
-    updated = models.sgd_epoch(rows, model, eta=eta)
-    updated.version = model.version + 1
-    newest = (marks.unionByName(rows.select("station_id", "ts", "event_id")).groupBy("station_id")
-              .agg(F.max(F.struct("ts", "event_id")).alias("m")).select("station_id", "m.ts", "m.event_id"))
-    newest.write.mode("overwrite").parquet(marks_path(model_path, updated.version))
-    updated.save(spark, model_path)  # commits the version
-    return True
+    rows = rows.dropDuplicates(["station_id", "ts", "event_id"]).persist()  # read by the checks, the epoch and the marks
+    try:
+        if rows.isEmpty():
+            return False
+        train = rows.drop("station_id", "event_id", "ts")
+        quality.check_frame(train, MOISTURE_FEATURES, MOISTURE_TARGET)
+        quality.check_values(train, MOISTURE_FEATURES + [MOISTURE_TARGET])
+        updated = online.sgd_epoch(rows, model, eta=eta)
+        newest = (marks.unionByName(rows.select("station_id", "ts", "event_id")).groupBy("station_id")
+                  .agg(F.max(F.struct("ts", "event_id")).alias("m")).select("station_id", "m.ts", "m.event_id"))
+        newest.write.mode("overwrite").parquet(marks_path(model_path, updated.version))
+        updated.save(spark, model_path)  # commits the version
+        return True
+    finally:
+        rows.unpersist()
 
 
 def retrain(spark: SparkSession, rows_path: str, rows_schema, model_path: str,
@@ -88,12 +90,10 @@ def retrain(spark: SparkSession, rows_path: str, rows_schema, model_path: str,
 
 
 def seed_model(spark: SparkSession, seed_rows: DataFrame, model_path: str) -> models.LinearModel:
-    """Initial fit (version 0) on the first 80 % of each station's history;
+    """Initial SGD fit (version 0) on the first 80 % of each station's history;
     the scaler is frozen here for every later update."""
     split = models.ordered_split(seed_rows)
-    train = split.filter(F.col("split") == "train")
-    model = models.fit_least_squares(train)
-    model.version = 0
+    model = online.fit_sgd(split.filter(F.col("split") == "train"))[0].model
     model.save(spark, model_path)
     return model
 

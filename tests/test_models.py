@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from loamline.operators import metrics, models
+from loamline.operators import metrics, models, online
 from loamline.schemas import MOISTURE_FEATURES, MOISTURE_TARGET, NUTRIENTS
 from loamline.sources import adapters
 from loamline.sources.tables import table
@@ -57,10 +57,21 @@ def test_gradient_step_moves_toward_target(spark, regression):
     assert row.intercept > 0
 
 
+def sequential(pdf, scaler, w, b, eta, target=MOISTURE_TARGET):
+    """SGD row by row: weights, intercept and the summed loss before each step."""
+    z = (pdf[MOISTURE_FEATURES].to_numpy() - np.array(scaler.mean)) / np.array(scaler.std)
+    w, loss = np.array(w), 0.0
+    for zi, yi in zip(z, pdf[target]):
+        g = b + zi @ w - yi
+        loss += g * g / 2
+        w, b = w - eta * g * zi, b - eta * g
+    return w, b, loss
+
+
 def test_online_epoch_changes_weights_and_round_trips(spark, regression, scratch):
     base = models.fit_least_squares(regression)
     shifted = regression.withColumn(MOISTURE_TARGET, F.col(MOISTURE_TARGET) + 5.0)
-    upd = models.sgd_epoch(shifted.coalesce(1), base, eta=0.01)
+    upd = online.sgd_epoch(shifted.coalesce(1), base, eta=0.01)
     assert upd.version == base.version + 1
     assert upd.intercept != base.intercept
     assert upd.scaler == base.scaler  # the scaler stays frozen
@@ -69,23 +80,61 @@ def test_online_epoch_changes_weights_and_round_trips(spark, regression, scratch
     assert back == upd
 
 
-def test_online_epoch_of_one_shard_is_sequential_sgd(spark, regression):
+def many_rows(spark, regression, n=30):
+    """The rows ``n`` times over, shifted in time, dealt to a hot station and small ones."""
+    copies = regression.crossJoin(spark.range(n).withColumnRenamed("id", "copy"))
+    row = F.col("copy") * 1000 + F.col("event_id")
+    return copies.withColumns({
+        "station_id": F.when(F.col("copy") % 3 != 0, 1).when(F.col("event_id") < 5, None).otherwise(F.col("event_id") % 7 + 2),
+        "ts": F.col("ts") + F.make_dt_interval(days=F.col("copy").cast("int")), "event_id": row,
+        MOISTURE_TARGET: F.col(MOISTURE_TARGET) + F.sin(row)}).drop("copy")
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_online_epoch_equals_sequential_sgd(spark, regression, monkeypatch, parts):
+    """Also where a task's rows come in many blocks and the fold takes several rounds."""
+    monkeypatch.setattr(online, "FAN", 2)
+    monkeypatch.setattr(online, "STEPS", 5)
     base = models.fit_least_squares(regression)
-    upd = models.sgd_epoch(regression.repartition(3), base, eta=0.01, shards=1)
-    pdf = regression.orderBy("ts", "event_id").toPandas()
-    z = (pdf[MOISTURE_FEATURES].to_numpy() - np.array(base.scaler.mean)) / np.array(base.scaler.std)
-    w, b = np.array(base.weights), base.intercept
-    for zi, yi in zip(z, pdf[MOISTURE_TARGET]):
-        g = b + zi @ w - yi
-        w, b = w - 0.01 * g * zi, b - 0.01 * g
-    assert upd.weights == pytest.approx(list(w)) and upd.intercept == pytest.approx(b)
+    rows = many_rows(spark, regression)
+    upd = online.sgd_epoch(rows.repartition(parts), base, eta=0.01)
+    w, b, _ = sequential(rows.orderBy("ts", "event_id").toPandas(), base.scaler, base.weights, base.intercept, 0.01)
+    assert upd.weights == pytest.approx(list(w), abs=1e-9) and upd.intercept == pytest.approx(b, abs=1e-9)
 
 
-def test_online_epoch_does_not_depend_on_partitions(spark, regression):
+def test_every_series_has_its_own_epoch(spark, regression, monkeypatch):
+    """A hot station over several tasks, small stations and a NULL one, broken rows left out."""
+    monkeypatch.setattr(online, "FAN", 2)
     base = models.fit_least_squares(regression)
-    results = [models.sgd_epoch(regression.repartition(n), base, eta=0.01, shards=8) for n in (1, 4, 16)]
-    assert results[0].weights == results[1].weights == results[2].weights
-    assert results[0].intercept == results[1].intercept == results[2].intercept
+    rows = many_rows(spark, regression)
+    broken = rows.limit(5).withColumn("prev_1", F.lit(float("nan"))).unionByName(rows.limit(3).withColumn(MOISTURE_TARGET, F.lit(None)))
+    got = {r.station_id: r for r in online.series_epochs(rows.unionByName(broken), base).collect()}
+    pdf = rows.orderBy("ts", "event_id").toPandas()
+    for station, part in pdf.groupby("station_id", dropna=False):
+        r = got.pop(None if station != station else int(station))
+        w, b, loss = sequential(part, base.scaler, base.weights, base.intercept, 0.01)
+        assert [r[f"w_{f}"] for f in MOISTURE_FEATURES] == pytest.approx(list(w), abs=1e-9)
+        assert (r.n, r.intercept, r.loss) == (len(part), pytest.approx(b, abs=1e-9), pytest.approx(loss / len(part)))
+    assert not got
+    spread = online.epoch_maps(rows, base.scaler, keys=["station_id"])
+    assert "rangepartitioning(station_id" in spread._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sgd_fit_equals_sequential_epochs(spark, regression):
+    """Weights and the number of epochs of the stopping rule, for several rates in one pass."""
+    pdf = regression.orderBy("ts", "event_id").toPandas()
+    fits = online.fit_sgd(regression, [0.1, 0.01, 1e9], max_iter=300)
+    for fit in fits[:2]:
+        w, b, best, bad, n_iter = np.zeros(9), 0.0, np.inf, 0, 0
+        while n_iter < 300 and bad < 5:
+            w, b, loss = sequential(pdf, fit.model.scaler, w, b, fit.eta)
+            n_iter += 1
+            bad = bad + 1 if loss > best - 1e-8 * len(pdf) else 0
+            best = min(best, loss)
+        assert fit.n_iter == n_iter
+        assert fit.model.weights == pytest.approx(list(w), abs=1e-9) and fit.model.intercept == pytest.approx(b, abs=1e-9)
+    assert np.isnan(fits[2].model.intercept)  # diverges
+    assert online.fit_sgd(regression, [0.1], scaler=fits[0].model.scaler, max_iter=2)[0].n_iter == 2
 
 
 def test_metrics_use_complete_pairs_only(spark):
@@ -107,12 +156,12 @@ def test_refit_replaces_the_saved_classifier(spark, scratch):
 
 def test_learning_rate_sweep(spark, regression):
     split = models.ordered_split(regression)
-    out = models.learning_rate_sweep(split.filter("split = 'train'"), split.filter("split = 'test'"),
+    out = online.learning_rate_sweep(split.filter("split = 'train'"), split.filter("split = 'test'"),
                                      [0.1, 0.05, 0.01, 0.005, 0.001, 0.0005], max_iter=5000)
     rows = out.orderBy(F.col("eta").desc()).collect()
     assert [r.eta for r in rows] == [0.1, 0.05, 0.01, 0.005, 0.001, 0.0005]
-    assert rows[0].r2 > 0.8
-    assert rows[0].n_iter < rows[-1].n_iter
+    assert rows[2].r2 > 0.8
+    assert rows[2].n_iter < rows[-1].n_iter
 
 
 def test_spark_ml_regressors_compare(spark):

@@ -25,8 +25,7 @@ def con():
 
 # Iterative or randomised model queries: rows-only checks by the driver,
 # value checks in test_models.py.
-ROWS_ONLY = {"least_squares_fit", "online_epoch", "learning_rate_sweep", "fitted_model_comparison",
-             "boosted_regression", "classifier_reports", "fertility_scoring"}
+ROWS_ONLY = {"least_squares_fit", "fitted_model_comparison", "boosted_regression", "classifier_reports", "fertility_scoring"}
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():

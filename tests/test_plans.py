@@ -8,7 +8,7 @@ from loamline.plans.catalog import QUERIES
 
 from paths import SF_SMALL
 
-ROWS_ONLY_MODELS = {"least_squares_fit", "online_epoch", "learning_rate_sweep", "fitted_model_comparison",
+ROWS_ONLY_MODELS = {"least_squares_fit", "online_epoch", "sgd_fit", "learning_rate_sweep", "fitted_model_comparison",
                     "boosted_regression", "classifier_reports", "fertility_scoring"}
 
 
