@@ -2,10 +2,13 @@
 
 A window partitioned by the series key alone puts a whole series into one
 task; a station that holds a third of all rows would then sit in a single
-task. ``per_size`` counts the rows of each key first. Keys of up to
-``BUCKET_ROWS`` rows take one plain window per key. The others are cut into
-buckets of equal width along the order column, as many as their rows ask for,
-and the offsets that cross a bucket border are repaired:
+task. ``per_size`` takes a sample of every key first, the rows whose hash over
+key and order columns is divisible by a fixed number. Keys of up to about
+``BUCKET_ROWS`` rows have too small a sample to be cut and take one plain window
+per key. The others are cut into buckets at every ``SAMPLES``-th place of their
+sorted sample: approximate quantiles of the whole order tuple, so a bucket
+holds about ``BUCKET_ROWS`` rows also where a key's rows come in a burst, all at
+one time, or without a time. Offsets that cross a border are repaired:
 
 * plain lags/leads: in-bucket values first, then a second window over only
   the ``k`` rows at each end of every bucket (``_shift_edges``);
@@ -32,6 +35,10 @@ _EDGE = "_sx_edge"
 DEFAULT_BUCKET_SECONDS = 86_400
 # A key of more rows than this is cut into buckets of about as many.
 BUCKET_ROWS = 1_000_000
+# Sampled rows per bucket: sizes of buckets differ by about 1 / sqrt(SAMPLES).
+SAMPLES = 64
+# Borders of a key are searched in two steps of up to this many each.
+BORDER_FAN = 512
 # Column with the bucket of a hot key's row, for operators that work on such rows.
 PART = "_sx_part"
 # Session setting that overrides the default bucket width (seconds) for every
@@ -71,40 +78,62 @@ def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return out if how in ("left_anti", "left_semi") else out.drop(*names.values())
 
 
-def _position(df: DataFrame, order_col: str) -> Column:
-    """The order column as a number (seconds of a timestamp, days of a date)."""
-    dtype = df.schema[order_col].dataType
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{order_col}`)") / 1e6
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(order_col) / 1e6
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(order_col).cast("double")
-    return F.col(order_col).cast("double")
+def borders(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket_rows: int) -> DataFrame:
+    """(keys, _sx_at, _sx_no): the order tuples at which hot keys are cut, numbered
+    from 1 in each key. Whether a row is sampled depends on its key and order
+    columns alone, so samples of parts of the table unite to that of the whole,
+    and a recomputed task draws the same rows."""
+    step = max(1, bucket_rows // SAMPLES)
+    each = max(1, bucket_rows // step)
+    drawn = df.filter(F.pmod(F.xxhash64(*keys, *order), F.lit(step)) == 0).select(*keys, F.struct(*order).alias("_sx_at"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_sx_at"))
+    ranked = drawn.distinct().withColumn("_sx_no", place)
+    return ranked.filter(F.col("_sx_no") % each == 0).withColumn("_sx_no", (F.col("_sx_no") / each).cast("long"))
+
+
+def _passed(edges: Column, at: Column) -> Column:
+    """How many of the sorted ``edges`` are not after ``at`` (binary search; NULL edges: none)."""
+    def halve(s, _):
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        below = (s["lo"] < s["hi"]) & (F.get(edges, mid) <= at)
+        lo = F.when(below, mid + 1).otherwise(s["lo"])
+        hi = F.when(below | (s["lo"] >= s["hi"]), s["hi"]).otherwise(mid)
+        return F.struct(lo.alias("lo"), hi.alias("hi"))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(edges) + F.lit(1))).cast("int"))
+    start = F.struct(F.lit(0).alias("lo"), F.size(edges).alias("hi"))
+    return F.when(edges.isNull(), F.lit(0)).otherwise(F.aggregate(steps, start, halve, lambda s: s["lo"]))
+
+
+def hot_parts(df: DataFrame, keys: Sequence[str], cuts: DataFrame) -> DataFrame:
+    """Rows of the keys in ``cuts`` (``borders``) with their bucket in ``PART``,
+    which grows along a key. Borders are found in two steps, so a row meets
+    two short lists however many buckets its key has."""
+    keys, cell = list(keys), F.floor(F.col("_sx_no") / BORDER_FAN)
+    listed = F.sort_array(F.collect_list("_sx_at"))
+    tops = cuts.filter(F.col("_sx_no") % BORDER_FAN == 0).groupBy(*keys).agg(listed.alias("_sx_tops"))
+    fine = cuts.groupBy(*keys, cell.alias("_sx_cell")).agg(listed.alias("_sx_fine"))
+    at = F.struct(*[F.col(f.name) for f in cuts.schema["_sx_at"].dataType])
+    rows = join_null_safe(df, tops, keys, "left").withColumn("_sx_cell", _passed(F.col("_sx_tops"), at).cast("long"))
+    rows = join_null_safe(rows, fine, [*keys, "_sx_cell"])
+    part = F.col("_sx_cell") * (BORDER_FAN + 1) + _passed(F.col("_sx_fine"), at)
+    return rows.withColumn(PART, part).drop("_sx_tops", "_sx_cell", "_sx_fine")
 
 
 def per_size(df: DataFrame, keys: Sequence[str], order: Sequence[str],
              each: Callable[[DataFrame, Column | None], DataFrame], *,
              bucket_rows: int | None = None) -> DataFrame:
     """``each(rows, None)`` on the rows of ordinary keys, united with
-    ``each(rows, bucket)`` on those of keys with more than ``bucket_rows`` rows
-    (default BUCKET_ROWS), where ``bucket`` is the column ``PART``.
-
-    The counts are one partial aggregation; only the hot keys, at most
-    rows / ``bucket_rows`` of them, are joined back. Nothing runs here: without
-    hot keys adaptive execution drops the second branch at run time."""
-    rows = bucket_rows or BUCKET_ROWS
-    keys, x = list(keys), _position(df, order[0])
-    n = F.ceil(F.count(F.lit(1)) / F.lit(rows))
-    sizes = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sx_n"), F.min(x).alias("_sx_lo"),
-                                   ((F.max(x) - F.min(x)) / n).alias("_sx_w"))
-             .filter(F.col("_sx_n") > rows))
-    small = join_null_safe(df, sizes.select(*keys), keys, "left_anti")
-    wide = F.when(F.col("_sx_w") > 0, F.floor((x - F.col("_sx_lo")) / F.col("_sx_w")))
-    # a key whose order values are all equal has no width: its rows are one bucket
-    part = F.when(x.isNotNull(), F.coalesce(wide, F.lit(0).cast("long")))
-    hot = join_null_safe(df, sizes, keys).withColumn(PART, part).drop("_sx_n", "_sx_lo", "_sx_w")
-    return each(small, None).unionByName(each(hot, F.col(PART)))
+    ``each(rows, bucket)`` on those of keys with more than about ``bucket_rows``
+    rows (default BUCKET_ROWS), where ``bucket`` is the column ``PART``.
+
+    The sample is one row in ``bucket_rows / SAMPLES``; the borders, one in
+    ``bucket_rows``, are joined back as adaptive execution sees fit. Nothing runs
+    here: without hot keys adaptive execution drops the second branch at run time."""
+    keys, order = list(keys), list(order)
+    cuts = borders(df, keys, order, bucket_rows or BUCKET_ROWS)
+    small = join_null_safe(df, cuts.filter("_sx_no = 1").select(*keys), keys, "left_anti")
+    return each(small, None).unionByName(each(hot_parts(df, keys, cuts), F.col(PART)))
 
 
 def _halo_lags(base: DataFrame, keys: list[str], order: list[str], srcs: list[str],

@@ -172,29 +172,88 @@ def test_rows_without_key_or_time_are_kept(spark):
     assert sorted(r.id for r in with_row_index(df.withColumnRenamed("id", "i"), ["k"], ["ts", "i"]).collect()) == [0, 1, 2]
 
 
-def test_hot_station_within_one_day_is_split(spark):
-    """A third of all rows in one station and one day: same values, many buckets."""
-    rows = [(0, i * 40, i) for i in range(2000)] + [(1 + i % 50, i * 977, 10_000 + i) for i in range(4000)]
-    df = spark.createDataFrame(rows, "k long, ts long, id long").withColumn("v", F.col("id") * 2.0)
-    args = (["k"], ["ts", "id"], {"p": ("v", 3)}, {"n": ("v", 1)})
-    parts = []
-
-    def each(part, bucket):
-        if bucket is not None:
-            parts.append(part.select(series.PART).distinct().count())
-        return part.drop(series.PART)
-
-    assert series.per_size(df, ["k"], ["ts", "id"], each, bucket_rows=200).count() == 6000
-    assert parts == [11]  # ten widths, and the last value
-    want = sorted(map(tuple, series.shift(df, *args, whole=True).collect()))
-    assert sorted(map(tuple, series.shift(df, *args, bucket_rows=200).collect())) == want
-    halo = dict(skip_nulls=True)
-    lags = {"p": ("v", 2)}
-    want = sorted(map(tuple, series.shift(df, ["k"], ["ts", "id"], lags, whole=True, **halo).collect()))
-    assert sorted(map(tuple, series.shift(df, ["k"], ["ts", "id"], lags, bucket_rows=200, **halo).collect())) == want
+def _same_as_one_window(df, keys=("k",), order=("ts", "id"), bucket_rows=200):
+    """Every series operator over buckets equals one window per key."""
+    keys, order = list(keys), list(order)
+    key = lambda r: tuple((x is None, x) for x in r)
+    rows = lambda d: sorted(map(tuple, d.collect()), key=key)
+    args = (keys, order, {"p": ("v", 3)}, {"n": ("v", 1)})
+    assert rows(series.shift(df, *args, bucket_rows=bucket_rows)) == rows(series.shift(df, *args, whole=True))
     thin = df.withColumn("v", F.when(F.col("id") % 7 == 0, F.col("v")))
-    want = sorted(map(tuple, series.shift(thin, ["k"], ["ts", "id"], None, lags, whole=True, **halo).fillna(-1.0).collect()))
-    got = series.shift(thin, ["k"], ["ts", "id"], None, lags, bucket_rows=200, **halo)
-    assert sorted(map(tuple, got.fillna(-1.0).collect())) == want
-    ids = series.row_ids(df, ["k"], ["ts", "id"], bucket_rows=200)
-    assert sorted(map(tuple, ids.collect())) == sorted(map(tuple, series.row_ids(df, ["k"], ["ts", "id"]).collect()))
+    for lags, leads in (({"p": ("v", 2)}, None), (None, {"p": ("v", 2)})):
+        want = rows(series.shift(thin, keys, order, lags, leads, whole=True, skip_nulls=True))
+        assert rows(series.shift(thin, keys, order, lags, leads, bucket_rows=bucket_rows, skip_nulls=True)) == want
+    ids = series.row_ids(df, keys, order, total="t", bucket_rows=bucket_rows)
+    assert rows(ids) == rows(series.row_ids(df, keys, order, total="t", bucket_rows=10**9))
+
+
+def _bucket_sizes(df, bucket_rows=200, key=0):
+    cuts = series.borders(df, ["k"], ["ts", "id"], bucket_rows)
+    parts = series.hot_parts(df, ["k"], cuts).filter(F.col("k").eqNullSafe(F.lit(key)))
+    return [r["count"] for r in parts.groupBy(series.PART).count().collect()]
+
+
+HOT_SERIES = {
+    "one day": lambda i: i * 40,
+    "one time": lambda i: 5,
+    "a burst": lambda i: i * 1_000_000 if i % 10 == 0 else 77_000_000 + i % 3,
+    "no times": lambda i: None,
+}
+
+
+@pytest.mark.parametrize("name", sorted(HOT_SERIES))
+def test_hot_series_is_split(spark, name):
+    """A third of all rows in one station, however its times lie: same values,
+    buckets of about the size asked for."""
+    rows = [(0, HOT_SERIES[name](i), i) for i in range(2000)] + [(1 + i % 50, i * 977, 10_000 + i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k long, ts long, id long").withColumn("v", F.col("id") * 2.0)
+    sizes = _bucket_sizes(df)
+    assert sum(sizes) == 2000 and len(sizes) >= 7 and max(sizes) < 500
+    _same_as_one_window(df)
+
+
+def test_a_null_station_may_be_hot(spark):
+    df = spark.createDataFrame([(None, i % 4, i) for i in range(1500)] + [(1, i, 5000 + i) for i in range(100)],
+                               "k long, ts long, id long").withColumn("v", F.col("id") * 1.0)
+    sizes = _bucket_sizes(df, key=None)
+    assert sum(sizes) == 1500 and max(sizes) < 500
+    _same_as_one_window(df)
+
+
+def test_many_borders_are_found_in_two_steps(spark, monkeypatch):
+    monkeypatch.setattr(series, "BORDER_FAN", 4)
+    df = spark.createDataFrame([(0, i // 7, i) for i in range(3000)], "k long, ts long, id long").withColumn("v", F.col("id") * 1.0)
+    cuts = series.borders(df, ["k"], ["ts", "id"], 40)
+    parts = series.hot_parts(df, ["k"], cuts)
+    n = cuts.count()
+    assert n > 40 and parts.select(series.PART).distinct().count() == n + 1
+    w = Window.orderBy("ts", "id")
+    back = parts.withColumn("d", F.col(series.PART) - F.lag(series.PART).over(w))
+    assert back.filter("d < 0").count() == 0  # buckets grow along the key
+    at = {tuple(r["_sx_at"]) for r in cuts.collect()}
+    assert {(r.ts, r.id) for r in back.filter("d > 0").collect()} == at  # and start at the borders
+    _same_as_one_window(df, bucket_rows=40)
+
+
+def test_ordinary_keys_run_no_second_branch(spark):
+    """Two scans of the rows run, that of the sample and that of the window; the hot branch is dropped."""
+    df = spark.createDataFrame([(i % 5, i, i) for i in range(500)], "k long, ts long, id long").withColumn("v", F.col("id") * 1.0)
+    out = series.shift(df, ["k"], ["ts", "id"], {"p": ("v", 1)})
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert "Union" not in final and final.count("Window") <= plan.count("Window") // 2
+
+
+def test_sql_features_split_hot_stations(spark):
+    from loamline.operators import features
+    from loamline.plans.sql import moisture_features_sql
+    from loamline.sources import adapters
+    from loamline.sources.tables import table
+    from paths import SF_SMALL
+    ev = table(spark, SF_SMALL, "events").withColumn(
+        "user_id", F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit(0)).otherwise(F.col("user_id")))
+    readings = adapters.readings(ev)
+    want = features.moisture_features(readings)
+    got = moisture_features_sql(spark, readings, bucket_rows=40).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
