@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .sequences import U, gram, mix, utf8, word_values, words
-from .tables import bounded_batches, joined_by_size, texts, whole_groups, written
+from .tables import batches_of, bounded_batches, joined_by_size, texts, whole_groups, written
 
 SHINGLE = 5
 BANDS, ROWS = 56, 5
@@ -55,8 +55,9 @@ PERCENT = 75
 NO_ID = np.iinfo(np.int64).max
 SIGNED = "doc long, h long, n long, f1 long, f2 long, bands array<long>, sketch binary"
 CELL = "cell long, side int, id long, n long, label long"
-PAIRS = 1 << 16  # compared at once
+PAIRS = 1 << 14  # compared at once
 VOCABULARY = 4096
+CELL_BATCH = 4 << 20  # bytes of an Arrow batch of cells
 
 
 def shingle_sets(column) -> list[np.ndarray]:
@@ -168,11 +169,11 @@ def _maybe(batches):
 
 def similar(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     """Which sets of x and y (rows, columns) are similar enough; sets are sorted and distinct."""
-    both = np.zeros((len(x), len(y)), np.float32)
+    both = np.zeros((len(x), len(y)), np.int64)
     if len(x) * len(y) <= 16:
         for i, a in enumerate(x):
             both[i] = [len(np.intersect1d(a, b, assume_unique=True)) for b in y]
-    else:  # counts by matrix products over the shingles that both sides have, some at a time
+    else:  # counts of common bits over the shingles that both sides have, some at a time
         vocabulary = np.intersect1d(np.concatenate(x), np.concatenate(y))
         found = []
         for sets in (x, y):
@@ -186,10 +187,11 @@ def similar(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
             part = []
             for row, at, size in found:
                 some = (at >= lo) & (at < lo + VOCABULARY)
-                has = np.zeros((size, VOCABULARY), np.float32)
-                has[row[some], at[some] - lo] = 1
-                part.append(has)
-            both += part[0] @ part[1].T
+                has = np.zeros((size, VOCABULARY), bool)
+                has[row[some], at[some] - lo] = True
+                part.append(np.packbits(has, axis=1).view(np.uint64))
+            for i, bits in enumerate(part[0]):
+                both[i] += np.bitwise_count(part[1] & bits).sum(axis=1, dtype=np.int64)
     total = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])
     return 100 * both >= PERCENT * (total - both)
 
@@ -317,10 +319,12 @@ class Search:
 
     def joining(self, labels: DataFrame) -> DataFrame:
         """Links (a, b) of labels that join all components some pair of a band links."""
-        near = written(self.cells(labels).repartition("cell").sortWithinPartitions("cell", "side")
-                       .mapInArrow(_maybe, CELL), "cells")
-        whole = near.join(self.sets, "id").repartition("cell").sortWithinPartitions("cell", "side")
-        return whole.select("cell", "side", "label", "shingles").mapInArrow(_joining, "a long, b long").distinct()
+        with batches_of(labels.sparkSession, CELL_BATCH):
+            near = written(self.cells(labels).repartition("cell").sortWithinPartitions("cell", "side")
+                           .mapInArrow(_maybe, CELL), "cells")
+            whole = near.join(self.sets, "id").repartition("cell").sortWithinPartitions("cell", "side")
+            links = whole.select("cell", "side", "label", "shingles").mapInArrow(_joining, "a long, b long")
+            return written(links.distinct(), "links")
 
     def run(self) -> DataFrame:
         """(id, label) of every representative that is linked with another."""
@@ -338,7 +342,7 @@ class Search:
                 break
             links = written(links.union(more), "links")
             labels = components(links)
-        more = written(self.joining(labels), "links")
+        more = self.joining(labels)
         if not more.limit(1).count():
             return labels
         return components(links.union(more))

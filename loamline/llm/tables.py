@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import posixpath
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,17 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int):
+    """Jobs run inside send batches of ``size`` bytes at most to Python."""
+    before = spark.conf.get(BATCH_CONF)
+    spark.conf.set(BATCH_CONF, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_CONF, before)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new sub-folder of the shared folder in ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None)
