@@ -105,17 +105,18 @@ def _passed(edges: Column, at: Column) -> Column:
     return F.when(edges.isNull(), F.lit(0)).otherwise(F.aggregate(steps, start, halve, lambda s: s["lo"]))
 
 
-def hot_parts(df: DataFrame, keys: Sequence[str], cuts: DataFrame) -> DataFrame:
+def hot_parts(df: DataFrame, keys: Sequence[str], cuts: DataFrame, how: str = "inner") -> DataFrame:
     """Rows of the keys in ``cuts`` (``borders``) with their bucket in ``PART``,
-    which grows along a key. Borders are found in two steps, so a row meets
-    two short lists however many buckets its key has."""
+    which grows along a key; with ``how="left"`` those of other keys, too, in
+    bucket 0. Borders are found in two steps, so a row meets two short lists
+    however many buckets its key has."""
     keys, cell = list(keys), F.floor(F.col("_sx_no") / BORDER_FAN)
     listed = F.sort_array(F.collect_list("_sx_at"))
     tops = cuts.filter(F.col("_sx_no") % BORDER_FAN == 0).groupBy(*keys).agg(listed.alias("_sx_tops"))
     fine = cuts.groupBy(*keys, cell.alias("_sx_cell")).agg(listed.alias("_sx_fine"))
     at = F.struct(*[F.col(f.name) for f in cuts.schema["_sx_at"].dataType])
     rows = join_null_safe(df, tops, keys, "left").withColumn("_sx_cell", _passed(F.col("_sx_tops"), at).cast("long"))
-    rows = join_null_safe(rows, fine, [*keys, "_sx_cell"])
+    rows = join_null_safe(rows, fine, [*keys, "_sx_cell"], how)
     part = F.col("_sx_cell") * (BORDER_FAN + 1) + _passed(F.col("_sx_fine"), at)
     return rows.withColumn(PART, part).drop("_sx_tops", "_sx_cell", "_sx_fine")
 

@@ -37,6 +37,12 @@ def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     w.parquet(path)
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a table folder, on whatever store it lies; one that is gone already is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def with_row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    name: str = "id", key_bucket: float = 1024) -> DataFrame:
     """A stable 0-based row index in (keys, order) order: per-series

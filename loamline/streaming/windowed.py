@@ -16,9 +16,10 @@ bucketed, skew-safe batch plan, a station with a huge backlog in one
 micro-batch is spread over its buckets instead of landing in one task; the
 tail is at most ~14 rows per station.
 
-Exactly once: outputs and the new tail are written to ``batch_id=N``
-folders with overwrite, and batch N reads the tail of batch N-1, so a
-replayed batch reproduces the same files.
+Exactly once: outputs and new tails are written to ``batch_id=N`` folders with
+overwrite, and batch N reads the tail as batch N-1 left it, so a replayed batch
+reproduces the same files. Bytes read and written as state follow the stations
+of a batch, not all stations (``windowed_sink``).
 """
 
 from __future__ import annotations
@@ -31,6 +32,10 @@ from loamline.operators.models import LinearModel
 from loamline.functions.scalar import is_missing
 from loamline.operators.quality import in_range
 from loamline.schemas import HISTORY, KEYS, MOISTURE_FEATURES, ORDER
+from loamline.sources.sinks import drop
+from loamline.sources.tables import exists
+
+STATE_PARTS = 256  # hash partitions of the stations' tails
 
 _RAW = ["hour", "soil_temp", "rain_fall", "soil_moisture"]
 _CTX = "_ctx"
@@ -60,11 +65,13 @@ def _out(df: DataFrame, store: str, label=None, predicted=None, err=None, reason
 
 def cycle_batch(new: DataFrame, tail: DataFrame, model: LinearModel,
                 lo: float = 0.0, hi: float = 100.0, cache: list | None = None,
-                **how) -> tuple[DataFrame, DataFrame]:
+                sized: bool = False, **how) -> tuple[DataFrame, DataFrame]:
     """(emitted rows, next tail) for one batch of readings (moisture as a
     fraction) and the previous tail. The cycle frame feeds six outputs; with
     ``cache`` (a list) it is persisted and appended to the list, so the caller
-    can release it after writing. ``how`` is passed to ``series.shift``."""
+    can release it after writing. With ``sized`` the batch is sampled now, by one
+    small job: without hot stations all windows are one per station, otherwise
+    one per station and bucket. ``how`` is passed to ``series.shift``."""
     keys, order = KEYS, ORDER
     # rows not newer than the station's last processed reading are late
     last = tail.groupBy(*keys).agg(F.max(F.struct("ts", "event_id")).alias("_last"))
@@ -79,12 +86,22 @@ def cycle_batch(new: DataFrame, tail: DataFrame, model: LinearModel,
     new_rows = new.select(*keys, "event_id", "ts", *_RAW, *raw, *part).withColumn(_CTX, F.lit(False))
     ctx_rows = tail.select("*", *raw).withColumn(_CTX, F.lit(True))
     u = new_rows.unionByName(ctx_rows, allowMissingColumns=True)
+    if sized:
+        cuts = series.borders(u, keys, order, series.BUCKET_ROWS).persist(StorageLevel.MEMORY_AND_DISK)
+        if cache is not None:
+            cache.append(cuts)
+        hot = not cuts.isEmpty()
+        # windows over buckets read their input several times: it is written to the shared folder first
+        u = series.hot_parts(u, keys, cuts, "left").checkpoint() if hot else u
+        how = {"bucket": F.col(series.PART)} if hot else {"whole": True}
     carry = [f"raw_{c}" for c in _RAW] + ["ctx_pred", "pend_perm", "pend_train", "pend_pred"]
     cyc = features.compat_cycles(u, keys, order, context=_CTX, carry=carry, **how)
     predicted = F.when(F.col(_CTX), F.col("ctx_pred")).otherwise(model.predict())
     cyc = cyc.withColumn("predicted", F.when(F.col("accepted"), predicted))
     cyc = cyc.withColumn("logged", F.col("accepted") & in_range("predicted", lo, hi))
-    if cache is not None:
+    if sized and hot:
+        cyc = cyc.checkpoint()
+    elif cache is not None:
         cyc = cyc.persist(StorageLevel.MEMORY_AND_DISK)
         cache.append(cyc)
     fresh = ~F.col(_CTX)
@@ -153,19 +170,61 @@ def next_tail(cyc: DataFrame, keys, order) -> DataFrame:
     return nxt.select(*[f.name for f in TAIL_SCHEMA.fields])
 
 
-def windowed_sink(spark: SparkSession, model: LinearModel, out_path: str, state_path: str):
-    """``foreachBatch`` function: read tail N-1, emit, write output and tail N."""
+def _part(parts: int):
+    return F.pmod(F.xxhash64("station_id"), F.lit(parts)).cast("int")
+
+
+def _manifest(spark: SparkSession, state_path: str, batch_id: int) -> dict[int, int]:
+    """Which batch wrote the newest tail of each state partition, as of ``batch_id``."""
+    if batch_id < 0:
+        return {}
+    rows = spark.read.schema("part int, at long").parquet(f"{state_path}/manifest/batch_id={batch_id}")
+    return {r["part"]: r["at"] for r in rows.collect()}
+
+
+def _folder(state_path: str, part: int, at: int) -> str:
+    return f"{state_path}/tail/batch_id={at}/part={part}"
+
+
+def read_tail(spark: SparkSession, state_path: str, batch_id: int, only: list[int] | None = None) -> DataFrame:
+    """The tail after ``batch_id``, of all state partitions or of some."""
+    now = _manifest(spark, state_path, batch_id)
+    paths = [_folder(state_path, p, at) for p, at in now.items() if only is None or p in only]
+    empty = spark.createDataFrame([], TAIL_SCHEMA)
+    return spark.read.schema(TAIL_SCHEMA).parquet(*paths) if paths else empty
+
+
+def windowed_sink(spark: SparkSession, model: LinearModel, out_path: str, state_path: str, parts: int = STATE_PARTS):
+    """``foreachBatch`` function: read the tails of the stations in the batch, emit,
+    write the output and the new tails.
+
+    The tail is kept in ``parts`` hash partitions of the stations. A batch reads
+    and writes those of its own stations only; a manifest per batch (at most
+    ``parts`` rows) says which batch's folder is each partition's newest. Batch N
+    reads what the manifest of N - 1 names, so a replayed batch gives the same
+    files; folders that neither of the last two manifests names are dropped."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        if batch_id == 0:
-            tail = spark.createDataFrame([], TAIL_SCHEMA)
-        else:
-            tail = spark.read.schema(TAIL_SCHEMA).parquet(f"{state_path}/batch_id={batch_id - 1}")
-        cached: list = []
-        emitted, nxt = cycle_batch(batch, tail, model, cache=cached)
-        emitted = emitted.withColumn("logged_at", F.current_timestamp())
+        before = _manifest(spark, state_path, batch_id - 1)
+        cached: list = [batch.persist(StorageLevel.MEMORY_AND_DISK)]
         try:
+            touched = [r[0] for r in batch.select(_part(parts)).distinct().collect()]
+            tail = read_tail(spark, state_path, batch_id - 1, touched)
+            emitted, nxt = cycle_batch(batch, tail, model, cache=cached, sized=True)
+            emitted = emitted.withColumn("logged_at", F.current_timestamp())
             emitted.write.mode("overwrite").partitionBy("store").parquet(f"{out_path}/batch_id={batch_id}")
-            nxt.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+            nxt = nxt.withColumn("part", _part(parts)).repartition("part")
+            nxt.write.mode("overwrite").partitionBy("part").parquet(f"{state_path}/tail/batch_id={batch_id}")
+            # a station with rejected readings only has no tail yet
+            new = {p: batch_id for p in touched if exists(spark, _folder(state_path, p, batch_id))}
+            rows = sorted({**before, **new}.items())
+            (spark.createDataFrame(rows, "part int, at long").coalesce(1).write.mode("overwrite")
+             .parquet(f"{state_path}/manifest/batch_id={batch_id}"))
+            if batch_id > 1 and exists(spark, f"{state_path}/manifest/batch_id={batch_id - 2}"):
+                older = _manifest(spark, state_path, batch_id - 2)
+                for p, at in older.items():
+                    if before.get(p) != at:
+                        drop(spark, _folder(state_path, p, at))
+                drop(spark, f"{state_path}/manifest/batch_id={batch_id - 2}")
         finally:
             for df in cached:
                 df.unpersist()

@@ -1,6 +1,8 @@
 """The streaming cycle equals the batch derivations; retraining consumes
 completed rows exactly once."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,9 +155,53 @@ def test_windowed_stream_equals_state_machine(spark, streamed, windowed, store):
 
 
 def test_windowed_tail_is_bounded(spark, windowed):
-    tail = spark.read.parquet(f"{windowed}/state")
-    per = tail.groupBy("batch_id", "station_id").count().agg(F.max("count")).first()[0]
-    assert per <= 14
+    from loamline.streaming import windowed as wmod
+    tail = wmod.read_tail(spark, f"{windowed}/state", 2)
+    assert tail.groupBy("station_id").count().agg(F.max("count")).first()[0] <= 14
+    # folders that the last two manifests do not name are gone
+    named = {(p, at) for n in (1, 2) for p, at in wmod._manifest(spark, f"{windowed}/state", n).items()}
+    left = spark.read.parquet(f"{windowed}/state/tail").select("part", "batch_id").distinct().collect()
+    assert {(r.part, r.batch_id) for r in left} == named
+    assert not os.path.exists(f"{windowed}/state/manifest/batch_id=0")
+
+
+def test_a_hot_station_of_a_batch_is_cut(spark, streamed, monkeypatch):
+    """The same rows and tail with one window per station and with small buckets."""
+    from loamline.operators import series
+    from loamline.streaming import windowed as wmod
+    _, readings, model = streamed
+    rows = lambda df: sorted(map(str, df.collect()))
+    first, second = (readings.filter(f"ts {op} timestamp_ntz'2024-01-16'") for op in ("<", ">="))
+    _, tail = wmod.cycle_batch(first, spark.createDataFrame([], wmod.TAIL_SCHEMA), model, whole=True)
+    tail = tail.cache()
+    want = wmod.cycle_batch(second, tail, model, whole=True)
+    monkeypatch.setattr(series, "BUCKET_ROWS", 12)
+    got = wmod.cycle_batch(second, tail, model, sized=True)
+    assert rows(got[0]) == rows(want[0]) and rows(got[1]) == rows(want[1])
+
+
+def test_state_written_follows_the_stations_of_a_batch(spark, streamed, tmp_path):
+    """A batch of one station rewrites one state partition; a replayed batch changes nothing."""
+    from loamline.streaming import windowed as wmod
+    _, readings, model = streamed
+    first = readings.filter("ts < timestamp_ntz'2024-01-11'")
+    one = first.agg(F.min("station_id")).first()[0]
+    second = readings.filter((F.col("station_id") == one) & (F.col("ts") >= F.lit("2024-01-11").cast("timestamp_ntz")))
+    sink = wmod.windowed_sink(spark, model, f"{tmp_path}/out", f"{tmp_path}/state")
+    sink(first, 0)
+    sink(second, 1)
+    written = spark.read.parquet(f"{tmp_path}/state/tail/batch_id=1")
+    assert written.select("part").distinct().count() == 1
+    assert written.count() < spark.read.parquet(f"{tmp_path}/state/tail/batch_id=0").count() / 5
+    rows = lambda df: sorted(map(str, df.drop("logged_at").collect()))
+    out, tail = rows(spark.read.parquet(f"{tmp_path}/out")), rows(wmod.read_tail(spark, f"{tmp_path}/state", 1))
+    sink(second, 1)
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == out
+    assert rows(wmod.read_tail(spark, f"{tmp_path}/state", 1)) == tail
+    both = wmod.cycle_batch(first.unionByName(second), spark.createDataFrame([], wmod.TAIL_SCHEMA), model, whole=True)
+    assert rows(spark.read.parquet(f"{tmp_path}/out").select(both[0].columns)) == rows(both[0])
+    sink(second.limit(0), 2)  # an empty batch keeps the state
+    assert rows(wmod.read_tail(spark, f"{tmp_path}/state", 2)) == tail
 
 
 def test_fertility_stream_appends_scored_rows(spark, tmp_path):
