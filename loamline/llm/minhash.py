@@ -57,7 +57,7 @@ SIGNED = "doc long, h long, n long, f1 long, f2 long, bands array<long>, sketch
 CELL = "cell long, side int, id long, n long, label long"
 PAIRS = 1 << 14  # compared at once
 VOCABULARY = 4096
-CELL_BATCH = 4 << 20  # bytes of an Arrow batch of cells
+BATCH = 4 << 20  # bytes of an Arrow batch; hashes of words and shingles take ten times that in a task
 
 
 def shingle_sets(column) -> list[np.ndarray]:
@@ -244,7 +244,6 @@ class Search:
     """The tables of one search; ``id`` is the number of a class of equal sets."""
 
     def __init__(self, docs: DataFrame):
-        bounded_batches(docs.sparkSession)
         docs = _keyed(docs)
         self.signed = written(docs.mapInArrow(_signed, SIGNED), "signed")
         key = F.struct(F.coalesce("doc", F.lit(NO_ID)).alias("doc"), "h", "bands", "sketch")
@@ -319,12 +318,11 @@ class Search:
 
     def joining(self, labels: DataFrame) -> DataFrame:
         """Links (a, b) of labels that join all components some pair of a band links."""
-        with batches_of(labels.sparkSession, CELL_BATCH):
-            near = written(self.cells(labels).repartition("cell").sortWithinPartitions("cell", "side")
-                           .mapInArrow(_maybe, CELL), "cells")
-            whole = near.join(self.sets, "id").repartition("cell").sortWithinPartitions("cell", "side")
-            links = whole.select("cell", "side", "label", "shingles").mapInArrow(_joining, "a long, b long")
-            return written(links.distinct(), "links")
+        near = written(self.cells(labels).repartition("cell").sortWithinPartitions("cell", "side")
+                       .mapInArrow(_maybe, CELL), "cells")
+        whole = near.join(self.sets, "id").repartition("cell").sortWithinPartitions("cell", "side")
+        links = whole.select("cell", "side", "label", "shingles").mapInArrow(_joining, "a long, b long")
+        return written(links.distinct(), "links")
 
     def run(self) -> DataFrame:
         """(id, label) of every representative that is linked with another."""
@@ -361,10 +359,17 @@ class Search:
         return some.select(*columns).unionByName(none.select(*columns))
 
 
+def searched(docs: DataFrame) -> DataFrame:
+    """``Search.rows`` of the documents. All Python work is done when it returns."""
+    bounded_batches(docs.sparkSession)
+    with batches_of(docs.sparkSession, BATCH):
+        return Search(docs).rows()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row."""
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc"))
-    return Search(docs).rows().select(
+    return searched(docs).select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.col("doc").eqNullSafe(component).alias("kept"))
 
@@ -374,7 +379,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     the smallest doc_id (a null one only where all are), of rows that repeat this
     id that of the smallest hash of the text, one of equal ones. Rows without
     words all stay."""
-    rows = written(Search(docs).rows().where("n > 0").select("doc", "h", "label"), "components")
+    rows = written(searched(docs).where("n > 0").select("doc", "h", "label"), "components")
     each = rows.groupBy("label", "doc", "h").agg(F.count("*").alias("copies"))
     first = each.groupBy("label").agg(
         F.min(F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "h", "copies")).alias("x"),

@@ -31,22 +31,22 @@ def texts(docs: DataFrame, *keep: str) -> DataFrame:
                        F.coalesce(docs["text"], F.lit("")).alias("text"), *(docs[c] for c in keep))
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
     """Cap the bytes of an Arrow batch sent to Python, so that long texts do
     not add up to 10,000 rows of any size. A smaller cap set by the user stays."""
     now = str(spark.conf.get(BATCH_CONF, "2147483647"))
     unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
     digits = now.rstrip("bkmgBKMG")
     size = int(digits) * unit.get(now[len(digits):len(digits) + 1].lower(), 1) if digits else 0
-    if not 0 < size <= BATCH_BYTES:
-        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+    if not 0 < size <= most:
+        spark.conf.set(BATCH_CONF, str(most))
 
 
 @contextmanager
 def batches_of(spark: SparkSession, size: int):
     """Jobs run inside send batches of ``size`` bytes at most to Python."""
     before = spark.conf.get(BATCH_CONF)
-    spark.conf.set(BATCH_CONF, str(size))
+    bounded_batches(spark, size)
     try:
         yield
     finally:
