@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from loamline.operators.metrics import scaler_stats
 from loamline.operators.series import row_ids
@@ -49,12 +49,26 @@ def ordered_split(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str
 
 def random_split(df: DataFrame, id_col: str, train_percent: int = RANDOM_TRAIN_PERCENT,
                  seed: int = SEED) -> DataFrame:
-    """Seeded split that is stable under task retries: a hash of the row id
-    decides, so a recomputed partition lands on the same side. MD5, because
-    other engines have it, too."""
+    """Seeded split of exact size: the ceil(n * (100 - train_percent) / 100) rows
+    with the smallest hashes of their id test, the rest train. Nothing is sorted
+    as a whole: the rows are counted by the first 16 bits of the hash (at most
+    65,536 cells), which decides all cells but the one in which the number of test
+    rows is reached; only that one, about n / 65,536 rows, is put in order, by
+    hash and id. A recomputed partition gives the same rows. MD5, because other
+    engines have it, too."""
     digest = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(str(seed))).cast("binary"))
-    bucket = F.conv(F.substring(digest, 1, 7), 16, 10).cast("long") % 100
-    return df.withColumn("split", F.when(bucket < train_percent, F.lit("train")).otherwise(F.lit("test")))
+    rows = df.withColumn("_rs_hash", digest).withColumn("_rs_cell", F.substring("_rs_hash", 1, 4))
+    cells = rows.groupBy("_rs_cell").agg(F.count(F.lit(1)).alias("_rs_n"))
+    upto, total = F.sum("_rs_n").over(Window.orderBy("_rs_cell")), F.sum("_rs_n").over(Window.partitionBy())
+    wanted = F.floor((total * (100 - train_percent) + 99) / 100)
+    cells = cells.withColumn("_rs_test", wanted - (upto - F.col("_rs_n")))  # test rows in this cell, if within its size
+    marked = rows.join(cells, "_rs_cell")
+    within = (F.col("_rs_test") > 0) & (F.col("_rs_test") < F.col("_rs_n"))
+    place = F.row_number().over(Window.partitionBy("_rs_cell").orderBy("_rs_hash", id_col))
+    side = lambda test: F.when(test, F.lit("test")).otherwise(F.lit("train"))
+    whole = marked.filter(~within).withColumn("split", side(F.col("_rs_test") > 0))
+    cut = marked.filter(within).withColumn("_rs_place", place).withColumn("split", side(F.col("_rs_place") <= F.col("_rs_test")))
+    return whole.unionByName(cut.drop("_rs_place")).select(*df.columns, "split")
 
 
 # --------------------------------------------------------------------- scaler

@@ -404,8 +404,8 @@ ORACLE: dict[str, str] = {
                      ("ts", "CASE WHEN event_id % 89 <> 0 THEN ts END"), ("event_type", "event_type"),
                      ("value", "value"))),
     "random_split": f"""WITH {NUT_CTE} SELECT sample_id, "Output",
-        CASE WHEN CAST('0x' || substr(md5(sample_id || ':42'), 1, 7) AS BIGINT) % 100 < 80
-             THEN 'train' ELSE 'test' END AS split FROM nut WHERE "Output" IN (0, 1)""",
+        CASE WHEN row_number() OVER (ORDER BY md5(sample_id || ':42'), sample_id) <= ceil(0.2::DOUBLE * count(*) OVER ())
+             THEN 'test' ELSE 'train' END AS split FROM nut WHERE "Output" IN (0, 1)""",
     "binary_labels": f'WITH {NUT_CTE} SELECT * FROM nut WHERE "Output" IN (0, 1)',
     "completed_rows": f"WITH {cycles_cte()}, {COMPAT_CTE} "
                       "SELECT * EXCLUDE (ts) FROM compat WHERE future_moisture IS NOT NULL",

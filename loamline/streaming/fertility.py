@@ -4,7 +4,7 @@ only, no shuffle)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loamline.operators import metrics, models, quality
 from loamline.sources.tables import exists
@@ -27,23 +27,49 @@ def train_fertility(nutrients: DataFrame, *, num_trees: int = FOREST_TREES,
     return pipe.fit(train), test
 
 
-def load_or_train_fertility(nutrients: DataFrame, path: str, **kw):
-    """Reuse a saved classifier; fit and save one only when none exists."""
+def newest_version(spark: SparkSession, path: str) -> int | None:
+    """The newest published version of the classifier at ``path``."""
+    if not exists(spark, f"{path}/versions"):
+        return None
+    return spark.read.schema("version long").parquet(f"{path}/versions").agg(F.max("version")).first()[0]
+
+
+def publish(spark: SparkSession, model, path: str) -> int:
+    """Save the classifier as the next version: a folder of its own first, then
+    a row in the table of versions, which commits it. A save that dies in
+    between leaves the last version as it was; its folder is written anew."""
+    newest = newest_version(spark, path)
+    version = 0 if newest is None else newest + 1
+    model.write().overwrite().save(f"{path}/models/v={version}")
+    (spark.createDataFrame([(version,)], "version long").coalesce(1)
+     .write.mode("append").parquet(f"{path}/versions"))
+    return version
+
+
+def load_fertility(spark: SparkSession, path: str, version: int | None = None):
+    """A published classifier, the newest unless ``version`` says which."""
     from pyspark.ml import PipelineModel
-    if exists(nutrients.sparkSession, f"{path}/metadata"):
-        return PipelineModel.load(path)
-    model, _ = train_fertility(nutrients, **kw)
-    model.write().overwrite().save(path)
-    return model
+    if version is None:
+        version = newest_version(spark, path)
+    return PipelineModel.load(f"{path}/models/v={version}")
+
+
+def load_or_train_fertility(nutrients: DataFrame, path: str, **kw):
+    """Reuse the newest published classifier; fit and publish one only when none exists."""
+    spark = nutrients.sparkSession
+    if newest_version(spark, path) is None:
+        model, _ = train_fertility(nutrients, **kw)
+        publish(spark, model, path)
+    return load_fertility(spark, path)
 
 
 def refit_fertility(nutrients: DataFrame, path: str, **kw) -> tuple[object, DataFrame]:
-    """Refit the classifier, score its held-out rows and save it over the old
-    one. Returns (model, classification report)."""
+    """Refit the classifier, score its held-out rows and publish it as the next
+    version. Returns (model, classification report)."""
     model, test = train_fertility(nutrients, **kw)
     scored, _ = score_fertility(test, model)
     report = metrics.classification_report(scored, NUTRIENT_LABEL, "predicted_fertility")
-    model.write().overwrite().save(path)
+    publish(nutrients.sparkSession, model, path)
     return model, report
 
 

@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -152,6 +154,23 @@ def test_refit_replaces_the_saved_classifier(spark, scratch):
     again = fertility.load_or_train_fertility(nut, path)
     assert first.stages[-1].getNumTrees == 3 and again.stages[-1].getNumTrees == 5
     assert {"accuracy", "macro avg"} <= {r.label for r in report.collect()}
+    assert fertility.newest_version(spark, path) == 1
+    assert fertility.load_fertility(spark, path, 0).stages[-1].getNumTrees == 3  # the old one stays
+
+
+def test_a_refit_that_dies_halfway_publishes_nothing(spark, scratch, monkeypatch):
+    nut = adapters.nutrients(table(spark, SF_MID, "embeddings"))
+    path = f"{scratch}/half"
+    fertility.load_or_train_fertility(nut, path, num_trees=2)
+    model, _ = fertility.train_fertility(nut, num_trees=4)
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *a, **k: 1 / 0)  # after the folder, before the commit
+    with pytest.raises(ZeroDivisionError):
+        fertility.publish(spark, model, path)
+    monkeypatch.undo()
+    assert fertility.newest_version(spark, path) == 0
+    assert fertility.load_or_train_fertility(nut, path).stages[-1].getNumTrees == 2
+    assert fertility.publish(spark, model, path) == 1  # the folder left behind is written anew
+    assert fertility.load_fertility(spark, path).stages[-1].getNumTrees == 4
 
 
 def test_learning_rate_sweep(spark, regression):
@@ -234,8 +253,11 @@ def test_random_split_is_stable_and_proportional(spark):
     ja = {r.sample_id: r.split for r in a.collect()}
     jb = {r.sample_id: r.split for r in b.collect()}
     assert ja == jb
-    share = sum(v == "train" for v in ja.values()) / len(ja)
-    assert 0.78 < share < 0.82
+    assert sum(v == "test" for v in ja.values()) == 4000
+    by_hash = sorted(ja, key=lambda i: (hashlib.md5(f"{i}:42".encode()).hexdigest(), i))
+    assert all(ja[i] == ("test" if k < 4000 else "train") for k, i in enumerate(by_hash))
+    for n, want in ((0, 0), (1, 1), (5, 1), (6, 2)):  # ceil(0.2 n)
+        assert models.random_split(df.limit(n), "sample_id").filter("split = 'test'").count() == want
 
 
 def test_load_or_fit_reuses_saved_models(spark, regression, scratch):
