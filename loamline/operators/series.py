@@ -302,6 +302,31 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     return bucketed(df, bucket)
 
 
+def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, str], *,
+                totals: Mapping[str, str] | None = None, bucket_rows: int | None = None) -> DataFrame:
+    """Several running sums (name -> column) and totals (name -> column) along
+    each series in one pass, keys treated by their size."""
+    keys, order, totals = list(keys), list(order), dict(totals or {})
+    frame = (Window.unboundedPreceding, Window.currentRow)
+
+    def sums(rows, part):
+        if part is None:
+            running, whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame), Window.partitionBy(*keys)
+            return rows.withColumns({n: F.sum(c).over(running) for n, c in values.items()}
+                                    | {n: F.sum(c).over(whole) for n, c in totals.items()})
+        each = rows.groupBy(*keys, PART).agg(*(F.sum(c).alias(f"_sx_s_{c}") for c in {*values.values(), *totals.values()}))
+        before = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = each.select(
+            *keys, PART, *(F.coalesce(F.sum(f"_sx_s_{c}").over(before), F.lit(0)).alias(f"_sx_o_{n}") for n, c in values.items()),
+            *(F.sum(f"_sx_s_{c}").over(Window.partitionBy(*keys)).alias(n) for n, c in totals.items()))
+        inside = Window.partitionBy(*keys, PART).orderBy(*order).rowsBetween(*frame)
+        out = join_null_safe(rows, offsets, [*keys, PART])
+        out = out.withColumns({n: F.col(f"_sx_o_{n}") + F.sum(c).over(inside) for n, c in values.items()})
+        return out.drop(PART, *(f"_sx_o_{n}" for n in values))
+
+    return per_size(df, keys, order, sums, bucket_rows=bucket_rows)
+
+
 def row_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_id",
             *, total: str | None = None, bucket: Column | None = None,
             bucket_seconds: float | None = None, bucket_rows: int | None = None) -> DataFrame:

@@ -12,9 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loamline.functions.scalar import float32, hour_cos, hour_sin, round_half_even, to_number
-from loamline.operators import backfill, features, metrics, models, online, quality, series
+from loamline.operators import backfill, features, metrics, models, online, quality, series, trees
 from loamline.schemas import (BOOSTED_TRAIN_FRACTION, FOREST_CLASSIFIER_DEPTH, KEYS, MOISTURE_FEATURES,
                               MOISTURE_TARGET, NUTRIENTS, ORDER, SWEEP_LEARNING_RATES)
+from loamline.session import materialized
 from loamline.sources import adapters
 from loamline.sources.tables import table
 
@@ -477,6 +478,13 @@ def _nutrient_split(spark, sf):
     return train, split.filter(F.col("split") == "test")
 
 
+def q_best_split(spark, sf):
+    """The root split of an exact tree over the weighted training rows."""
+    train, _ = _nutrient_split(spark, sf)
+    best = trees.best_splits(materialized(trees.tree_rows(train, NUTRIENTS, "Output", "weight"), "tree-rows"))
+    return best.select("feature", r6("threshold").alias("threshold"), r6("gain").alias("gain"))
+
+
 def q_random_split(spark, sf):
     return models.random_split(quality.binary_labels(_nutrients(spark, sf)), "sample_id").select(
         "sample_id", "Output", "split")

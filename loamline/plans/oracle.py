@@ -147,6 +147,24 @@ def _sgd_cols() -> str:
     return ", ".join(cols)
 
 
+def _best_split_sql() -> str:
+    values = " UNION ALL ".join(f'SELECT {i} AS feature, "{n}" AS value, w, w * "Output" AS w1 FROM train'
+                                for i, n in enumerate(NUTRIENTS))
+    gini = lambda one, all_: f"2 * {one} * ({all_} - {one}) / {all_}"
+    return f"""WITH {NUT_CTE},
+    split AS (SELECT *, row_number() OVER (ORDER BY md5(sample_id || ':42'), sample_id)
+                  <= ceil(0.2::DOUBLE * count(*) OVER ()) AS test FROM nut WHERE "Output" IN (0, 1)),
+    train AS (SELECT *, count(*) OVER () / (2.0::DOUBLE * count(*) OVER (PARTITION BY "Output")) AS w FROM split WHERE NOT test),
+    sums AS (SELECT feature, value, sum(w) AS w, sum(w1) AS w1 FROM ({values}) GROUP BY ALL),
+    cuts AS (SELECT feature, value, lead(value) OVER v AS next, sum(w) OVER v AS l, sum(w1) OVER v AS l1,
+                 sum(w) OVER (PARTITION BY feature) AS a, sum(w1) OVER (PARTITION BY feature) AS a1
+             FROM sums WINDOW v AS (PARTITION BY feature ORDER BY value)),
+    gains AS (SELECT *, round(({gini('a1', 'a')} - {gini('l1', 'l')} - {gini('(a1 - l1)', '(a - l)')}) / a, 12) AS gain
+              FROM cuts WHERE next IS NOT NULL)
+    SELECT CAST(feature AS INTEGER) AS feature, {r6('(value + next) / 2')} AS threshold, {r6('gain')} AS gain
+    FROM gains ORDER BY gains.gain DESC, gains.feature, value LIMIT 1"""
+
+
 # ------------------------------------------------- sequential SGD, row by row
 
 def _sgd_rows(source: str, name: str, by: str = "") -> str:
@@ -503,6 +521,7 @@ ORACLE: dict[str, str] = {
         + [f"{r6(f'w[{i + 1}]')} AS w_{f}" for i, f in enumerate(FEATS)]) + " FROM after",
     "sgd_fit": f"{_fit_cte([0.01])} SELECT {WEIGHT_ROWS}, n_iter FROM fits",
     "learning_rate_sweep": _sweep_sql([0.1, 0.05, 0.01, 0.005, 0.001, 0.0005]),
+    "best_split": _best_split_sql(),
     "sgd_step": f"WITH {FEATURES_CTE} SELECT {_sgd_cols()} FROM feat",
     "score_linear": f"WITH {FEATURES_CTE} SELECT station_id, event_id, {r6(FIXED)} AS prediction FROM feat",
     "model_comparison": _model_comparison(),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on; a cluster's own spark-defaults win where set.
 _DEFAULTS = {
@@ -52,6 +54,14 @@ def cluster_conf(input_bytes: int, target_partition_mb: int = 128) -> dict[str,
     }
 
 
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder, read back: computed
+    once, lineage cut, sizes known to the planner, readable after an executor is lost."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``; whoever
     builds the session names it (tests and the bench name a scratch folder)."""
