@@ -257,11 +257,17 @@ class Search:
         self.shared = written(banded.join(shared, "band").select("band", "id", "n", "hub"), "shared")
         ids = self.shared.select("id").distinct()
         self.sketches = written(self.classes.select("id", "n", "sketch").join(ids, "id", "left_semi"), "sketches")
-        of = self.classes.select("id", F.col("doc").alias("rep"), "h").join(ids, "id", "left_semi")
-        chosen = docs.join(of, (F.coalesce(docs["doc"], F.lit(NO_ID)) == of["rep"]) & (docs["h"] == of["h"]))
-        sets = chosen.select("id", "text").mapInArrow(_sets, "id long, shingles binary")
-        # rows that repeat both id and text give the set of their class several times
-        self.sets = written(sets.groupBy("id").agg(F.first("shingles").alias("shingles")), "sets")
+        # written, so that the planner knows its size: a few representatives are broadcast, many shuffled
+        of = written(self.classes.select("id", F.col("doc").alias("rep"), F.col("h").alias("rep_h")).join(
+            ids, "id", "left_semi"), "representatives")
+        key = F.coalesce("doc", F.lit(NO_ID))
+        chosen = docs.join(of, (key == F.col("rep")) & (F.col("h") == F.col("rep_h"))).select("id", "text")
+        # rows that repeat both id and text would give the set of their class several times
+        again = self.signed.where("n > 0").groupBy(key.alias("rep"), F.col("h").alias("rep_h")).count().where("count > 1")
+        again = written(again.join(of, ["rep", "rep_h"]).select("id"), "repeated")
+        sets = lambda rows: rows.mapInArrow(_sets, "id long, shingles binary")
+        self.sets = written(sets(chosen.join(again, "id", "left_anti")).unionByName(
+            sets(chosen.join(again, "id", "left_semi").dropDuplicates(["id"]))), "sets")
 
     def alike(self, pairs: DataFrame) -> DataFrame:
         """Distinct pairs a < b of similar size whose sketches agree."""
