@@ -19,8 +19,9 @@ texts have none, half of four or more lines being duplicates, or a quarter of
 250 or more words in repeated windows, is enough; one repeated line of a short
 text is not (two lines and 40 words are added to the shares' divisors, so under
 about 100 words repeats alone are left to the base rule).
-Groups of fewer than ``LEAST_ROWS`` rows are pooled by language; where that
-pool is small, too, the base rule decides alone.
+Groups of fewer than ``LEAST_ROWS`` rows are pooled by language; what is left in
+small pools, of all languages, is judged as one last group, however small, so
+every row that passes the base rule is judged by the method.
 
 A null text has no words and fails the base rule; null languages and sources
 are groups of their own. Repeated rows are judged alike. Extra columns are
@@ -42,6 +43,7 @@ STATS = ("word_length", "symbols", "dup_lines", "repeats")
 H, STEPS = 0.75, 3
 FLOOR = 0.5
 LEAST_ROWS = 100
+REST = 0
 CUTOFF = 60.0  # far beyond chi-squared of 4 degrees of freedom: ordinary texts with a repeated line stay
 GRID = 20.0
 BLANKS = " \t\n\x0b\f\r"
@@ -118,14 +120,14 @@ def transformed(rows: DataFrame) -> DataFrame:
 
 def keyed(rows: DataFrame) -> DataFrame:
     """Rows with the key of their group: language and source, or the language's
-    pool of small groups, or null."""
+    pool of small groups, or ``REST``, the pool of small pools."""
     one = lambda *c: F.xxhash64(*c, *(F.col(x).isNull() for x in c))
     rows = rows.withColumn("own", one("lang", "source")).withColumn("pool", one("lang"))
     size = (rows.where(~F.col("base_failed")).groupBy("own").agg(F.count("*").alias("size"), F.first("pool").alias("p"))
             .withColumn("small", F.col("size") < LEAST_ROWS))
     pools = size.where("small").groupBy("p").agg(F.sum("size").alias("pool_size"))
     groups = size.join(pools, "p", "left").select("own", F.when(~F.col("small"), F.col("own")).when(
-        F.col("pool_size") >= LEAST_ROWS, F.col("p")).alias("key"))
+        F.col("pool_size") >= LEAST_ROWS, F.col("p")).otherwise(F.lit(REST)).alias("key"))
     return rows.join(groups, "own", "left").drop("own", "pool")
 
 
@@ -177,7 +179,7 @@ def consistency(h: float) -> float:
 def estimated(rows: DataFrame) -> DataFrame:
     """Robust centre and Cholesky factor of each group."""
     p = range(len(STATS))
-    rows = rows.where(~F.col("base_failed") & F.col("key").isNotNull()).select("key", *STATS)
+    rows = rows.where(~F.col("base_failed")).select("key", *STATS)
     start = rows
     stacked = rows.select("key", F.explode(F.array(*(
         F.struct(F.lit(i).alias("i"), F.col(s).alias("v")) for i, s in enumerate(STATS)))).alias("x"))

@@ -96,6 +96,17 @@ def test_each_statistic_alone_rejects(frame, statistic):
     assert not any(got[i].base_failed or got[i].kept for i, _ in bad)
 
 
+def test_small_groups_are_judged(spark):
+    """Left-over rows of rare languages and sources, with null and repeated ids."""
+    rnd = random.Random(8)
+    text = lambda: " ".join("".join(rnd.choice("abcdefg") for _ in range(rnd.randint(3, 7))) for _ in range(60))
+    rows = [(i if i % 9 else None, text(), f"l{i % 5}", f"s{i % 7}") for i in range(60)]
+    rows += [(7, text(), "l1", "s1"), (100, " ".join("#$%&" * 6 + str(i) for i in range(60)), "rare", "once")]
+    got = outliers.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert len(got) == len(rows) and all(r.distance is not None for r in got)
+    assert [r.doc_id for r in got if not r.kept] == [100]
+
+
 def test_distance_is_mahalanobis(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, 4)) @ rng.normal(size=(4, 4))
