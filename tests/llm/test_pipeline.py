@@ -54,6 +54,31 @@ def test_stages(spark, corpus, tmp_path):
     assert {r.doc_id for r in packed} == set(want)
 
 
+def test_toxic_documents_go_and_odd_ids_stay_whole(spark, tmp_path):
+    """Labelled toxic rows teach the first stage; null and repeated ids pass all stages."""
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("bcdfgl") + rnd.choice("aeiou") for _ in range(2)) for _ in range(300)]
+    text = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    toxic = [(i, f"{text(20)} you stupid idiot {text(10)} worthless moron {text(10)}") for i in range(60)]
+    clean = [(100 + i, text(40)) for i in range(120)]
+    a, b = text(40), text(40)
+    odd = [(None, a), (None, a), (None, b), (300, b + " extra"), (301, text(40)), (301, text(40)), (302, None)]
+    rows = [(i, t, "en", "s", len(t or ""), 0) for i, t in toxic + clean + odd]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, bucket int"
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, 1, 1) for i, _ in toxic[:45]] + [(i, 1, 0) for i, _ in clean[:90]]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = corpus_pipeline.STAGES[0][1](spark, docs, str(tmp_path))
+    ids = [r.doc_id for r in kept.collect()]
+    assert not set(ids) & {i for i, _ in toxic} and {i for i, _ in clean} <= set(ids) and tuple(kept.columns) == corpus_pipeline.COLUMNS
+    kept = corpus_pipeline.STAGES[1][1](spark, kept, str(tmp_path))
+    left = sorted((r.doc_id or 0, r.text or "") for r in kept.where("doc_id is null or doc_id >= 300").collect())
+    assert left == sorted([(0, a), (300, b + " extra"), *((i or 0, t or "") for i, t in odd[4:])])
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in packed} == {i for i, _ in clean} | {None, 300, 301, 302}
+
+
 def test_run_on_the_small_tables(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and all(0 < r.length <= 1024 for r in rows)
