@@ -7,6 +7,7 @@ import public_tokenizers
 
 from . import (ann, bpe, licences, minhash, outliers, packing, pii, substring, suffix, token_counts, toxicity, variants,
                whitening)
+from .oracle import ORACLE  # noqa: F401
 from .tables import documents, table
 
 
@@ -73,4 +74,3 @@ def op13_whitening(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_personal_data, op3_minhash_near_dedup, op4_nearest_neighbours, op5_token_counts, op6_packing, op7_bpe_round_trip,
     op8_toxicity, op9_quality_outliers, op10_suffix_dedup, op11_spelling_variants, op12_licences, op13_whitening)}
-ORACLE: dict[str, str] = {}

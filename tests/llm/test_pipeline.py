@@ -7,7 +7,8 @@ import corpus_pipeline
 import pytest
 
 import __spark_entry__ as entry
-from loamline.llm.queries import QUERIES
+from loamline.llm import substring, suffix
+from loamline.llm.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,6 +19,19 @@ def test_queries_are_registered():
     assert set(QUERIES) <= set(names)
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_its_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet' WHERE doc_id < 80")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 80")
+    operator = {"op1_substring_dedup": substring, "op10_suffix_dedup": suffix}[name]
+    got = operator.dedup_digests(docs)
+    want = con.sql(ORACLE[name])
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(want.fetchall())
+    assert [t == "BIGINT" for t in map(str, want.types)] == [t == "bigint" for _, t in got.select(want.columns).dtypes]
+
+
 @pytest.fixture(scope="module")
 def corpus(spark):
     rnd = random.Random(12)
