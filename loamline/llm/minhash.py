@@ -257,11 +257,11 @@ class Search:
         self.shared = written(banded.join(shared, "band").select("band", "id", "n", "hub"), "shared")
         ids = self.shared.select("id").distinct()
         self.sketches = written(self.classes.select("id", "n", "sketch").join(ids, "id", "left_semi"), "sketches")
-        # written, so that the planner knows its size: a few representatives are broadcast, many shuffled
         of = written(self.classes.select("id", F.col("doc").alias("rep"), F.col("h").alias("rep_h")).join(
             ids, "id", "left_semi"), "representatives")
         key = F.coalesce("doc", F.lit(NO_ID))
-        chosen = docs.join(of, (key == F.col("rep")) & (F.col("h") == F.col("rep_h"))).select("id", "text")
+        # representatives grow with the input: shuffled at every size, not broadcast while they are few
+        chosen = docs.join(of.hint("merge"), (key == F.col("rep")) & (F.col("h") == F.col("rep_h"))).select("id", "text")
         # rows that repeat both id and text would give the set of their class several times
         again = self.signed.where("n > 0").groupBy(key.alias("rep"), F.col("h").alias("rep_h")).count().where("count > 1")
         again = written(again.join(of, ["rep", "rep_h"]).select("id"), "repeated")
