@@ -42,17 +42,22 @@ def normalise_columns(raw: DataFrame) -> DataFrame:
 def moisture_features(readings: DataFrame, keys: Sequence[str] = KEYS,
                       order: Sequence[str] = ORDER, *,
                       bucket_seconds: float | None = None,
-                      normalised: bool = False) -> DataFrame:
+                      normalised: bool = False, bucket: Column | None = None,
+                      whole: bool = False) -> DataFrame:
     """Training rows: hour encoding, temperature, rain, five earlier readings
-    and the next reading; rows without a fifth lag or a next reading dropped."""
+    and the next reading; rows without a fifth lag or a next reading dropped.
+    Keys are treated by their size unless ``whole`` or ``bucket`` says how; the
+    bucket is kept in ``PART`` then."""
     keys, order = list(keys), list(order)
+    kept = [] if bucket is None else [PART]
     r = readings if normalised else normalise(readings)
-    r = r.select(*keys, *order, "hour_sin", "hour_cos", "soil_temp", "rain_fall", "soil_moisture")
+    r = r.select(*keys, *order, "hour_sin", "hour_cos", "soil_temp", "rain_fall", "soil_moisture",
+                 *([] if bucket is None else [bucket.alias(PART)]))
     lags = {f"prev_{k}": ("soil_moisture", k) for k in range(1, HISTORY + 1)}
     out = shift(r, keys, order, lags=lags, leads={MOISTURE_TARGET: ("soil_moisture", 1)},
-                bucket_seconds=bucket_seconds)
+                bucket_seconds=bucket_seconds, bucket=None if bucket is None else F.col(PART), whole=whole)
     return (out.filter(F.col("prev_5").isNotNull() & F.col(MOISTURE_TARGET).isNotNull())
-            .select(*keys, *order, *MOISTURE_FEATURES, MOISTURE_TARGET))
+            .select(*keys, *order, *MOISTURE_FEATURES, MOISTURE_TARGET, *kept))
 
 
 def compat_cycles(readings: DataFrame, keys: Sequence[str] = KEYS,

@@ -28,15 +28,18 @@ from loamline.schemas import (BOOSTED_ITERATIONS, BOOSTED_STEP, FOREST_MAX_DEPTH
 
 def ordered_split(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER, *,
                   test_fraction: float | None = TEST_FRACTION, train_fraction: float | None = None,
-                  bucket_seconds: float | None = None) -> DataFrame:
+                  bucket_seconds: float | None = None, bucket: Column | None = None,
+                  whole: bool = False) -> DataFrame:
     """Unshuffled split per series: the first rows train, the rest test.
 
     ``test_fraction=f`` -> test = ceil(f*n); ``train_fraction=f`` -> train =
     floor(f*n). Positions and series lengths come from the bucketed
-    ``row_ids`` (no single task per key, no join on the key alone).
+    ``row_ids`` (no single task per key, no join on the key alone); ``whole``
+    and ``bucket`` are passed on to it.
     """
     keys, order = list(keys), list(order)
-    pos = row_ids(df, keys, order, "_ms_pos", total="_ms_n", bucket_seconds=bucket_seconds)
+    pos = row_ids(df, keys, order, "_ms_pos", total="_ms_n", bucket_seconds=bucket_seconds,
+                  bucket=bucket, whole=whole)
     n = F.col("_ms_n")
     if train_fraction is not None:
         n_train = F.floor(F.lit(float(train_fraction)) * n)

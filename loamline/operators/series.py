@@ -129,12 +129,16 @@ def per_size(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     rows (default BUCKET_ROWS), where ``bucket`` is the column ``PART``.
 
     The sample is one row in ``bucket_rows / SAMPLES``; the borders, one in
-    ``bucket_rows``, are joined back as adaptive execution sees fit. Nothing runs
-    here: without hot keys adaptive execution drops the second branch at run time."""
+    ``bucket_rows``, are joined back as adaptive execution sees fit. The list of hot
+    keys, one per ``bucket_rows`` rows at most, is broadcast, so rows are dealt to
+    the two branches where they are read and each is shuffled in its own only.
+    Nothing runs here: without hot keys adaptive execution drops the second branch
+    at run time."""
     keys, order = list(keys), list(order)
     cuts = borders(df, keys, order, bucket_rows or BUCKET_ROWS)
-    small = join_null_safe(df, cuts.filter("_sx_no = 1").select(*keys), keys, "left_anti")
-    return each(small, None).unionByName(each(hot_parts(df, keys, cuts), F.col(PART)))
+    hot = F.broadcast(cuts.filter("_sx_no = 1").select(*keys))
+    small, large = (join_null_safe(df, hot, keys, how) for how in ("left_anti", "left_semi"))
+    return each(small, None).unionByName(each(hot_parts(large, keys, cuts), F.col(PART)))
 
 
 def _halo_lags(base: DataFrame, keys: list[str], order: list[str], srcs: list[str],
@@ -260,7 +264,7 @@ def _shift_halo(df, keys, order, lags, bucket, bucket_seconds, reverse=False) ->
 def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column | str,
                name: str, *, inclusive: bool = True, total: str | None = None,
                bucket: Column | None = None, bucket_seconds: float | None = None,
-               bucket_rows: int | None = None) -> DataFrame:
+               bucket_rows: int | None = None, whole: bool = False) -> DataFrame:
     """Running sum of ``value`` along each series (and, with ``total``, the
     series sum), without one task per hot key.
 
@@ -268,7 +272,8 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     bucket) (partial aggregation); a window over that small table turns the
     sums into bucket offsets and series totals; the table is joined back on
     (key, bucket) -- never on the key alone, NULLs equal to NULLs -- and each
-    row adds its running sum inside the bucket.
+    row adds its running sum inside the bucket. ``whole`` and ``bucket`` say how
+    rows that ``per_size`` has dealt already are treated.
     """
     keys, order = list(keys), list(order)
     val = F.col(value) if isinstance(value, str) else value
@@ -294,6 +299,8 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         running = F.col("_sx_off") + F.coalesce(F.sum("_sx_v").over(w_in), F.lit(0))
         return pos.withColumn(name, running).drop(_BKT, "_sx_off", "_sx_v")
 
+    if whole:
+        return plain(df)
     if bucket is None and not fixed and keys:
         return per_size(df, keys, order, lambda rows, part: plain(rows) if part is None
                         else bucketed(rows, part).drop(PART), bucket_rows=bucket_rows)
@@ -329,11 +336,11 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], values
 
 def row_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_id",
             *, total: str | None = None, bucket: Column | None = None,
-            bucket_seconds: float | None = None, bucket_rows: int | None = None) -> DataFrame:
+            bucket_seconds: float | None = None, bucket_rows: int | None = None, whole: bool = False) -> DataFrame:
     """1-based position of each row in its series (and, with ``total``, the
     series length): a ``prefix_sum`` of 1."""
     return prefix_sum(df, keys, order, F.lit(1).cast("long"), name, total=total, bucket=bucket,
-                      bucket_seconds=bucket_seconds, bucket_rows=bucket_rows)
+                      bucket_seconds=bucket_seconds, bucket_rows=bucket_rows, whole=whole)
 
 
 def last_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int,

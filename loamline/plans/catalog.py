@@ -398,7 +398,15 @@ def q_lineitem_scaler_stats(spark, sf):
 # ------------------------------------------- model queries (rows-only checks)
 
 def _split_features(spark, sf, **kw):
-    split = models.ordered_split(_features(spark, sf), **kw)
+    """(train, test) feature rows. Lags and positions come from one dealing of the
+    readings by the size of their key, and the rows are kept as a table: fits and
+    scores pass over them several times."""
+    def each(rows, part):
+        how = {"whole": part is None, "bucket": part}
+        out = models.ordered_split(features.moisture_features(rows, **how), **how, **kw)
+        return out.drop(series.PART)
+
+    split = materialized(series.per_size(_readings(spark, sf), KEYS, ORDER, each), "moisture-split")
     return split.filter(F.col("split") == "train"), split.filter(F.col("split") == "test")
 
 

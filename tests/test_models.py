@@ -3,7 +3,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from loamline.operators import metrics, models, online
 from loamline.schemas import MOISTURE_FEATURES, MOISTURE_TARGET, NUTRIENTS
@@ -278,3 +278,42 @@ def test_scaler_on_empty_frame_raises(spark, regression):
     from loamline.operators.quality import FrameContractError
     with pytest.raises(FrameContractError, match="empty"):
         models.Scaler.fit(regression.limit(0), MOISTURE_FEATURES)
+
+
+def _events(spark, path):
+    """Stations of 3 to 400 readings, one without a number, ties in time."""
+    rows = spark.createDataFrame([(0, 3), (1, 8), (2, 150), (None, 200), (4, 400)], "user_id long, n int")
+    rows = rows.select("user_id", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
+    when = F.timestamp_seconds(F.lit(1_700_000_000) + F.floor(F.col("i") / 3) * 3600).cast("timestamp_ntz")
+    rows.select((F.coalesce("user_id", F.lit(3)) * 1000 + F.col("i")).cast("long").alias("event_id"), when.alias("ts"), "user_id",
+                F.lit("view").alias("event_type"), (F.pmod(F.hash("user_id", "i"), F.lit(500)) / 4.0).alias("value"),
+                F.concat(F.lit('{"k": '), F.col("i"), F.lit("}")).alias("props")).write.parquet(f"{path}/events.parquet")
+    return path
+
+
+@pytest.mark.parametrize("bucket_rows", [64, 1_000_000])
+def test_split_features_of_hot_and_ordinary_stations(spark, scratch, monkeypatch, bucket_rows):
+    from loamline.operators import series
+    from loamline.plans import catalog
+    monkeypatch.setattr(series, "BUCKET_ROWS", bucket_rows)
+    train, test = catalog._split_features(spark, _events(spark, scratch))
+    by = lambda rows: sorted(rows.collect(), key=str)
+    w = Window.partitionBy("station_id").orderBy("ts", "event_id")
+    rows = adapters.readings(table(spark, scratch, "events"))
+    moisture = F.col("soil_moisture") * 100
+    rows = rows.select("station_id", "ts", "event_id", *(F.lag(moisture, k).over(w).alias(f"prev_{k}") for k in range(1, 6)),
+                       F.lead(moisture).over(w).alias(MOISTURE_TARGET)).dropna(subset=["prev_5", MOISTURE_TARGET])
+    rows = rows.withColumns({"place": F.row_number().over(w), "n": F.count("*").over(Window.partitionBy("station_id"))})
+    first = F.col("place") <= F.col("n") - F.ceil(0.2 * F.col("n"))
+    cols = ["station_id", "ts", "event_id", *(f"prev_{k}" for k in range(1, 6)), MOISTURE_TARGET]
+    assert by(train.select(cols)) == by(rows.filter(first).select(cols))
+    assert by(test.select(cols)) == by(rows.filter(~first).select(cols))
+    assert train.columns == [*cols[:3], *MOISTURE_FEATURES, MOISTURE_TARGET, "split"]
+
+
+def test_split_features_are_computed_once(spark, scratch):
+    """Fits and scores read a table, they do not build lags and positions again."""
+    from loamline.plans import catalog
+    for part in catalog._split_features(spark, _events(spark, scratch)):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "Exchange" not in plan and "Scan parquet" in plan

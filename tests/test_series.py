@@ -257,3 +257,21 @@ def test_sql_features_split_hot_stations(spark):
     want = features.moisture_features(readings)
     got = moisture_features_sql(spark, readings, bucket_rows=40).select(*want.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_rows_of_ordinary_keys_are_shuffled_once(spark):
+    """Hot keys are broadcast where the rows are read: the only exchange of all
+    rows is that of the window, also where nothing else may be broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(1000).selectExpr("id % 7 k", "id ts", "id", "double(id) v")
+        out = series.per_size(df, ["k"], ["ts", "id"], lambda rows, part: series.shift(
+            rows, ["k"], ["ts", "id"], lags={"p": ("v", 1)}, whole=True) if part is None else rows.limit(0).selectExpr(
+                "k", "ts", "id", "v", "v p"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        anti = [line for line in plan.splitlines() if "LeftAnti" in line]
+        assert anti and all("BroadcastHashJoin" in line for line in anti)
+        assert out.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
