@@ -22,6 +22,10 @@ from loamline.schemas import (BOOSTED_ITERATIONS, BOOSTED_STEP, FOREST_MAX_DEPTH
                               FOREST_REGRESSOR_DEPTH, FOREST_TREES, KEYS, MOISTURE_FEATURES,
                               MOISTURE_TARGET, ORDER, RANDOM_TRAIN_PERCENT, SEED, SGD_LEARNING_RATE,
                               TEST_FRACTION, TREE_CLASSIFIER_DEPTH)
+from loamline.session import materialized
+
+# Rows of a fit below which one task is enough.
+FIT_TASK_ROWS = 500
 
 
 # --------------------------------------------------------------------- splits
@@ -74,6 +78,20 @@ def random_split(df: DataFrame, id_col: str, train_percent: int = RANDOM_TRAIN_P
     return whole.unionByName(cut.drop("_rs_place")).select(*df.columns, "split")
 
 
+def fit_rows(train: DataFrame, id_col: str, name: str = "fit-rows") -> DataFrame:
+    """``train`` as a table dealt by ``id_col`` over all cores, in order of it. A
+    fit passes over its rows once a level and more; adaptive execution sizes
+    tasks by bytes, and rows of a few numbers, however costly for a forest, would
+    all share one. Up to ``FIT_TASK_ROWS`` rows stay as they are."""
+    rows = materialized(train, name)
+    tasks = -(-rows.count() // FIT_TASK_ROWS)
+    if tasks <= 1:
+        return rows
+    # a forest's statistics are sent by every task: no more tasks than keep all cores busy
+    tasks = max(min(tasks, train.sparkSession.sparkContext.defaultParallelism), rows.rdd.getNumPartitions())
+    return rows.repartition(tasks, id_col).sortWithinPartitions(id_col)
+
+
 # --------------------------------------------------------------------- scaler
 
 @dataclass
@@ -248,13 +266,15 @@ def tree_classifier(features, label="Output", max_depth=TREE_CLASSIFIER_DEPTH, w
 def forest_classifier(features, label="Output", num_trees=FOREST_TREES, max_depth=FOREST_MAX_DEPTH,
                       weight_col="weight", seed=SEED):
     """Random forest with sqrt feature sampling and balanced class weights.
-    Spark caps depth at 30 (the reference grows trees without a limit)."""
+    Spark caps depth at 30 (the reference grows trees without a limit). The node
+    of every row is kept between levels: deep trees are not sent to the tasks and
+    walked from the root again at each; the trees are the same."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     return Pipeline(stages=[_assembled(features),
                             RandomForestClassifier(featuresCol="features", labelCol=label,
                                                    numTrees=num_trees, maxDepth=max_depth,
-                                                   featureSubsetStrategy="sqrt",
+                                                   featureSubsetStrategy="sqrt", cacheNodeIds=True,
                                                    weightCol=weight_col, seed=seed)])
 
 

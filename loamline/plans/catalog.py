@@ -500,6 +500,7 @@ def q_random_split(spark, sf):
 
 def q_classifier_reports(spark, sf):
     train, test = _nutrient_split(spark, sf)
+    train = models.fit_rows(train, "sample_id")
     fitted = {"tree": models.tree_classifier(NUTRIENTS).fit(train),
               "forest": models.forest_classifier(NUTRIENTS, max_depth=FOREST_CLASSIFIER_DEPTH).fit(train)}
     out = None

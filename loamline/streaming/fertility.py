@@ -21,6 +21,7 @@ def train_fertility(nutrients: DataFrame, *, num_trees: int = FOREST_TREES,
     data = quality.complete_cases(data, NUTRIENTS)
     split = models.random_split(data, "sample_id", train_percent, seed)
     train = metrics.with_class_weights(split.filter(F.col("split") == "train"), NUTRIENT_LABEL)
+    train = models.fit_rows(train, "sample_id")
     test = split.filter(F.col("split") == "test")
     pipe = models.forest_classifier(NUTRIENTS, NUTRIENT_LABEL, num_trees=num_trees,
                                     max_depth=max_depth, seed=seed)

@@ -317,3 +317,43 @@ def test_split_features_are_computed_once(spark, scratch):
     for part in catalog._split_features(spark, _events(spark, scratch)):
         plan = part._jdf.queryExecution().executedPlan().toString()
         assert "Window" not in plan and "Exchange" not in plan and "Scan parquet" in plan
+
+
+def _samples(spark, n):
+    """Labelled samples in a single partition, as adaptive execution leaves them."""
+    cols = [(F.pmod(F.xxhash64("sample_id", F.lit(i)), F.lit(1000)) / 10.0).alias(c) for i, c in enumerate(NUTRIENTS)]
+    rows = spark.range(n).withColumnRenamed("id", "sample_id").coalesce(1)
+    return rows.select("sample_id", *cols, (F.col("sample_id") % 2).cast("int").alias("Output"), F.lit(1.0).alias("weight"))
+
+
+def test_rows_of_a_fit_are_dealt_over_the_cores(spark):
+    data = _samples(spark, 3000)
+    rows = models.fit_rows(data, "sample_id")
+    assert data.rdd.getNumPartitions() == 1 and rows.rdd.getNumPartitions() > 1
+    assert sorted(rows.collect()) == sorted(data.collect())
+    few = _samples(spark, 100)
+    assert models.fit_rows(few, "sample_id").collect() == few.collect()
+
+
+def test_fertility_fit_runs_on_several_tasks(spark, monkeypatch):
+    seen = []
+    real = models.forest_classifier
+
+    def watched(*a, **kw):
+        pipe = real(*a, **{**kw, "num_trees": 2, "max_depth": 3})
+        fit = pipe.fit
+        pipe.fit = lambda rows: (seen.append(rows.rdd.getNumPartitions()), fit(rows))[1]
+        return pipe
+
+    monkeypatch.setattr(models, "forest_classifier", watched)
+    fertility.train_fertility(_samples(spark, 4000).drop("weight"))
+    assert seen[0] > 1
+
+
+def test_forest_with_kept_nodes_grows_the_same_trees(spark):
+    rows = models.fit_rows(_samples(spark, 1200), "sample_id")
+    pipe = models.forest_classifier(NUTRIENTS, num_trees=3, max_depth=12)
+    kept = pipe.fit(rows).stages[-1].toDebugString
+    assert pipe.getStages()[-1].getCacheNodeIds()
+    pipe.getStages()[-1].setCacheNodeIds(False)
+    assert pipe.fit(rows).stages[-1].toDebugString == kept
