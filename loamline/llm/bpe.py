@@ -22,6 +22,8 @@ dropped. Every text is encoded whole, in pieces of the vocabulary's pattern.
 from __future__ import annotations
 
 import base64
+import gc
+from contextlib import contextmanager
 from functools import partial
 from hashlib import sha256
 from itertools import chain
@@ -38,6 +40,8 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 START = -1  # no token before the piece
 NEVER = 1 << 60
 LOOKAHEAD = 64
+# a pattern that begins so matches a blank and letters as one piece
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+|"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -175,6 +179,12 @@ class Transducer:
         if len(self.states) > self.max_states:
             self.reset()
         state, trail, out, known = 0, [], [], self.moves.get
+        if len(piece) <= LOOKAHEAD:  # nothing to emit before the end
+            for byte in piece:
+                move = known(state << 8 | byte) or self.build(state, byte)
+                state = move[0]
+                trail.append(move)
+            return self.emit(trail, self.ends[state]) if piece else out
         for byte in piece:
             move = known(state << 8 | byte)
             if move is None:
@@ -230,23 +240,32 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.fst = Transducer(ranks)
         self.find = regex.compile(pattern).findall
-        self.parts = PartCache(self.pieces, tuple)
+        self.words = pattern.startswith(WORDS)
+        self.parts = PartCache(self.part, tuple)
         self.known: dict[str, list[int]] = {}  # ids of short pieces, bounded as the parts are
         top = max(ranks.values()) + 1
         self.table = [self.fst.bytes_of.get(i, b"") for i in range(top)]
         self.digits = [str(i) for i in range(top)]
 
+    def part(self, text: str) -> list[int]:
+        """Ids of a part. Where the pattern begins with WORDS, a blank and ASCII
+        letters are one piece and need not be cut."""
+        if self.words and text[:1] == " " and text.isascii() and text[1:].isalpha():
+            return self.known.get(text) or self.piece(text)
+        return self.pieces(text)
+
+    def piece(self, piece: str) -> list[int]:
+        ids = self.fst.encode(piece.encode())
+        if len(piece) <= CACHE_CHARS:
+            if len(self.known) >= CACHE_PARTS:
+                self.known.clear()
+            self.known[piece] = ids
+        return ids
+
     def pieces(self, text: str) -> list[int]:
         out: list[int] = []
         for piece in self.find(text):
-            ids = self.known.get(piece)
-            if ids is None:
-                ids = self.fst.encode(piece.encode())
-                if len(piece) <= CACHE_CHARS:
-                    if len(self.known) >= CACHE_PARTS:
-                        self.known.clear()
-                    self.known[piece] = ids
-            out += ids
+            out += self.known.get(piece) or self.piece(piece)
         return out
 
     def encode(self, text: str) -> list[int]:
@@ -272,18 +291,40 @@ def codec(path: str, pattern: str) -> Codec:
     return _loaded[path, pattern]
 
 
+@contextmanager
+def no_collections():
+    """No garbage collections inside, and later ones leave out what is held by
+    then: coding makes no cycles, and each collection would walk through the caches
+    and states, a million of small objects."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.freeze()
+            gc.enable()
+
+
+def _digests(coder: Codec, texts: list[str]):
+    """Per text: number of ids, digest of the ids, digest of the text decoded from them."""
+    n, hashes, back = [], [], []
+    for text in texts:
+        ids = coder.encode(text)
+        n.append(len(ids))
+        hashes.append(sha256(" ".join(map(coder.digits.__getitem__, ids)).encode()).hexdigest())
+        decoded = sha256()
+        for part in coder.decode(ids):
+            decoded.update(part.encode())
+        back.append(decoded.hexdigest())
+    return n, hashes, back
+
+
 def _round_trip(batches, path: str, pattern: str):
     coder = codec(path, pattern)
     for batch in batches:
-        n, hashes, back = [], [], []
-        for text in batch.column(1).to_pylist():
-            ids = coder.encode(text)
-            n.append(len(ids))
-            hashes.append(sha256(" ".join(map(coder.digits.__getitem__, ids)).encode()).hexdigest())
-            decoded = sha256()
-            for part in coder.decode(ids):
-                decoded.update(part.encode())
-            back.append(decoded.hexdigest())
+        with no_collections():
+            n, hashes, back = _digests(coder, batch.column(1).to_pylist())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(n, pa.int64()), pa.array(hashes, pa.string()), pa.array(back, pa.string())],
             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
@@ -292,7 +333,8 @@ def _round_trip(batches, path: str, pattern: str):
 def _encode(batches, path: str, pattern: str):
     coder = codec(path, pattern)
     for batch in batches:
-        ids = [coder.encode(t) for t in batch.column(1).to_pylist()]
+        with no_collections():
+            ids = [coder.encode(t) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int64()))],
                                          names=["doc_id", "ids"])
 

@@ -163,3 +163,23 @@ def test_round_trip(frame):
     back = bpe.decode(bpe.encode(docs, RANKS, P.PATTERN), RANKS, P.PATTERN)
     assert {r.doc_id: r.text for r in back.collect()} == {i: t or "" for i, t in enumerate(texts)}
     assert bpe.round_trip(frame([]), RANKS, P.PATTERN).collect() == []
+
+
+def test_letters_after_a_blank_are_not_cut_and_nothing_is_collected_while_coding():
+    import gc
+
+    import public_tokenizers
+    from loamline.llm import bpe
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coder = bpe.Codec(bpe.load_ranks(path), public_tokenizers.PATTERN)
+    plain, cut = bpe.Codec(bpe.load_ranks(path), public_tokenizers.PATTERN), []
+    plain.words = False
+    coder.find = lambda text, find=coder.find: (cut.append(text), find(text))[1]
+    text = "One don't stop, x1 naïve wordswithoutanend" + "a" * 100 + " end 's sª. " + "b" * 70
+    assert coder.encode(text) == plain.encode(text) == [i for p in plain.find(text) for i in plain.fst.encode(p.encode())]
+    assert " stop," in cut and not {" end", " s"} & set(cut)
+    on = gc.isenabled()
+    with bpe.no_collections():
+        assert not gc.isenabled()
+    assert gc.isenabled() == on
