@@ -11,17 +11,21 @@ anchor need comparing. Consecutive windows with one anchor form a *run*
    two independent 64-bit hashes of the whole run are. This keeps groups of copies, however large, to one row a task.
 2. ``sifted``: runs meet by anchor. Of equal runs all but the first are
    removed. An anchor with one content only is done; the runs of other anchors
-   are *open*: they may agree in some windows.
-3. ``gathered``: open runs fetch their tokens from the documents.
-4. ``resolve`` (the operator's own method) compares open runs of an anchor
-   window by window. Anchors with more than ``SPLIT`` open runs are dealt as
-   single windows by content instead, collapsed as in step 1.
-5. ``applied``: removed spans meet their documents.
+   are *open*: they may agree in some windows. Step 1's shuffle files go then.
+3. ``parted``: anchors with more than ``SPLIT`` open runs are *hot*. Their runs
+   are cut into pieces by the anchor's place in the window, in ``PARTS`` steps.
+   All windows of a piece share nearly a whole window, and pieces are dealt and
+   sifted by that as runs are by their anchor; few stay open.
+4. ``gathered``: open runs and pieces fetch their tokens from the documents.
+5. ``resolve`` (the operator's own method) compares open runs of an anchor
+   window by window. Pieces that are hot again are dealt as single windows by
+   content instead, collapsed as in step 1.
+6. ``applied``: removed spans meet their documents.
 
 Rows between steps are NumPy records packed per bucket; there are
 BUCKETS_A_PARTITION buckets for each shuffle partition, so a bucket's size is
 set by ``spark.sql.shuffle.partitions`` as that of any shuffle task. Nothing
-is broadcast or collected.
+is broadcast, and one number collected: whether there are hot anchors.
 """
 
 from __future__ import annotations
@@ -36,21 +40,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sequences import BYTE_VALUE, U, chunks, mix, power_grams, utf8, window_min, word_values, words
-from .tables import bounded_batches, texts, written
+from .tables import bounded_batches, shuffles_removed, texts, written
 
 BUCKETS_A_PARTITION = 2
 SPLIT = 2048
+PARTS = 4
 PIECE = 1 << 20
 NO_ID = np.iinfo(np.int64).max  # a null doc_id: after all others
 LAST = U(0xFFFFFFFF)
 RUN = np.dtype([("h", "<u8"), ("r", "<u8"), ("s", "<u8"), ("doc", "<i8"), ("lo", "<u4"), ("a", "u1"), ("n", "u1")])
 SPAN = np.dtype([("doc", "<i8"), ("lo", "<u4"), ("hi", "<u4")])
-OPEN = np.dtype([("doc", "<i8"), ("lo", "<u4"), ("n", "u1"), ("hot", "u1"), ("h", "<u8")])
+OPEN = np.dtype([("doc", "<i8"), ("lo", "<u4"), ("a", "u1"), ("n", "u1"), ("hot", "u1"), ("h", "<u8")])
 SAME = ("h", "r", "s")  # equal runs: the anchor's hash and both hashes of the content
 SECOND = U(0xA24BAED4963EE407)
 ROWS = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("rows", pa.binary()), ("body", pa.binary())])
 ROWS_SQL = "bucket int, kind int, rows binary, body binary"
-RUNS, SPANS, OPENS = 0, 1, 2
+RUNS, SPANS, OPENS, HOTS = 0, 1, 2, 3
 
 
 @dataclass(frozen=True)
@@ -146,6 +151,33 @@ def runs_of(spec: Windows, values: np.ndarray, offsets: np.ndarray, docs: np.nda
     return rows
 
 
+def pieces_of(spec: Windows, rows: np.ndarray, values: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Runs, whose token hashes start at ``base`` in ``values``, cut by the
+    anchor's place in their windows; ``h`` is the hash of the tokens that all
+    windows with the anchor at these places have, so equal windows meet again."""
+    step = max(1, (spec.size - spec.k) // PARTS)
+    a, n = rows["a"].astype(np.int64), rows["n"].astype(np.int64)
+    part = (a - n) // step  # of the last window, where the anchor is leftmost
+    times = a // step - part + 1
+    which = np.repeat(np.arange(len(rows)), times)
+    part = part[which] + np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
+    least, most = part * step, np.minimum(part * step + step - 1, spec.size - spec.k)
+    lo, hi = np.maximum(a[which] - most, 0), np.minimum(a[which] - least, n[which])
+    out = np.zeros(len(which), RUN)
+    out["doc"], out["lo"] = rows["doc"][which], rows["lo"][which] + lo.astype(np.uint32)
+    out["a"], out["n"] = a[which] - lo, hi - lo
+    place = ((hi - lo) * 256 + a[which] - lo).astype(np.uint64)
+    start, anchor = base[which], (base + a)[which]
+    half = 1 << (spec.size.bit_length() - 1)
+    core = 1 << ((spec.size - step + 1).bit_length() - 1)  # no more than the shared tokens
+    grams = power_grams(values, half)
+    out["h"] = mix(mix(grams[core][anchor - least] + part.astype(np.uint64)) + grams[core][anchor - most + spec.size - core] * U(3))
+    out["r"] = content_of_runs(spec, grams[half], half, start + lo, start + hi, place)
+    del grams
+    out["s"] = content_of_runs(spec, power_grams(mix(values ^ SECOND), half)[half], half, start + lo, start + hi, place)
+    return out
+
+
 def settled(spec: Windows, rows: np.ndarray, keys: tuple) -> tuple[np.ndarray, np.ndarray]:
     """Rows sorted by ``keys``, document and place; and which repeat their group's first."""
     rows = rows[np.lexsort((rows["lo"], rows["doc"], *(rows[k] for k in reversed(keys))))]
@@ -215,10 +247,11 @@ def _sifted(table, spec: Windows, buckets: int):
         varied = np.bincount(group[1:], weights=(~new[1:]) & other, minlength=len(size)) > 0
         keep = varied[group]
         open_runs = np.zeros(int(keep.sum()), OPEN)
-        for f in ("doc", "lo", "n", "h"):
+        for f in ("doc", "lo", "a", "n", "h"):
             open_runs[f] = rows[f][keep]
         open_runs["hot"] = (size > SPLIT)[group][keep]
-        out.append(packed(OPENS, open_runs, doc_bucket(open_runs["doc"], buckets)))
+        for kind, some in ((OPENS, open_runs["hot"] == 0), (HOTS, open_runs["hot"] > 0)):
+            out.append(packed(kind, open_runs[some], doc_bucket(open_runs["doc"][some], buckets)))
     return pa.Table.from_batches(out, ROWS)
 
 
@@ -238,11 +271,8 @@ def content(spec: Windows, body: list[bytes], step: int = 8192) -> np.ndarray:
     return out
 
 
-def _gathered(docs, table, spec: Windows, buckets: int):
-    """Open runs of a bucket of documents with their tokens, dealt by anchor."""
-    rows = unpacked(table, OPENS, OPEN)
-    if not len(rows) or not docs.num_rows:
-        return ROWS.empty_table()
+def placed(docs, rows: np.ndarray, spec: Windows):
+    """(open runs of a bucket of documents, where each starts, the documents' tokens)"""
     rows = rows[np.argsort(rows["doc"], kind="stable")]
     ids = ids_of(docs.column("doc_id"))
     values, offsets, data = spec.tokens(docs.column("text"))
@@ -252,7 +282,35 @@ def _gathered(docs, table, spec: Windows, buckets: int):
     pick = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a, n)
     rows, at = rows[pick], offsets[which] + rows["lo"][pick]
     fits = at + rows["n"] + spec.size <= offsets[which + 1]  # not so in another row of this doc_id
-    rows, at = rows[fits], at[fits]
+    return rows[fits], at[fits], values if spec.by_word else data
+
+
+def _parted(docs, table, spec: Windows, buckets: int):
+    """Pieces of the hot runs of a bucket of documents, dealt by the tokens they share."""
+    rows = unpacked(table, HOTS, OPEN)
+    if not len(rows) or not docs.num_rows:
+        return ROWS.empty_table()
+    rows, at, tokens = placed(docs, rows, spec)
+    size = rows["n"].astype(np.int64) + spec.size
+    base, found = np.concatenate([[0], np.cumsum(size)]), [np.zeros(0, RUN)]
+    for i, j in chunks(base, PIECE):
+        first = base[i:j] - base[i]
+        part = tokens[np.repeat(at[i:j] - first, size[i:j]) + np.arange(base[j] - base[i])]
+        found.append(pieces_of(spec, rows[i:j], part if spec.by_word else BYTE_VALUE[part], first))
+    rows, repeats = settled(spec, np.concatenate(found), SAME)
+    kept, spans = rows[~repeats], spans_of(spec, rows[repeats])
+    return pa.Table.from_batches([packed(RUNS, kept, (kept["h"] % U(buckets)).astype(np.int64)),
+                                  packed(SPANS, spans, doc_bucket(spans["doc"], buckets))], ROWS)
+
+
+def _gathered(docs, table, spec: Windows, buckets: int):
+    """Open runs of a bucket of documents with their tokens, dealt by anchor; spans go on."""
+    spans = unpacked(table, SPANS, SPAN)
+    out = [packed(SPANS, spans, doc_bucket(spans["doc"], buckets))]
+    rows = np.concatenate([unpacked(table, OPENS, OPEN), unpacked(table, HOTS, OPEN)])
+    if not len(rows) or not docs.num_rows:
+        return pa.Table.from_batches(out, ROWS)
+    rows, at, tokens = placed(docs, rows, spec)
     hot = rows["hot"] > 0
     if hot.any():  # each window alone
         times = np.where(hot, rows["n"].astype(np.int64) + 1, 1)
@@ -262,9 +320,8 @@ def _gathered(docs, table, spec: Windows, buckets: int):
         rows["lo"] += step.astype(np.uint32)
         rows["n"][hot] = 0
     width = 8 if spec.by_word else 1
-    raw = (values if spec.by_word else data).tobytes()
+    raw = tokens.tobytes()
     body = [raw[i * width:(i + n + spec.size) * width] for i, n in zip(at.tolist(), rows["n"].tolist())]
-    out = []
     if hot.any():
         place = np.flatnonzero(hot)
         rows["h"][place] = content(spec, [body[i] for i in place.tolist()])
@@ -295,10 +352,16 @@ def removed_spans(docs: DataFrame, whole: DataFrame, spec: Windows, resolve: Cal
     """Spans that repeat an earlier window, packed per bucket of documents. The
     documents are dealt by bucket here and once more by the caller, in the same
     way, so Spark shuffles their texts once."""
-    sifted = written(
-        docs.mapInArrow(partial(_anchored, spec=spec, buckets=buckets), ROWS_SQL)
-        .groupBy("bucket").applyInArrow(lambda key, table: _sifted(table, spec, buckets), ROWS_SQL), name)
+    def sift(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("bucket").applyInArrow(lambda key, table: _sifted(table, spec, buckets), ROWS_SQL)
+
+    with shuffles_removed(docs.sparkSession):
+        sifted = written(sift(docs.mapInArrow(partial(_anchored, spec=spec, buckets=buckets), ROWS_SQL)), name)
     open_runs, spans = sifted.where(F.col("kind") == OPENS), sifted.where(F.col("kind") == SPANS)
+    if sifted.agg(F.max("kind")).first()[0] == HOTS:
+        open_runs = open_runs.unionByName(sift(
+            dealt(whole, buckets).groupBy("bucket").cogroup(sifted.where(F.col("kind") == HOTS).groupBy("bucket"))
+            .applyInArrow(lambda key, docs, table: _parted(docs, table, spec, buckets), ROWS_SQL)))
     resolved = (
         dealt(whole, buckets).groupBy("bucket").cogroup(open_runs.groupBy("bucket"))
         .applyInArrow(lambda key, docs, table: _gathered(docs, table, spec, buckets), ROWS_SQL)

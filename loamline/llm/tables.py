@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 16 << 20
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +54,20 @@ def batches_of(spark: SparkSession, size: int):
         spark.conf.set(BATCH_CONF, before)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Queries that end inside leave no shuffle files: what they wrote replaces them."""
+    before = spark.conf.get(CLEANUP_CONF, None)
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP_CONF)
+        else:
+            spark.conf.set(CLEANUP_CONF, before)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new sub-folder of the shared folder in ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None)

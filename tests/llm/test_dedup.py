@@ -41,6 +41,79 @@ def test_common_anchor_is_split(frame, monkeypatch):
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got} == want
 
 
+def hot_phrase(n, words=12):
+    """Documents with one phrase in n contexts, some of which repeat or agree on one side."""
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 7)))
+    side = lambda: " ".join(word() for _ in range(14))
+    phrase = " ".join("of the common licence text that all documents bring along with them".split()[:words])
+    some = [side() for _ in range(4)]
+    return [(i, f"{rnd.choice(some) if i % 7 == 0 else side()} {phrase} {rnd.choice(some) if i % 5 == 0 else side()}")
+            for i in range(n)]
+
+
+def sifted_pieces(whole, sifted, spec):
+    import pyarrow as pa
+    pieces = repeats._sifted(repeats._parted(whole, sifted, spec, 1), spec, 1)
+    plain = [k != repeats.HOTS for k in sifted.column("kind").to_pylist()]
+    return pa.concat_tables([sifted.filter(pa.array(plain)), pieces])
+
+
+@pytest.mark.parametrize("operator, want_of", [(substring, brute.substring_dedup), (suffix, brute.suffix_dedup)])
+@pytest.mark.parametrize("split", [1, 3, 40])
+def test_pieces_of_hot_runs_change_nothing(monkeypatch, operator, want_of, split):
+    """Pieces, too, are dealt as single windows where they are hot again (``split`` 1 and 3)."""
+    import pyarrow as pa
+    monkeypatch.setattr(repeats, "SPLIT", split)
+    for docs in (brute.corpus(seed=5, n=60), hot_phrase(120, 8), hot_phrase(120, 5)):
+        docs = [(i, t or "") for i, t in docs if i is not None]
+        whole = pa.table({"doc_id": pa.array([i for i, _ in docs], pa.int64()), "text": [t for _, t in docs]})
+        spec, batches = operator.windows(), whole.combine_chunks().to_batches()
+        sifted = repeats._sifted(pa.Table.from_batches(list(repeats._anchored(batches, spec, 1))), spec, 1)
+        dealt = repeats._gathered(whole, sifted_pieces(whole, sifted, spec), spec, 1)
+        resolved = repeats._resolved(dealt, spec, 1, operator.resolve)
+        spans = np.concatenate([repeats.unpacked(t, repeats.SPANS, repeats.SPAN) for t in (sifted, resolved)])
+        got = {r["doc_id"]: tuple(r.values())[1:] for r in operator._digests(whole, spans).to_pylist()}
+        assert got == want_of(docs)
+
+
+def test_hot_runs_move_few_bytes():
+    """Dealt as single windows, each context of a common phrase took some 4 KB."""
+    import pyarrow as pa
+    docs, spec = hot_phrase(3000), suffix.windows()
+    whole = pa.table({"doc_id": [i for i, _ in docs], "text": [t for _, t in docs]})
+    sifted = repeats._sifted(pa.Table.from_batches(list(repeats._anchored(whole.combine_chunks().to_batches(), spec, 1))), spec, 1)
+    assert len(repeats.unpacked(sifted, repeats.HOTS, repeats.OPEN)) > 2048
+    parted = repeats._parted(whole, sifted, spec, 1)
+    pieces = sifted_pieces(whole, sifted, spec)
+    gathered = repeats._gathered(whole, pieces, spec, 1)
+    assert max(parted.nbytes, pieces.nbytes, gathered.nbytes) < 3 * sum(len(t) for _, t in docs)
+
+
+def test_hot_phrase_equals_brute_force(frame):
+    """More contexts than SPLIT of one phrase, through all steps."""
+    docs = hot_phrase(3000)
+    assert rows(suffix.dedup_digests(frame(docs))) == brute.suffix_dedup(docs)
+    assert rows(substring.dedup_digests(frame(docs))) == brute.substring_dedup(docs)
+
+
+def test_first_shuffle_is_removed_before_texts_are_dealt(spark, frame, monkeypatch):
+    files = lambda: {str(b) for b in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles())
+        if "shuffle_" in str(b)}
+    kept, write = [], repeats.written
+
+    def watched(df, name):
+        before = files()
+        out = write(df, name)
+        kept.append(len(files() - before))
+        return out
+
+    monkeypatch.setattr(repeats, "written", watched)
+    assert suffix.dedup_digests(frame(brute.corpus(seed=4))).count()
+    assert kept == [0]
+
+
 def test_runs_of_one_anchor_are_equal_by_content_only():
     """300,000 different contexts of one phrase: 32 bits of content join about ten pairs."""
     import pyarrow as pa
